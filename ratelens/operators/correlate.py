@@ -60,12 +60,13 @@ def _pick(index: Column, values: list[Column]) -> Column:
     return out
 
 
-def sweep_moments(panel_leads: DataFrame, bases: Sequence[str] = RATE_BASES,
-                  targets: Sequence[str] = TARGET_NAMES, lags: Sequence[int] = LAGS,
-                  controls: Sequence[str] = CANDIDATE_CONTROLS,
-                  min_panel: int = MIN_OBS) -> DataFrame:
-    """W14 + P05 + moments: one row per (pair, basis, target, lag, control)
-    with n and the sample (co)variances of x, y, z, t."""
+def sweep_observations(panel_leads: DataFrame, bases: Sequence[str] = RATE_BASES,
+                       targets: Sequence[str] = TARGET_NAMES, lags: Sequence[int] = LAGS,
+                       controls: Sequence[str] = CANDIDATE_CONTROLS,
+                       min_panel: int = MIN_OBS) -> DataFrame:
+    """W14 + P05: the sweep as data.  One row per panel month and
+    (basis, target, lag, control) with x, y, z, t, kept only where the
+    group's variables are all present (control_pos 0 = no control)."""
     have = set(panel_leads.columns)
 
     def col_or_null(name: str) -> Column:
@@ -86,6 +87,16 @@ def sweep_moments(panel_leads: DataFrame, bases: Sequence[str] = RATE_BASES,
                    F.col("time_index").alias("t"))
            .where(F.col("x").isNotNull() & F.col("y").isNotNull()
                   & (F.col("z").isNotNull() | (F.col("control_pos") == 0))))
+    return obs
+
+
+def sweep_moments(panel_leads: DataFrame, bases: Sequence[str] = RATE_BASES,
+                  targets: Sequence[str] = TARGET_NAMES, lags: Sequence[int] = LAGS,
+                  controls: Sequence[str] = CANDIDATE_CONTROLS,
+                  min_panel: int = MIN_OBS) -> DataFrame:
+    """Moments of the sweep: one row per (pair, basis, target, lag, control)
+    with n and the sample (co)variances of x, y, z, t."""
+    obs = sweep_observations(panel_leads, bases, targets, lags, controls, min_panel)
     keys = GROUP + ["control", "control_pos", "panel_start", "panel_end"]
     return obs.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),

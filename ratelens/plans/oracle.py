@@ -48,8 +48,14 @@ def month(expr: str) -> str:
     return f"CAST(date_trunc('month', {expr}) AS DATE)"
 
 
+def rnd(expr: str, decimals: int = 6) -> str:
+    """Same half-up rounding as registry.round_half_up."""
+    scale = float(10 ** decimals)
+    return f"(CAST(floor(({expr}) * {scale} + 0.5) AS DOUBLE) / {scale} + 0.0)"
+
+
 def r6(expr: str, alias: str) -> str:
-    return f"round({expr}, 6) + 0.0 AS {alias}"
+    return f"{rnd(expr)} AS {alias}"
 
 
 def sql_list(values) -> str:
@@ -64,33 +70,47 @@ FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""")
 cte("s_pairs", ["s_dim_country"], f"""
 SELECT country_code, unnest([{sql_list(FIXTURE_SECTORS)}]) AS sector_id FROM s_dim_country""")
 
+def cents(expr: str) -> str:
+    return f"CAST(round({expr} * 100) AS BIGINT)"
+
+
+def ratio(num: str, den: str) -> str:
+    return f"(CAST({num} AS DOUBLE) / CAST(nullif({den}, 0) AS DOUBLE))"
+
+
 cte("s_macro_country", [], f"""
 SELECT {cc('c.c_nationkey')} AS country_code, {month('o.o_orderdate')} AS month,
-       100 * avg(l.l_discount) AS policy_rate,
-       100 * avg(l.l_tax) AS cpi_inflation,
-       avg(o.o_totalprice) / 1000 AS gdp_growth,
-       100 * avg(CASE WHEN o.o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END) AS unemployment_rate,
-       avg(c.c_acctbal) / 100 AS trade_balance,
-       avg(l.l_extendedprice / nullif(l.l_quantity, 0)) AS reer,
-       avg(l.l_quantity) AS fdi_net_inflow,
-       100 * avg(CASE WHEN l.l_returnflag = 'R' THEN 1.0 ELSE 0.0 END) AS gov_debt_pct_gdp
+       {ratio(f"sum({cents('l.l_discount')})", 'count(l.l_discount)')} AS policy_rate,
+       {ratio(f"sum({cents('l.l_tax')})", 'count(l.l_tax)')} AS cpi_inflation,
+       {ratio(f"sum({cents('o.o_totalprice')})", 'count(o.o_totalprice) * 100000')} AS gdp_growth,
+       {ratio("100 * sum(CASE WHEN o.o_orderstatus = 'F' THEN 1 ELSE 0 END)",
+              'count(o.o_orderstatus)')} AS unemployment_rate,
+       {ratio(f"sum({cents('c.c_acctbal')})", 'count(c.c_acctbal) * 10000')} AS trade_balance,
+       {ratio(f"sum(CASE WHEN l.l_quantity IS NOT NULL THEN {cents('l.l_extendedprice')} END)",
+              'sum(CASE WHEN l.l_extendedprice IS NOT NULL THEN CAST(round(l.l_quantity) AS BIGINT) END) * 100')}
+         AS reer,
+       {ratio('sum(CAST(round(l.l_quantity) AS BIGINT))', 'count(l.l_quantity)')} AS fdi_net_inflow,
+       {ratio("100 * sum(CASE WHEN l.l_returnflag = 'R' THEN 1 ELSE 0 END)",
+              'count(l.l_returnflag)')} AS gov_debt_pct_gdp
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 JOIN customer c ON o.o_custkey = c.c_custkey
 GROUP BY 1, 2""")
 
 cte("s_macro_global", [], f"""
-SELECT {month('l_shipdate')} AS month, avg(l_quantity) AS usd_index,
-       100 * avg(l_tax) AS treasury_yield_10y, 100 * avg(l_discount) AS fed_funds_rate_global
+SELECT {month('l_shipdate')} AS month,
+       {ratio('sum(CAST(round(l_quantity) AS BIGINT))', 'count(l_quantity)')} AS usd_index,
+       {ratio(f"sum({cents('l_tax')})", 'count(l_tax)')} AS treasury_yield_10y,
+       {ratio(f"sum({cents('l_discount')})", 'count(l_discount)')} AS fed_funds_rate_global
 FROM lineitem GROUP BY 1""")
 
 _country_inds = ["policy_rate", "cpi_inflation", "gdp_growth", "unemployment_rate",
                  "trade_balance", "reer", "fdi_net_inflow", "gov_debt_pct_gdp"]
 _global_inds = ["usd_index", "treasury_yield_10y", "fed_funds_rate_global"]
 cte("s_macro_levels", ["s_macro_country", "s_macro_global"], "\nUNION ALL\n".join(
-    [f"SELECT country_code, month, '{i}' AS indicator_id, round({i}, 6) AS value, "
+    [f"SELECT country_code, month, '{i}' AS indicator_id, {i} AS value, "
      f"false AS is_interpolated FROM s_macro_country WHERE {i} IS NOT NULL" for i in _country_inds]
     + [f"SELECT CAST(NULL AS VARCHAR) AS country_code, month, '{i}' AS indicator_id, "
-       f"round({i}, 6) AS value, false AS is_interpolated FROM s_macro_global "
+       f"{i} AS value, false AS is_interpolated FROM s_macro_global "
        f"WHERE {i} IS NOT NULL" for i in _global_inds]))
 
 cte("s_real_rate", ["s_macro_levels"], """
@@ -115,10 +135,11 @@ FROM (SELECT * FROM s_macro_levels UNION ALL SELECT * FROM s_real_rate) u""")
 
 cte("s_sector_month", [], f"""
 SELECT lower(p.p_type) AS sector_id, {month('l.l_shipdate')} AS month,
-       round(avg(l.l_extendedprice / nullif(l.l_quantity, 0)), 6) AS price_index,
-       round(CAST(sum(CAST(l.l_extendedprice AS DECIMAL(15,2))
-                      * (1 - CAST(l.l_discount AS DECIMAL(15,2)))) AS DOUBLE), 6)
-         AS valuation_index
+       {ratio(f"sum(CASE WHEN l.l_quantity IS NOT NULL THEN {cents('l.l_extendedprice')} END)",
+              'sum(CASE WHEN l.l_extendedprice IS NOT NULL THEN CAST(round(l.l_quantity) AS BIGINT) END) * 100')}
+         AS price_index,
+       CAST(sum(CAST(l.l_extendedprice AS DECIMAL(15,2))
+                * (1 - CAST(l.l_discount AS DECIMAL(15,2)))) AS DOUBLE) AS valuation_index
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
 GROUP BY 1, 2""")
 

@@ -1,4 +1,4 @@
 """Import every query module so the registry is complete."""
 
-from . import queries  # noqa: F401
+from . import q_correlation, queries  # noqa: F401
 from .registry import ORACLE, QUERIES  # noqa: F401

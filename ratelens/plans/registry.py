@@ -2,8 +2,8 @@
 
 Each entry maps ``<inventory id>_<slug>`` to a callable ``(spark, sf_dir) ->
 DataFrame``.  ``finish`` normalises output types so two engines agree:
-doubles rounded to 6 decimals (and -0.0 folded into 0.0), integral columns as
-BIGINT.
+doubles rounded half-up to 6 decimals by ``round_half_up`` (and -0.0
+folded into 0.0), integral columns as BIGINT.
 """
 
 from __future__ import annotations
@@ -30,12 +30,20 @@ def register(name: str, oracle: str | Callable[[], str] | None = None):
     return deco
 
 
+def round_half_up(c, decimals: int = OUT_DECIMALS):
+    """floor(x * 10^d + 0.5) / 10^d (+0.0 folds -0.0): the same IEEE
+    operations in every engine, so identical doubles round identically, ties
+    included (engines' own ROUND functions differ on ties)."""
+    scale = float(10 ** decimals)
+    return (F.floor(c * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)) + F.lit(0.0)
+
+
 def finish(df: DataFrame, decimals: int = OUT_DECIMALS) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
-            c = F.round(c.cast("double"), decimals) + F.lit(0.0)
+            c = round_half_up(c.cast("double"), decimals)
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType, T.LongType)):
             c = c.cast("bigint")
         cols.append(c.alias(f.name))

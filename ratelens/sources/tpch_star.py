@@ -13,8 +13,9 @@ driver tables (mapping documented in FIXTURES.md section 4):
 * annual series                      = average order price per (nation, year)
 * articles and their tag bridges     = events
 
-Every base series is rounded to 6 decimals once, so later rankings see the
-same inputs in any engine.  Money sums run in DECIMAL and are exact.
+Every base series is a single division of exact integer (or DECIMAL) sums, so
+its double value is the same in any engine and under any partitioning --
+later rankings see identical inputs.
 
 Scale notes: lineitem is pre-aggregated to one row per order (respectively per
 part and month) before it meets orders / part, so the big join carries ~4x
@@ -31,8 +32,6 @@ from pyspark.sql import functions as F
 from ..constants import MECHANISM_IDS, POLICY_SUBTYPES, SOURCE_TYPES
 from .driver import read
 
-R = 6  # decimals of every base series
-
 # Fixture mapping constant: order of sectors used when assigning one sector per
 # event (the six part types of the driver data, lower-cased and sorted).
 FIXTURE_SECTORS = ["economy", "large", "medium", "promo", "small", "standard"]
@@ -90,17 +89,31 @@ def pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ------------------------------------------------------------- macro series
+def cents(c: Column) -> Column:
+    """A 2-decimal money / rate column as exact integer hundredths."""
+    return F.round(c * 100).cast("bigint")
+
+
+def ratio(num: Column, den: Column) -> Column:
+    """One IEEE division of two exact integers: bit-identical in any engine."""
+    return F.try_divide(num.cast("double"), den.cast("double"))
+
+
 def _order_level(spark: SparkSession, sf: str) -> DataFrame:
-    """orders x customer x (lineitem pre-aggregated per order)."""
+    """orders x customer x (lineitem pre-aggregated per order, exact integer
+    sums)."""
     li = read(spark, sf, "lineitem", "l_orderkey", "l_discount", "l_tax",
               "l_extendedprice", "l_quantity", "l_returnflag")
-    ppu = F.try_divide(F.col("l_extendedprice"), F.col("l_quantity"))
     per_order = li.groupBy("l_orderkey").agg(
         F.count(F.lit(1)).alias("n_lines"),
-        F.sum("l_discount").alias("s_disc"), F.count("l_discount").alias("c_disc"),
-        F.sum("l_tax").alias("s_tax"), F.count("l_tax").alias("c_tax"),
-        F.sum(ppu).alias("s_ppu"), F.count(ppu).alias("c_ppu"),
-        F.sum("l_quantity").alias("s_qty"), F.count("l_quantity").alias("c_qty"),
+        F.sum(cents(F.col("l_discount"))).alias("s_disc"), F.count("l_discount").alias("c_disc"),
+        F.sum(cents(F.col("l_tax"))).alias("s_tax"), F.count("l_tax").alias("c_tax"),
+        F.sum(F.when(F.col("l_quantity").isNotNull(), cents(F.col("l_extendedprice"))))
+        .alias("s_ep"),
+        F.sum(F.when(F.col("l_extendedprice").isNotNull(), F.round("l_quantity").cast("bigint")))
+        .alias("s_qty_ep"),
+        F.sum(F.round("l_quantity").cast("bigint")).alias("s_qty"),
+        F.count("l_quantity").alias("c_qty"),
         F.sum((F.col("l_returnflag") == "R").cast("int")).alias("s_ret"),
         F.count("l_returnflag").alias("c_ret"),
     )
@@ -117,23 +130,31 @@ def macro_levels(spark: SparkSession, sf: str) -> DataFrame:
 
     Country-level series come first, global (country_code null) series after.
     The derived real rate is *not* here: it is computed by the J09 operator.
+    Each level is one division of exact integer sums, so its double value does
+    not depend on partitioning or summation order.
     """
     j = _order_level(spark, sf)
     n = F.col("n_lines")
 
-    def weighted_avg(c: Column) -> Column:  # avg over the joined line rows
-        return F.try_divide(F.sum(c * n), F.sum(F.when(c.isNotNull(), n)))
+    def wsum(c: Column) -> Column:  # sum over the joined line rows
+        return F.sum(c * n)
+
+    def wcnt(c: Column) -> Column:
+        return F.sum(F.when(c.isNotNull(), n))
 
     agg = j.groupBy(country_code(F.col("c_nationkey")).alias("country_code"),
                     month_of(F.col("o_orderdate")).alias("month")).agg(
-        (100 * F.try_divide(F.sum("s_disc"), F.sum("c_disc"))).alias("policy_rate"),
-        (100 * F.try_divide(F.sum("s_tax"), F.sum("c_tax"))).alias("cpi_inflation"),
-        (weighted_avg(F.col("o_totalprice")) / 1000).alias("gdp_growth"),
-        (100 * weighted_avg((F.col("o_orderstatus") == "F").cast("double"))).alias("unemployment_rate"),
-        (weighted_avg(F.col("c_acctbal")) / 100).alias("trade_balance"),
-        F.try_divide(F.sum("s_ppu"), F.sum("c_ppu")).alias("reer"),
-        F.try_divide(F.sum("s_qty"), F.sum("c_qty")).alias("fdi_net_inflow"),
-        (100 * F.try_divide(F.sum("s_ret"), F.sum("c_ret"))).alias("gov_debt_pct_gdp"),
+        ratio(F.sum("s_disc"), F.sum("c_disc")).alias("policy_rate"),
+        ratio(F.sum("s_tax"), F.sum("c_tax")).alias("cpi_inflation"),
+        ratio(wsum(cents(F.col("o_totalprice"))), wcnt(F.col("o_totalprice")) * 100000)
+        .alias("gdp_growth"),
+        ratio(wsum((F.col("o_orderstatus") == "F").cast("bigint")) * 100,
+              wcnt(F.col("o_orderstatus"))).alias("unemployment_rate"),
+        ratio(wsum(cents(F.col("c_acctbal"))), wcnt(F.col("c_acctbal")) * 10000)
+        .alias("trade_balance"),
+        ratio(F.sum("s_ep"), F.sum("s_qty_ep") * 100).alias("reer"),
+        ratio(F.sum("s_qty"), F.sum("c_qty")).alias("fdi_net_inflow"),
+        ratio(F.sum("s_ret") * 100, F.sum("c_ret")).alias("gov_debt_pct_gdp"),
     )
     names = ["policy_rate", "cpi_inflation", "gdp_growth", "unemployment_rate",
              "trade_balance", "reer", "fdi_net_inflow", "gov_debt_pct_gdp"]
@@ -141,16 +162,16 @@ def macro_levels(spark: SparkSession, sf: str) -> DataFrame:
 
     li = read(spark, sf, "lineitem", "l_shipdate", "l_quantity", "l_tax", "l_discount")
     glob = (li.groupBy(month_of(F.col("l_shipdate")).alias("month")).agg(
-        F.avg("l_quantity").alias("usd_index"),
-        (100 * F.avg("l_tax")).alias("treasury_yield_10y"),
-        (100 * F.avg("l_discount")).alias("fed_funds_rate_global"))
+        ratio(F.sum(F.round("l_quantity").cast("bigint")), F.count("l_quantity")).alias("usd_index"),
+        ratio(F.sum(cents(F.col("l_tax"))), F.count("l_tax")).alias("treasury_yield_10y"),
+        ratio(F.sum(cents(F.col("l_discount"))), F.count("l_discount"))
+        .alias("fed_funds_rate_global"))
         .withColumn("country_code", F.lit(None).cast("string"))
         .unpivot(["country_code", "month"], ["usd_index", "treasury_yield_10y",
                                             "fed_funds_rate_global"], "indicator_id", "value"))
     return (country.unionByName(glob)
             .where(F.col("value").isNotNull())
-            .select("country_code", "month", "indicator_id",
-                    F.round("value", R).alias("value"),
+            .select("country_code", "month", "indicator_id", "value",
                     F.lit(False).alias("is_interpolated")))
 
 
@@ -162,7 +183,8 @@ def annual_levels(spark: SparkSession, sf: str) -> DataFrame:
     return (orders.join(customer, orders.o_custkey == customer.c_custkey)
             .groupBy(country_code(F.col("c_nationkey")).alias("country_code"),
                      F.year("o_orderdate").alias("year"))
-            .agg(F.round(F.avg("o_totalprice") / 1000, R).alias("value"))
+            .agg(ratio(F.sum(cents(F.col("o_totalprice"))), F.count("o_totalprice") * 100000)
+                 .alias("value"))
             .select("country_code", F.lit("gdp_growth").alias("indicator_id"), "year", "value"))
 
 
@@ -170,16 +192,19 @@ def annual_levels(spark: SparkSession, sf: str) -> DataFrame:
 def _sector_month(spark: SparkSession, sf: str) -> DataFrame:
     li = read(spark, sf, "lineitem", "l_partkey", "l_shipdate", "l_extendedprice",
               "l_quantity", "l_discount")
-    ppu = F.try_divide(F.col("l_extendedprice"), F.col("l_quantity"))
     revenue = (F.col("l_extendedprice").cast("decimal(15,2)")
                * (F.lit(1) - F.col("l_discount").cast("decimal(15,2)")))
     per_part = li.groupBy("l_partkey", month_of(F.col("l_shipdate")).alias("month")).agg(
-        F.sum(ppu).alias("s_ppu"), F.count(ppu).alias("c_ppu"), F.sum(revenue).alias("rev"))
+        F.sum(F.when(F.col("l_quantity").isNotNull(), cents(F.col("l_extendedprice"))))
+        .alias("s_ep"),
+        F.sum(F.when(F.col("l_extendedprice").isNotNull(), F.round("l_quantity").cast("bigint")))
+        .alias("s_qty"),
+        F.sum(revenue).alias("rev"))
     part = read(spark, sf, "part", "p_partkey", "p_type")
     return (per_part.join(part, per_part.l_partkey == part.p_partkey)
             .groupBy(F.lower("p_type").alias("sector_id"), "month")
-            .agg(F.round(F.try_divide(F.sum("s_ppu"), F.sum("c_ppu")), R).alias("price_index"),
-                 F.round(F.sum("rev").cast("double"), R).alias("valuation_index")))
+            .agg(ratio(F.sum("s_ep"), F.sum("s_qty") * 100).alias("price_index"),
+                 F.sum("rev").cast("double").alias("valuation_index")))
 
 
 def commodity_levels(spark: SparkSession, sf: str) -> DataFrame:
@@ -204,8 +229,8 @@ def instrument_history(spark: SparkSession, sf: str) -> DataFrame:
             .select(F.lower("p_type").alias("sector_id"),
                     F.col("l_shipdate").alias("ts"),
                     (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("instrument_id"),
-                    F.round(F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")), R)
-                    .alias("close")))
+                    ratio(cents(F.col("l_extendedprice")),
+                          F.round("l_quantity").cast("bigint") * 100).alias("close")))
 
 
 # ------------------------------------------------------------------ articles
@@ -276,4 +301,4 @@ def daily_rate(spark: SparkSession, sf: str) -> DataFrame:
     ev = read(spark, sf, "events", "ts", "user_id", "value")
     return (ev.groupBy(country_code(F.col("user_id") % 25).alias("country_code"),
                        F.to_date("ts").alias("period"))
-            .agg(F.round(F.avg("value") / 10, R).alias("value")))
+            .agg(ratio(F.sum(cents(F.col("value"))), F.count("value") * 1000).alias("value")))
