@@ -134,7 +134,7 @@ def annual_to_monthly(annual: DataFrame, through: str | Column,
     instead of a non-equi join.
     """
     keys = list(keys)
-    through_col = F.to_date(through) if isinstance(through, str) else through
+    through_col = F.to_date(F.lit(through)) if isinstance(through, str) else through
     bounds = annual.groupBy(*keys).agg(F.min("year").alias("y0"))
     calendar = bounds.select(*keys, F.explode(F.sequence(
         F.make_date(F.col("y0"), F.lit(1), F.lit(1)), F.trunc(through_col, "MM"),
