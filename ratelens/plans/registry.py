@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..constants import OUT_DECIMALS
+from ..functions.scalar import round_half_up
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -30,14 +31,6 @@ def register(name: str, oracle: str | Callable[[], str] | None = None):
     return deco
 
 
-def round_half_up(c, decimals: int = OUT_DECIMALS):
-    """floor(x * 10^d + 0.5) / 10^d (+0.0 folds -0.0): the same IEEE
-    operations in every engine, so identical doubles round identically, ties
-    included (engines' own ROUND functions differ on ties)."""
-    scale = float(10 ** decimals)
-    return (F.floor(c * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)) + F.lit(0.0)
-
-
 def finish(df: DataFrame, decimals: int = OUT_DECIMALS) -> DataFrame:
     cols = []
     for f in df.schema.fields:

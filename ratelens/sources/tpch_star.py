@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import MECHANISM_IDS, POLICY_SUBTYPES, SOURCE_TYPES
+from ..functions.scalar import round_half_up
 from .driver import read
 
 # Fixture mapping constant: order of sectors used when assigning one sector per
@@ -259,7 +260,7 @@ def articles(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit("src"), (F.col("user_id") % N_SOURCES).cast("string")).alias("source_id"),
         category.alias("article_category"),
         subtype.alias("policy_subtype"),
-        F.round((F.col("value") - 50) / 500, 4).alias("sentiment_score"),
+        round_half_up((F.col("value") - 50) / 500, 4).alias("sentiment_score"),
         F.when(policy, F.lit("policy_outlook")).otherwise(F.lit("sector_producers"))
          .alias("sentiment_target"),
         F.concat(F.lit("https://news"), (F.col("user_id") % N_SOURCES).cast("string"),

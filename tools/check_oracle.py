@@ -10,6 +10,7 @@ import time
 sys.path.insert(0, __file__.rsplit("/tools/", 1)[0])
 
 import duckdb  # noqa: E402
+import pandas as pd  # noqa: E402
 
 from ratelens.plans.queries_all import ORACLE, QUERIES  # noqa: E402
 from ratelens.session import get_spark  # noqa: E402
@@ -17,7 +18,7 @@ from ratelens.sources.driver import DRIVER_TABLES, table_path  # noqa: E402
 
 
 def norm(v):
-    if v is None:
+    if v is None or v is pd.NA or v is pd.NaT:
         return None
     if isinstance(v, float):
         if math.isnan(v):
