@@ -242,6 +242,11 @@ def _k(props: Column) -> Column:
 def articles(spark: SparkSession, sf: str) -> DataFrame:
     """fact_article rows derived from events (one article per event)."""
     ev = read(spark, sf, "events", "event_id", "ts", "user_id", "event_type", "value", "props")
+    return articles_from_events(ev)
+
+
+def articles_from_events(ev: DataFrame) -> DataFrame:
+    """The event -> article mapping; works on batch and streaming frames."""
     k = _k(F.col("props"))
     policy = F.col("event_type").isin("signup", "purchase")
     category = F.when(policy, "monetary_policy").otherwise("commodity_stocks")
