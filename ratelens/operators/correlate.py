@@ -33,21 +33,26 @@ NONE = ""  # pseudo-control: uncontrolled moments
 GROUP = PAIR + ["rate_basis", "target_variable", "lag"]
 
 
-def _sweep_config(bases, targets, lags, controls) -> Column:
-    """Literal array of the sweep: one struct per (basis, target, lag, control).
-    Positions are 1-based indexes into the value arrays built per row."""
-    items = []
-    for bi, b in enumerate(bases):
-        for ti, t in enumerate(targets):
-            for li, lag in enumerate(lags):
-                for ci, c in enumerate([NONE] + list(controls)):
-                    items.append(F.struct(
-                        F.lit(b).alias("rate_basis"), F.lit(bi + 1).alias("bi"),
-                        F.lit(t).alias("target_variable"),
-                        F.lit(ti * len(lags) + li + 1).alias("yi"),
-                        F.lit(lag).alias("lag"),
-                        F.lit(c).alias("control"), F.lit(ci).alias("control_pos")))
-    return F.array(*items)
+def _sweep_config(bases, targets, lags, controls) -> tuple[Column, Column]:
+    """The sweep as an index: ``explode(sequence(0, N-1))`` and, from the
+    index, a struct (basis, target, lag, control and their 1-based positions
+    into the value lists).  Only the short name lists are literals."""
+    cl = [NONE] + list(controls)
+    nb, nt, nl, nc = len(bases), len(targets), len(lags), len(cl)
+    i = F.col("_sweep_i")
+    ci = i % nc
+    li = (i / nc).cast("int") % nl
+    ti = (i / (nc * nl)).cast("int") % nt
+    bi = (i / (nc * nl * nt)).cast("int")
+
+    def name(values, pos):
+        return F.element_at(F.array(*[F.lit(v) for v in values]), pos + 1)
+
+    cfg = F.struct(name(bases, bi).alias("rate_basis"), (bi + 1).alias("bi"),
+                   name(targets, ti).alias("target_variable"), (ti * nl + li + 1).alias("yi"),
+                   name(list(lags), li).alias("lag"), name(cl, ci).alias("control"),
+                   ci.alias("control_pos"))
+    return F.explode(F.sequence(F.lit(0), F.lit(nb * nt * nl * nc - 1))).alias("_sweep_i"), cfg
 
 
 def _pick(index: Column, values: list[Column]) -> Column:
@@ -76,8 +81,9 @@ def sweep_observations(panel_leads: DataFrame, bases: Sequence[str] = RATE_BASES
     x = _pick(cfg["bi"], [col_or_null(RATE_INDICATORS[b]) for b in bases])
     y = _pick(cfg["yi"], [col_or_null(f"{TARGETS[t]}__lead{k}") for t in targets for k in lags])
     z = _pick(cfg["control_pos"], [col_or_null(c) for c in controls])
+    explode, cfg_struct = _sweep_config(bases, targets, lags, controls)
     obs = (panel_leads.where(F.col("panel_n") >= min_panel)
-           .select("*", F.explode(_sweep_config(bases, targets, lags, controls)).alias("cfg"))
+           .select("*", explode).withColumn("cfg", cfg_struct)
            .select(*PAIR, "panel_start", "panel_end",
                    cfg["rate_basis"].alias("rate_basis"),
                    cfg["target_variable"].alias("target_variable"),

@@ -57,8 +57,9 @@ def model_observations(panel_leads: DataFrame, controls: Sequence[str], lags: Se
     x = _pick(cfg["bi"], [col(RATE_INDICATORS[b]) for b in bases])
     y = _pick(cfg["yi"], [col(f"{TARGETS[t]}__lead{k}") for t in targets for k in lags])
     zs = [col(c).alias(f"z{i + 1}") for i, c in enumerate(controls)]
+    explode, cfg_struct = _sweep_config(bases, targets, lags, [])
     obs = (panel_leads.where(F.col("panel_n") >= MIN_OBS)
-           .select("*", F.explode(_sweep_config(bases, targets, lags, [])).alias("cfg"))
+           .select("*", explode).withColumn("cfg", cfg_struct)
            .select(*PAIR, "month", cfg["rate_basis"].alias("rate_basis"),
                    cfg["target_variable"].alias("target_variable"), cfg["lag"].alias("lag"),
                    x.alias("x"), y.alias("y"), *zs))
@@ -161,7 +162,7 @@ def spearman(obs: DataFrame, keys: Sequence[str] = GROUP) -> DataFrame:
 
     def avg_rank(v: str) -> Column:
         w = Window.partitionBy(*keys).orderBy(v)
-        ties = Window.partitionBy(*keys, v)
+        ties = w.rangeBetween(Window.currentRow, Window.currentRow)  # same partitioning
         return F.rank().over(w) + (F.count(F.lit(1)).over(ties) - 1) / 2.0
 
     ranked = obs.select(*keys, avg_rank("x").alias("rx"), avg_rank("y").alias("ry"))
@@ -188,8 +189,9 @@ def covariance_moments(obs: DataFrame, keys: Sequence[str], cols: Sequence[str])
 def multi_control(obs: DataFrame, k: int, keys: Sequence[str] = GROUP) -> DataFrame:
     """Partial correlation of x and y given any number of controls
     z1..zk, its p-value (df n-2-k), and R^2 of y ~ x + z1..zk, for every
-    group.  The covariance matrix is aggregated in Spark; the k+2 square
-    inversion runs per group in ``applyInPandas`` on that one moment row."""
+    group.  The covariance matrix is aggregated in Spark (one row per group);
+    the (k+2)-square inversions run batched in ``mapInPandas`` over those
+    moment rows -- no extra shuffle, no raw observation in Python."""
     keys = list(keys)
     cols = ["x", "y"] + [f"z{i + 1}" for i in range(k)]
     mom = covariance_moments(obs, keys, cols)
@@ -198,32 +200,38 @@ def multi_control(obs: DataFrame, k: int, keys: Sequence[str] = GROUP) -> DataFr
         T.StructField("r_squared", T.DoubleType())])
 
     def solve(pdf):
+        """Batched over all groups of an Arrow batch: stack the correlation
+        matrices and invert them at once."""
         import numpy as np
         import pandas as pd
-        rows = []
         d = len(cols)
-        for rec in pdf.to_dict("records"):
-            cov = np.empty((d, d))
-            for i, a in enumerate(cols):
-                for j, b in enumerate(cols):
-                    key = f"c__{a}__{b}" if i <= j else f"c__{b}__{a}"
-                    cov[i, j] = np.nan if rec[key] is None else rec[key]
-            pr = r2 = None
-            if np.all(np.isfinite(cov)):
-                sd = np.sqrt(np.diag(cov))
-                if np.all(sd > 0):
-                    corr = cov / np.outer(sd, sd)
-                    try:
-                        p = np.linalg.inv(corr)
-                        pr = float(-p[0, 1] / math.sqrt(p[0, 0] * p[1, 1]))
-                        r2 = float(1 - 1 / p[1, 1])
-                    except np.linalg.LinAlgError:
-                        pass
-            rows.append({**{kk: rec[kk] for kk in keys}, "n": rec["n"], "partial_r": pr,
-                         "r_squared": r2})
-        return pd.DataFrame(rows, columns=[f.name for f in out_schema.fields])
-
-    res = mom.groupBy(*keys).applyInPandas(solve, out_schema)
+        m = len(pdf)
+        cov = np.full((m, d, d), np.nan)
+        for i, a in enumerate(cols):
+            for j, b in enumerate(cols):
+                key = f"c__{a}__{b}" if i <= j else f"c__{b}__{a}"
+                cov[:, i, j] = pd.to_numeric(pdf[key], errors="coerce").to_numpy(dtype=float)
+        sd = np.sqrt(np.einsum("kii->ki", cov))
+        ok = np.all(np.isfinite(cov), axis=(1, 2)) & np.all(sd > 0, axis=1)
+        pr = np.full(m, np.nan)
+        r2 = np.full(m, np.nan)
+        if ok.any():
+            c = cov[ok] / (sd[ok][:, :, None] * sd[ok][:, None, :])
+            det = np.linalg.det(c)
+            good = np.abs(det) > 1e-12
+            p = np.full_like(c, np.nan)
+            if good.any():
+                p[good] = np.linalg.inv(c[good])
+            pr[ok] = -p[:, 0, 1] / np.sqrt(p[:, 0, 0] * p[:, 1, 1])
+            r2[ok] = 1 - 1 / p[:, 1, 1]
+        out = pdf[keys + ["n"]].copy()
+        out["partial_r"] = np.where(np.isfinite(pr), pr, np.nan)
+        out["r_squared"] = np.where(np.isfinite(r2), r2, np.nan)
+        return out.astype({"partial_r": "float64", "r_squared": "float64"})
+
+    res = mom.mapInPandas(lambda it: (solve(pdf) for pdf in it), out_schema)
+    res = res.select(*keys, "n", st.finite(F.col("partial_r")).alias("partial_r"),
+                     st.finite(F.col("r_squared")).alias("r_squared"))
     return res.select("*", st.r_pvalue(F.col("partial_r"), F.col("n") - 2 - k).alias("partial_p"))
 
 
