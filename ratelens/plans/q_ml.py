@@ -261,3 +261,66 @@ def j12(spark: SparkSession, sf: str) -> DataFrame:
     res = correlation_batch(star)
     return finish(rg.lag_lookup(models, res).select("country_code", "sector_id", "rate_basis",
                                                     "target_variable", "lag"))
+
+
+# ------------------------------------------------------------ models (rows-only)
+from ..constants import CANDIDATE_CONTROLS  # noqa: E402
+from ..operators import models as md  # noqa: E402
+
+LASSO_FEATURES = ["x"] + [f"z{i + 1}" for i in range(len(CANDIDATE_CONTROLS))]
+
+
+def _lasso(spark: SparkSession, sf: str) -> DataFrame:
+    """Lasso per pair (nominal rate vs equity valuation) over the rate and all
+    candidate controls, at the lag chosen by the batch result (J12)."""
+    star = Star(spark, sf)
+    leads = pn.with_leads(star.panel)
+    obs = rg.model_observations(leads, CANDIDATE_CONTROLS, lags=(0, 1, 2, 3),
+                                bases=["nominal"], targets=["equity_valuation"])
+    models = star.pairs.select("country_code", "sector_id", F.lit("nominal").alias("rate_basis"),
+                               F.lit("equity_valuation").alias("target_variable"))
+    lags = rg.lag_lookup(models, correlation_batch(star))
+    obs = obs.join(lags, MK, "left_semi")
+    fit = md.lasso_cv(obs, MK, LASSO_FEATURES, "y")
+    names = F.create_map(*[x for i, f in enumerate(LASSO_FEATURES) for x in
+                           (F.lit(f), F.lit("policy_rate" if i == 0 else CANDIDATE_CONTROLS[i - 1]))])
+    return fit.withColumn("feature", names[F.col("feature")])
+
+
+@register("g17_lasso_cv")
+def g17(spark: SparkSession, sf: str) -> DataFrame:
+    return finish(_lasso(spark, sf))
+
+
+@register("q12_lasso_controls")
+def q12(spark: SparkSession, sf: str) -> DataFrame:
+    """Controls that survive the Lasso (non-zero standardised coefficient)."""
+    f = _lasso(spark, sf)
+    return finish(f.where(F.abs("coef") > 0).select(*MK, "feature", "coef"))
+
+
+def _classifier(spark: SparkSession, sf: str):
+    t = training_rows(spark, sf)
+    key = F.concat_ws("|", "country_code", F.date_format("period", "yyyy-MM-dd"))
+    t = t.withColumn("is_train", split_flag(key))
+    feats = ["pct_contractionary", "pct_expansionary", "avg_sentiment"]
+    return md.direction_classifier(t.where("is_train"), t.where(~F.col("is_train")), feats,
+                                   "contractionary_actual")
+
+
+@register("g18_direction_classifier")
+def g18(spark: SparkSession, sf: str) -> DataFrame:
+    pred = _classifier(spark, sf)
+    if pred is None:
+        return finish(training_rows(spark, sf).limit(0))
+    return finish(pred.select("country_code", "period", "contractionary_actual", "prediction"))
+
+
+@register("q13_direction_classifier")
+def q13(spark: SparkSession, sf: str) -> DataFrame:
+    """Stance features -> next-period rate rise: logistic model on the train
+    split, classification report on the held-out split."""
+    pred = _classifier(spark, sf)
+    if pred is None:
+        return finish(training_rows(spark, sf).limit(0))
+    return finish(rg.classification_report(pred, "contractionary_actual", "prediction"))
