@@ -30,8 +30,10 @@ SDMX_SCHEMA = T.StructType([T.StructField("TIME_PERIOD", T.StringType()),
 def read_sdmx_csv(spark: SparkSession, path: str, country_code: str | Column) -> DataFrame:
     """SDMX CSV: keep TIME_PERIOD / OBS_VALUE, add the country, drop null
     values.  Extra columns of the file are ignored (header-matched)."""
-    raw = (spark.read.option("header", True).option("enforceSchema", False)
-           .schema(SDMX_SCHEMA).csv(path))
+    # columns are located by header name (files carry many dimension columns);
+    # without inferSchema every column is read as a string and cast here
+    raw = spark.read.option("header", True).option("inferSchema", False).csv(path) \
+        .select(*[f.name for f in SDMX_SCHEMA.fields])
     cc = F.lit(country_code) if isinstance(country_code, str) else country_code
     return (raw.select(cc.alias("country_code"), _month_from_key(F.col("TIME_PERIOD")).alias("month"),
                        F.col("OBS_VALUE").try_cast("double").alias("value"))
@@ -116,7 +118,7 @@ def read_rss_items(spark: SparkSession, path: str, source: str, category: str) -
     """RSS / Atom items -> raw article rows: items without a link are
     dropped, ``published`` falls back to ``updated``, ``summary`` to
     ``description`` (empty strings count as missing), titles trimmed."""
-    items = spark.read.format("xml").option("rowTag", "item").load(path)
+    items = spark.read.format("xml").option("rowTag", "item").option("inferSchema", False).load(path)
     have = set(items.columns)
 
     def col(name: str) -> Column:
