@@ -32,8 +32,7 @@ def read_sdmx_csv(spark: SparkSession, path: str, country_code: str | Column) ->
     values.  Extra columns of the file are ignored (header-matched)."""
     # columns are located by header name (files carry many dimension columns);
     # without inferSchema every column is read as a string and cast here
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path) \
-        .select(*[f.name for f in SDMX_SCHEMA.fields])
+    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
     cc = F.lit(country_code) if isinstance(country_code, str) else country_code
     return (raw.select(cc.alias("country_code"), _month_from_key(F.col("TIME_PERIOD")).alias("month"),
                        F.col("OBS_VALUE").try_cast("double").alias("value"))
@@ -42,17 +41,21 @@ def read_sdmx_csv(spark: SparkSession, path: str, country_code: str | Column) ->
 
 # S04 -------------------------------------------------------------------------
 WDI_ROWS = T.ArrayType(T.StructType([T.StructField("date", T.StringType()),
-                                     T.StructField("value", T.DoubleType())]))
+                                     T.StructField("value", T.DoubleType()),
+                                     T.StructField("countryiso3code", T.StringType())]))
 
 
-def read_wdi_json(spark: SparkSession, path: str, country_code: str) -> DataFrame:
-    """Annual indicator JSON ``[meta, [{date, value}, ...]]``: the second
-    element exploded, null values dropped -> (country_code, year, value)."""
+def read_wdi_json(spark: SparkSession, path: str, country_code: str | None = None) -> DataFrame:
+    """Annual indicator JSON ``[meta, [{date, value}, ...]]`` (one document
+    per file): the second element exploded, null values dropped ->
+    (country_code, year, value).  The country comes from the argument or,
+    when omitted, from each row's country code."""
     text = spark.read.option("wholetext", True).text(path)
     rows = F.from_json(F.get_json_object("value", "$[1]"), WDI_ROWS)
+    cc = F.lit(country_code) if country_code else F.col("r.countryiso3code")
     return (text.select(F.explode_outer(rows).alias("r"))
             .where(F.col("r.value").isNotNull())
-            .select(F.lit(country_code).alias("country_code"),
+            .select(cc.alias("country_code"),
                     F.col("r.date").try_cast("int").alias("year"), F.col("r.value").alias("value")))
 
 
