@@ -35,25 +35,27 @@ def macro_wide(macro_fact: DataFrame, indicators: Sequence[str] = COUNTRY_INDICA
             .agg(F.max("value_change")))  # one row per key: record_id is unique
 
 
-def market_changes(price_fact: DataFrame, valuation_fact: DataFrame) -> tuple[DataFrame, DataFrame]:
-    price = price_fact.select("sector_id", "month",
-                              F.col("price_change").alias(TARGETS["commodity_price"]))
-    val = valuation_fact.select("sector_id", "month",
-                                F.col("valuation_change").alias(TARGETS["equity_valuation"]))
-    return price, val
+def combine_market(price_fact: DataFrame, valuation_fact: DataFrame) -> DataFrame:
+    """Stored price and valuation facts -> one (sector, month) frame with
+    both changes (full outer join on the key)."""
+    return (price_fact.select("sector_id", "month", "price_change")
+            .join(valuation_fact.select("sector_id", "month", "valuation_change"),
+                  ["sector_id", "month"], "full"))
 
 
-def build_panel(wide: DataFrame, price_fact: DataFrame, valuation_fact: DataFrame,
-                pairs: DataFrame) -> DataFrame:
+def build_panel(wide: DataFrame, market: DataFrame, pairs: DataFrame) -> DataFrame:
     """J04 + J03 + W04: one panel for every configured pair.
 
-    pairs ⋈ wide on country (fan-out), ⟕ price and ⟕ valuation on
-    (sector, month); ``time_index`` numbers the pair's months 0..n-1.
+    pairs ⋈ wide on country (fan-out), ⟕ market changes on (sector, month);
+    ``time_index`` numbers the pair's months 0..n-1.  ``market`` holds both
+    targets per (sector, month) (``series.market_changes``) -- or use
+    ``combine_market`` for separately stored price / valuation facts.
     """
-    price, val = market_changes(price_fact, valuation_fact)
+    mk = market.select("sector_id", "month",
+                       F.col("price_change").alias(TARGETS["commodity_price"]),
+                       F.col("valuation_change").alias(TARGETS["equity_valuation"]))
     panel = (pairs.select(*PAIR).join(wide, "country_code")
-             .join(price, ["sector_id", "month"], "left")
-             .join(val, ["sector_id", "month"], "left"))
+             .join(mk, ["sector_id", "month"], "left"))
     w = Window.partitionBy(*PAIR).orderBy("month")
     return panel.withColumn("time_index", (F.row_number().over(w) - 1).cast("double"))
 

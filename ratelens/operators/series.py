@@ -76,6 +76,31 @@ def union_series(*frames: DataFrame) -> DataFrame:
     return out
 
 
+def with_real_rate(levels: DataFrame, nominal: str = RATE_INDICATORS["nominal"],
+                   inflation: str = "cpi_inflation",
+                   out: str = RATE_INDICATORS["real"]) -> DataFrame:
+    """J09 in a single pass over the levels: the two inputs are found with a
+    window over (country, month), and the nominal row emits the derived row
+    next to itself.  Unlike ``derive_real_rate`` + union, the (expensive)
+    levels plan is consumed once, so it is computed once."""
+    ind, val = F.col("indicator_id"), F.col("value")
+    w = Window.partitionBy("country_code", "month")
+    n = F.max(F.when(ind == nominal, val)).over(w)
+    i = F.max(F.when(ind == inflation, val)).over(w)
+    cols = ["country_code", "month", "indicator_id", "value", "is_interpolated"]
+    src = levels if "is_interpolated" in levels.columns else levels.withColumn(
+        "is_interpolated", F.lit(False))
+    both = src.select(*cols, n.alias("_n"), i.alias("_i"))
+    emit_real = ((ind == nominal) & F.col("country_code").isNotNull()
+                 & F.col("_n").isNotNull() & F.col("_i").isNotNull())
+    own = F.struct(*[F.col(c) for c in cols])
+    real = F.struct(F.col("country_code"), F.col("month"), F.lit(out).alias("indicator_id"),
+                    (F.col("_n") - F.col("_i")).alias("value"), F.lit(False).alias("is_interpolated"))
+    return (both.select(F.explode(F.array_compact(F.array(own, F.when(emit_real, real))))
+                        .alias("r"))
+            .select(*[F.col(f"r.{c}").alias(c) for c in cols]))
+
+
 def macro_fact(levels: DataFrame) -> DataFrame:
     """Q07 core: landed macro levels -> fact_macro_indicator rows.
 
@@ -83,8 +108,7 @@ def macro_fact(levels: DataFrame) -> DataFrame:
     Adds the derived real rate (J09), first differences per series (W01),
     ``date_key`` and ``record_id`` (F13).
     """
-    real = derive_real_rate(levels)
-    allrows = union_series(levels, real)
+    allrows = union_series(with_real_rate(levels))
     changed = with_change(allrows, ["country_code", "indicator_id"])
     dk = date_key_month(F.col("month"))
     return changed.select(
@@ -112,6 +136,18 @@ def equity_fact(levels: DataFrame, instrument_type: str = "sector_etf") -> DataF
                     "valuation_index", "valuation_change"))
 
 
+def market_changes(levels: DataFrame) -> DataFrame:
+    """Both market targets from one (sector, month) frame holding
+    ``price_index`` and ``valuation_index``: percent changes over the same
+    window, so one scan / one exchange serves both."""
+    before = _w(["sector_id"]).rowsBetween(Window.unboundedPreceding, -1)
+    out = levels
+    for v, o in (("price_index", "price_change"), ("valuation_index", "valuation_change")):
+        prev = F.last(F.col(v), ignorenulls=True).over(before)  # previous row of that series
+        out = out.withColumn(o, (F.try_divide(F.col(v), prev) - 1) * 100)
+    return out
+
+
 def last_per_month(history: DataFrame, keys: Sequence[str], ts: str, value: str,
                    tiebreak: str | None = None, out: str | None = None) -> DataFrame:
     """One value per (keys, month): the last non-null observation of

@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import panel as pn
 from ..operators import queue as qu
 from ..schema import empty
 from ..sinks import tables as sink
@@ -107,8 +108,7 @@ def l05(spark: SparkSession, sf: str) -> DataFrame:
     val = sink.write_snapshot(star.fact_equity_valuation, f"{root}/fact_equity_valuation")
     landed = Star(spark, sf)
     landed.__dict__["fact_macro_indicator"] = spark.read.parquet(macro)
-    landed.__dict__["fact_commodity_price"] = spark.read.parquet(price)
-    landed.__dict__["fact_equity_valuation"] = spark.read.parquet(val)
+    landed.__dict__["market"] = pn.combine_market(spark.read.parquet(price), spark.read.parquet(val))
     from ..operators import correlate as co
     res = co.result_rows(correlation_batch(landed), "refresh", "2024-03-03 08:00:00")
     sink.append_results(res, f"{root}/fact_correlation_result")

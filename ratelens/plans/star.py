@@ -10,6 +10,7 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import panel as pn
 from ..operators import series as se
@@ -80,9 +81,16 @@ class Star:
     # panel
     @cached_property
     def macro_wide(self) -> DataFrame:
-        return pn.macro_wide(self.fact_macro_indicator)
+        # the panel only uses country series: filtering the levels first lets
+        # Catalyst drop the global-series scan (windows partition by country)
+        country = self.macro_levels.where(F.col("country_code").isNotNull())
+        return pn.macro_wide(se.macro_fact(country))
+
+    @cached_property
+    def market(self) -> DataFrame:
+        """Both market targets per (sector, month) from one aggregate."""
+        return se.market_changes(ts.market_levels(self.spark, self.sf))
 
     @cached_property
     def panel(self) -> DataFrame:
-        return pn.build_panel(self.macro_wide, self.fact_commodity_price,
-                              self.fact_equity_valuation, self.pairs)
+        return pn.build_panel(self.macro_wide, self.market, self.pairs)

@@ -208,6 +208,11 @@ def _sector_month(spark: SparkSession, sf: str) -> DataFrame:
                  F.sum("rev").cast("double").alias("valuation_index")))
 
 
+def market_levels(spark: SparkSession, sf: str) -> DataFrame:
+    """(sector_id, month, price_index, valuation_index) from one aggregate."""
+    return _sector_month(spark, sf)
+
+
 def commodity_levels(spark: SparkSession, sf: str) -> DataFrame:
     """(sector_id, month, price_index) -- landed monthly spot prices."""
     return _sector_month(spark, sf).select("sector_id", "month", "price_index") \
