@@ -138,8 +138,8 @@ SELECT lower(p.p_type) AS sector_id, {month('l.l_shipdate')} AS month,
        {ratio(f"sum(CASE WHEN l.l_quantity IS NOT NULL THEN {cents('l.l_extendedprice')} END)",
               'sum(CASE WHEN l.l_extendedprice IS NOT NULL THEN CAST(round(l.l_quantity) AS BIGINT) END) * 100')}
          AS price_index,
-       CAST(sum(CAST(l.l_extendedprice AS DECIMAL(15,2))
-                * (1 - CAST(l.l_discount AS DECIMAL(15,2)))) AS DOUBLE) AS valuation_index
+       {ratio(f"sum({cents('l.l_extendedprice')} * (100 - {cents('l.l_discount')}))", '10000')}
+         AS valuation_index
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
 GROUP BY 1, 2""")
 

@@ -193,8 +193,9 @@ def annual_levels(spark: SparkSession, sf: str) -> DataFrame:
 def _sector_month(spark: SparkSession, sf: str) -> DataFrame:
     li = read(spark, sf, "lineitem", "l_partkey", "l_shipdate", "l_extendedprice",
               "l_quantity", "l_discount")
-    revenue = (F.col("l_extendedprice").cast("decimal(15,2)")
-               * (F.lit(1) - F.col("l_discount").cast("decimal(15,2)")))
+    # revenue in exact 1e-4 units: cents x (100 - discount cents); BIGINT sums
+    # stay on the fast fixed-width path (DECIMAL(38) would use BigDecimal)
+    revenue = cents(F.col("l_extendedprice")) * (F.lit(100) - cents(F.col("l_discount")))
     per_part = li.groupBy("l_partkey", month_of(F.col("l_shipdate")).alias("month")).agg(
         F.sum(F.when(F.col("l_quantity").isNotNull(), cents(F.col("l_extendedprice"))))
         .alias("s_ep"),
@@ -205,7 +206,7 @@ def _sector_month(spark: SparkSession, sf: str) -> DataFrame:
     return (per_part.join(part, per_part.l_partkey == part.p_partkey)
             .groupBy(F.lower("p_type").alias("sector_id"), "month")
             .agg(ratio(F.sum("s_ep"), F.sum("s_qty") * 100).alias("price_index"),
-                 F.sum("rev").cast("double").alias("valuation_index")))
+                 ratio(F.sum("rev"), F.lit(10000)).alias("valuation_index")))
 
 
 def market_levels(spark: SparkSession, sf: str) -> DataFrame:
