@@ -94,16 +94,24 @@ def lexicon_tagger(df: DataFrame, text_col: str, sectors: Sequence[str],
     groups = lexicon_groups(sectors)
     names = list(groups)
     lex = F.broadcast(lexicon_table(df.sparkSession, groups))
-    # country-code items ride along in the exploded array as "#XX", so the
-    # text-level regex runs once per document inside the generator input
-    items = F.concat(tokens(F.col(text_col)),
-                     F.transform(country_tokens(F.col(text_col)),
-                                 lambda x: F.concat(F.lit("#"), x)))
-    tok = df.select(F.col(id_col).alias("_id"), F.explode_outer(items).alias("_tok"))
+    # Each document explodes into: one sentinel item (keeps documents without
+    # any hit), its lexicon candidates, and its country codes as "#XX" items
+    # (the text-level regex runs once per document in the generator input).
+    # After the broadcast probe only sentinels, hits and codes are kept, so
+    # the aggregate sees a few rows per document, not every token.
+    sentinel = "\u0001"
+    none = F.array().cast("array<string>")
+    items = F.concat(F.array(F.lit(sentinel)), F.coalesce(tokens(F.col(text_col)), none),
+                     F.coalesce(F.transform(country_tokens(F.col(text_col)),
+                                            lambda x: F.concat(F.lit("#"), x)), none))
+    n_words = F.regexp_count(F.lower(F.col(text_col)), F.lit("[a-z]{2,}"))
+    tok = df.select(F.col(id_col).alias("_id"), F.coalesce(n_words, F.lit(0)).alias("_nw"),
+                    F.explode(items).alias("_tok"))
     hits = tok.join(lex, tok["_tok"] == lex["word"], "left")
     is_cc = F.col("_tok").startswith("#")
+    hits = hits.where(F.col("word").isNotNull() | is_cc | (F.col("_tok") == sentinel))
     counts = hits.groupBy("_id").agg(
-        F.count(F.when(~is_cc & (F.length("_tok") >= 2), 1)).alias("_n_words"),
+        F.max("_nw").alias("_n_words"),
         F.array_sort(F.collect_set(F.when(is_cc, F.substring("_tok", 2, 2)))).alias("_countries"),
         *[F.coalesce(F.sum(F.col(f"`{n}`")), F.lit(0)).alias(n) for n in names])
     c = F.struct(*[F.col(f"`{n}`") for n in names])
