@@ -113,9 +113,8 @@ def source_counts(catalogue: DataFrame, articles: DataFrame, is_new: Column) ->
 def feed_coverage(catalogue: DataFrame, articles: DataFrame, days: int = 7) -> DataFrame:
     """Share of catalogue sources with at least one item in the last
     ``days`` days (relative to the newest item)."""
-    newest = articles.agg(F.max(F.to_date("published")).alias("_newest"))
-    recent = (articles.select("source_id", F.to_date("published").alias("d"))
-              .join(F.broadcast(newest), F.col("d") > F.date_sub("_newest", days))
+    newest = articles.agg(F.max(F.to_date("published"))).scalar()  # scalar subquery
+    recent = (articles.where(F.to_date("published") > F.date_sub(newest, days))
               .select("source_id").distinct().withColumn("_hit", F.lit(1)))
     cat = catalogue.select("source_id").join(recent, "source_id", "left")
     return cat.agg(F.count(F.lit(1)).alias("n_sources"),
@@ -129,7 +128,6 @@ def stale_streaks(daily: DataFrame, source: str = "source_id", day: str = "day",
     """Consecutive empty fetches per source (gaps-and-islands: an island
     id is the running count of non-empty fetches).  Returns per source the
     longest streak, the current streak and ``stale`` (current >= threshold)."""
-    w = Window.partitionBy(source).orderBy(day)
     run = (Window.partitionBy(source).orderBy(day)
            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     d = daily.withColumn("_island", F.sum(F.when(F.col(entries) > 0, 1).otherwise(0)).over(run))
@@ -137,7 +135,6 @@ def stale_streaks(daily: DataFrame, source: str = "source_id", day: str = "day",
     d = d.withColumn("streak", F.sum(F.when(F.col(entries) > 0, 0).otherwise(1)).over(
         wi.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     last = F.max_by("streak", day)
-    _ = w
     return d.groupBy(source).agg(F.max("streak").alias("longest_streak"),
                                  last.alias("current_streak")) \
         .withColumn("stale", F.col("current_streak") >= threshold)

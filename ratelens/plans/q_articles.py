@@ -508,9 +508,8 @@ def w11(spark: SparkSession, sf: str) -> DataFrame:
     """Stale-feed detection: per catalogue source and day, the number of
     strongly positive items (a 'productive fetch'); streaks of empty days."""
     f = _star(spark, sf).fact_article.withColumn("day", F.to_date("published"))
-    bounds = f.agg(F.min("day").alias("a"), F.max("day").alias("b"))
-    grid = (catalogue(spark, sf).select("source_id").join(F.broadcast(bounds))
-            .select("source_id", F.explode(F.sequence("a", "b")).alias("day")))
+    first, last = f.agg(F.min("day")).scalar(), f.agg(F.max("day")).scalar()
+    grid = catalogue(spark, sf).select("source_id", F.explode(F.sequence(first, last)).alias("day"))
     counts = (f.where(F.col("sentiment_score") >= 0.3).groupBy("source_id", "day")
               .agg(F.count(F.lit(1)).alias("entries")))
     daily = grid.join(counts, ["source_id", "day"], "left").fillna(0, ["entries"])

@@ -11,7 +11,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import conform
@@ -23,11 +23,17 @@ def unique_suffix() -> str:
 
 def dedupe_on_key(incoming: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """Keep one row per key, deterministically: the last by ``order`` (e.g. an
-    arrival timestamp), then by the full row as a total tiebreak."""
-    tiebreak = [F.col(c).desc() for c in order] + [
-        F.col(c).desc_nulls_last() for c in incoming.columns if c not in keys and c not in order]
-    w = Window.partitionBy(*keys).orderBy(*tiebreak)
-    return incoming.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") == 1).drop("_rk")
+    arrival timestamp), then by the full row as a total tiebreak.  A
+    ``max_by`` aggregate, so duplicates of a hot key are combined map-side
+    instead of being sorted in one task."""
+    rest = [c for c in incoming.columns if c not in keys]
+    if not rest:
+        return incoming.dropDuplicates(list(keys))
+    tiebreak = [c for c in order] + [c for c in rest if c not in order]
+    pick = F.max_by(F.struct(*[F.col(c) for c in rest]),
+                    F.struct(*[F.col(c) for c in tiebreak]))
+    return incoming.groupBy(*keys).agg(pick.alias("_v")).select(
+        *keys, *[F.col(f"_v.{c}").alias(c) for c in rest]).select(*incoming.columns)
 
 
 def upsert(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
@@ -90,10 +96,6 @@ def write_month_partitioned(articles: DataFrame, path: str, ts: str = "published
 
 def retention_keep(df: DataFrame, ts: str, days: int, now: str | None = None) -> DataFrame:
     """Rows within ``days`` of ``now`` (default: the newest ``ts`` in the
-    data, computed as a one-row aggregate)."""
-    if now is not None:
-        cutoff = F.to_timestamp(F.lit(now)) - F.expr(f"INTERVAL {days} DAYS")
-        return df.where(F.col(ts) >= cutoff)
-    newest = df.agg(F.max(ts).alias("_newest"))
-    return (df.join(F.broadcast(newest), F.col(ts) >= F.col("_newest") - F.expr(f"INTERVAL {days} DAYS"))
-            .drop("_newest"))
+    data, as a scalar subquery -- evaluated once, no join)."""
+    newest = F.to_timestamp(F.lit(now)) if now is not None else df.agg(F.max(ts)).scalar()
+    return df.where(F.col(ts) >= newest - F.expr(f"INTERVAL {days} DAYS"))
