@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..constants import SIGNIFICANCE, STRENGTH_BANDS, STRENGTH_TOP
-from ..sinks.tables import upsert
 
 RESULT_KEYS = ["country_code", "sector_id", "rate_basis", "target_variable"]
 
@@ -122,41 +121,46 @@ def with_cache_key(results: DataFrame) -> DataFrame:
     return results.withColumn("cache_key", cache_key(cols))
 
 
-def generate_with_plugin(misses: DataFrame, generator: Callable) -> DataFrame:
+def generate_with_plugin(rows: DataFrame, generator: Callable) -> DataFrame:
     """X04 plug-in path: ``generator(pdf) -> pandas.Series`` of texts, run per
-    Arrow batch on the cache misses only.  A failing batch falls back to the
-    rule text already present in ``interpretation_text``."""
-    schema = T.StructType(misses.schema.fields + [T.StructField("generated", T.StringType())])
+    Arrow batch and called only for the batch's cache misses (rows with
+    ``source == 'generated'``).  A failing call falls back to the rule text
+    already present in ``interpretation_text``."""
+    schema = rows.schema
 
     def run(batches):
         for pdf in batches:
-            try:
-                texts = generator(pdf)
-            except Exception:  # noqa: BLE001 - plug-in failure -> rule text
-                texts = pdf["interpretation_text"]
-            yield pdf.assign(generated=list(texts))
-    return (misses.mapInPandas(run, schema)
-            .withColumn("interpretation_text", F.coalesce("generated", "interpretation_text"))
-            .drop("generated"))
+            miss = (pdf["source"] == "generated").to_numpy()
+            if miss.any():
+                try:
+                    texts = list(generator(pdf[miss]))
+                    pdf.loc[miss, "interpretation_text"] = texts
+                except Exception:  # noqa: BLE001 - plug-in failure -> rule text
+                    pass
+            yield pdf
+    return rows.mapInPandas(run, schema)
 
 
 def lookup_or_generate(results: DataFrame, cache: DataFrame, dim_country: DataFrame,
                        dim_sector: DataFrame, generator: Callable | None = None,
                        model: str = "rules") -> tuple[DataFrame, DataFrame]:
-    """J11 + X04: hits take the cached text; misses are generated (rule text
-    by default, or the plug-in) and upserted into the cache.  Returns
-    (answers, new cache)."""
+    """J11 + X04 in one pass: results left-joined to the cache on the key;
+    hits take the cached text, misses the generated one (rule text by
+    default, or the plug-in, called on misses only).  Returns (answers, new
+    cache rows to upsert)."""
     keyed = with_cache_key(results)
-    hit = keyed.join(cache.select("cache_key", "interpretation_text"), "cache_key", "inner") \
-        .withColumn("source", F.lit("cache"))
-    miss = keyed.join(cache.select("cache_key"), "cache_key", "left_anti")
-    gen = rule_text(with_labels(miss, dim_country, dim_sector))
+    cached = cache.select("cache_key", F.col("interpretation_text").alias("_cached"))
+    j = with_labels(keyed.join(cached, "cache_key", "left"), dim_country, dim_sector)
+    j = rule_text(j)
+    hit = F.col("_cached").isNotNull()
+    answers = (j.withColumn("source", F.when(hit, F.lit("cache")).otherwise(F.lit("generated")))
+               .withColumn("interpretation_text", F.coalesce("_cached", "interpretation_text"))
+               .drop("_cached"))
     if generator is not None:
-        gen = generate_with_plugin(gen, generator)
-    gen = gen.withColumn("source", F.lit("generated")).select(*hit.columns)
-    answers = hit.unionByName(gen)
-    new_rows = gen.select("cache_key", "country_code", "sector_id", "rate_basis", "target_variable",
-                          F.col("control_set").alias("control_used"), "interpretation_text",
-                          F.lit(model).alias("model"), F.lit("generated").alias("source"),
-                          F.current_timestamp().alias("created_at"))
-    return answers, upsert(cache, new_rows.select(*cache.columns), ["cache_key"])
+        answers = generate_with_plugin(answers, generator)
+    new_rows = answers.where(F.col("source") == "generated").select(
+        "cache_key", "country_code", "sector_id", "rate_basis", "target_variable",
+        F.col("control_set").alias("control_used"), "interpretation_text",
+        F.lit(model).alias("model"), F.lit("generated").alias("source"),
+        F.current_timestamp().alias("created_at"))
+    return answers, new_rows.select(*cache.columns)

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from ..operators import correlate as co
 from ..operators import interpret as it
 from ..schema import empty
+from ..session import scratch_path
+from ..sinks import tables as sink
 from . import oracle as O
 from .correlation import correlation_batch
 from .q_correlation import RUN_A, RUN_B, _runs_sql
@@ -120,13 +122,19 @@ def f21(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _answers(spark: SparkSession, sf: str, generator=None):
-    """Cache filled from run A (control pinned), then run B (search) looked up."""
+    """Run A (control pinned) is explained first and its texts upserted into
+    the interpretation cache table (a snapshot under the shared folder); run
+    B (control search) is then looked up against that table."""
     star = Star(spark, sf)
     cols = [*KEYS, "lag", "control_set", "pearson_r", "partial_r", "p_value", "r_squared"]
     a = correlation_batch(star, controls=["cpi_inflation"]).select(*cols)
     b = correlation_batch(star).select(*cols)
     cache0 = empty(spark, "fact_interpretation")
-    _, cache = it.lookup_or_generate(a, cache0, star.dim_country, star.dim_sector)
+    _, new_rows = it.lookup_or_generate(a, cache0, star.dim_country, star.dim_sector)
+    root = scratch_path(spark, f"interpretation-cache-{sink.unique_suffix()}")
+    cache_path = sink.write_snapshot(sink.upsert(cache0, new_rows, ["cache_key"]), root,
+                                     "fact_interpretation")
+    cache = spark.read.parquet(cache_path)
     answers, _ = it.lookup_or_generate(b, cache, star.dim_country, star.dim_sector,
                                        generator=generator)
     return answers
