@@ -256,7 +256,7 @@ def correlate_sql(leads: str, controls: list[str] | None = None,
     return f"""
 , obs AS (
   SELECT l.country_code, l.sector_id, l.panel_start, l.panel_end, c.rate_basis,
-         c.target_variable, c.lag, c.control, c.control_pos,
+         c.target_variable, CAST(c.lag AS BIGINT) AS lag, c.control, c.control_pos,
          {x} AS x, {y} AS y, {z} AS z, l.time_index AS t
   FROM {leads} l, ({_cfg_values(bases, targets, lags, use)}) c
   WHERE l.panel_n >= {min_obs}

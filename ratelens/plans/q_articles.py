@@ -276,8 +276,8 @@ SELECT {O.cc('user_id % 25')} AS country_code, CAST(ts AS DATE) AS period,
 FROM events GROUP BY 1, 2""")
 O.cte("s_labels", ["s_daily_rate"], """
 SELECT country_code, CAST(period - INTERVAL 1 DAY AS DATE) AS period,
-       CASE WHEN value - lag(value) OVER (PARTITION BY country_code ORDER BY period) > 0 THEN 1
-            ELSE 0 END AS contractionary_actual
+       CAST(CASE WHEN value - lag(value) OVER (PARTITION BY country_code ORDER BY period) > 0
+            THEN 1 ELSE 0 END AS BIGINT) AS contractionary_actual
 FROM s_daily_rate""")
 O.cte("s_train", ["s_stance", "s_labels"], """
 SELECT s.*, l.contractionary_actual FROM s_stance s JOIN s_labels l
@@ -424,7 +424,7 @@ def j06(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("u02_ordered_union", lambda: O.with_ctes("""
-SELECT article_id, 0 AS prio FROM s_backlog
+SELECT article_id, CAST(0 AS BIGINT) AS prio FROM s_backlog
 UNION ALL
 SELECT article_id, 1 FROM s_new WHERE source_url NOT IN (SELECT source_url FROM s_backlog)""",
     "s_new", "s_backlog"))
@@ -502,7 +502,8 @@ LEFT JOIN (SELECT source_id, day, count(*) AS entries FROM s_articles
             ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS island FROM s_fetch_grid),
 st AS (SELECT *, sum(CASE WHEN entries > 0 THEN 0 ELSE 1 END) OVER (PARTITION BY source_id, island
             ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS streak FROM isl)
-SELECT source_id, max(streak) AS longest_streak, arg_max(streak, day) AS current_streak,
+SELECT source_id, CAST(max(streak) AS BIGINT) AS longest_streak,
+       CAST(arg_max(streak, day) AS BIGINT) AS current_streak,
        arg_max(streak, day) >= 5 AS stale FROM st GROUP BY 1""", "s_fetch_grid"))
 def w11(spark: SparkSession, sf: str) -> DataFrame:
     """Stale-feed detection: per catalogue source and day, the number of

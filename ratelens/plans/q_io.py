@@ -40,7 +40,7 @@ def l01(spark: SparkSession, sf: str) -> DataFrame:
     return finish(spark.read.parquet(out).select("url_hash", "article_id"))
 
 
-@register("l02_file_discovery", "SELECT 2 AS runs, count(*) AS n_rows FROM events")
+@register("l02_file_discovery", "SELECT CAST(2 AS BIGINT) AS runs, count(*) AS n_rows FROM events")
 def l02(spark: SparkSession, sf: str) -> DataFrame:
     """Two scheduled runs over the same landed folder and checkpoint: the
     second discovers no new file, so every event lands exactly once."""

@@ -42,7 +42,7 @@ _cfg = ", ".join(f"('{b}', {bi + 1}, '{t}', {ti + 1})" for bi, b in enumerate(RA
                  for ti, t in enumerate(TARGET_NAMES))
 O.cte("s_mobs", ["s_leads"], f"""
 SELECT * FROM (
-  SELECT l.country_code, l.sector_id, l.month, c.rate_basis, c.target_variable, 0 AS lag,
+  SELECT l.country_code, l.sector_id, l.month, c.rate_basis, c.target_variable, CAST(0 AS BIGINT) AS lag,
          CASE c.bi WHEN 1 THEN l.policy_rate WHEN 2 THEN l.real_interest_rate END AS x,
          CASE c.ti WHEN 1 THEN l.{TARGETS['equity_valuation']} WHEN 2 THEN l.{TARGETS['commodity_price']} END AS y,
          l.{CONTROL} AS z1
@@ -173,7 +173,7 @@ _LAGS_CFG = ", ".join(f"('{b}', {bi + 1}, '{t}', {ti + 1}, {k})" for bi, b in en
 @register("g25_multi_control", lambda: O.with_ctes(f"""
 , mo AS (
   SELECT * FROM (
-    SELECT l.country_code, l.sector_id, c.rate_basis, c.target_variable, c.lag,
+    SELECT l.country_code, l.sector_id, c.rate_basis, c.target_variable, CAST(c.lag AS BIGINT) AS lag,
            CASE c.bi WHEN 1 THEN l.policy_rate WHEN 2 THEN l.real_interest_rate END AS x,
            CASE c.ti * 10 + c.lag
              WHEN 10 THEN l.equity_valuation_change__lead0 WHEN 11 THEN l.equity_valuation_change__lead1
@@ -222,7 +222,8 @@ per AS (SELECT cls,
           coalesce(sum(CASE WHEN a <> cls AND p = cls THEN cnt END), 0) AS fp,
           coalesce(sum(CASE WHEN a = cls AND p <> cls THEN cnt END), 0) AS fn
         FROM cls, cm GROUP BY 1)
-SELECT cls, tp + fn AS support, tp, fp, fn,
+SELECT CAST(cls AS BIGINT) AS cls, CAST(tp + fn AS BIGINT) AS support, CAST(tp AS BIGINT) AS tp,
+  CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn,
   {O.r6('CAST(tp AS DOUBLE) / nullif(tp + fp, 0)', 'precision')},
   {O.r6('CAST(tp AS DOUBLE) / nullif(tp + fn, 0)', 'recall')},
   {O.r6('CAST(sum(tp) OVER () AS DOUBLE) / sum(tp + fn) OVER ()', 'accuracy')},

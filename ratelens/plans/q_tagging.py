@@ -198,7 +198,7 @@ def f11(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("f10_json_payload", lambda: O.with_ctes("""
-SELECT article_id, source_url, title, k FROM s_articles""", "s_articles"))
+SELECT article_id, source_url, title, CAST(k AS BIGINT) AS k FROM s_articles""", "s_articles"))
 def f10(spark: SparkSession, sf: str) -> DataFrame:
     """Queue payload round trip: article -> JSON string -> fields."""
     f = Star(spark, sf).fact_article
