@@ -106,14 +106,16 @@ def sheet_to_long(sheet: DataFrame, mapping: Mapping[str, str], period_col: str
                     value_name))
 
 
-def read_price_sheet(spark: SparkSession, path: str, skip_rows: int = 4) -> DataFrame:
-    """Price sheet landed as CSV with ``skip_rows`` banner lines above the
-    header; first column is the period."""
-    lines = spark.read.text(path)
-    body = lines.rdd.zipWithIndex().filter(lambda t: t[1] >= skip_rows).map(lambda t: t[0][0])
-    df = spark.read.option("header", True).csv(body)
-    first = df.columns[0]
-    return df.withColumnRenamed(first, "period")
+def read_price_sheet(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """Price sheet landed as CSV with banner lines above the header.  Rows
+    are kept when their first cell is a ``yyyyMmm`` period, so banner and
+    header lines drop out without any row numbering; ``columns`` names the
+    sheet columns in order (the first is the period)."""
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    named = spark.read.option("header", False).option("mode", "PERMISSIVE").schema(schema).csv(path)
+    first = columns[0]
+    return (named.where(F.trim(F.col(first)).rlike(r"^[0-9]{4}M[0-9]{2}$"))
+            .withColumnRenamed(first, "period"))
 
 
 # S02 -------------------------------------------------------------------------

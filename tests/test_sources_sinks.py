@@ -55,6 +55,17 @@ def test_sheet_unpivot_skips_unmapped(spark):
     assert got == [("copper", "1960-01", 1.0), ("copper", "1960-02", 2.0), ("nickel", "1960-02", 3.0)]
 
 
+def test_price_sheet_banner_lines(spark, tmp_path):
+    p = tmp_path / "sheet.csv"
+    p.write_text("World Bank prices\n(nominal)\n\nunits,$/mt,$/mt\n,Copper,Nickel\n"
+                 "1960M01,679.0,1631.0\n1960M02,681.5,\n")
+    sheet = landed.read_price_sheet(spark, str(p), ["period", "Copper", "Nickel"])
+    out = landed.sheet_to_long(sheet, {"copper": "Copper", "nickel": "Nickel"})
+    got = sorted((r.sector_id, r.date_key, r.price_index) for r in out.collect())
+    assert got == [("copper", "1960-01", 679.0), ("copper", "1960-02", 681.5),
+                   ("nickel", "1960-01", 1631.0)]
+
+
 def test_rss_items(spark, tmp_path):
     p = tmp_path / "feed.xml"
     p.write_text("""<rss><channel>
