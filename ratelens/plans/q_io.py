@@ -199,3 +199,25 @@ def s11(spark: SparkSession, sf: str) -> DataFrame:
     once = sink.upsert(t, star.dim_country, ["country_code"])
     twice = sink.upsert(once, star.dim_country, ["country_code"])
     return finish(twice)
+
+
+@register("l03_queue_carryover", lambda: O.with_ctes("""
+, ranked AS (SELECT article_id, day, row_number() OVER (ORDER BY published, article_id) AS rn
+             FROM s_articles),
+ndays AS (SELECT count(DISTINCT day) AS d FROM s_articles)
+SELECT article_id FROM ranked, ndays WHERE rn <= 15 * d""", "s_articles"))
+def l03b(spark: SparkSession, sf: str) -> DataFrame:
+    """Work queue with a daily budget carried across runs: events landed as
+    one file per day, streamed one file per micro-batch; each run processes
+    the oldest queued articles first within its budget and queues the rest."""
+    from ..streaming import queue_job as qj
+    ev = driver.read(spark, sf, "events", "event_id", "ts", "user_id", "event_type", "value", "props")
+    landed_dir = sp.scratch(spark, "l03-landed")[0]
+    days = [r[0] for r in ev.select(F.to_date("ts").alias("d")).distinct().orderBy("d").collect()]
+    for d in days:  # one landed file per run day, in arrival order
+        ev.where(F.to_date("ts") == F.lit(d)).coalesce(1).write.parquet(f"{landed_dir}/day={d}")
+    stream = sp.landed_stream(spark, f"{landed_dir}/day=*", sp.EVENTS_SCHEMA, max_files=1)
+    arts = ts.articles_from_events(stream).select("article_id", "source_url", "published")
+    root, ckpt = sp.scratch(spark, "l03-state")
+    sp.run_foreach_batch(arts, qj.queue_writer(root), ckpt)
+    return finish(spark.read.parquet(f"{root}/processed").select("article_id"))
