@@ -221,3 +221,23 @@ def l03b(spark: SparkSession, sf: str) -> DataFrame:
     root, ckpt = sp.scratch(spark, "l03-state")
     sp.run_foreach_batch(arts, qj.queue_writer(root), ckpt)
     return finish(spark.read.parquet(f"{root}/processed").select("article_id"))
+
+
+@register("l01_exact_dedup_state", lambda: O.with_ctes(
+    "SELECT sha256(source_url) AS url_hash, article_id FROM s_articles", "s_articles"))
+def l01b(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact cross-run URL dedup: the events are landed twice (a second
+    delivery of every article), streamed one landed copy per micro-batch;
+    the seen-state table makes the second delivery add nothing."""
+    from ..streaming import dedup_job as dj
+    ev = driver.read(spark, sf, "events", "event_id", "ts", "user_id", "event_type", "value", "props")
+    landed_dir = sp.scratch(spark, "l01-landed")[0]
+    for copy in ("a", "b"):  # two deliveries of the same data
+        ev.write.parquet(f"{landed_dir}/copy={copy}")
+    stream = sp.landed_stream(spark, f"{landed_dir}/copy=*", sp.EVENTS_SCHEMA, max_files=1)
+    arts = ts.articles_from_events(stream).select(
+        qu.url_hash(F.col("source_url")).alias("url_hash"), "article_id", "published")
+    root, ckpt = sp.scratch(spark, "l01-state")
+    sp.run_foreach_batch(arts, dj.exact_dedup_writer(root, "url_hash", ["published", "article_id"],
+                                                     ["url_hash", "article_id"]), ckpt)
+    return finish(spark.read.parquet(f"{root}/out").select("url_hash", "article_id"))
