@@ -56,6 +56,25 @@ def r2_two(r_xy: Column, r_zy: Column, r_xz: Column) -> Column:
     return safe_div(r_xy * r_xy + r_zy * r_zy - 2 * r_xy * r_zy * r_xz, 1 - r_xz * r_xz)
 
 
+# SQL-text twins of the formulas above (one parse per expression; used on the
+# hot paths where the operands are plain column names)
+_NULLD = "CAST(NULL AS DOUBLE)"
+
+
+def corr_sql(cov: str, va: str, vb: str) -> str:
+    return f"nanvl(try_divide({cov}, sqrt(greatest({va} * {vb}, 0D))), {_NULLD})"
+
+
+def partial_sql(rxy: str, rxz: str, ryz: str) -> str:
+    return (f"nanvl(try_divide({rxy} - {rxz} * {ryz}, "
+            f"sqrt(greatest((1D - {rxz} * {rxz}) * (1D - {ryz} * {ryz}), 0D))), {_NULLD})")
+
+
+def r2_sql(rxy: str, rzy: str, rxz: str) -> str:
+    return (f"nanvl(try_divide({rxy} * {rxy} + {rzy} * {rzy} - 2D * {rxy} * {rzy} * {rxz}, "
+            f"1D - {rxz} * {rxz}), {_NULLD})")
+
+
 def _series_sum(c: Column, terms: Column, odd: bool) -> Column:
     """sum_{k=0}^{terms-1} c^k * prod_{j=1}^{k} f(j) with f(j) = (2j-1)/(2j) for
     even degrees of freedom and (2j)/(2j+1) for odd ones."""
@@ -98,6 +117,30 @@ def r_pvalue(r: Column, dof: Column) -> Column:
             .otherwise(p))
 
 
+def r_pvalue_sql(r: str, dof: str) -> Column:
+    """``r_pvalue`` for column names / SQL snippets, built as one SQL
+    expression (one parse instead of hundreds of client-side Column calls;
+    same formula and evaluation)."""
+    c = f"greatest(0D, least(1D, 1D - ({r}) * ({r})))"
+    s = f"abs({r})"
+    d = f"CAST({dof} AS INT)"
+
+    def series(terms: str, odd: bool) -> str:
+        ratio = "(2D * j) / (2D * j + 1D)" if odd else "(2D * j - 1D) / (2D * j)"
+        return (f"CASE WHEN {terms} >= 1 THEN aggregate("
+                f"CASE WHEN {terms} > 1 THEN sequence(1, {terms} - 1) ELSE array() END, "
+                f"named_struct('term', 1D, 'total', 1D), "
+                f"(acc, j) -> named_struct('term', acc.term * {c} * {ratio}, "
+                f"'total', acc.total + acc.term * {c} * {ratio})).total ELSE 0D END")
+    even_terms = f"CAST({d} / 2 AS INT)"
+    odd_terms = f"CAST(({d} - 1) / 2 AS INT)"
+    a = (f"CASE WHEN {d} % 2 = 0 THEN {s} * ({series(even_terms, False)}) "
+         f"ELSE {2 / math.pi!r} * (asin(least({s}, 1D)) + {s} * sqrt({c}) * "
+         f"({series(odd_terms, True)})) END")
+    return F.expr(f"CASE WHEN ({r}) IS NULL OR ({dof}) IS NULL OR {d} <= 0 THEN CAST(NULL AS DOUBLE) "
+                  f"WHEN {c} <= 0 THEN 0D ELSE greatest(0D, least(1D, 1D - ({a}))) END")
+
+
 def fisher_ci(r: Column, n: Column, z: float = 1.959963984540054) -> tuple[Column, Column]:
     """95% confidence interval of r via Fisher's z transform."""
     fz = F.atanh(F.least(F.greatest(r, F.lit(-0.999999999999)), F.lit(0.999999999999)))

@@ -39,26 +39,31 @@ def _sweep_config(bases, targets, lags, controls) -> tuple[Column, Column]:
     into the value lists).  Only the short name lists are literals."""
     cl = [NONE] + list(controls)
     nb, nt, nl, nc = len(bases), len(targets), len(lags), len(cl)
-    i = F.col("_sweep_i")
-    ci = i % nc
-    li = (i / nc).cast("int") % nl
-    ti = (i / (nc * nl)).cast("int") % nt
-    bi = (i / (nc * nl * nt)).cast("int")
+    i = "_sweep_i"
+    ci = f"({i} % {nc})"
+    li = f"(CAST({i} / {nc} AS INT) % {nl})"
+    ti = f"(CAST({i} / {nc * nl} AS INT) % {nt})"
+    bi = f"CAST({i} / {nc * nl * nt} AS INT)"
 
     def name(values, pos):
-        return F.element_at(F.array(*[F.lit(v) for v in values]), pos + 1)
+        arr = ", ".join(repr(v) if isinstance(v, int) else f"'{v}'" for v in values)
+        return f"element_at(array({arr}), {pos} + 1)"
 
-    cfg = F.struct(name(bases, bi).alias("rate_basis"), (bi + 1).alias("bi"),
-                   name(targets, ti).alias("target_variable"), (ti * nl + li + 1).alias("yi"),
-                   name(list(lags), li).alias("lag"), name(cl, ci).alias("control"),
-                   ci.alias("control_pos"))
+    cfg = F.expr(f"named_struct('rate_basis', {name(bases, bi)}, 'bi', {bi} + 1, "
+                 f"'target_variable', {name(targets, ti)}, 'yi', {ti} * {nl} + {li} + 1, "
+                 f"'lag', {name(list(lags), li)}, 'control', {name(cl, ci)}, "
+                 f"'control_pos', {ci})")
     return F.explode(F.sequence(F.lit(0), F.lit(nb * nt * nl * nc - 1))).alias("_sweep_i"), cfg
 
 
-def _pick(index: Column, values: list[Column]) -> Column:
-    """values[index - 1] as a CASE chain (null when out of range)."""
+def _pick(index: Column | str, values: list[Column] | list[str]) -> Column:
+    """values[index - 1] as a CASE chain (null when out of range).  With a
+    SQL index and column names it is built as one SQL expression."""
     if not values:
         return F.lit(None).cast("double")
+    if isinstance(index, str):
+        branches = " ".join(f"WHEN {k} THEN {v}" for k, v in enumerate(values, start=1))
+        return F.expr(f"CASE {index} {branches} END")
     out = F.when(index == 1, values[0])
     for i, v in enumerate(values[1:], start=2):
         out = out.when(index == i, v)
@@ -74,13 +79,13 @@ def sweep_observations(panel_leads: DataFrame, bases: Sequence[str] = RATE_BASES
     group's variables are all present (control_pos 0 = no control)."""
     have = set(panel_leads.columns)
 
-    def col_or_null(name: str) -> Column:
-        return F.col(name) if name in have else F.lit(None).cast("double")
+    def col_or_null(name: str) -> str:
+        return f"`{name}`" if name in have else "CAST(NULL AS DOUBLE)"
 
+    x = _pick("cfg.bi", [col_or_null(RATE_INDICATORS[b]) for b in bases])
+    y = _pick("cfg.yi", [col_or_null(f"{TARGETS[t]}__lead{k}") for t in targets for k in lags])
+    z = _pick("cfg.control_pos", [col_or_null(c) for c in controls])
     cfg = F.col("cfg")
-    x = _pick(cfg["bi"], [col_or_null(RATE_INDICATORS[b]) for b in bases])
-    y = _pick(cfg["yi"], [col_or_null(f"{TARGETS[t]}__lead{k}") for t in targets for k in lags])
-    z = _pick(cfg["control_pos"], [col_or_null(c) for c in controls])
     explode, cfg_struct = _sweep_config(bases, targets, lags, controls)
     obs = (panel_leads.where(F.col("panel_n") >= min_panel)
            .select("*", explode).withColumn("cfg", cfg_struct)
@@ -119,22 +124,22 @@ def moment_stats(m: DataFrame) -> DataFrame:
     (z, t), R^2 of y ~ x + z.  Computed in stages over materialised columns so
     every formula references its inputs, not their expression trees.
     p-values are left to the caller (they are only needed on result rows)."""
-    c = F.col
+    e = F.expr
     m = m.select("*",
-                 st.corr(c("cxy"), c("vx"), c("vy")).alias("r_xy"),
-                 st.corr(c("cxz"), c("vx"), c("vz")).alias("r_xz"),
-                 st.corr(c("cyz"), c("vy"), c("vz")).alias("r_yz"),
-                 st.corr(c("cxt"), c("vx"), c("vt")).alias("r_xt"),
-                 st.corr(c("cyt"), c("vy"), c("vt")).alias("r_yt"),
-                 st.corr(c("czt"), c("vz"), c("vt")).alias("r_zt"))
+                 e(st.corr_sql("cxy", "vx", "vy")).alias("r_xy"),
+                 e(st.corr_sql("cxz", "vx", "vz")).alias("r_xz"),
+                 e(st.corr_sql("cyz", "vy", "vz")).alias("r_yz"),
+                 e(st.corr_sql("cxt", "vx", "vt")).alias("r_xt"),
+                 e(st.corr_sql("cyt", "vy", "vt")).alias("r_yt"),
+                 e(st.corr_sql("czt", "vz", "vt")).alias("r_zt"))
     m = m.select("*",
-                 st.partial(c("r_xy"), c("r_xz"), c("r_yz")).alias("partial1"),
-                 st.partial(c("r_xy"), c("r_xt"), c("r_yt")).alias("_xy_t"),
-                 st.partial(c("r_xz"), c("r_xt"), c("r_zt")).alias("_xz_t"),
-                 st.partial(c("r_yz"), c("r_yt"), c("r_zt")).alias("_yz_t"),
-                 st.r2_two(c("r_xy"), c("r_yz"), c("r_xz")).alias("r2"))
+                 e(st.partial_sql("r_xy", "r_xz", "r_yz")).alias("partial1"),
+                 e(st.partial_sql("r_xy", "r_xt", "r_yt")).alias("_xy_t"),
+                 e(st.partial_sql("r_xz", "r_xt", "r_zt")).alias("_xz_t"),
+                 e(st.partial_sql("r_yz", "r_yt", "r_zt")).alias("_yz_t"),
+                 e(st.r2_sql("r_xy", "r_yz", "r_xz")).alias("r2"))
     return m.select(*[x for x in m.columns if not x.startswith("_")],
-                    st.partial2(c("_xy_t"), c("_xz_t"), c("_yz_t")).alias("partial2"))
+                    e(st.partial_sql("_xy_t", "_xz_t", "_yz_t")).alias("partial2"))
 
 
 def _p_order(r: Column, n: Column, decimals: int) -> Column:
@@ -212,9 +217,9 @@ def correlate(panel_leads: DataFrame, controls: Sequence[str] | None = None,
     best = best_lag(rows)
     return best.select(
         *GROUP, "panel_start", "panel_end", "n_obs", "control_set", "pearson_r",
-        "partial_r", st.r_pvalue(c("pearson_r"), c("n_obs") - 2).alias("p_value"),
+        "partial_r", st.r_pvalue_sql("pearson_r", "n_obs - 2").alias("p_value"),
         "r_squared", "n_control", "partial_r_select",
-        st.r_pvalue(c("partial_r_select"), c("n_control") - 3).alias("partial_p_select"))
+        st.r_pvalue_sql("partial_r_select", "n_control - 3").alias("partial_p_select"))
 
 
 def result_rows(best: DataFrame, run_id: str, computed_at: str) -> DataFrame:

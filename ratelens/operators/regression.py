@@ -53,9 +53,12 @@ def model_observations(panel_leads: DataFrame, controls: Sequence[str], lags: Se
     def col(name: str) -> Column:
         return F.col(name) if name in have else F.lit(None).cast("double")
 
+    def name_sql(name: str) -> str:
+        return f"`{name}`" if name in have else "CAST(NULL AS DOUBLE)"
+
     cfg = F.col("cfg")
-    x = _pick(cfg["bi"], [col(RATE_INDICATORS[b]) for b in bases])
-    y = _pick(cfg["yi"], [col(f"{TARGETS[t]}__lead{k}") for t in targets for k in lags])
+    x = _pick("cfg.bi", [name_sql(RATE_INDICATORS[b]) for b in bases])
+    y = _pick("cfg.yi", [name_sql(f"{TARGETS[t]}__lead{k}") for t in targets for k in lags])
     zs = [col(c).alias(f"z{i + 1}") for i, c in enumerate(controls)]
     explode, cfg_struct = _sweep_config(bases, targets, lags, [])
     obs = (panel_leads.where(F.col("panel_n") >= MIN_OBS)

@@ -91,3 +91,12 @@ def test_fisher_ci_brackets_r(spark):
     z = math.atanh(0.4)
     assert abs(row["lo"] - math.tanh(z - 1.959963984540054 / math.sqrt(47))) < 1e-12
     assert abs(row["hi"] - math.tanh(z + 1.959963984540054 / math.sqrt(47))) < 1e-12
+
+
+def test_sql_pvalue_equals_column_pvalue(spark):
+    rows = [(r, d) for r in (-0.93, -0.4, 0.0, 0.05, 0.31, 0.77, 0.999) for d in (1, 2, 3, 8, 41, 76)]
+    df = spark.createDataFrame(rows, "r double, d int")
+    out = df.select(st.r_pvalue(F.col("r"), F.col("d")).alias("a"),
+                    st.r_pvalue_sql("r", "d").alias("b")).collect()
+    for a, b in out:
+        assert abs(a - b) < 1e-15
