@@ -232,5 +232,5 @@ def result_rows(best: DataFrame, run_id: str, computed_at: str) -> DataFrame:
         F.col("panel_start").alias("date_range_start"),
         F.col("panel_end").alias("date_range_end"),
         F.col("lag").cast("int").alias("lag"), "pearson_r", "partial_r", "p_value",
-        "r_squared", F.to_timestamp(F.lit(computed_at)).alias("computed_at"),
+        "r_squared", F.to_timestamp_ntz(F.lit(computed_at)).alias("computed_at"),
         F.to_date(F.lit(computed_at[:10])).alias("run_date"))

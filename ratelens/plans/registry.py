@@ -22,9 +22,23 @@ QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
 
+def _session_contract(spark: SparkSession) -> None:
+    """Queries assume a UTC session time zone (day and month buckets, parsed
+    instants) and a checkpoint folder; set them on whatever session runs the
+    query."""
+    if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+
+
 def register(name: str, oracle: str | Callable[[], str] | None = None):
     def deco(fn: QueryFn) -> QueryFn:
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            _session_contract(spark)
+            return fn(spark, sf_dir)
+        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+        QUERIES[name] = run
         if oracle is not None:
             ORACLE[name] = oracle() if callable(oracle) else oracle
         return fn
