@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import (ARTICLE_CATEGORIES, ARTICLE_LIMIT_DEFAULT, ARTICLE_LIMIT_MAX,
-                         FEED_TOP_N, MECHANISM_IDS, POLICY_STANCES, POLICY_SUBTYPES)
+                         FEED_TOP_N)
 from ..functions.scalar import exact_avg
 from .topk import top_k_per_group
 
@@ -161,6 +161,3 @@ def top_per_category(df: DataFrame, k: int = FEED_TOP_N, keys: Sequence[str] = (
 def sentiment_label(score: Column) -> Column:
     """sentiment sign label (>= 0 positive)."""
     return F.when(score >= 0, F.lit("positive")).otherwise(F.lit("negative"))
-
-
-_ = (MECHANISM_IDS, POLICY_STANCES, POLICY_SUBTYPES)

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..constants import LAGS, MIN_OBS, RATE_BASES, RATE_INDICATORS, TARGET_NAMES, TARGETS
+from ..constants import MIN_OBS, RATE_BASES, RATE_INDICATORS, TARGET_NAMES, TARGETS
 from ..functions import stats as st
 from .correlate import GROUP, _pick, _sweep_config
 from .panel import PAIR
@@ -277,6 +277,3 @@ def lag_lookup(models: DataFrame, results: DataFrame) -> DataFrame:
     model has no result."""
     r = results.select(*MODEL, F.col("lag").alias("_lag"))
     return models.join(r, MODEL, "left").withColumn("lag", F.coalesce("_lag", F.lit(0))).drop("_lag")
-
-
-_ = (LAGS,)

@@ -6,14 +6,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import correlate as co
 from ..operators import interpret as it
 from ..schema import empty
 from ..session import scratch_path
 from ..sinks import tables as sink
 from . import oracle as O
 from .correlation import correlation_batch
-from .q_correlation import RUN_A, RUN_B, _runs_sql
+from .q_correlation import RUN_B, _runs_sql
 from .registry import finish, register
 from .star import Star
 
@@ -181,6 +180,3 @@ def x04(spark: SparkSession, sf: str) -> DataFrame:
     """Generator plug-in run (Arrow batches) on the cache misses only."""
     a = _answers(spark, sf, generator=_echo_generator)
     return finish(a.where(F.col("source") == "generated").select(*KEYS, "interpretation_text"))
-
-
-_ = (co, RUN_A)

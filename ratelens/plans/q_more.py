@@ -10,10 +10,8 @@ from pyspark.sql import functions as F
 from ..constants import GLOBAL_INDICATORS
 from ..functions import scalar as sc
 from ..operators import articles as ar
-from ..operators import panel as pn
 from ..operators import queue as qu
 from ..operators import series as se
-from ..operators import tagging as tg
 from ..schema import conform, empty
 from ..sinks import tables as sink
 from ..sources import driver, landed
@@ -292,6 +290,3 @@ def q11(spark: SparkSession, sf: str) -> DataFrame:
     c = _coefs(spark, sf)
     return finish(c.select("country_code", "sector_id", "rate_basis", "target_variable", "names",
                            "coef", "r2"))
-
-
-_ = (pn, tg)

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..constants import COUNTRY_INDICATORS, GLOBAL_INDICATORS, INDICATORS
+from ..constants import INDICATORS
 from ..operators import series as se
 from ..sinks import tables as sink
 from ..sources import landed
@@ -305,6 +305,3 @@ def f14(spark: SparkSession, sf: str) -> DataFrame:
     f = Star(spark, sf).fact_macro_indicator.where(F.col("country_code").isNull())
     raw = F.when(F.month("month") == 7, F.lit(".")).otherwise(F.col("value").cast("string"))
     return finish(f.select("record_id", landed.parse_sentinel(raw).alias("value")))
-
-
-_ = (COUNTRY_INDICATORS, GLOBAL_INDICATORS)
