@@ -181,3 +181,23 @@ def test_queue_carryover_across_micro_batches(spark, tmp_path):
     assert sorted(r.article_id for r in done.collect()) == [f"a0_{i:02d}" for i in range(15)]
     last = max(int(p.name.split("=")[1]) for p in (tmp_path / "state" / "queue").iterdir())
     assert spark.read.parquet(f"{root}/queue/batch={last}").count() == 45
+
+
+def test_exact_dedup_state_across_batches(spark, tmp_path):
+    from ratelens.streaming import dedup_job as dj
+    src = tmp_path / "landed"
+    rows1 = [("h1", "a1", "2024-01-01 00:00:00"), ("h2", "a2", "2024-01-01 00:01:00"),
+             ("h1", "a9", "2024-01-01 00:02:00")]           # repeat inside the first delivery
+    rows2 = [("h2", "b2", "2024-01-02 00:00:00"), ("h3", "b3", "2024-01-02 00:01:00")]
+    for name, rows in (("d1", rows1), ("d2", rows2)):
+        spark.createDataFrame(rows, "url_hash string, article_id string, published string") \
+            .select("url_hash", "article_id", F.to_timestamp("published").alias("published")) \
+            .coalesce(1).write.parquet(str(src / name))
+    from pyspark.sql import types as T
+    schema = T._parse_datatype_string("url_hash string, article_id string, published timestamp")
+    stream = sp.landed_stream(spark, str(src / "d*"), schema, max_files=1)
+    root, ck = str(tmp_path / "state"), str(tmp_path / "ck")
+    sp.run_foreach_batch(stream, dj.exact_dedup_writer(root, "url_hash", ["published", "article_id"],
+                                                       ["url_hash", "article_id"]), ck)
+    out = sorted(map(tuple, spark.read.parquet(f"{root}/out").select("url_hash", "article_id").collect()))
+    assert out == [("h1", "a1"), ("h2", "a2"), ("h3", "b3")]
