@@ -290,3 +290,20 @@ def q11(spark: SparkSession, sf: str) -> DataFrame:
     c = _coefs(spark, sf)
     return finish(c.select("country_code", "sector_id", "rate_basis", "target_variable", "names",
                            "coef", "r2"))
+
+
+@register("b11_dim_date", """
+SELECT strftime(d, '%Y-%m-%d') AS date_key, d AS full_date, CAST(year(d) AS BIGINT) AS year,
+       CAST(month(d) AS BIGINT) AS month, CAST(quarter(d) AS BIGINT) AS quarter
+FROM (SELECT unnest(generate_series(CAST(min(o_orderdate) AS DATE), CAST(max(o_orderdate) AS DATE),
+                                    INTERVAL 1 DAY))::DATE AS d FROM orders) t""")
+def b11(spark: SparkSession, sf: str) -> DataFrame:
+    """dim_date as a generated calendar over the order-date range (the
+    documented dimension that has no DDL in the analysed application)."""
+    o = driver.read(spark, sf, "orders", "o_orderdate")
+    first = o.agg(F.min(F.to_date("o_orderdate"))).scalar()
+    last = o.agg(F.max(F.to_date("o_orderdate"))).scalar()
+    cal = spark.range(1).select(F.explode(F.sequence(first, last)).alias("d"))
+    return finish(cal.select(F.date_format("d", "yyyy-MM-dd").alias("date_key"), F.col("d").alias("full_date"),
+                             F.year("d").alias("year"), F.month("d").alias("month"),
+                             F.quarter("d").alias("quarter")))
