@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat_format, quality_rules, sharding, warc
+from . import bpe, chat_format, quality_rules, sharding, warc
 from .common import table
 from .registry import ORACLE, QUERIES, register  # noqa: F401
 
@@ -60,3 +60,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)],
                                   "conv_id bigint, turn bigint, role string, text string")
     return chat_format.chat_report(rows.unionByName(probe))
+
+
+@register("op6_bpe_distinct_words")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded by the public 50k ranks and decoded again."""
+    import public_tokenizers
+    ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return bpe.round_trip_report(table(spark, sf_dir, "documents", "doc_id", "text"), ranks)
