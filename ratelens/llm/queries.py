@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat_format, quality_rules, sharding, warc
+from . import bpe, chat_format, language_id, quality_rules, sharding, token_files, warc
 from .common import table
 from .registry import ORACLE, QUERIES, register  # noqa: F401
 
@@ -68,3 +68,18 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return bpe.round_trip_report(table(spark, sf_dir, "documents", "doc_id", "text"), ranks)
+
+
+@register("op5_compression_language")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document by zstandard dictionaries."""
+    return language_id.language_report(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
+@register("op1_separator_scan")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document from flat files with separator 50256."""
+    import public_tokenizers
+    ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return token_files.count_tokens(table(spark, sf_dir, "documents", "doc_id", "text"), ranks,
+                                    public_tokenizers.PATTERN, 50256)
