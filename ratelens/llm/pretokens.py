@@ -98,13 +98,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def span_hashes(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of ``symbols[start:end]`` for many spans, position
-    independent: a polynomial prefix sum over mixed symbols."""
-    n = len(symbols)
+def coded_span_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of ``codes[start:end]`` for many spans, position
+    independent: a polynomial prefix sum over 64-bit symbol codes."""
+    n = len(codes)
     size = 1 << max(16, int(n).bit_length())
-    power = _powers(size, _MULTIPLIER)
     prefix = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(mix(symbols.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)) * power[:n], out=prefix[1:])
+    np.cumsum(codes * _powers(size, _MULTIPLIER)[:n], out=prefix[1:])
     value = (prefix[ends] - prefix[starts]) * _powers(size, _INVERSE)[starts]
     return mix(value ^ (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+def span_hashes(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """``coded_span_hashes`` of integer symbols."""
+    return coded_span_hashes(mix(symbols.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)), starts, ends)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat_format, language_id, quality_rules, sharding, token_files, warc
+from . import bpe, chat_format, language_id, ngram_jaccard, quality_rules, sharding, token_files, warc
 from .common import table
 from .registry import ORACLE, QUERIES, register  # noqa: F401
 
@@ -83,3 +83,9 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     return token_files.count_tokens(table(spark, sf_dir, "documents", "doc_id", "text"), ranks,
                                     public_tokenizers.PATTERN, 50256)
+
+
+@register("op8_jaccard_bitmap_join")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of all documents at Jaccard 0.75 on five-word shingles."""
+    return ngram_jaccard.jaccard_components(table(spark, sf_dir, "documents", "doc_id", "text"))
