@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat_format, language_id, ngram_jaccard, quality_rules, sharding, token_files, warc
+from . import bpe, chat_format, language_id, ngram_jaccard, quality_rules, sharding, substring_dedup, token_files, warc
 from .common import table
 from .registry import ORACLE, QUERIES, register  # noqa: F401
 
@@ -89,3 +89,9 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of all documents at Jaccard 0.75 on five-word shingles."""
     return ngram_jaccard.jaccard_components(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@register("op7_gear_chunk_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of all documents that repeat a passage kept elsewhere."""
+    return substring_dedup.repeat_report(table(spark, sf_dir, "documents", "doc_id", "text"))
