@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat_format, language_id, ngram_jaccard, quality_rules, sharding, substring_dedup, token_files, warc
+from . import bpe, chat_format, decontaminate, language_id, ngram_jaccard, quality_rules, sharding, substring_dedup, token_files, warc
 from .common import table
 from .registry import ORACLE, QUERIES, register  # noqa: F401
 
@@ -95,3 +95,10 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of all documents that repeat a passage kept elsewhere."""
     return substring_dedup.repeat_report(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@register("op3_template_decontamination")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold an item of the benchmark."""
+    return decontaminate.contaminated_pairs(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                            table(spark, sf_dir, "benchmark", "item_id", "text"))
