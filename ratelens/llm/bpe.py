@@ -248,10 +248,10 @@ def decode_ids(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids") ->
     return encoded.mapInArrow(decode, schema)
 
 
-def round_trip_report(docs: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row."""
+def round_trip_report(docs: DataFrame, ranks: dict[bytes, int], with_ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens, [ids,] ids_sha256, decoded_sha256 of every row."""
     both = decode_ids(encode_texts(docs, ranks), ranks)
     return both.select(
-        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), *(["ids"] if with_ids else []),
         F.sha2(F.encode(F.array_join(F.col("ids").cast("array<string>"), " "), "UTF-8"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -380,3 +380,26 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     out = linked.join(sized_broadcast(least, least.count()), "root", "left")
     own: Column = F.coalesce("component_id", "doc_id")
     return out.select(F.col("doc_id").alias(key), F.col("n").alias("n_shingles"), own.alias("component_id"))
+
+
+def keep_one_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of each component: the smallest key (nulls last),
+    then the smallest row hash.  Rows without shingles all stay; of rows that
+    repeat key and text in one component one stays."""
+    linked = written(link_classes(docs.select(key, text), key, text), "jaccard-rows")
+    order = F.struct(F.col("doc_id").isNull().alias("late"), F.col("doc_id"), F.col("row"))
+    heads = written(linked.where("root is not null").groupBy("root").agg(
+        F.min(order).alias("head"), F.count(F.lit(1)).alias("m")
+        ).where("m > 1").select("root", F.col("head.row").alias("head")), "jaccard-heads")
+    n_heads = heads.count()
+    grouped = linked.join(sized_broadcast(heads, n_heads), "root")
+    dropped = written(grouped.where("row <> head").select(F.col("row").alias("_row")).distinct(), "jaccard-dropped")
+    again = written(grouped.where("row = head").groupBy(F.col("row").alias("_row")).agg(F.count(F.lit(1)).alias("m"))
+                    .where("m > 1").select("_row"), "jaccard-again")
+    marked = docs.withColumn("_row", F.xxhash64(F.col(key), F.col(text)))
+    rest = marked.join(sized_broadcast(dropped, dropped.count()), "_row", "left_anti")
+    n_again = again.count()
+    if n_again:
+        repeated = rest.join(sized_broadcast(again, n_again), "_row", "left_semi").dropDuplicates(["_row"])
+        rest = rest.join(sized_broadcast(again, n_again), "_row", "left_anti").unionByName(repeated)
+    return rest.select(*docs.columns)

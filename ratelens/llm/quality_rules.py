@@ -183,5 +183,7 @@ def quality_report(docs: DataFrame, key: str = "doc_id", text: str = "text", lan
 def quality_filter(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """The rows of ``docs`` that pass, with their own columns only."""
     feats = features(docs, text, lang)
-    out = verdict(feats, language_references(feats)).where("kept")
-    return out.select(*[F.col("_row")[c].alias(c) for c in docs.columns])
+    # a row number beside the verdict keeps the filter above it: pushed below,
+    # the verdict's expressions would be expanded into one another
+    out = verdict(feats, language_references(feats)).select("_row", "kept", F.monotonically_increasing_id().alias("_n"))
+    return out.where((F.col("_n") >= 0) & F.col("kept")).select(*[F.col("_row")[c].alias(c) for c in docs.columns])
