@@ -163,9 +163,9 @@ def verdict(feats: DataFrame, references: DataFrame) -> DataFrame:
     d = d.withColumn("base_failed", (F.col("n_words") < MIN_WORDS)
                      | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PERCENT))
     d = d.withColumn("char_distance", F.when(F.col("word_chars") >= CHAR_GUARD,
-                                             js_distance(F.col("_char_counts"), F.col("_rc")))) \
+                                             F.round(js_distance(F.col("_char_counts"), F.col("_rc")), 6))) \
          .withColumn("word_distance", F.when(F.col("n_words") >= WORD_GUARD,
-                                             js_distance(F.col("_word_counts"), F.col("_rw"))))
+                                             F.round(js_distance(F.col("_word_counts"), F.col("_rw")), 6)))
     fits = (F.coalesce(F.col("char_distance"), F.lit(0.0)) <= MAX_CHAR_DISTANCE) & \
            (F.coalesce(F.col("word_distance"), F.lit(0.0)) <= MAX_WORD_DISTANCE)
     return d.withColumn("kept", ~F.col("base_failed") & fits)

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat_format, decontaminate, language_id, ngram_jaccard, quality_rules, sharding, substring_dedup, token_files, warc
+from . import bpe, chat_format, decontaminate, language_id, ngram_jaccard, oracle, quality_rules, sharding, substring_dedup, token_files, warc
 from .common import table
 from .registry import ORACLE, QUERIES, register  # noqa: F401
 
 
-@register("op9_quality_divergence")
+@register("op9_quality_divergence", oracle.QUALITY)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality rules over all documents."""
     return quality_rules.quality_report(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
@@ -85,7 +85,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     public_tokenizers.PATTERN, 50256)
 
 
-@register("op8_jaccard_bitmap_join")
+@register("op8_jaccard_bitmap_join", oracle.JACCARD)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of all documents at Jaccard 0.75 on five-word shingles."""
     return ngram_jaccard.jaccard_components(table(spark, sf_dir, "documents", "doc_id", "text"))
