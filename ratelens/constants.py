@@ -31,7 +31,6 @@ LAGS = [0, 1, 2, 3]
 MIN_OBS = 8
 MIN_TRAIN_ROWS = 20
 DAILY_EXTRACTION_BUDGET = 15
-TAG_TEXT_LIMIT = 2000
 ARTICLE_LIMIT_DEFAULT = 50
 ARTICLE_LIMIT_MAX = 200
 RAW_RETENTION_DAYS = 30

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 def round_half_up(c: Column, decimals: int) -> Column:
     """floor(x * 10^d + 0.5) / 10^d (+0.0 folds -0.0): the same IEEE
     operations in every engine, so identical doubles round identically, ties
-    included (engines' own ROUND functions differ on ties)."""
+    included (engines' own ROUND functions differ on ties).  From |x| * 10^d =
+    2^53 on a double has no such decimals left and is returned as it is."""
     scale = float(10 ** decimals)
-    return (F.floor(c * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)) + F.lit(0.0)
+    rounded = F.floor(c * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)
+    return F.when(F.abs(c) * F.lit(scale) < F.lit(float(2 ** 53)), rounded).otherwise(c) + F.lit(0.0)
 
 
 def exact_avg(c: Column, scale_decimals: int) -> Column:
@@ -31,11 +33,6 @@ def first_non_empty(*cols: Column) -> Column:
     return F.coalesce(*[F.nullif(c, F.lit("")) for c in cols])
 
 
-def truncate(s: Column, n: int) -> Column:
-    """first n characters."""
-    return F.substring(s, 1, n)
-
-
 def clamp(c: Column, lo, hi) -> Column:
     """clamp to [lo, hi]."""
     return F.least(F.greatest(c, F.lit(lo)), F.lit(hi))

@@ -73,31 +73,25 @@ def cache_key(r: dict[str, Column]) -> Column:
 
 
 def sentences(country_name: Column, sector_name: Column) -> Column:
-    """five sentences -- direction, strength, significance, explained
-    share, lag -- over a result row (columns of fact_correlation_result)."""
+    """five notes on a result row (columns of fact_correlation_result):
+    timing (lag), link (direction and strength), evidence (significance),
+    share explained, control."""
     pr, p, r2, lag = F.col("partial_r"), F.col("p_value"), F.col("r_squared"), F.col("lag")
-    tgt = target_label(F.col("target_variable"), sector_name)
-    ctrl = F.col("control_set")
-    control_phrase = F.when(F.coalesce(ctrl, F.lit("")) == "", F.lit("with no control variable")) \
-        .otherwise(F.concat(F.lit("holding "), F.replace(ctrl, F.lit("_"), F.lit(" ")),
-                            F.lit(" constant")))
-    direction = F.when(pr >= 0, F.lit("rise")).otherwise(F.lit("decline"))
-    pct = F.floor(r2 * 100 + 0.5).cast("bigint")
-    s1 = F.concat(F.lit("A "), F.col("rate_basis"), F.lit(" rate increase in "), country_name,
-                  F.lit(" goes with a "), direction, F.lit(" in "), tgt, F.lit(", "), control_phrase,
-                  F.lit(" (partial r = "), fixed(pr, 2, signed=True), F.lit(")."))
-    s2 = F.concat(F.lit("At |r| = "), fixed(F.abs(pr), 2), F.lit(" the relationship is "),
-                  strength_band(pr), F.lit("."))
-    s3 = F.when(significant(p), F.concat(F.lit("p = "), fixed(p, 3),
-                                         F.lit(" is below 0.05: unlikely to be chance alone."))) \
-        .otherwise(F.concat(F.lit("p = "), fixed(p, 3),
-                            F.lit(" is not below 0.05: consistent with chance.")))
-    s4 = F.concat(F.lit("R-squared = "), fixed(r2, 2), F.lit(": about "), pct.cast("string"),
-                  F.lit("% of the monthly variation in "), tgt, F.lit(" is explained."))
-    s5 = F.when(lag == 0, F.lit("The best fit is at zero lag, in the same month.")) \
-        .otherwise(F.concat(F.lit("The best fit is at a "), lag.cast("string"),
-                            F.lit("-month lag.")))
-    return F.array(s1, s2, s3, s4, s5)
+    target = target_label(F.col("target_variable"), sector_name)
+    delay = F.when(lag == 0, F.lit("within the same month")).when(lag == 1, F.lit("one month later")) \
+        .otherwise(F.concat(lag.cast("string"), F.lit(" months later")))
+    timing = F.concat(F.lit("Timing: "), F.col("rate_basis"), F.lit(" rate moves of "), country_name,
+                      F.lit(" line up best with the "), target, F.lit(" measured "), delay, F.lit("."))
+    link = F.concat(F.lit("Link: "), strength_band(pr), F.lit(", the two tend to move "),
+                    F.when(pr >= 0, F.lit("together")).otherwise(F.lit("in opposite directions")),
+                    F.lit(" (partial r "), fixed(pr, 2, signed=True), F.lit(")."))
+    evidence = F.concat(F.lit("Evidence: p "), fixed(p, 3),
+                        F.when(significant(p), F.lit(" passes the 0.05 level."))
+                         .otherwise(F.lit(" fails the 0.05 level, so chance remains an adequate account.")))
+    share = F.concat(F.lit("Share: the fit covers "), F.floor(r2 * 100 + 0.5).cast("bigint").cast("string"),
+                     F.lit("% of month-to-month changes (R2 "), fixed(r2, 2), F.lit(")."))
+    control = F.concat(F.lit("Control: "), control_label(F.col("control_set")), F.lit("."))
+    return F.array(timing, link, evidence, share, control)
 
 
 def with_labels(results: DataFrame, dim_country: DataFrame, dim_sector: DataFrame) -> DataFrame:
@@ -124,8 +118,9 @@ def with_cache_key(results: DataFrame) -> DataFrame:
 def generate_with_plugin(rows: DataFrame, generator: Callable) -> DataFrame:
     """X04 plug-in path: ``generator(pdf) -> pandas.Series`` of texts, run per
     Arrow batch and called only for the batch's cache misses (rows with
-    ``source == 'generated'``).  A failing call falls back to the rule text
-    already present in ``interpretation_text``."""
+    ``source == 'generated'``).  A failing call leaves the rule text already
+    present in ``interpretation_text`` and marks the rows ``rules``: they are
+    answered, but not cached as generated."""
     schema = rows.schema
 
     def run(batches):
@@ -135,8 +130,8 @@ def generate_with_plugin(rows: DataFrame, generator: Callable) -> DataFrame:
                 try:
                     texts = list(generator(pdf[miss]))
                     pdf.loc[miss, "interpretation_text"] = texts
-                except Exception:  # noqa: BLE001 - plug-in failure -> rule text
-                    pass
+                except Exception:  # noqa: BLE001 - plug-in failure -> rule text, recorded as such
+                    pdf.loc[miss, "source"] = "rules"
             yield pdf
     return rows.mapInPandas(run, schema)
 

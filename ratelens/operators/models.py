@@ -18,7 +18,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,6 +39,11 @@ def fold_of(rn0, n, k):
         .otherwise(big + ((rn0 - boundary) / size).cast("int"))
 
 
+def _scale(std: Column) -> Column:
+    """A constant feature has no spread: it is centred and left at scale 1."""
+    return F.when(std > 0, std).otherwise(F.lit(1.0))
+
+
 def fold_moments(obs: DataFrame, keys: Sequence[str], features: Sequence[str], target: str,
                  order: str = "month") -> DataFrame:
     """Standardise features per model, assign folds, aggregate the Gram
@@ -48,7 +53,7 @@ def fold_moments(obs: DataFrame, keys: Sequence[str], features: Sequence[str], t
     ordered = Window.partitionBy(*keys).orderBy(order)
     n = F.count(F.lit(1)).over(whole)
     std = obs.select(*keys, order, F.col(target).alias("y"), n.alias("_n"),
-                     *[((F.col(f) - F.avg(f).over(whole)) / F.stddev_pop(f).over(whole)).alias(f"s{i}")
+                     *[((F.col(f) - F.avg(f).over(whole)) / _scale(F.stddev_pop(f).over(whole))).alias(f"s{i}")
                        for i, f in enumerate(features)],
                      (F.row_number().over(ordered) - 1).alias("_rn"))
     k = F.greatest(F.lit(2), F.least(F.lit(MAX_FOLDS), (F.col("_n") / 10).cast("int")))
@@ -94,12 +99,6 @@ def lasso_cd(n, sx, sy, xx, xy, alpha, beta0=None, tol=1e-10, max_iter=10000):
     return my - mx @ b, b
 
 
-def _mse(b0, b, n, sx, sy, xx, xy, syy):
-    """Held-out mean squared error from the fold's own moments."""
-    sse = (syy - 2 * b0 * sy - 2 * b @ xy + n * b0 * b0 + 2 * b0 * (b @ sx) + b @ xx @ b)
-    return sse / n
-
-
 def lasso_path(n, sx, sy, xx, xy, alphas, max_iter=20000, tol=1e-11):
     """Lasso solutions for every alpha at once from moments: accelerated
     proximal gradient (FISTA with adaptive restart), vectorised over the
@@ -140,6 +139,8 @@ def lasso_path_cv(pdf: pd.DataFrame, p: int) -> tuple[float, np.ndarray]:
     mse = np.zeros(len(alphas))
     for f in folds:
         tr = [tot[i] - f[i] for i in range(6)]
+        if tr[0] <= 0:          # one fold holds every row: nothing to train on
+            continue
         b0, b = lasso_path(tr[0], tr[1], tr[2], tr[3], tr[4], alphas)
         fn, fsx, fsy, fxx, fxy, fyy = f
         sse = (fyy - 2 * b0 * fsy - 2 * (fxy @ b) + fn * b0 * b0 + 2 * b0 * (fsx @ b)
@@ -173,12 +174,12 @@ def direction_classifier(train: DataFrame, test: DataFrame, features: Sequence[s
                          label: str, min_rows: int = MIN_TRAIN_ROWS) -> DataFrame | None:
     """Logistic regression 'next move is a rise' on the given features
     (L2, C = 1 in the usual formulation: regParam = 1 / n_train, no feature
-    standardisation).  Returns test rows with ``prediction`` or None when the
-    training set has fewer than ``min_rows`` rows."""
+    standardisation).  Returns test rows with ``prediction`` or None when both
+    sets together have fewer than ``min_rows`` rows."""
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
     n_train = train.count()
-    if n_train < min_rows:
+    if n_train == 0 or n_train + test.count() < min_rows:
         return None
     va = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
     lr = LogisticRegression(featuresCol="features", labelCol=label, regParam=1.0 / n_train,

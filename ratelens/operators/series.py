@@ -159,6 +159,11 @@ def last_per_month(history: DataFrame, keys: Sequence[str], ts: str, value: str,
             .agg(F.max_by(F.col(value), order).alias(out or value)))
 
 
+def last_december(annual: DataFrame) -> Column:
+    """The last month that annual levels speak for, as a scalar."""
+    return F.make_date(annual.agg(F.max("year")).scalar(), F.lit(12), F.lit(1))
+
+
 def annual_to_monthly(annual: DataFrame, through: str | Column,
                       keys: Sequence[str] = ("country_code", "indicator_id")) -> DataFrame:
     """J08 + W08: as-of (backward) expansion of annual values to months.
@@ -171,7 +176,9 @@ def annual_to_monthly(annual: DataFrame, through: str | Column,
     """
     keys = list(keys)
     through_col = F.to_date(F.lit(through)) if isinstance(through, str) else through
-    bounds = annual.groupBy(*keys).agg(F.min("year").alias("y0"))
+    # a series that starts after ``through`` has no months
+    bounds = annual.groupBy(*keys).agg(F.min("year").alias("y0")).where(
+        F.make_date(F.col("y0"), F.lit(1), F.lit(1)) <= F.trunc(through_col, "MM"))
     calendar = bounds.select(*keys, F.explode(F.sequence(
         F.make_date(F.col("y0"), F.lit(1), F.lit(1)), F.trunc(through_col, "MM"),
         F.expr("interval 1 month"))).alias("month"))

@@ -47,8 +47,8 @@ MECHANISM_WORDS = {
 
 
 def tokens(text: Column) -> Column:
-    """Lower-case ASCII word tokens of the whole text."""
-    return F.split(F.lower(text), "[^a-z]+")
+    """Lower-case word tokens (letter runs of any script) of the whole text."""
+    return F.split(F.lower(text), r"[^\p{L}]+")
 
 
 def lexicon_groups(sectors: Sequence[str]) -> dict[str, list[str]]:
@@ -77,7 +77,7 @@ def _tags_where(counts: Column, prefix: str, names: Sequence[str]) -> Column:
 def country_tokens(text: Column) -> Column:
     """Two-letter upper-case tokens (ISO-code shaped: not adjacent to another
     letter), sorted and distinct -- one regex scan of the text."""
-    found = F.regexp_extract_all(text, F.lit("(?<![A-Za-z])([A-Z]{2})(?![A-Za-z])"), F.lit(1))
+    found = F.regexp_extract_all(text, F.lit(r"(?<!\p{L})([A-Z]{2})(?!\p{L})"), F.lit(1))
     return F.array_sort(F.array_distinct(found))
 
 
@@ -104,7 +104,7 @@ def lexicon_tagger(df: DataFrame, text_col: str, sectors: Sequence[str],
     items = F.concat(F.array(F.lit(sentinel)), F.coalesce(tokens(F.col(text_col)), none),
                      F.coalesce(F.transform(country_tokens(F.col(text_col)),
                                             lambda x: F.concat(F.lit("#"), x)), none))
-    n_words = F.regexp_count(F.lower(F.col(text_col)), F.lit("[a-z]{2,}"))
+    n_words = F.regexp_count(F.lower(F.col(text_col)), F.lit(r"\p{L}{2,}"))
     tok = df.select(F.col(id_col).alias("_id"), F.coalesce(n_words, F.lit(0)).alias("_nw"),
                     F.explode(items).alias("_tok"))
     hits = tok.join(lex, tok["_tok"] == lex["word"], "left")
@@ -227,27 +227,31 @@ def to_star_rows(tagged: DataFrame, id_col: str = "article_id") -> dict[str, Dat
 
 
 def normalized_title(text: Column) -> Column:
-    """F23 key: first line, lower-cased, letters only."""
-    first = F.substring_index(text, "\n", 1)
-    return F.regexp_replace(F.lower(first), "[^a-z]", "")
+    """F23 key: the title lower-cased, letters and digits of any script only."""
+    return F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]", "")
 
 
 def duplicate_titles(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """F23 (exact after cleanup): groups of documents whose normalised title
-    hashes alike -- an aggregate, no pairwise comparison."""
-    key = F.sha2(normalized_title(F.col(text_col)), 256)
-    return (docs.select(id_col, key.alias("title_hash"))
+    """F23 (exact after cleanup): groups of rows whose normalised title hashes
+    alike -- an aggregate, no pairwise comparison.  Rows whose title has no
+    letter or digit are in no group."""
+    title = normalized_title(F.col(text_col))
+    return (docs.where(title != "").select(id_col, F.sha2(title, 256).alias("title_hash"))
             .groupBy("title_hash").agg(F.count(F.lit(1)).alias("n_docs"),
                                        F.min(id_col).alias("first_id"))
             .where(F.col("n_docs") > 1))
 
 
-_RFC_FORMATS = ["dd MMM yyyy HH:mm:ss Z", "dd MMM yyyy HH:mm:ss z", "dd MMM yyyy HH:mm Z"]
-_ISO_FORMATS = ["yyyy-MM-dd'T'HH:mm:ssXXX", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss"]
+_RFC_FORMATS = [f"d MMM {year} {time} {zone}" for year in ("yyyy", "yy") for time in ("HH:mm:ss", "HH:mm")
+                for zone in ("Z", "z")]
+_ISO_FORMATS = [f"yyyy-MM-dd{sep}HH:mm:ss{part}{zone}" for sep in ("'T'", " ") for part in ("", ".SSSSSS")
+                for zone in ("XXX", "")] + ["yyyy-MM-dd"]
 
 
 def parse_published(s: Column) -> Column:
     """RFC-822 (weekday prefix stripped -- pattern letter E is not
-    accepted for parsing) or ISO-8601 publish time; unparseable -> null."""
+    accepted for parsing) or ISO-8601 publish time, with one- or two-digit
+    days, two-digit years, fractions of a second or a date alone;
+    unparseable -> null."""
     body = F.trim(F.regexp_replace(s, r"^\s*[A-Za-z]{3},\s*", ""))
     return F.coalesce(*[F.try_to_timestamp(body, F.lit(f)) for f in _RFC_FORMATS + _ISO_FORMATS])

@@ -41,7 +41,7 @@ def with_ctes(body: str, *names: str) -> str:
 
 
 def cc(expr: str) -> str:
-    return f"('N' || lpad(CAST({expr} AS VARCHAR), 2, '0'))"
+    return f"('N' || lpad(CAST({expr} AS VARCHAR), CAST(greatest(2, length(CAST({expr} AS VARCHAR))) AS INTEGER), '0'))"
 
 
 def month(expr: str) -> str:
@@ -51,7 +51,8 @@ def month(expr: str) -> str:
 def rnd(expr: str, decimals: int = 6) -> str:
     """Same half-up rounding as registry.round_half_up."""
     scale = float(10 ** decimals)
-    return f"(CAST(floor(({expr}) * {scale} + 0.5) AS DOUBLE) / {scale} + 0.0)"
+    return (f"(CASE WHEN abs({expr}) * {scale} < {float(2 ** 53)} "
+            f"THEN CAST(floor(({expr}) * {scale} + 0.5) AS DOUBLE) / {scale} ELSE ({expr}) END + 0.0)")
 
 
 def r6(expr: str, alias: str) -> str:
@@ -68,7 +69,8 @@ SELECT {cc('n.n_nationkey')} AS country_code, n.n_name AS country_name, r.r_name
 FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""")
 
 cte("s_pairs", ["s_dim_country"], f"""
-SELECT country_code, unnest([{sql_list(FIXTURE_SECTORS)}]) AS sector_id FROM s_dim_country""")
+SELECT c.country_code, s.sector_id FROM s_dim_country c,
+  (SELECT DISTINCT lower(p_type) AS sector_id FROM part) s""")
 
 def cents(expr: str) -> str:
     return f"CAST(round({expr} * 100) AS BIGINT)"
@@ -87,9 +89,9 @@ SELECT {cc('c.c_nationkey')} AS country_code, {month('o.o_orderdate')} AS month,
               'count(o.o_orderstatus)')} AS unemployment_rate,
        {ratio(f"sum({cents('c.c_acctbal')})", 'count(c.c_acctbal) * 10000')} AS trade_balance,
        {ratio(f"sum(CASE WHEN l.l_quantity IS NOT NULL THEN {cents('l.l_extendedprice')} END)",
-              'sum(CASE WHEN l.l_extendedprice IS NOT NULL THEN CAST(round(l.l_quantity) AS BIGINT) END) * 100')}
+              f"sum(CASE WHEN l.l_extendedprice IS NOT NULL THEN {cents('l.l_quantity')} END)")}
          AS reer,
-       {ratio('sum(CAST(round(l.l_quantity) AS BIGINT))', 'count(l.l_quantity)')} AS fdi_net_inflow,
+       {ratio(f"sum({cents('l.l_quantity')})", 'count(l.l_quantity) * 100')} AS fdi_net_inflow,
        {ratio("100 * sum(CASE WHEN l.l_returnflag = 'R' THEN 1 ELSE 0 END)",
               'count(l.l_returnflag)')} AS gov_debt_pct_gdp
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
@@ -98,7 +100,7 @@ GROUP BY 1, 2""")
 
 cte("s_macro_global", [], f"""
 SELECT {month('l_shipdate')} AS month,
-       {ratio('sum(CAST(round(l_quantity) AS BIGINT))', 'count(l_quantity)')} AS usd_index,
+       {ratio(f"sum({cents('l_quantity')})", 'count(l_quantity) * 100')} AS usd_index,
        {ratio(f"sum({cents('l_tax')})", 'count(l_tax)')} AS treasury_yield_10y,
        {ratio(f"sum({cents('l_discount')})", 'count(l_discount)')} AS fed_funds_rate_global
 FROM lineitem GROUP BY 1""")
@@ -136,7 +138,7 @@ FROM (SELECT * FROM s_macro_levels UNION ALL SELECT * FROM s_real_rate) u""")
 cte("s_sector_month", [], f"""
 SELECT lower(p.p_type) AS sector_id, {month('l.l_shipdate')} AS month,
        {ratio(f"sum(CASE WHEN l.l_quantity IS NOT NULL THEN {cents('l.l_extendedprice')} END)",
-              'sum(CASE WHEN l.l_extendedprice IS NOT NULL THEN CAST(round(l.l_quantity) AS BIGINT) END) * 100')}
+              f"sum(CASE WHEN l.l_extendedprice IS NOT NULL THEN {cents('l.l_quantity')} END)")}
          AS price_index,
        {ratio(f"sum({cents('l.l_extendedprice')} * (100 - {cents('l.l_discount')}))", '10000')}
          AS valuation_index

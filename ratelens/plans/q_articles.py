@@ -308,23 +308,40 @@ def j10(spark: SparkSession, sf: str) -> DataFrame:
     return finish(training_rows(spark, sf))
 
 
-def split_flag(key, seed: str = SPLIT_SEED, train_share: float = 0.7):
-    """train/test assignment by a seeded hash of the row key, applied
-    within each class (stratified in expectation, no global ranking)."""
-    h = F.conv(F.substring(F.sha2(F.concat_ws("|", F.lit(seed), key), 256), 1, 8), 16, 10)
-    return (h.cast("bigint") % 10000) < int(train_share * 10000)
+SPLIT_BINS = 4096
+
+
+def stratified_split(rows: DataFrame, key: str, cls: str, seed: str = SPLIT_SEED,
+                     train_share: float = 0.7) -> DataFrame:
+    """``rows`` with ``is_train``: in every class exactly the
+    floor(share * n) rows with the smallest seeded hashes (ties by key).
+
+    Hashes fall into bins; a running count over the bins of a class says where
+    its quota ends, so only rows of one bin are ever ranked together."""
+    h = F.conv(F.substring(F.sha2(F.concat_ws("|", F.lit(seed), F.col(key)), 256), 1, 8), 16, 10).cast("bigint")
+    d = rows.withColumn("_h", h).withColumn("_bin", F.floor(F.col("_h") * SPLIT_BINS / (1 << 32)).cast("int"))
+    counts = d.groupBy(F.col(cls).alias("_c"), F.col("_bin").alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
+    per_class = Window.partitionBy("_c")
+    quota = counts.select("_c", "_b",
+                          (F.sum("_n").over(per_class.orderBy("_b")) - F.col("_n")).alias("_before"),
+                          F.floor(F.sum("_n").over(per_class) * F.lit(train_share) + F.lit(1e-9)).alias("_quota"))
+    d = d.withColumn("_rank", F.row_number().over(Window.partitionBy(cls, "_bin").orderBy("_h", key)))
+    d = d.join(quota, d[cls].eqNullSafe(quota["_c"]) & (d["_bin"] == quota["_b"]))
+    return d.withColumn("is_train", F.col("_before") + F.col("_rank") <= F.col("_quota")).select(*rows.columns, "is_train")
 
 
 @register("w12_stratified_split", lambda: O.with_ctes(f"""
 SELECT country_code, period, contractionary_actual,
-       (CAST('0x' || substr(sha256('{SPLIT_SEED}' || '|' || country_code || '|' || strftime(period, '%Y-%m-%d')), 1, 8)
-             AS UBIGINT) % 10000) < 7000 AS is_train
-FROM s_train""", "s_train"))
+       row_number() OVER (PARTITION BY contractionary_actual ORDER BY h, k)
+         <= floor(0.7 * count(*) OVER (PARTITION BY contractionary_actual) + 1e-9) AS is_train
+FROM (SELECT *, country_code || '|' || strftime(period, '%Y-%m-%d') AS k,
+             CAST('0x' || substr(sha256('{SPLIT_SEED}' || '|' || country_code || '|' || strftime(period, '%Y-%m-%d')), 1, 8)
+                  AS UBIGINT) AS h FROM s_train) t""", "s_train"))
 def w12(spark: SparkSession, sf: str) -> DataFrame:
     t = training_rows(spark, sf)
     key = F.concat_ws("|", "country_code", F.date_format("period", "yyyy-MM-dd"))
-    return finish(t.select("country_code", "period", "contractionary_actual",
-                           split_flag(key).alias("is_train")))
+    split = stratified_split(t.withColumn("_key", key), "_key", "contractionary_actual")
+    return finish(split.select("country_code", "period", "contractionary_actual", "is_train"))
 
 
 # ------------------------------------------------------- queue and budget

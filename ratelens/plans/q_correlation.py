@@ -329,7 +329,7 @@ SELECT {_HIST_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY country_code
   rate_basis, target_variable ORDER BY computed_at DESC) AS rn FROM hist) t WHERE rn = 1"""))
 def w05(spark: SparkSession, sf: str) -> DataFrame:
     h = _history(spark, sf)
-    w = Window.partitionBy(*KEYS4).orderBy(F.col("computed_at").desc())
+    w = Window.partitionBy(*KEYS4).orderBy(F.col("computed_at").desc(), "result_id")
     latest = h.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
     return finish(latest.select("result_id", "country_code", "sector_id", "rate_basis",
                                 "target_variable", "control_set", "date_range_start",

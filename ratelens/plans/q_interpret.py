@@ -43,23 +43,20 @@ def cache_key_sql() -> str:
 def text_sql() -> str:
     tgt = ("(CASE WHEN target_variable = 'equity_valuation' THEN sector_name || ' sector valuation' "
            "ELSE sector_name || ' spot price' END)")
-    ctrl = ("(CASE WHEN coalesce(control_set, '') = '' THEN 'with no control variable' ELSE "
-            "'holding ' || replace(control_set, '_', ' ') || ' constant' END)")
-    s1 = ("'A ' || rate_basis || ' rate increase in ' || country_name || ' goes with a ' || "
-          "(CASE WHEN partial_r >= 0 THEN 'rise' ELSE 'decline' END) || ' in ' || " + tgt
-          + " || ', ' || " + ctrl + " || ' (partial r = ' || " + fixed_sql("partial_r", 2, True)
-          + " || ').'")
-    s2 = ("'At |r| = ' || " + fixed_sql("abs(partial_r)", 2) + " || ' the relationship is ' || "
-          + band_sql("partial_r") + " || '.'")
-    s3 = ("(CASE WHEN p_value < 0.05 THEN 'p = ' || " + fixed_sql("p_value", 3)
-          + " || ' is below 0.05: unlikely to be chance alone.' ELSE 'p = ' || "
-          + fixed_sql("p_value", 3) + " || ' is not below 0.05: consistent with chance.' END)")
-    s4 = ("'R-squared = ' || " + fixed_sql("r_squared", 2) + " || ': about ' || "
-          "CAST(CAST(floor(r_squared * 100 + 0.5) AS BIGINT) AS VARCHAR) || "
-          "'% of the monthly variation in ' || " + tgt + " || ' is explained.'")
-    s5 = ("(CASE WHEN lag = 0 THEN 'The best fit is at zero lag, in the same month.' ELSE "
-          "'The best fit is at a ' || CAST(lag AS VARCHAR) || '-month lag.' END)")
-    return f"concat_ws(' ', {s1}, {s2}, {s3}, {s4}, {s5})"
+    delay = ("(CASE WHEN lag = 0 THEN 'within the same month' WHEN lag = 1 THEN 'one month later' "
+             "ELSE CAST(lag AS VARCHAR) || ' months later' END)")
+    timing = ("'Timing: ' || rate_basis || ' rate moves of ' || country_name || ' line up best with the ' || "
+              + tgt + " || ' measured ' || " + delay + " || '.'")
+    link = ("'Link: ' || " + band_sql("partial_r") + " || ', the two tend to move ' || (CASE WHEN partial_r >= 0 "
+            "THEN 'together' ELSE 'in opposite directions' END) || ' (partial r ' || "
+            + fixed_sql("partial_r", 2, True) + " || ').'")
+    evidence = ("'Evidence: p ' || " + fixed_sql("p_value", 3) + " || (CASE WHEN p_value < 0.05 THEN "
+                "' passes the 0.05 level.' ELSE ' fails the 0.05 level, so chance remains an adequate account.' END)")
+    share = ("'Share: the fit covers ' || CAST(CAST(floor(r_squared * 100 + 0.5) AS BIGINT) AS VARCHAR) || "
+             "'% of month-to-month changes (R2 ' || " + fixed_sql("r_squared", 2) + " || ').'")
+    control = ("'Control: ' || (CASE WHEN coalesce(control_set, '') = '' THEN 'none (raw correlation only)' ELSE "
+               "replace(control_set, '_', ' ') END) || '.'")
+    return f"concat_ws(' ', {timing}, {link}, {evidence}, {share}, {control})"
 
 
 _LABELLED = """

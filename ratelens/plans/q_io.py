@@ -106,9 +106,8 @@ def l05(spark: SparkSession, sf: str) -> DataFrame:
     macro = sink.write_snapshot(star.fact_macro_indicator, f"{root}/fact_macro_indicator")
     price = sink.write_snapshot(star.fact_commodity_price, f"{root}/fact_commodity_price")
     val = sink.write_snapshot(star.fact_equity_valuation, f"{root}/fact_equity_valuation")
-    landed = Star(spark, sf)
-    landed.__dict__["fact_macro_indicator"] = spark.read.parquet(macro)
-    landed.__dict__["market"] = pn.combine_market(spark.read.parquet(price), spark.read.parquet(val))
+    landed = star.with_facts(spark.read.parquet(macro),
+                             pn.combine_market(spark.read.parquet(price), spark.read.parquet(val)))
     from ..operators import correlate as co
     res = co.result_rows(correlation_batch(landed), "refresh", "2024-03-03 08:00:00")
     sink.append_results(res, f"{root}/fact_correlation_result")

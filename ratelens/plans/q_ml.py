@@ -12,7 +12,7 @@ from ..operators import panel as pn
 from ..operators import regression as rg
 from . import oracle as O
 from .correlation import correlation_batch
-from .q_articles import split_flag, training_rows
+from .q_articles import stratified_split, training_rows
 from .registry import finish, register
 from .star import Star
 
@@ -234,7 +234,7 @@ def g19(spark: SparkSession, sf: str) -> DataFrame:
     articles -> a rise) on the held-out split."""
     t = training_rows(spark, sf)
     key = F.concat_ws("|", "country_code", F.date_format("period", "yyyy-MM-dd"))
-    test = t.where(~split_flag(key)).withColumn(
+    test = t.where(~stratified_split(key)).withColumn(
         "predicted", F.when(F.col("pct_contractionary") > F.col("pct_expansionary"), 1).otherwise(0))
     rep = rg.classification_report(test, "contractionary_actual", "predicted")
     return finish(rep.select("cls", "support", "tp", "fp", "fn", "precision", "recall", "accuracy",
@@ -251,10 +251,7 @@ FROM m2 m LEFT JOIN result r USING (country_code, sector_id, rate_basis, target_
     "s_leads"))
 def j12(spark: SparkSession, sf: str) -> DataFrame:
     star = Star(spark, sf)
-    models = star.pairs.select("country_code", "sector_id",
-                               F.explode(F.array(*[F.lit(b) for b in RATE_BASES])).alias("rate_basis"),
-                               F.explode(F.array(*[F.lit(t) for t in TARGET_NAMES])).alias("target_variable")) \
-        if False else star.pairs.select(
+    models = star.pairs.select(
             "country_code", "sector_id",
             F.explode(F.array(*[F.struct(F.lit(b).alias("rate_basis"), F.lit(t).alias("target_variable"))
                                 for b in RATE_BASES for t in TARGET_NAMES])).alias("m")) \
@@ -304,7 +301,7 @@ def q12(spark: SparkSession, sf: str) -> DataFrame:
 def _classifier(spark: SparkSession, sf: str):
     t = training_rows(spark, sf)
     key = F.concat_ws("|", "country_code", F.date_format("period", "yyyy-MM-dd"))
-    t = t.withColumn("is_train", split_flag(key))
+    t = stratified_split(t.withColumn("_key", key), "_key", "contractionary_actual").drop("_key")
     feats = ["pct_contractionary", "pct_expansionary", "avg_sentiment"]
     return md.direction_classifier(t.where("is_train"), t.where(~F.col("is_train")), feats,
                                    "contractionary_actual")

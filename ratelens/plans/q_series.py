@@ -15,7 +15,6 @@ from . import oracle as O
 from .registry import finish, register
 from .star import Star
 
-THROUGH = "2001-12-01"
 MF = ["record_id", "date_key", "country_code", "indicator_id", "value", "value_change",
       "is_interpolated"]
 
@@ -92,7 +91,7 @@ def q08(spark: SparkSession, sf: str) -> DataFrame:
 O.cte("s_instruments", [], f"""
 SELECT lower(p.p_type) AS sector_id, l.l_shipdate AS ts,
        l.l_orderkey * 10 + l.l_linenumber AS instrument_id,
-       {O.ratio(O.cents('l.l_extendedprice'), 'CAST(round(l.l_quantity) AS BIGINT) * 100')} AS close
+       {O.ratio(O.cents('l.l_extendedprice'), O.cents('l.l_quantity'))} AS close
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey""")
 
 
@@ -109,25 +108,29 @@ def g05(spark: SparkSession, sf: str) -> DataFrame:
     return finish(se.last_per_month(h, ["sector_id"], "ts", "close", tiebreak="instrument_id"))
 
 
+def _sheet_sectors(spark: SparkSession, sf: str) -> list[str]:
+    """The sheet's columns are the sector dimension (a few configured names)."""
+    return [r["sector_id"] for r in ts.dim_sector(spark, sf).select("sector_id").orderBy("sector_id").collect()]
+
+
 def _sheet(spark: SparkSession, sf: str) -> DataFrame:
     """The monthly price sheet in its landed wide shape: one ``yyyyMmm``
     period column and one column per commodity (here: per sector)."""
     lv = ts.commodity_levels(spark, sf)
-    wide = (lv.groupBy("month").pivot("sector_id", ts.FIXTURE_SECTORS).agg(F.max("price_index")))
-    cols = {s: s.capitalize() for s in ts.FIXTURE_SECTORS}
+    sectors = _sheet_sectors(spark, sf)
+    wide = lv.groupBy("month").pivot("sector_id", sectors).agg(F.max("price_index"))
+    cols = {s: s.capitalize() for s in sectors}
     return wide.select(F.date_format("month", "yyyy'M'MM").alias("period"),
                        *[F.col(s).alias(c) for s, c in cols.items()])
 
 
-SHEET_MAP = {s: s.capitalize() for s in ts.FIXTURE_SECTORS} | {"unlisted": "NotInSheet"}
-
-
 @register("s06_sheet_unpivot", lambda: O.with_ctes(
     "SELECT sector_id, strftime(month, '%Y-%m') AS date_key, month, "
     + O.r6("price_index", "price_index") + " FROM s_sector_month WHERE price_index IS NOT NULL",
     "s_sector_month"))
 def s06(spark: SparkSession, sf: str) -> DataFrame:
-    return finish(landed.sheet_to_long(_sheet(spark, sf), SHEET_MAP))
+    mapping = {s: s.capitalize() for s in _sheet_sectors(spark, sf)} | {"unlisted": "NotInSheet"}
+    return finish(landed.sheet_to_long(_sheet(spark, sf), mapping))
 
 
 @register("f08_period_code", lambda: O.with_ctes("""
@@ -148,7 +151,7 @@ FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1, 2, 3""")
 O.cte("s_annual_monthly", ["s_annual"], f"""
 SELECT cal.country_code, cal.indicator_id, cal.month, a.value, true AS is_interpolated
 FROM (SELECT country_code, indicator_id,
-             unnest(generate_series(make_date(min(year), 1, 1), DATE '{THROUGH}',
+             unnest(generate_series(make_date(min(year), 1, 1), (SELECT make_date(max(year), 12, 1) FROM s_annual),
                                     INTERVAL 1 MONTH))::DATE AS month
       FROM s_annual GROUP BY 1, 2) cal
 ASOF LEFT JOIN (SELECT *, make_date(year, 1, 1) AS ystart FROM s_annual) a
@@ -161,7 +164,7 @@ ASOF LEFT JOIN (SELECT *, make_date(year, 1, 1) AS ystart FROM s_annual) a
     + ", is_interpolated FROM s_annual_monthly WHERE value IS NOT NULL", "s_annual_monthly"))
 def j08(spark: SparkSession, sf: str) -> DataFrame:
     a = ts.annual_levels(spark, sf)
-    return finish(se.annual_to_monthly(a, THROUGH).select(
+    return finish(se.annual_to_monthly(a, se.last_december(a)).select(
         "country_code", "indicator_id", "month", "value", "is_interpolated"))
 
 
@@ -174,7 +177,8 @@ FROM (SELECT country_code, indicator_id, month, value, is_interpolated FROM s_ma
     "s_macro_levels", "s_real_rate", "s_annual_monthly"))
 def u01(spark: SparkSession, sf: str) -> DataFrame:
     star = Star(spark, sf)
-    annual = (se.annual_to_monthly(ts.annual_levels(spark, sf), THROUGH)
+    levels = ts.annual_levels(spark, sf)
+    annual = (se.annual_to_monthly(levels, se.last_december(levels))
               .withColumn("indicator_id", F.lit("gdp_growth_annual")))
     monthly = star.macro_levels.drop("is_interpolated")  # flag defaults in the union
     u = se.union_series(monthly, se.derive_real_rate(star.macro_levels), annual)

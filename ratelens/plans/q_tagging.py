@@ -57,10 +57,10 @@ SELECT doc_id, n_words,
        WHEN {_cnt(tg.DOVE_WORDS)} > {_cnt(tg.HAWK_WORDS)} THEN 'expansionary'
        ELSE 'neutral' END AS policy_stance,
   len(countries) AS n_countries
-FROM (SELECT doc_id, regexp_split_to_array(lower(text), '[^a-z]+') AS toks,
-             len(list_filter(regexp_split_to_array(lower(text), '[^a-z]+'), lambda t: length(t) >= 2))
+FROM (SELECT doc_id, regexp_split_to_array(lower(text), '[^\\p{{L}}]+') AS toks,
+             len(list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}]+'), lambda t: length(t) >= 2))
                AS n_words,
-             list_sort(list_distinct(list_filter(regexp_split_to_array(text, '[^A-Za-z]+'),
+             list_sort(list_distinct(list_filter(regexp_split_to_array(text, '[^\\p{{L}}]+'),
                                                  lambda t: regexp_full_match(t, '[A-Z]{{2}}'))))
                AS countries
       FROM documents) d""")
@@ -150,14 +150,16 @@ def p08(spark: SparkSession, sf: str) -> DataFrame:
                            F.size(ar.vocab_violations(sub, POLICY_SUBTYPES)).alias("n_invalid_subtype")))
 
 
-@register("f23_duplicate_titles", """
-SELECT title_hash, count(*) AS n_docs, min(doc_id) AS first_id FROM (
-  SELECT doc_id, sha256(regexp_replace(lower(split_part(text, chr(10), 1)), '[^a-z]', '', 'g'))
-           AS title_hash FROM documents) t
-GROUP BY 1 HAVING count(*) > 1""")
+@register("f23_duplicate_titles", r"""
+SELECT sha256(title) AS title_hash, count(*) AS n_docs, min(page_id) AS first_id FROM (
+  SELECT page_id, regexp_replace(lower(regexp_extract(html, '<title>(.*?)</title>', 1)), '[^\p{L}\p{N}]', '', 'g')
+           AS title FROM pages) t
+WHERE title <> '' GROUP BY 1 HAVING count(*) > 1""")
 def f23(spark: SparkSession, sf: str) -> DataFrame:
-    docs = ts.read(spark, sf, "documents", "doc_id", "text")
-    return finish(tg.duplicate_titles(docs, "doc_id", "text"))
+    """Near-duplicate titles of the pages."""
+    pages = ts.read(spark, sf, "pages", "page_id", "html")
+    titled = pages.select("page_id", F.regexp_extract("html", r"<title>(.*?)</title>", 1).alias("title"))
+    return finish(tg.duplicate_titles(titled, "page_id", "title"))
 
 
 def _rfc(spark: SparkSession, sf: str) -> DataFrame:

@@ -80,11 +80,22 @@ class Star:
 
     # panel
     @cached_property
-    def macro_wide(self) -> DataFrame:
+    def fact_macro_country(self) -> DataFrame:
         # the panel only uses country series: filtering the levels first lets
         # Catalyst drop the global-series scan (windows partition by country)
-        country = self.macro_levels.where(F.col("country_code").isNotNull())
-        return pn.macro_wide(se.macro_fact(country))
+        return se.macro_fact(self.macro_levels.where(F.col("country_code").isNotNull()))
+
+    @cached_property
+    def macro_wide(self) -> DataFrame:
+        return pn.macro_wide(self.fact_macro_country)
+
+    def with_facts(self, macro: DataFrame, market: DataFrame) -> "Star":
+        """A star whose panel reads the given landed facts."""
+        other = Star(self.spark, self.sf)
+        other.__dict__["fact_macro_indicator"] = macro
+        other.__dict__["fact_macro_country"] = macro.where(F.col("country_code").isNotNull())
+        other.__dict__["market"] = market
+        return other
 
     @cached_property
     def market(self) -> DataFrame:

@@ -47,13 +47,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting points at shared storage and is only read.  When
-    it is unset (local tests) a private scratch folder is created and set.
+    it is unset in local mode (tests) a private scratch folder is created and
+    set; on a cluster an unset folder is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     local = tempfile.mkdtemp(prefix="ratelens-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)

@@ -63,14 +63,19 @@ def write_snapshot(df: DataFrame, root: str, table: str | None = None,
 
 
 def append_results(results: DataFrame, path: str) -> None:
-    """Append a run's results, partitioned by run date; ids are
-    content-derived, so a retried run rewrites the same ids."""
-    results.write.mode("append").partitionBy("run_date").parquet(path)
+    """Add a run's results in partitions of its own (date and time of the
+    run).  Only those partitions are replaced, so a retried run leaves one copy
+    and other runs stay."""
+    run = F.concat(F.lit("r"), F.date_format("computed_at", "yyyyMMddHHmmss"))
+    (results.withColumn("run_key", run).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("run_date", "run_key").parquet(path))
 
 
 def write_raw_batch(articles: DataFrame, path: str, run_ts_col: str = "run_ts") -> None:
-    """Raw landing of a run's articles as JSON lines, one folder per run."""
-    articles.write.mode("append").partitionBy(run_ts_col).json(path)
+    """Raw landing of a run's articles as JSON lines, one folder per run; a
+    retried run replaces its own folder."""
+    (articles.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(run_ts_col).json(path))
 
 
 def write_dead_letter(rows: DataFrame, path: str) -> None:

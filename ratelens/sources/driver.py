@@ -19,18 +19,10 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-_SCANS: dict[tuple[int, str], DataFrame] = {}
-
-
 def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """Scan of one driver table, projected to ``columns``.  The resolved
-    relation (file listing + footer schema) is reused per session and path;
-    every caller still gets its own lazily composed plan."""
-    key = (id(spark._jsparkSession), table_path(sf_dir, name))
-    df = _SCANS.get(key)
-    if df is None:
-        df = spark.read.parquet(key[1])
-        _SCANS[key] = df
+    """Scan of one driver table, projected to ``columns``.  Files are listed
+    anew on every call, so an append is seen."""
+    df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df
 
 

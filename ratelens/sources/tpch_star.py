@@ -42,7 +42,9 @@ N_SOURCES = 20
 
 
 def country_code(nationkey: Column) -> Column:
-    return F.concat(F.lit("N"), F.lpad(nationkey.cast("string"), 2, "0"))
+    """``N`` and the key, padded to two digits at least."""
+    key = nationkey.cast("string")
+    return F.concat(F.lit("N"), F.when(F.length(key) < 2, F.concat(F.lit("0"), key)).otherwise(key))
 
 
 def month_of(ts: Column) -> Column:
@@ -83,12 +85,11 @@ def pairs(spark: SparkSession, sf: str) -> DataFrame:
     """Configured (country, sector) analysis pairs: every nation x part type.
 
     The pair list is configuration (its size is #countries x #sectors, not a
-    function of the fact data); it is produced by exploding the fixture's
-    sector list per country.
+    function of the fact data); the sector dimension is gathered into one
+    array and exploded per country.
     """
-    return (dim_country(spark, sf)
-            .select("country_code",
-                    F.explode(F.array(*[F.lit(s) for s in FIXTURE_SECTORS])).alias("sector_id")))
+    sectors = dim_sector(spark, sf).agg(F.sort_array(F.collect_set("sector_id"))).scalar()
+    return dim_country(spark, sf).select("country_code", F.explode(sectors).alias("sector_id"))
 
 
 # ------------------------------------------------------------- macro series
@@ -113,9 +114,9 @@ def _order_level(spark: SparkSession, sf: str) -> DataFrame:
         F.sum(cents(F.col("l_tax"))).alias("s_tax"), F.count("l_tax").alias("c_tax"),
         F.sum(F.when(F.col("l_quantity").isNotNull(), cents(F.col("l_extendedprice"))))
         .alias("s_ep"),
-        F.sum(F.when(F.col("l_extendedprice").isNotNull(), F.round("l_quantity").cast("bigint")))
+        F.sum(F.when(F.col("l_extendedprice").isNotNull(), cents(F.col("l_quantity"))))
         .alias("s_qty_ep"),
-        F.sum(F.round("l_quantity").cast("bigint")).alias("s_qty"),
+        F.sum(cents(F.col("l_quantity"))).alias("s_qty"),
         F.count("l_quantity").alias("c_qty"),
         F.sum((F.col("l_returnflag") == "R").cast("int")).alias("s_ret"),
         F.count("l_returnflag").alias("c_ret"),
@@ -155,8 +156,8 @@ def macro_levels(spark: SparkSession, sf: str) -> DataFrame:
               wcnt(F.col("o_orderstatus"))).alias("unemployment_rate"),
         ratio(wsum(cents(F.col("c_acctbal"))), wcnt(F.col("c_acctbal")) * 10000)
         .alias("trade_balance"),
-        ratio(F.sum("s_ep"), F.sum("s_qty_ep") * 100).alias("reer"),
-        ratio(F.sum("s_qty"), F.sum("c_qty")).alias("fdi_net_inflow"),
+        ratio(F.sum("s_ep"), F.sum("s_qty_ep")).alias("reer"),
+        ratio(F.sum("s_qty"), F.sum("c_qty") * 100).alias("fdi_net_inflow"),
         ratio(F.sum("s_ret") * 100, F.sum("c_ret")).alias("gov_debt_pct_gdp"),
     )
     names = ["policy_rate", "cpi_inflation", "gdp_growth", "unemployment_rate",
@@ -165,7 +166,7 @@ def macro_levels(spark: SparkSession, sf: str) -> DataFrame:
 
     li = read(spark, sf, "lineitem", "l_shipdate", "l_quantity", "l_tax", "l_discount")
     glob = (li.groupBy(month_of(F.col("l_shipdate")).alias("month")).agg(
-        ratio(F.sum(F.round("l_quantity").cast("bigint")), F.count("l_quantity")).alias("usd_index"),
+        ratio(F.sum(cents(F.col("l_quantity"))), F.count("l_quantity") * 100).alias("usd_index"),
         ratio(F.sum(cents(F.col("l_tax"))), F.count("l_tax")).alias("treasury_yield_10y"),
         ratio(F.sum(cents(F.col("l_discount"))), F.count("l_discount"))
         .alias("fed_funds_rate_global"))
@@ -207,9 +208,9 @@ def _sector_month(spark: SparkSession, sf: str) -> DataFrame:
     # stay on the fast fixed-width path (DECIMAL(38) would use BigDecimal)
     revenue = cents(F.col("l_extendedprice")) * (F.lit(100) - cents(F.col("l_discount")))
     ep = F.when(F.col("l_quantity").isNotNull(), cents(F.col("l_extendedprice")))
-    qty = F.when(F.col("l_extendedprice").isNotNull(), F.round("l_quantity").cast("bigint"))
+    qty = F.when(F.col("l_extendedprice").isNotNull(), cents(F.col("l_quantity")))
     return (j.groupBy(F.lower("p_type").alias("sector_id"), month_of(F.col("l_shipdate")).alias("month"))
-            .agg(ratio(F.sum(ep), F.sum(qty) * 100).alias("price_index"),
+            .agg(ratio(F.sum(ep), F.sum(qty)).alias("price_index"),
                  ratio(F.sum(revenue), F.lit(10000)).alias("valuation_index")))
 
 
@@ -241,7 +242,7 @@ def instrument_history(spark: SparkSession, sf: str) -> DataFrame:
                     F.col("l_shipdate").alias("ts"),
                     (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("instrument_id"),
                     ratio(cents(F.col("l_extendedprice")),
-                          F.round("l_quantity").cast("bigint") * 100).alias("close")))
+                          cents(F.col("l_quantity"))).alias("close")))
 
 
 # ------------------------------------------------------------------ articles

@@ -32,17 +32,28 @@ def _state(spark: SparkSession, root: str, name: str, batch_id: int, schema: T.S
     return spark.read.schema(schema).parquet(f"{root}/{name}/batch={batch_id}")
 
 
-def queue_writer(root: str, budget: int = DAILY_EXTRACTION_BUDGET):
+def newest_day(batch: DataFrame, batch_id: int) -> str | None:
+    """The day of the newest article of a batch (None: no article)."""
+    newest = batch.agg(F.max("published")).first()[0]
+    return None if newest is None else newest.strftime("%Y-%m-%d")
+
+
+def queue_writer(root: str, budget: int = DAILY_EXTRACTION_BUDGET, run_day_of=newest_day):
     """``foreachBatch`` function over article rows (article_id, source_url,
-    published).  The run day and the calls already spent that day are two
-    scalars read per batch; the slice is a top-k (``orderBy().limit(k)``,
-    k <= budget) -- each task keeps its own k, never a global sort."""
+    published).  ``run_day_of(batch, batch_id)`` names the day whose budget the
+    run spends -- a scheduler passes its own clock, so a batch without articles
+    drains the backlog; by default the newest article tells, and an empty batch
+    only carries the state on.  The calls already spent that day are one scalar
+    read per batch; the slice is a top-k (``orderBy().limit(k)``, k <= budget)
+    -- each task keeps its own k, never a global sort."""
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        newest = batch.agg(F.max("published")).first()[0]
-        if newest is None:
+        run_day = run_day_of(batch, batch_id)
+        if run_day is None:
+            for name, schema in (("queue", QUEUE), ("budget", BUDGET)):
+                _state(spark, root, name, batch_id - 1, schema).write.mode("overwrite").parquet(
+                    f"{root}/{name}/batch={batch_id}")
             return
-        run_day = newest.strftime("%Y-%m-%d")
         backlog = _state(spark, root, "queue", batch_id - 1, QUEUE)
         spent = _state(spark, root, "budget", batch_id - 1, BUDGET)
         used = spent.where(F.col("date_key") == run_day).agg(F.sum("calls_used")).first()[0] or 0
