@@ -4,11 +4,11 @@ Encoding.  Texts are cut into pre-tokens with their positions in blocks of
 about ``BLOCK_CHARS`` characters (whole texts; a longer text is a block of its
 own).  Within a block every distinct word stands for its positions: the
 texts become sequences of word codes, most frequent first.  The distinct words
-of all blocks are shuffled by word and sorted, so that each distinct word of
-the corpus is encoded exactly once, in a stream; its ids go back to the blocks
-that asked for it, where the texts are reassembled by position.  What moves is
-one row per (block, distinct word) and the compressed code sequences, not a
-row per token.  A word in every block costs as many rows as there are blocks.
+of all blocks are shuffled by a hash of the word, packed by (block, bucket); a
+word meets all its blocks in one bucket, where it is encoded once, and its ids
+go back to the blocks that asked, where the texts are reassembled by position.
+What moves is each block's distinct words, their ids and the compressed code
+sequences, not a row per token.  A word in every block costs one entry per block.
 
 Decoding looks ids up in the token-byte table (bounded by the vocabulary).
 
@@ -34,8 +34,11 @@ from pyspark.sql import types as T
 
 from . import pretokens
 
-BLOCK_CHARS = 16_000_000
-STEP_CHARS = 1_000_000
+BLOCK_CHARS = 8_000_000
+MIN_BUCKETS = 96
+BUCKET_BYTES = 32_000_000   # of text per bucket
+STEP_CHARS = 500_000
+DECODE_ROWS = 200
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -44,20 +47,27 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines) if token}
 
 
-def _pack(codes: np.ndarray) -> bytes:
-    """Codes as three compressed byte planes (codes stay below 2**24)."""
+def _squeeze(*parts: bytes) -> bytes:
     import zstandard
-    planes = codes.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3]
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes.T).tobytes())
+    head = np.array([len(parts), *map(len, parts)], dtype="<i8").tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(parts))
 
 
-def _unpack(blob: bytes) -> np.ndarray:
+def _unsqueeze(blob: bytes) -> list[bytes]:
     import zstandard
-    flat = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), dtype=np.uint8)
-    n = len(flat) // 3
-    out = np.zeros((n, 4), dtype=np.uint8)
-    out[:, :3] = flat.reshape(3, n).T
-    return out.reshape(-1).view("<u4")
+    raw = zstandard.ZstdDecompressor().decompress(blob)
+    n = int(np.frombuffer(raw[:8], "<i8")[0])
+    ends = np.cumsum(np.frombuffer(raw[8:8 + 8 * n], "<i8")) + 8 + 8 * n
+    return [raw[low:high] for low, high in zip([8 + 8 * n, *ends[:-1].tolist()], ends.tolist())]
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """32-bit values as byte planes, which compress well when values are small."""
+    return np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _values(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).reshape(-1).view("<u4")
 
 
 class _Block:
@@ -87,8 +97,8 @@ class _Block:
         self.keys += keys
         self.chars += len(cp)
 
-    def close(self) -> tuple[int, list[str], list, np.ndarray, np.ndarray]:
-        """Block hash, words by code, keys, tokens per text, codes."""
+    def close(self) -> tuple[int, list[str], np.ndarray, list, np.ndarray, np.ndarray]:
+        """Block hash, words and word hashes by code, keys, tokens per text, codes."""
         hashes = np.concatenate(self.hashes) if self.hashes else np.zeros(0, np.uint64)
         unique, at, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         counts = np.bincount(inverse, weights=np.concatenate(self.counts) if self.counts else None,
@@ -96,8 +106,6 @@ class _Block:
         order = np.lexsort((unique, -counts))
         rank = np.empty(len(order), dtype=np.uint32)
         rank[order] = np.arange(len(order), dtype=np.uint32)
-        if len(order) >= 1 << 24:
-            raise ValueError("a block holds more than 2**24 distinct words")
         codes, offset = [], 0
         for part, local in zip(self.hashes, self.codes):
             codes.append(rank[inverse[offset:offset + len(part)]][local])
@@ -105,11 +113,12 @@ class _Block:
         codes = np.concatenate(codes) if codes else np.zeros(0, np.uint32)
         lengths = np.concatenate(self.lengths) if self.lengths else np.zeros(0, np.int64)
         content = pretokens.mix(np.concatenate([unique, lengths.astype(np.uint64), codes[:1].astype(np.uint64)]))
-        return int(content.sum(dtype=np.uint64)), [self.words[i] for i in at[order]], self.keys, lengths, codes
+        words = [self.words[i] for i in at[order].tolist()]
+        return int(content.sum(dtype=np.uint64)), words, unique[order], self.keys, lengths, codes
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]):
-    """(block id, words, keys, lengths, codes) of one partition's texts."""
+    """(block id, words, word hashes, keys, lengths, codes) of one partition's texts."""
     from pyspark import TaskContext
     place, number = TaskContext.get().partitionId(), 0
     block, keys, texts, size = _Block(), [], [], 0
@@ -137,26 +146,36 @@ def _blocks(batches: Iterator[pa.RecordBatch]):
         yield finish()
 
 
-def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for block, words, *_ in _blocks(batches):
-        for at in range(0, len(words), 50_000):
-            part = words[at:at + 50_000]
+def _words(buckets: int):
+    """Each block's distinct words, packed by bucket: codes, lengths, UTF-8."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, words, hashes, *_ in _blocks(batches):
+            bucket = (hashes % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.flatnonzero(np.diff(bucket[order])) + 1
+            places, blobs = [], []
+            for part in np.split(order, cuts) if len(order) else []:
+                raw = [words[i].encode() for i in part.tolist()]
+                sizes = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
+                places.append(int(bucket[part[0]]))
+                blobs.append(_squeeze(_planes(np.diff(part, prepend=0)), _planes(sizes), b"".join(raw)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(part), block, np.int64)),
-                 pa.array(np.arange(at, at + len(part), dtype=np.int32)), pa.array(part, pa.string())],
-                names=["block", "code", "word"])
+                [pa.array([block] * len(places), pa.int64()), pa.array(places, pa.int64()), pa.array(blobs, pa.binary())],
+                names=["block", "bucket", "words"])
+    return run
 
 
 def _sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for block, _, keys, lengths, codes in _blocks(batches):
+    for block, _, _, keys, lengths, codes in _blocks(batches):
         ends = np.cumsum(lengths)
-        for at in range(0, len(keys), 500):
-            to = min(at + 500, len(keys))
+        for at in range(0, len(keys), 200):
+            to = min(at + 200, len(keys))
             low, high = (ends[at - 1] if at else 0), ends[to - 1]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([block], pa.int64()), pa.array([at], pa.int32()), pa.array([keys[at:to]], pa.list_(pa.int64())),
-                 pa.array([lengths[at:to].tolist()], pa.list_(pa.int32())), pa.array([_pack(codes[low:high])], pa.binary())],
-                names=["block", "at", "keys", "lengths", "codes"])
+                [pa.array([block], pa.int64()), pa.array([keys[at:to]], pa.list_(pa.int64())),
+                 pa.array([lengths[at:to].tolist()], pa.list_(pa.int32())),
+                 pa.array([_squeeze(_planes(codes[low:high]))], pa.binary())],
+                names=["block", "keys", "lengths", "codes"])
 
 
 def encode_texts(docs: DataFrame, ranks: dict[bytes, int], key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -169,50 +188,58 @@ def encode_texts(docs: DataFrame, ranks: dict[bytes, int], key: str = "doc_id",
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # one pattern match per word, so that merges never cross its ends
         bpe = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=shared.value, special_tokens={})
-        last, ids = None, b""
+        known: dict[int, dict[bytes, np.ndarray]] = {}
         for batch in batches:
             out = []
-            for word in batch.column(2).to_pylist():
-                if word != last:
-                    last, ids = word, np.array(bpe.encode_ordinary(word), dtype="<u4").tobytes()
-                out.append(ids)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())],
-                                             names=["block", "code", "ids"])
-
-    words = src.mapInArrow(_words, "block bigint, code int, word string")
-    coded = (words.repartition("word").sortWithinPartitions("word")
-             .mapInArrow(encode, "block bigint, code int, ids binary"))
-    sequences = src.mapInArrow(_sequences, "block bigint, at int, keys array<bigint>, lengths array<int>, codes binary")
+            for bucket, blob in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                memo = known.setdefault(bucket, {})
+                steps, sizes, flat = _unsqueeze(blob)
+                ids, at = [], 0
+                for size in _values(sizes).tolist():
+                    word = flat[at:at + size]
+                    at += size
+                    found = memo.get(word)
+                    if found is None:
+                        found = memo[word] = np.array(bpe.encode_ordinary(word.decode()), dtype="<u4")
+                    ids.append(found)
+                counts = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+                out.append(_squeeze(steps, _planes(counts), _planes(np.concatenate(ids))))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["block", "ids"])
+
+    volume = src.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
+    buckets = max(MIN_BUCKETS, int(volume) // BUCKET_BYTES)
+    words = src.mapInArrow(_words(buckets), "block bigint, bucket bigint, words binary")
+    coded = words.repartition(buckets, "bucket").mapInArrow(encode, "block bigint, ids binary")
+    sequences = src.mapInArrow(_sequences, "block bigint, keys array<bigint>, lengths array<int>, codes binary")
 
     def reassemble(left: pa.Table, right: pa.Table) -> pa.Table:
-        code = right.column("code").to_numpy()
-        blobs = right.column("ids").combine_chunks()
-        blobs = blobs if isinstance(blobs, pa.Array) else pa.concat_arrays(blobs.chunks)
-        size = np.zeros(len(code), dtype=np.int64)
-        offsets = np.frombuffer(blobs.buffers()[1], dtype=np.int32)[blobs.offset:blobs.offset + len(blobs) + 1] \
-            if len(blobs) else np.zeros(1, np.int32)
-        flat = np.frombuffer(blobs.buffers()[2], dtype=np.uint8)[offsets[0]:offsets[-1]].view("<u4") \
-            if len(blobs) and offsets[-1] > offsets[0] else np.zeros(0, "<u4")
-        start = np.zeros(len(code), dtype=np.int64)
-        start[code] = (offsets[:-1] - offsets[0]) // 4
-        size[code] = np.diff(offsets) // 4
-        keys, values, ends = [], [], [np.zeros(1, np.int64)]
-        total = 0
+        codes_at, sizes, flats = [], [], []
+        for blob in right.column("ids"):
+            steps, counts, flat = _unsqueeze(blob.as_py())
+            codes_at.append(np.cumsum(_values(steps), dtype=np.int64))
+            sizes.append(_values(counts).astype(np.int64))
+            flats.append(_values(flat))
+        none = np.zeros(0, np.int64)
+        code, count = np.concatenate([none, *codes_at]), np.concatenate([none, *sizes])
+        flat = np.concatenate([np.zeros(0, "<u4"), *flats])
+        start, size = np.zeros(len(code), np.int64), np.zeros(len(code), np.int64)
+        start[code] = np.cumsum(count) - count
+        size[code] = count
+        keys, values, ends, total = [], [], [np.zeros(1, np.int64)], 0
         for row_keys, row_lengths, row_codes in zip(left.column("keys"), left.column("lengths"), left.column("codes")):
-            codes = _unpack(row_codes.as_py())
+            codes = _values(_unsqueeze(row_codes.as_py())[0])
             if len(codes) and (len(code) == 0 or codes.max() >= len(code)):
                 raise ValueError("a block's words are incomplete")
             n = size[codes]
             at = np.cumsum(n)
             span = np.arange(at[-1] if len(at) else 0, dtype=np.int64)
             span += np.repeat(start[codes] - (at - n), n)
-            values.append(flat[span])
-            bounds = np.concatenate([[0], at])[np.cumsum(row_lengths.values.to_numpy())]
-            ends.append(total + bounds)
+            values.append(flat[span].astype(np.int32))
+            ends.append(total + np.concatenate([[0], at])[np.cumsum(row_lengths.values.to_numpy())])
             total += len(span)
             keys.append(row_keys.values)
-        ids = pa.ListArray.from_arrays(pa.array(np.concatenate(ends).astype(np.int32)),
-                                       pa.array(np.concatenate(values).astype(np.int32)))
+        pa.default_memory_pool().release_unused()
+        ids = pa.ListArray.from_arrays(pa.array(np.concatenate(ends).astype(np.int32)), pa.array(np.concatenate(values)))
         return pa.table({"doc_id": pa.concat_arrays(keys), "ids": ids})
 
     return (sequences.groupBy("block").cogroup(coded.groupBy("block"))
@@ -234,16 +261,19 @@ def decode_ids(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids") ->
         flat = np.frombuffer(shared.value[0], dtype=np.uint8)
         size = shared.value[1]
         start = np.cumsum(size) - size
-        for batch in batches:
-            out = []
-            for row in batch.column(position):
-                one = row.values.to_numpy() if row.is_valid else np.zeros(0, np.int32)
-                n = size[one]
-                at = np.cumsum(n)
-                span = np.arange(at[-1] if len(at) else 0, dtype=np.int64) + np.repeat(start[one] - (at - n), n)
-                out.append(flat[span].tobytes())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())],
-                                             names=[*batch.schema.names, "decoded"])
+        for whole in batches:
+            for low in range(0, whole.num_rows, DECODE_ROWS):
+                batch = whole.slice(low, DECODE_ROWS)
+                out = []
+                for row in batch.column(position):
+                    one = row.values.to_numpy() if row.is_valid else np.zeros(0, np.int32)
+                    n = size[one]
+                    at = np.cumsum(n)
+                    span = np.arange(at[-1] if len(at) else 0, dtype=np.int64) + np.repeat(start[one] - (at - n), n)
+                    out.append(flat[span].tobytes())
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())],
+                                                 names=[*batch.schema.names, "decoded"])
+            pa.default_memory_pool().release_unused()
 
     return encoded.mapInArrow(decode, schema)
 

@@ -24,14 +24,13 @@ def class_table() -> np.ndarray:
     """Class of every code point, by the ``regex`` library's properties."""
     import regex
     table = np.zeros(0x110000, dtype=np.uint8)
-    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
-    for cls, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
-        for m in regex.finditer(pattern, every):
-            low, high = ord(m[0][0]), ord(m[0][-1])
-            if high - low == len(m[0]) - 1:
-                table[low:high + 1] = cls
-            else:                                   # a run across the surrogate gap
-                table[[ord(c) for c in m[0]]] = cls
+    for low in range(0, 0x110000, 0x800):
+        if 0xD800 <= low < 0xE000:                  # surrogates are no characters
+            continue
+        every = np.arange(low, low + 0x800, dtype="<u4").tobytes().decode("utf-32-le")
+        for cls, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
+            for m in regex.finditer(pattern, every):
+                table[low + m.start():low + m.end()] = cls
     return table
 
 
