@@ -51,25 +51,17 @@ def tokens(text: Column) -> Column:
     return F.split(F.lower(text), r"[^\p{L}]+")
 
 
-def lexicon_groups(sectors: Sequence[str]) -> dict[str, list[str]]:
+def lexicon_groups(sectors: Sequence[str] | Mapping[str, Sequence[str]]) -> dict[str, list[str]]:
+    """Words per group; a sector without words of its own is found by its name."""
+    words = sectors if isinstance(sectors, Mapping) else {s: [s] for s in sectors}
     g = {"policy": POLICY_WORDS, "market": MARKET_WORDS, "hawk": HAWK_WORDS,
          "dove": DOVE_WORDS, "pos": POSITIVE_WORDS, "neg": NEGATIVE_WORDS}
     g.update({f"sub_{k}": v for k, v in SUBTYPE_WORDS.items()})
     g.update({f"mech_{k}": v for k, v in MECHANISM_WORDS.items()})
-    g.update({f"sec_{s}": [s] for s in sectors})
+    g.update({f"sec_{s}": list(w) for s, w in words.items()})
     return g
 
 
-def lexicon_table(spark, groups: Mapping[str, Sequence[str]]) -> DataFrame:
-    """One row per lexicon word with a 0/1 flag column per group (a word may
-    belong to several groups).  Fixed-size configuration, safe to broadcast."""
-    names = list(groups)
-    words = sorted({w for ws in groups.values() for w in ws})
-    rows = [(w, *[1 if w in groups[n] else 0 for n in names]) for w in words]
-    schema = "word string, " + ", ".join(f"`{n}` int" for n in names)
-    return spark.createDataFrame(rows, schema)
-
-
 def _tags_where(counts: Column, prefix: str, names: Sequence[str]) -> Column:
     return F.array_compact(F.array(*[F.when(counts[f"{prefix}{n}"] > 0, F.lit(n)) for n in names]))
 
@@ -81,48 +73,40 @@ def country_tokens(text: Column) -> Column:
     return F.array_sort(F.array_distinct(found))
 
 
-def lexicon_tagger(df: DataFrame, text_col: str, sectors: Sequence[str],
-                   id_col: str = "doc_id") -> DataFrame:
+def _within(hits: str, words: Sequence[str]) -> Column:
+    return F.filter(hits, lambda t: t.isin(list(words)))
+
+
+def lexicon_tagger(df: DataFrame, text_col: str, sectors: Sequence[str] | Mapping[str, Sequence[str]],
+                   id_col: str = "doc_id", countries: Mapping[str, str] | None = None) -> DataFrame:
     """X01 default over whole texts: returns ``(id, tags, error)`` with
     ``tags`` a TAG_RECORD struct (null when the text has no word).
+    ``countries`` maps two-letter codes in texts to country codes; other
+    capitals are no countries then (without it every such token is one).
 
-    Plan: the lower-cased text is split into tokens and exploded; each token
-    is looked up in the broadcast lexicon (left join, hash probe); one
-    aggregate per document counts words and lexicon hits per group.  Tokens
-    of one document are adjacent in their partition, so the partial
-    aggregate collapses them before the exchange."""
+    Everything stays in the document's row: the tokens are filtered once by
+    the whole lexicon, and the few hits are counted per group -- no row per
+    token, no shuffle."""
     groups = lexicon_groups(sectors)
-    names = list(groups)
-    lex = F.broadcast(lexicon_table(df.sparkSession, groups))
-    # Each document explodes into: one sentinel item (keeps documents without
-    # any hit), its lexicon candidates, and its country codes as "#XX" items
-    # (the text-level regex runs once per document in the generator input).
-    # After the broadcast probe only sentinels, hits and codes are kept, so
-    # the aggregate sees a few rows per document, not every token.
-    sentinel = "\u0001"
+    every = sorted({w for words in groups.values() for w in words})
     none = F.array().cast("array<string>")
-    items = F.concat(F.array(F.lit(sentinel)), F.coalesce(tokens(F.col(text_col)), none),
-                     F.coalesce(F.transform(country_tokens(F.col(text_col)),
-                                            lambda x: F.concat(F.lit("#"), x)), none))
-    n_words = F.regexp_count(F.lower(F.col(text_col)), F.lit(r"\p{L}{2,}"))
-    tok = df.select(F.col(id_col).alias("_id"), F.coalesce(n_words, F.lit(0)).alias("_nw"),
-                    F.explode(items).alias("_tok"))
-    hits = tok.join(lex, tok["_tok"] == lex["word"], "left")
-    is_cc = F.col("_tok").startswith("#")
-    hits = hits.where(F.col("word").isNotNull() | is_cc | (F.col("_tok") == sentinel))
-    counts = hits.groupBy("_id").agg(
-        F.max("_nw").alias("_n_words"),
-        F.array_sort(F.collect_set(F.when(is_cc, F.substring("_tok", 2, 2)))).alias("_countries"),
-        *[F.coalesce(F.sum(F.col(f"`{n}`")), F.lit(0)).alias(n) for n in names])
-    c = F.struct(*[F.col(f"`{n}`") for n in names])
-    d = counts.select("_id", "_n_words", "_countries", c.alias("_c"))
+    found = F.coalesce(country_tokens(F.col(text_col)), none)
+    if countries is not None:
+        names = F.create_map(*[F.lit(x) for kv in countries.items() for x in kv])
+        found = F.array_sort(F.array_distinct(F.array_compact(F.transform(found, lambda t: names[t]))))
+    d = df.select(F.col(id_col).alias("_id"),
+                  F.coalesce(F.regexp_count(F.lower(F.col(text_col)), F.lit(r"\p{L}{2,}")), F.lit(0)).alias("_n_words"),
+                  found.alias("_countries"),
+                  F.filter(F.coalesce(tokens(F.col(text_col)), none), lambda t: t.isin(every)).alias("_hits"))
+    c = F.struct(*[F.size(_within("_hits", words)).alias(n) for n, words in groups.items()])
+    d = d.select("_id", "_n_words", "_countries", c.alias("_c"))
     c = F.col("_c")
     policy = (c["policy"] > 0) & (c["policy"] >= c["market"])
     category = F.when(policy, F.lit("monetary_policy")).otherwise(F.lit("commodity_stocks"))
     stance = (F.when(~policy, F.lit("neutral"))
               .when(c["hawk"] > c["dove"], F.lit("contractionary"))
               .when(c["dove"] > c["hawk"], F.lit("expansionary")).otherwise(F.lit("neutral")))
-    sectors_hit = _tags_where(c, "sec_", sectors)
+    sectors_hit = _tags_where(c, "sec_", list(sectors))
     sentiment = round_half_up((c["pos"] - c["neg"]) / (c["pos"] + c["neg"] + 1), 4)
     tags = F.struct(
         category.alias("article_category"),

@@ -19,11 +19,16 @@ from .registry import finish, register
 from .star import Star
 
 SECTORS = ts.FIXTURE_SECTORS
+# Fixture: words and capitals of the invented texts that stand for sectors and
+# countries (N99 is in no dimension).
+SECTOR_WORDS = {"economy": ["with"], "large": ["from"], "medium": ["mit"], "promo": ["pour"],
+                "small": ["con"], "standard": ["auf"]}
+COUNTRY_CODES = {"IN": "N08", "IT": "N01", "DE": "N07", "ES": "N12", "ON": "N99"}
 
 
 def _tagged(spark: SparkSession, sf: str) -> DataFrame:
     docs = ts.read(spark, sf, "documents", "doc_id", "text")
-    return tg.lexicon_tagger(docs, "text", SECTORS)
+    return tg.lexicon_tagger(docs, "text", SECTOR_WORDS, countries=COUNTRY_CODES)
 
 
 def _in(words) -> str:
@@ -41,12 +46,13 @@ def _tags_sql(prefix_words: dict) -> str:
 
 _pol = f"({_cnt(tg.POLICY_WORDS)} > 0 AND {_cnt(tg.POLICY_WORDS)} >= {_cnt(tg.MARKET_WORDS)})"
 _first_sector = "coalesce(" + ", ".join(
-    f"CASE WHEN {_cnt([s])} > 0 THEN '{s}' END" for s in SECTORS) + ", '')"
+    f"CASE WHEN {_cnt(w)} > 0 THEN '{s}' END" for s, w in SECTOR_WORDS.items()) + ", '')"
+_country = "CASE t " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in COUNTRY_CODES.items()) + " END"
 O.cte("s_tagged", [], f"""
 SELECT doc_id, n_words,
   CASE WHEN {_pol} THEN 'monetary_policy' ELSE 'commodity_stocks' END AS article_category,
   array_to_string(countries, ',') AS country_codes,
-  {_tags_sql({s: [s] for s in SECTORS})} AS sector_tags,
+  {_tags_sql(SECTOR_WORDS)} AS sector_tags,
   CASE WHEN {_pol} THEN {_tags_sql(tg.SUBTYPE_WORDS)} ELSE '' END AS policy_subtype,
   {O.rnd(f"CAST({_cnt(tg.POSITIVE_WORDS)} - {_cnt(tg.NEGATIVE_WORDS)} AS DOUBLE) / ({_cnt(tg.POSITIVE_WORDS)} + {_cnt(tg.NEGATIVE_WORDS)} + 1)", 4)}
     AS sentiment_score,
@@ -56,13 +62,13 @@ SELECT doc_id, n_words,
        WHEN {_cnt(tg.HAWK_WORDS)} > {_cnt(tg.DOVE_WORDS)} THEN 'contractionary'
        WHEN {_cnt(tg.DOVE_WORDS)} > {_cnt(tg.HAWK_WORDS)} THEN 'expansionary'
        ELSE 'neutral' END AS policy_stance,
-  len(countries) AS n_countries
+  countries
 FROM (SELECT doc_id, regexp_split_to_array(lower(text), '[^\\p{{L}}]+') AS toks,
              len(list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}]+'), lambda t: length(t) >= 2))
                AS n_words,
-             list_sort(list_distinct(list_filter(regexp_split_to_array(text, '[^\\p{{L}}]+'),
-                                                 lambda t: regexp_full_match(t, '[A-Z]{{2}}'))))
-               AS countries
+             list_sort(list_distinct(list_transform(
+               list_filter(regexp_split_to_array(text, '[^\\p{{L}}]+'), lambda t: t IN {_in(COUNTRY_CODES)}),
+               lambda t: {_country}))) AS countries
       FROM documents) d""")
 
 TAG_OUT = ["article_category", "country_codes", "sector_tags", "policy_subtype",
@@ -91,14 +97,17 @@ def x01(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _validated(spark: SparkSession, sf: str) -> DataFrame:
+    """Payloads of one tagger run, written once and then checked."""
     t = _tagged(spark, sf).select("doc_id", tg.tag_json(F.col("tags")).alias("payload"))
+    path = sink.write_snapshot(t, scratch_path(spark, "tag-payloads"))
+    t = spark.read.schema(t.schema).parquet(path)
     return tg.validate(t, "payload", "doc_id", Star(spark, sf).dim_country, SECTORS)
 
 
-O.cte("s_validated", ["s_tagged"], """
-SELECT *, CASE WHEN n_words = 0 THEN 'unparseable payload'
-               WHEN n_countries > 0 THEN 'country code outside dimension' END AS error
-FROM s_tagged""")
+O.cte("s_validated", ["s_tagged", "s_dim_country"], """
+SELECT t.*, CASE WHEN n_words = 0 THEN 'unparseable payload'
+                 WHEN NOT list_has_all(d.codes, t.countries) THEN 'country code outside dimension' END AS error
+FROM s_tagged t, (SELECT list(country_code) AS codes FROM s_dim_country) d""")
 
 
 @register("x02_validate", lambda: O.with_ctes("SELECT doc_id, error FROM s_validated",
@@ -124,12 +133,30 @@ def k05(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("x03_tag_split", lambda: O.with_ctes("""
-SELECT DISTINCT doc_id, unnest(string_split(sector_tags, ',')) AS sector_id
-FROM s_validated WHERE error IS NULL AND sector_tags <> ''""", "s_validated"))
+SELECT 'fact_article' AS target, doc_id,
+       concat_ws('|', article_category, policy_subtype, mechanisms, policy_stance) AS value
+FROM s_validated WHERE error IS NULL
+UNION ALL SELECT 'bridge_article_country', doc_id, unnest(string_split(country_codes, ','))
+FROM s_validated WHERE error IS NULL AND country_codes <> ''
+UNION ALL SELECT 'bridge_article_sector', doc_id, unnest(string_split(sector_tags, ','))
+FROM s_validated WHERE error IS NULL AND sector_tags <> ''
+UNION ALL SELECT DISTINCT 'dim_source', CAST(NULL AS BIGINT), d.source
+FROM s_validated v JOIN documents d ON d.doc_id = v.doc_id WHERE v.error IS NULL AND d.source IS NOT NULL""",
+    "s_validated"))
 def x03(spark: SparkSession, sf: str) -> DataFrame:
+    """All rows that valid tag records give: facts, both bridges, sources."""
     ok, _ = tg.split_ok_dead(_validated(spark, sf))
     rows = tg.to_star_rows(ok, "doc_id")
-    return finish(rows["bridge_article_sector"])
+    fact = rows["fact_article"].select(
+        F.lit("fact_article").alias("target"), "doc_id",
+        F.concat_ws("|", "article_category", "policy_subtype", "mech", "policy_stance").alias("value"))
+    bridges = [rows[name].select(F.lit(name).alias("target"), "doc_id", F.col(col).alias("value"))
+               for name, col in (("bridge_article_country", "country_code"), ("bridge_article_sector", "sector_id"))]
+    sources = (ts.read(spark, sf, "documents", "doc_id", "source").where("source is not null")
+               .join(ok.select("doc_id"), "doc_id", "left_semi").select("source").distinct()
+               .select(F.lit("dim_source").alias("target"), F.lit(None).cast("bigint").alias("doc_id"),
+                       F.col("source").alias("value")))
+    return finish(fact.unionByName(bridges[0]).unionByName(bridges[1]).unionByName(sources))
 
 
 @register("p08_vocab_filter", lambda: O.with_ctes(f"""
