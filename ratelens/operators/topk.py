@@ -1,13 +1,9 @@
 """Top-k per group that survives a hot group.
 
-A plain ``row_number() over (partition by key order by ...) <= k`` sorts a
-whole group in one task; if one key holds a third of all rows, that task does
-a third of the work.  Here the group is first split into ``salt_buckets``
-sub-groups by a hash of a unique tiebreak column; each sub-group keeps only its
-own top k (the global top k of a group is contained in the union of its
-sub-groups' top k), and the second ranking runs on at most
-``k * salt_buckets`` rows per group.  Results are identical to the one-step
-ranking when the order is total (include a unique id last).
+``row_number() over (partition by key order by ...) <= k`` is planned with a
+group limit before the exchange: every task keeps only its own top k of each
+group, so the window behind the exchange sees at most k rows per (task, group)
+however large a group is.
 """
 
 from __future__ import annotations
@@ -19,16 +15,17 @@ from pyspark.sql import functions as F
 
 
 def top_k_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int,
-                    unique: str, salt_buckets: int = 16, rank_col: str = "rank") -> DataFrame:
-    keys = list(keys)
-    salt = F.pmod(F.xxhash64(F.col(unique)), F.lit(salt_buckets))
-    w1 = Window.partitionBy(*keys, "_salt").orderBy(*order)
-    stage1 = (df.withColumn("_salt", salt)
-              .withColumn("_r1", F.row_number().over(w1))
-              .where(F.col("_r1") <= k).drop("_r1", "_salt"))
-    w2 = Window.partitionBy(*keys).orderBy(*order)
-    return (stage1.withColumn(rank_col, F.row_number().over(w2))
-            .where(F.col(rank_col) <= k))
+                    unique: str | None = None, salt_buckets: int = 1, rank_col: str = "rank") -> DataFrame:
+    """The first ``k`` rows of every group by ``order`` (make it total: include
+    a unique id last).  With ``salt_buckets`` over 1 a group is first cut by a
+    hash of ``unique`` and each part keeps its own top k -- of use only when
+    even k rows per task and group are many."""
+    if salt_buckets > 1:
+        salted = Window.partitionBy(*keys, "_salt").orderBy(*order)
+        df = (df.withColumn("_salt", F.pmod(F.xxhash64(F.col(unique)), F.lit(salt_buckets)))
+              .withColumn("_r1", F.row_number().over(salted)).where(F.col("_r1") <= k).drop("_r1", "_salt"))
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= k)
 
 
 def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str],
