@@ -72,6 +72,9 @@ f AS (
   LEFT JOIN dist dw ON dw.doc_id = b.doc_id AND dw.kind = 'w')
 SELECT *, (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
-  AND coalesce(char_distance, 0) <= {q.MAX_CHAR_DISTANCE} AND coalesce(word_distance, 0) <= {q.MAX_WORD_DISTANCE} AS kept
+  AND coalesce(char_distance, 0) <= CASE WHEN word_chars < {q.SHORT_CHARS} THEN {q.SHORT_CHAR_DISTANCE}
+                                         ELSE {q.MAX_CHAR_DISTANCE} END
+  AND coalesce(word_distance, 0) <= CASE WHEN n_words < {q.SHORT_WORDS} THEN {q.SHORT_WORD_DISTANCE}
+                                         ELSE {q.MAX_WORD_DISTANCE} END AS kept
 FROM f
 """

@@ -5,7 +5,8 @@ common words, and is compared with the reference of its language -- the same
 histograms summed over all documents of that language -- by Jensen-Shannon
 distance (square root of the divergence in bits, 0 to 1).  A document whose
 distance exceeds a threshold is rejected; each comparison is made only above
-a minimum length, below which a histogram is mostly sampling noise.  Base
+a minimum length, below which a histogram is mostly sampling noise, and with
+wider limits for short texts.  Base
 rules (too short, mostly repeated three-word windows) come first.
 
 DataFrame functions only.  One pass over the texts sums the references (one
@@ -34,6 +35,8 @@ CHAR_GUARD = 300            # word characters below which character classes are
 WORD_GUARD = 100            # words below which common words are not compared
 MAX_CHAR_DISTANCE = 0.24
 MAX_WORD_DISTANCE = 0.25
+SHORT_CHARS, SHORT_CHAR_DISTANCE = 900, 0.28    # shorter texts scatter more: wider limits
+SHORT_WORDS, SHORT_WORD_DISTANCE = 150, 0.30
 LANG_ALL = "*"
 
 #: Frequent function words of four languages, in each
@@ -166,8 +169,10 @@ def verdict(feats: DataFrame, references: DataFrame) -> DataFrame:
                                              F.round(js_distance(F.col("_char_counts"), F.col("_rc")), 6))) \
          .withColumn("word_distance", F.when(F.col("n_words") >= WORD_GUARD,
                                              F.round(js_distance(F.col("_word_counts"), F.col("_rw")), 6)))
-    fits = (F.coalesce(F.col("char_distance"), F.lit(0.0)) <= MAX_CHAR_DISTANCE) & \
-           (F.coalesce(F.col("word_distance"), F.lit(0.0)) <= MAX_WORD_DISTANCE)
+    char_limit = F.when(F.col("word_chars") < SHORT_CHARS, SHORT_CHAR_DISTANCE).otherwise(MAX_CHAR_DISTANCE)
+    word_limit = F.when(F.col("n_words") < SHORT_WORDS, SHORT_WORD_DISTANCE).otherwise(MAX_WORD_DISTANCE)
+    fits = (F.coalesce(F.col("char_distance"), F.lit(0.0)) <= char_limit) & \
+           (F.coalesce(F.col("word_distance"), F.lit(0.0)) <= word_limit)
     return d.withColumn("kept", ~F.col("base_failed") & fits)
 
 
