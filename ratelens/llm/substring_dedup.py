@@ -210,7 +210,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     others = [c for c in docs.columns if c not in (key, text)]
     volume = docs.agg(F.sum(F.octet_length(text)).alias("b")).first()["b"] or 0
     blocks = max(MIN_BLOCKS, volume // BLOCK_BYTES)
-    buckets = max(MIN_BUCKETS, volume // 20 // BUCKET_BYTES)
+    buckets = max(MIN_BUCKETS, volume // 2 // BUCKET_BYTES)      # digests take about half of the text
     place = F.pmod(F.xxhash64(F.col(key), F.col(text)), F.lit(blocks))
     rest = [F.struct(*[F.col(f"`{c}`") for c in others]).alias("rest")] if others else []
     dealt = docs.select(place.alias("block"), F.col(key).cast("bigint").alias("key"), F.xxhash64(text).alias("row"),
