@@ -14,10 +14,11 @@ the smallest doc_id it reaches by links.
    share do not make tiles.  Prefix entries are shuffled as packed arrays, one
    row per (batch, bucket); a bucket is sorted and only shingles with two
    classes or more go on.
-3. First every class is compared with the smallest class of its tiles.  Linked
-   classes are joined into components.
-4. Then all pairs that share a tile but not a component are compared: tiles are
-   cut into size bands (linked sets differ by less than 4/3 in size) and blocks
+3. In a few rounds every class is compared with one class of another component
+   that heads one of its tiles (first the class in most tiles).  Linked classes
+   are joined into components, and tiles of one component are done.
+4. Then all pairs that share a tile but not a component are compared: of tiles
+   with the same classes one is kept, tiles are cut into size bands (linked sets differ by less than 4/3 in size) and blocks
    of ``TILE_ROWS``, and each pair of blocks is worked off by bit counts:
    |A and B| <= (|A| + |B| - popcount(A xor B)) / 2.  Only pairs that this bound
    and the size ratio let through reach the exact intersection of the sorted
@@ -47,10 +48,11 @@ from .common import sized_broadcast, written
 from .components import connected_components
 
 PERCENT = 75
-HOT_IN_BATCH = 8            # classes of one scan window that make a shingle a hot candidate
+HOT_IN_BATCH = 3            # classes of one scan window that make a shingle a hot candidate
 HOT_WINDOW = 5_000_000      # shingles in a scan window
-HOT_TOKENS = 1 << 20        # bound on the broadcast list of hot shingles
+HOT_TOKENS = 1 << 22        # bound on the broadcast list of hot shingles
 TILE_ROWS = 2048
+STAR_ROUNDS = 4             # rounds of star comparisons before all remaining pairs
 BUCKET_BYTES = 8_000_000
 MIN_BUCKETS = 96
 
@@ -121,7 +123,7 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _hot_tokens(base: DataFrame) -> np.ndarray:
     """Sorted hot shingles: those most often seen, at most ``HOT_TOKENS``."""
     total = base.agg(F.sum("n")).first()[0] or 0
-    least = max(64, total // HOT_TOKENS + 1)       # at most HOT_TOKENS shingles reach it
+    least = max(24, total // HOT_TOKENS + 1)       # at most HOT_TOKENS shingles reach it
     found = (base.where("hot is not null").select(F.explode("hot").alias("h"))
              .groupBy("h.token").agg(F.sum("h.n").alias("n")).where(F.col("n") >= least).select("token"))
     table = found.toArrow()
@@ -136,8 +138,7 @@ def _in_sorted(sorted_values: np.ndarray, x: np.ndarray) -> np.ndarray:
 
 
 def _shared_members(src: DataFrame, base: DataFrame) -> DataFrame:
-    """(token, ref, pivot): classes in prefix tiles of two classes or more, and
-    the smallest class of the tile."""
+    """(token, ref): classes in prefix tiles, without the tiles of one class."""
     spark = src.sparkSession
     hot_list = _hot_tokens(base)
     hot_shared = spark.sparkContext.broadcast(hot_list)
@@ -181,14 +182,13 @@ def _shared_members(src: DataFrame, base: DataFrame) -> DataFrame:
                 names=["bucket", "hot", "tokens", "refs"])
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["token", "ref", "pivot"]
+        names = ["token", "ref"]
         cold: dict[int, list] = {}
         for batch in batches:
             for bucket, hot, tokens, refs in zip(*(c.to_pylist() for c in batch.columns)):
                 tokens, refs = np.frombuffer(tokens, np.int64), np.frombuffer(refs, np.int64)
                 if hot:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(tokens), pa.array(refs), pa.nulls(len(refs), pa.int64())], names=names)
+                    yield pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(refs)], names=names)
                 else:
                     cold.setdefault(bucket, []).append((tokens, refs))
         for parts in cold.values():
@@ -201,20 +201,15 @@ def _shared_members(src: DataFrame, base: DataFrame) -> DataFrame:
             tokens, refs, new_token = tokens[distinct], refs[distinct], new_token[distinct]
             at = np.flatnonzero(new_token)
             size = np.diff(np.append(at, len(tokens)))
-            pivot = np.repeat(refs[at], size)
             many = np.repeat(size > 1, size)
-            tokens, refs, pivot = tokens[many], refs[many], pivot[many]
+            tokens, refs = tokens[many], refs[many]
             for i in range(0, len(tokens), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(x[i:i + 100_000]) for x in (tokens, refs, pivot)], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(x[i:i + 100_000]) for x in (tokens, refs)], names=names)
 
     packed = src.mapInArrow(pack, "bucket bigint, hot boolean, tokens binary, refs binary")
-    members = packed.repartition(buckets, "bucket").mapInArrow(unpack, "token bigint, ref bigint, pivot bigint")
-    members = written(members, "jaccard-members")
-    # hot tiles: their pivots are at most HOT_TOKENS rows
-    hot_rows = members.where("pivot is null")
-    pivots = hot_rows.groupBy("token").agg(F.min("ref").alias("p"), F.max("ref").alias("q")).where("p <> q").drop("q")
-    hot_rows = hot_rows.drop("pivot").distinct().join(F.broadcast(pivots), "token").select("token", "ref", F.col("p").alias("pivot"))
-    return members.where("pivot is not null").unionByName(hot_rows)
+    # a hot shingle's class may come from several buckets
+    members = packed.repartition(buckets, "bucket").mapInArrow(unpack, "token bigint, ref bigint")
+    return written(members, "jaccard-members")
 
 
 def _fold(bitmap: np.ndarray, size: int) -> np.ndarray:
@@ -277,13 +272,45 @@ def _linked(pairs: DataFrame, src: DataFrame, base: DataFrame) -> DataFrame:
     return full.mapInArrow(intersect, "a bigint, b bigint")
 
 
-def _tile_pairs(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """All pairs of a tile with different roots that may link, by size band and
-    block.  ``members``: (token, ref, root)."""
-    sizes = written(members.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min("root").alias("lo"),
-                                                 F.max("root").alias("hi")).where("lo <> hi").select("token", "m"),
+def _live_tiles(members: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """(token, ref, root, m) of tiles that hold two components or more."""
+    d = members.select("token", "ref")
+    if roots is None:
+        d = d.withColumn("root", F.col("ref"))
+    else:
+        named = roots.withColumnRenamed("node", "ref")
+        d = d.join(sized_broadcast(named, named.count()), "ref", "left").withColumn("root", F.coalesce("root", "ref"))
+    sizes = d.groupBy("token").agg(
+        F.count(F.lit(1)).alias("m"), F.min("root").alias("lo"), F.max("root").alias("hi"),
+        F.bit_xor(F.xxhash64("ref")).alias("same")).where("lo <> hi")
+    # shingles of one shared passage have the same classes: one tile stands for all
+    sizes = written(sizes.groupBy("same", "m", "lo", "hi").agg(F.min("token").alias("token")).select("token", "m"),
                     "jaccard-tiles")
-    d = members.join(sized_broadcast(sizes, sizes.count()), "token")
+    return written(d.join(sized_broadcast(sizes, sizes.count()), "token").select("token", "ref", "root", "m"),
+                   "jaccard-live")
+
+
+def _star_pairs(live: DataFrame, score: Column) -> DataFrame:
+    """(a, b): for every class b one class a of another component, the one of
+    highest score that tops one of b's tiles (or is second to its own
+    component there)."""
+    best = written(live.withColumn("score", score).groupBy("token", "root").agg(
+        F.max(F.struct("score", "ref")).alias("top")), "jaccard-tops")
+    first = written(best.groupBy("token").agg(F.max(F.struct("top", "root")).alias("f")), "jaccard-first")
+    n = first.count()
+    rest = best.join(sized_broadcast(first, n), "token").where(F.col("root") != F.col("f.root"))
+    second = rest.groupBy("token").agg(F.max("top").alias("s"))
+    tops = written(first.join(second, "token", "left").select("token", "f", "s"), "jaccard-second")
+    d = live.join(sized_broadcast(tops, n), "token")
+    other = F.when(F.col("f.root") != F.col("root"), F.col("f.top")).otherwise(F.col("s"))
+    pick = d.groupBy(F.col("ref").alias("b")).agg(F.max(other).alias("p")).where("p is not null")
+    return pick.select(F.col("p.ref").alias("a"), "b")
+
+
+def _tile_pairs(live: DataFrame, classes: DataFrame) -> DataFrame:
+    """All pairs of a tile with different roots that may link, by size band and
+    block.  ``live``: (token, ref, root, m)."""
+    d = live
     d = d.join(classes.select("ref", "n", "bitmap"), "ref")
     # a set of band k can link with bands k and k + 1 only; it is sent to both tiles k and k + 1
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / PERCENT)) + 1e-9).cast("int")
@@ -352,21 +379,36 @@ def link_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     base = written(src.mapInArrow(
         _describe, f"doc_id {kind}, row bigint, n bigint, ref bigint, bitmap binary, "
                    "hot array<struct<token:bigint,n:int>>"), "jaccard-base")
-    members = _shared_members(src, base)
-    star = written(members.where("ref <> pivot").groupBy(F.col("ref").alias("b")).agg(F.min("pivot").alias("a"))
-                   .select("a", "b"), "jaccard-star")
-    classes = written(base.where("ref is not null").join(
-        members.select("ref").distinct(), "ref").groupBy("ref").agg(F.max("n").alias("n"), F.max("bitmap").alias("bitmap")),
-        "jaccard-classes")
-    first = _linked(written(_possible(star, classes), "jaccard-possible"), src.select("row", "text"), base)
-    first = written(first, "jaccard-links")
-    roots = written(connected_components(first), "jaccard-roots")
-    labelled = members.select("token", "ref").join(
-        sized_broadcast(roots.withColumnRenamed("node", "ref"), roots.count()), "ref", "left") \
-        .withColumn("root", F.coalesce("root", "ref"))
-    pairs = written(_tile_pairs(labelled, classes), "jaccard-pairs")
-    second = _linked(pairs, src.select("row", "text"), base)
-    roots = written(connected_components(first.unionByName(second)), "jaccard-roots")
+    members = written(_shared_members(src, base).distinct(), "jaccard-distinct")
+    weights = members.groupBy("ref").agg(F.count(F.lit(1)).alias("w"))
+    classes = written(base.where("ref is not null").groupBy("ref").agg(
+        F.max("n").alias("n"), F.max("bitmap").alias("bitmap")).join(weights, "ref"), "jaccard-classes")
+    texts = src.select("row", "text")
+    # stars: an original shares more shingles than its edited copies do, so the
+    # class in most tiles is tried first, then others at random
+    live, roots, links = _live_tiles(members, None), None, None
+    weigh = classes.select("ref", "w")
+    n_classes = classes.count()
+    for k in range(STAR_ROUNDS):
+        if live.limit(1).count() == 0:
+            break
+        if k == 0:
+            scored = live.join(sized_broadcast(weigh, n_classes), "ref")
+            pairs = _star_pairs(scored, F.col("w"))
+        else:
+            pairs = _star_pairs(live, F.xxhash64("ref", F.lit(k)))
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        found = written(_linked(written(_possible(pairs, classes), "jaccard-possible"), texts, base), "jaccard-links")
+        links = found if links is None else links.unionByName(found)
+        roots = written(connected_components(links), "jaccard-roots")
+        live = _live_tiles(live, roots)
+    # whatever is still apart: every pair of every tile
+    if live.limit(1).count():
+        pairs = written(_tile_pairs(live, classes), "jaccard-pairs")
+        links = links.unionByName(_linked(pairs, texts, base))
+        roots = written(connected_components(links), "jaccard-roots")
+    if roots is None:
+        roots = members.select(F.col("ref").alias("node"), F.col("ref").alias("root")).limit(0)
     named = roots.withColumnRenamed("node", "ref")
     return base.select("doc_id", "row", "n", "ref").join(sized_broadcast(named, named.count()), "ref", "left") \
         .select("doc_id", "row", "n", F.coalesce("root", "ref").alias("root"))
