@@ -5,8 +5,8 @@ Documents are sets of five-word shingles; two link when
 the smallest doc_id it reaches by links.
 
 1. Equal sets form one class (64-bit digest of the sorted set), so exact copies
-   are compared once.  Each class also gets a hashed bitmap of four bits per
-   shingle or more.
+   are compared once.  Each class also gets a hashed bitmap of one to two bits
+   per shingle.
 2. Prefix tiles.  Under any fixed order of shingles, two sets that link share
    one of their first n - ceil(0.75 n) + 1.  The order is by hash, with the
    shingles that are frequent in some scan window last (at most ``HOT_TOKENS``
@@ -52,7 +52,7 @@ HOT_IN_BATCH = 3            # classes of one scan window that make a shingle a h
 HOT_WINDOW = 5_000_000      # shingles in a scan window
 HOT_TOKENS = 1 << 22        # bound on the broadcast list of hot shingles
 TILE_ROWS = 2048
-STAR_ROUNDS = 4             # rounds of star comparisons before all remaining pairs
+STAR_ROUNDS = 4             # most rounds of star comparisons before all remaining pairs
 BUCKET_BYTES = 8_000_000
 MIN_BUCKETS = 96
 
@@ -68,7 +68,9 @@ def _class_ref(tokens: np.ndarray) -> int:
 
 
 def _bits_for(n: int) -> int:
-    return max(256, 1 << (4 * n - 1).bit_length())
+    """One to two bits per shingle: unrelated sets of like size then differ in
+    enough bits for the bound to rule them out."""
+    return max(256, 1 << (n - 1).bit_length())
 
 
 def _bitmap(tokens: np.ndarray) -> bytes:
@@ -398,10 +400,13 @@ def link_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         else:
             pairs = _star_pairs(live, F.xxhash64("ref", F.lit(k)))
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        found = written(_linked(written(_possible(pairs, classes), "jaccard-possible"), texts, base), "jaccard-links")
+        tried = written(_possible(pairs, classes), "jaccard-possible")
+        found = written(_linked(tried, texts, base), "jaccard-links")
         links = found if links is None else links.unionByName(found)
         roots = written(connected_components(links), "jaccard-roots")
         live = _live_tiles(live, roots)
+        if found.count() * 3 < tried.count():       # stars hardly link any more
+            break
     # whatever is still apart: every pair of every tile
     if live.limit(1).count():
         pairs = written(_tile_pairs(live, classes), "jaccard-pairs")
