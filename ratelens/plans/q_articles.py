@@ -308,6 +308,13 @@ def j10(spark: SparkSession, sf: str) -> DataFrame:
     return finish(training_rows(spark, sf))
 
 
+def split_flag(key, seed: str = SPLIT_SEED, train_share: float = 0.7):
+    """Train or test by a seeded hash of the row key alone: the held-out rows of
+    G19, whose SQL takes the same hash threshold (no class quota)."""
+    h = F.conv(F.substring(F.sha2(F.concat_ws("|", F.lit(seed), key), 256), 1, 8), 16, 10)
+    return (h.cast("bigint") % 10000) < int(train_share * 10000)
+
+
 SPLIT_BINS = 4096
 
 

@@ -12,7 +12,7 @@ from ..operators import panel as pn
 from ..operators import regression as rg
 from . import oracle as O
 from .correlation import correlation_batch
-from .q_articles import stratified_split, training_rows
+from .q_articles import split_flag, stratified_split, training_rows
 from .registry import finish, register
 from .star import Star
 
@@ -234,7 +234,7 @@ def g19(spark: SparkSession, sf: str) -> DataFrame:
     articles -> a rise) on the held-out split."""
     t = training_rows(spark, sf)
     key = F.concat_ws("|", "country_code", F.date_format("period", "yyyy-MM-dd"))
-    test = t.where(~stratified_split(key)).withColumn(
+    test = t.where(~split_flag(key)).withColumn(
         "predicted", F.when(F.col("pct_contractionary") > F.col("pct_expansionary"), 1).otherwise(0))
     rep = rg.classification_report(test, "contractionary_actual", "predicted")
     return finish(rep.select("cls", "support", "tp", "fp", "fn", "precision", "recall", "accuracy",
