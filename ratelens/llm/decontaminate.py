@@ -1,7 +1,10 @@
 """Benchmark decontamination by template canonicalisation.
 
-Words lose their outer punctuation; numbers, names (capitalised inside a
-sentence) and units become typed placeholders, other words their lower case.
+Words lose their outer punctuation, numbers their currency, percent, unit and
+ordinal affixes, which become words of their own; numbers, names (capitalised
+inside a sentence) and units become typed placeholders, other words their lower
+case.  A capitalised word that opens a sentence is read both ways, as a name and
+as a literal, in documents and items alike.
 The result is a template that a re-parameterised question shares with the
 original.  Windows of ``WINDOW`` template words are hashed and joined between
 documents and benchmark items.  Matches of one (document, item) pair on one
@@ -17,7 +20,8 @@ consistent slots.
 The distinct window hashes of the benchmark are broadcast when they are fewer
 than ``BROADCAST_WINDOWS``, so that documents send only windows that can match;
 otherwise all windows are shuffled.  Windows with fewer than ``MIN_LITERALS``
-literal words say nothing and are left out on both sides.
+literal words say nothing and are left out on both sides; an item that has no
+other windows is compared by its values instead (verbatim only).
 
 Defined results: null, empty and punctuation-only texts and items match
 nothing; items of fewer than ``MIN_LITERALS`` words cannot be found; repeated
@@ -48,7 +52,11 @@ UNITS = ["mm", "cm", "m", "km", "in", "ft", "yd", "mi", "mg", "g", "kg", "lb", "
          "second", "seconds", "minute", "minutes", "hour", "hours", "meter", "meters", "metre", "metres",
          "kilometer", "kilometers", "kilometre", "kilometres", "mile", "miles", "inch", "inches", "foot", "feet",
          "gram", "grams", "kilogram", "kilograms", "pound", "pounds", "liter", "liters", "litre", "litres",
-         "dollar", "dollars", "euro", "euros", "cent", "cents", "percent", "%", "$", "°c", "°f", "mph", "km/h"]
+         "dollar", "dollars", "euro", "euros", "cent", "cents", "percent", "%", "$", "°c", "°f", "mph", "km/h",
+         "€", "£", "¥", "us$", "usd", "eur", "gbp"]
+#: Written on to a number besides units: ordinals, and parts that stay literal.
+ORDINALS = ["th", "st", "nd", "rd"]
+AFFIXES = ["am", "pm", "k", "bn", "x", "°"]
 LITERAL, NUMBER, NAME, UNIT = 0, 1, 2, 3
 #: Words that are units only next to a number (also ordinary words).
 _AMBIGUOUS = ["in", "m", "s", "t", "g", "l", "h", "min", "day", "second", "foot", "pound", "cent"]
@@ -71,81 +79,142 @@ def _word_hash(word: str) -> int:
     return int(wordscan.word_hashes(data, np.array([0]), np.array([len(data)]))[0])
 
 
+_UNIT_HASHES, _AMBIGUOUS_HASHES, _ORDINAL_HASHES, _AFFIX_HASHES = (
+    np.array([_word_hash(w) for w in words], dtype=np.uint64)
+    for words in (UNITS, _AMBIGUOUS, ORDINALS, UNITS + ORDINALS + AFFIXES))
+_NAME_FORM = pretokens.mix(np.array([NAME + 7], dtype=np.uint64))[0]
+
+
 class Template:
     """Template words of many texts: kind, hash of the shared form, hash of the
-    value, first word of each text."""
+    value, first word of each text.  A word of digits and letters is split where
+    its letters are known affixes of a number ($5, 50%, 5km, 3rd) or set off by
+    punctuation (5-year-old); else it stays whole (B12)."""
 
     def __init__(self, data: np.ndarray, bounds: np.ndarray) -> None:
         starts, ends, rows = wordscan.word_spans(data, bounds)
         cls = _CLASS[data]
-        solid = np.flatnonzero(cls != 0)
-        first = np.searchsorted(solid, starts)
-        last = np.searchsorted(solid, ends) - 1
-        some = last >= first                       # words that are not only punctuation
-        low = solid[np.minimum(first, len(solid) - 1)] if len(solid) else starts
-        high = (solid[last] if len(solid) else ends) + 1
+        solid = np.flatnonzero(cls != 0)           # words that are only punctuation have none
+        word, digit = np.searchsorted(starts, solid, side="right") - 1, cls[solid] == 1
+        edge = np.ones(len(solid), dtype=bool)
+        edge[1:] = (word[1:] != word[:-1]) | (digit[1:] != digit[:-1])
+        at = np.flatnonzero(edge)
+        low, owner, number = solid[at], word[at], digit[at]
+        high = solid[np.append(at[1:], len(solid)) - 1] + 1 if len(at) else low
+        first = np.ones(len(at), dtype=bool)       # begins a word
+        first[1:] = owner[1:] != owner[:-1]
+        affix = np.isin(wordscan.word_hashes(data, low, high), _AFFIX_HASHES)
+        tight = np.zeros(len(at), dtype=bool)      # touches a neighbour of the same word
+        touch = ~first[1:] & (low[1:] == high[:-1])
+        tight[1:] |= touch
+        tight[:-1] |= touch
+        whole = np.zeros(len(starts), dtype=bool)
+        whole[owner[~number & tight & ~affix]] = True
+        whole = whole[owner]
+        last = np.searchsorted(owner, owner, side="right") - 1
+        high = np.where(whole, high[last], high) if len(at) else high
+        number &= ~(whole & ~(first & (last == np.arange(len(at)))))
+        keep = ~whole | first
+        low, high, owner, number, first = low[keep], high[keep], owner[keep], number[keep], first[keep]
         # a sentence begins after a word that ends with . ! ? or :
         stop = np.isin(data[ends - 1], [46, 33, 63, 58]) if len(ends) else np.zeros(0, bool)
         opens = np.concatenate([[True], stop[:-1]]) if len(stop) else stop
         opens[rows[:-1][rows[:-1] < len(opens)]] = True
-        before = np.concatenate([[0], np.cumsum(some)])
-        low, high, opens = low[some], high[some], opens[some]
-        self.rows = before[rows]
+        opens = opens[owner] & first
+        self.rows = np.searchsorted(owner, rows)
         plain = wordscan.word_hashes(data, low, high)
-        digits = np.concatenate([[0], np.cumsum(cls == 1)])
-        letters = np.concatenate([[0], np.cumsum(cls >= 2)])
-        number = (digits[high] > digits[low]) & (letters[high] == letters[low]) if len(low) else np.zeros(0, bool)
         kind = np.zeros(len(low), dtype=np.int8)
         head = cls[low] if len(low) else np.zeros(0, np.uint8)
         # one upper-case letter, then lower case: a name unless it opens a sentence
         capitals = np.concatenate([[0], np.cumsum(cls == 2)])
         kind[(head == 2) & (capitals[high] - capitals[low] == 1 if len(low) else number) & ~opens] = NAME
+        begins = np.zeros(len(low) + 1, dtype=bool)
+        begins[self.rows] = True
         beside = np.zeros(len(low), dtype=bool)
-        beside[1:] |= number[:-1]
-        beside[:-1] |= number[1:]
-        units = np.array(sorted({_word_hash(u) for u in UNITS}), dtype=np.uint64)
-        doubtful = np.array(sorted({_word_hash(u) for u in _AMBIGUOUS}), dtype=np.uint64)
-        kind[np.isin(plain, units) & (beside | ~np.isin(plain, doubtful))] = UNIT
+        beside[1:] |= number[:-1] & ~begins[1:-1]
+        beside[:-1] |= number[1:] & ~begins[1:-1]
+        kind[np.isin(plain, _UNIT_HASHES) & (beside | ~np.isin(plain, _AMBIGUOUS_HASHES))] = UNIT
         kind[number] = NUMBER
-        self.kind, self.value, self.opens = kind, plain, opens
-        self.capital = (head == 2)
+        ordinal = ~first & np.isin(plain, _ORDINAL_HASHES)     # 1st and 5th differ in the number only
+        kind[ordinal] = LITERAL
+        self.kind, self.value, self.first = kind, plain, first
+        self.openers = opens & (head == 2) & (kind == LITERAL)
         self.form = np.where(kind == LITERAL, plain, pretokens.mix(kind.astype(np.uint64) + np.uint64(7)))
+        self.form[ordinal] = _ORDINAL_HASHES[0]
 
-    def windows(self, size: int) -> np.ndarray:
-        """First words of windows of ``size`` inside one text with enough literals."""
+    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """First words of the windows of ``size`` inside one text, and their
+        literal words."""
         n = len(self.kind) - size + 1
         if n <= 0:
-            return np.zeros(0, np.int64)
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
         at = np.arange(n)
         end = self.rows[np.minimum(np.searchsorted(self.rows, at, side="right"), len(self.rows) - 1)]
         literals = np.concatenate([[0], np.cumsum(self.kind == LITERAL)])
-        return at[(at + size <= end) & (literals[at + size] - literals[at] >= MIN_LITERALS)]
+        at = at[at + size <= end]
+        return at, literals[at + size] - literals[at]
+
+    def readings(self, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+        """(first words, hashes, names) of all windows with enough literals, once
+        per reading of the capitalised sentence openers in a window: bit k of
+        ``names`` reads its k-th opener as a name.  A negative size gives the
+        windows with too few literals, by their values."""
+        at, literals = self.windows(abs(size))
+        if size < 0:
+            at = at[literals < MIN_LITERALS]
+            yield at, _sized(wordscan.window_hashes(self.value, -size)[at], size), 0
+            return
+        at, literals = at[literals >= MIN_LITERALS], literals[literals >= MIN_LITERALS]
+        if not len(at):
+            return
+        yield at, _sized(wordscan.window_hashes(self.form, size)[at], size), 0
+        seen = np.concatenate([[0], np.cumsum(self.openers)])
+        spare = np.minimum(seen[at + size] - seen[at], size)
+        for names in range(1, 1 << int(spare.max())):
+            some = (spare >= names.bit_length()) & (literals - names.bit_count() >= MIN_LITERALS)
+            if not some.any():
+                continue
+            part = at[some]
+
+            def word(i: int) -> np.ndarray:
+                here = part + i
+                named = self.openers[here] & ((names >> np.minimum(seen[here] - seen[part], 62)) & 1 == 1)
+                return np.where(named, _NAME_FORM, self.form[here])
+
+            yield part, _sized(wordscan.combined(word, size, len(part)), size), names
+
+    def slots(self, at: int, size: int, names: int) -> np.ndarray:
+        """Places in one window that are placeholders in a reading."""
+        if size < 0:
+            return np.zeros(0, np.int64)
+        kind = self.kind[at:at + size] != LITERAL
+        for k, i in enumerate(np.flatnonzero(self.openers[at:at + size]).tolist()):
+            kind[i] = names >> k & 1
+        return np.flatnonzero(kind)
 
 
-WINDOW_SCHEMA = "row bigint, window bigint, pos bigint, kinds array<int>, slots array<bigint>"
+WINDOW_SCHEMA = "row bigint, text_id bigint, window bigint, pos bigint, slots array<bigint>, renamed boolean"
 
 
-def _window_rows(template: Template, at: np.ndarray, hashes: np.ndarray, size: int, ids: list) -> pa.RecordBatch:
-    row = np.searchsorted(template.rows, at, side="right") - 1
-    kinds, values = [], []
-    for i in at.tolist():
-        part = np.flatnonzero(template.kind[i:i + size])
-        kinds.append(part.tolist())
-        values.append(template.value[i:i + size][part].view(np.int64).tolist())
-    return pa.RecordBatch.from_arrays(
-        [pa.array([ids[r] for r in row], pa.int64()), pa.array(hashes.view(np.int64)),
-         pa.array(at - template.rows[row]), pa.array(kinds, pa.list_(pa.int32())),
-         pa.array(values, pa.list_(pa.int64()))],
-        names=["row", "window", "pos", "kinds", "slots"])
+def _window_rows(template: Template, at: np.ndarray, hashes: np.ndarray, size: int, names: int) -> list[pa.Array]:
+    """window, pos, slots; the text's number comes from ``_text_of``."""
+    values = [template.value[i:i + abs(size)][template.slots(i, size, names)].view(np.int64).tolist() for i in at.tolist()]
+    return [pa.array(hashes.view(np.int64)), pa.array(at - template.rows[_text_of(template, at)]),
+            pa.array(values, pa.list_(pa.int64()))]
+
+
+def _text_of(template: Template, at: np.ndarray) -> np.ndarray:
+    return np.searchsorted(template.rows, at, side="right") - 1
 
 
 def _sized(window: np.ndarray, size: int) -> np.ndarray:
-    return pretokens.mix(window ^ np.uint64(size))
+    return pretokens.mix(window ^ np.uint64(size & 0xFFFF))
 
 
 def benchmark_windows(items: DataFrame, key: str, text: str) -> DataFrame:
-    """(item, window, pos, kinds, slots, size, n_windows): all windows of every
-    item (the whole of a short one), also with its first word read as a name."""
+    """(item, window, pos, slots, renamed, size, n_windows): all windows of every
+    item (the whole of a short one) in all their readings.  An item without a
+    window of enough literals gets windows by value, of negative size."""
     src = items.select(F.col(key).cast("bigint"), F.col(text).cast("string"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,57 +223,50 @@ def benchmark_windows(items: DataFrame, key: str, text: str) -> DataFrame:
             for first, _, data, bounds in wordscan.text_steps(batch.column(1)):
                 for k in range(len(bounds) - 1):
                     one = Template(data[bounds[k]:bounds[k + 1]], bounds[k:k + 2] - bounds[k])
+                    if one.first.sum() < MIN_LITERALS:
+                        continue
                     size = min(WINDOW, len(one.kind))
-                    at = one.windows(size) if size >= MIN_LITERALS else np.zeros(0, np.int64)
-                    forms = [one.form]
-                    if len(one.kind) and one.capital[0] and one.kind[0] == LITERAL:
-                        other = one.form.copy()
-                        other[0] = pretokens.mix(np.array([NAME + 7], dtype=np.uint64))[0]
-                        forms.append(other)
-                    for f, form in enumerate(forms):
-                        here = at if f == 0 else at[at == 0]
-                        if not len(here):
-                            continue
-                        hashes = _sized(wordscan.window_hashes(form, size)[here], size)
-                        kind = one.kind.copy()
-                        if f:
-                            kind[0] = NAME
-                        one_kind, one.kind = one.kind, kind
-                        rows = _window_rows(one, here, hashes, size, [ids[first + k]])
-                        one.kind = one_kind
+                    places, literals = one.windows(size)
+                    n = int((literals >= MIN_LITERALS).sum())
+                    size, n = (size, n) if n else (-size, len(places))
+                    for at, hashes, names in one.readings(size):
+                        # the first word as a name is no change: the document may begin before it
+                        renamed = (at > 0) | (names > 1) if names else np.zeros(len(at), bool)
                         yield pa.RecordBatch.from_arrays(
-                            [*rows.columns, pa.array([size] * len(here), pa.int32()),
-                             pa.array([len(at)] * len(here), pa.int64())],
-                            names=["item", "window", "pos", "kinds", "slots", "size", "n_windows"])
+                            [pa.array([ids[first + k]] * len(at), pa.int64()),
+                             *_window_rows(one, at, hashes, size, names), pa.array(renamed),
+                             pa.array([size] * len(at), pa.int32()), pa.array([n] * len(at), pa.int64())],
+                            names=["item", "window", "pos", "slots", "renamed", "size", "n_windows"])
 
-    return src.mapInArrow(run, "item bigint, window bigint, pos bigint, kinds array<int>, slots array<bigint>, "
+    return src.mapInArrow(run, "item bigint, window bigint, pos bigint, slots array<bigint>, renamed boolean, "
                                "size int, n_windows bigint")
 
 
 def document_windows(docs: DataFrame, sizes: list[int], wanted: np.ndarray | None) -> DataFrame:
-    """(row, window, pos, kinds, slots) of ``docs`` (row, text): all windows of
-    the given sizes, or only those with a hash in ``wanted`` (sorted)."""
+    """``WINDOW_SCHEMA`` of ``docs`` (row, text, text_id): all windows of the
+    given sizes in all their readings, or only those with a hash in ``wanted``
+    (sorted)."""
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            for first, end, data, bounds in wordscan.text_steps(batch.column(1)):
+            ids, texts = batch.column(0), batch.column(2)
+            for first, _, data, bounds in wordscan.text_steps(batch.column(1)):
                 template = Template(data, bounds)
                 for size in sizes:
-                    every = wordscan.window_hashes(template.form, size)
-                    if known is not None:
-                        hashes = _sized(every, size)
-                        found = np.minimum(np.searchsorted(known, hashes), max(0, len(known) - 1))
-                        hit = known[found] == hashes if len(known) else np.zeros(len(hashes), bool)
-                        at = np.flatnonzero(hit)
-                        at = at[np.isin(at, template.windows(size))] if len(at) else at
-                    else:
-                        at = template.windows(size)
-                    for i in range(0, len(at), 20_000):
-                        part = at[i:i + 20_000]
-                        yield _window_rows(template, part, _sized(every[part], size), size, ids[first:end])
+                    for at, hashes, names in template.readings(size):
+                        if known is not None:
+                            found = np.minimum(np.searchsorted(known, hashes), max(0, len(known) - 1))
+                            hit = known[found] == hashes if len(known) else np.zeros(len(hashes), bool)
+                            at, hashes = at[hit], hashes[hit]
+                        for i in range(0, len(at), 20_000):
+                            part = at[i:i + 20_000]
+                            text = pa.array(first + _text_of(template, part))
+                            yield pa.RecordBatch.from_arrays(
+                                [ids.take(text), texts.take(text), *_window_rows(template, part, hashes[i:i + 20_000], size, names),
+                                 pa.array([names > 0] * len(part), pa.bool_())],
+                                names=["row", "text_id", "window", "pos", "slots", "renamed"])
 
     return docs.mapInArrow(run, WINDOW_SCHEMA)
 
@@ -220,17 +282,24 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, doc_key: str = "doc_id
     wanted = None
     if n <= BROADCAST_WINDOWS:
         wanted = np.sort(distinct.toArrow().column("window").to_numpy().astype(np.int64).view(np.uint64))
-    src = docs.select(F.col(doc_key).cast("bigint").alias("row"), F.col(text).cast("string").alias("text"))
+    src = docs.select(F.col(doc_key).cast("bigint").alias("row"), F.col(text).cast("string").alias("text")) \
+        .withColumn("text_id", F.xxhash64("text"))
     found = written(document_windows(src, sizes, wanted), "doc-windows")
-    b = bench.select("item", "window", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"), "n_windows")
+    b = bench.select("item", "window", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"),
+                     F.col("renamed").alias("item_renamed"), "n_windows")
     both = found.join(sized_broadcast(b, n, 200_000), "window")
-    pairs = F.arrays_zip("item_slots", "slots")
-    d = both.select("row", "item", "item_pos", "n_windows", (F.col("pos") - F.col("item_pos")).alias("shift"),
-                    pairs.alias("pairs"))
-    # one group per alignment: how much matched, and which values face each other
-    groups = d.groupBy("row", "item", "shift").agg(
-        F.countDistinct("item_pos").alias("n_matched"), F.max("n_windows").alias("n_windows"),
-        F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
+    d = both.select("row", "text_id", "item", "item_pos", "n_windows", (F.col("pos") - F.col("item_pos")).alias("shift"),
+                    F.arrays_zip("item_slots", "slots").alias("pairs"),
+                    (F.col("renamed") | F.col("item_renamed")).alias("renamed"))
+    # of the readings of one window the most literal one that matches
+    d = d.groupBy("row", "text_id", "item", "shift", "item_pos").agg(
+        F.max("n_windows").alias("n_windows"), F.min_by(F.struct("pairs", "renamed"), F.struct(F.size("pairs"), "renamed")).alias("m"))
+    # one group per alignment: how much matched, and which values face each
+    # other; with openers read as names, and without where those contradict
+    groups = d.select("*", F.explode(F.array(F.lit(True), F.lit(False))).alias("names")) \
+        .where(F.col("names") | ~F.col("m.renamed")).groupBy("row", "text_id", "item", "shift", "names").agg(
+            F.count(F.lit(1)).alias("n_matched"), F.max("n_windows").alias("n_windows"),
+            F.array_distinct(F.flatten(F.collect_set("m.pairs"))).alias("pairs"))
     left = F.array_distinct(F.transform("pairs", lambda p: p["item_slots"]))
     right = F.array_distinct(F.transform("pairs", lambda p: p["slots"]))
     consistent = (F.size(left) == F.size("pairs")) & (F.size(right) == F.size("pairs"))
@@ -238,7 +307,7 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, doc_key: str = "doc_id
     kept = groups.where(consistent & (F.col("n_matched") >= F.ceil(F.col("n_windows") * MIN_SHARE)))
     return kept.groupBy("row", "item").agg(
         F.max("n_matched").alias("n_matched"), F.max("n_windows").alias("n_windows"),
-        F.when(F.bool_or(equal), "copy").otherwise("reparameterised").alias("kind")) \
+        F.when(F.bool_or(equal & F.col("names")), "copy").otherwise("reparameterised").alias("kind")) \
         .withColumnsRenamed({"row": doc_key, "item": item_key})
 
 

@@ -7,7 +7,7 @@ single bytes in UTF-8, so texts are scanned as bytes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -77,10 +77,15 @@ def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
     n = len(words) - size + 1
     if n <= 0:
         return np.zeros(0, dtype=np.uint64)
+    return combined(lambda i: words[i:i + n], size, n)
+
+
+def combined(word: Callable[[int], np.ndarray], size: int, n: int) -> np.ndarray:
+    """Hashes of ``n`` windows whose i-th words are ``word(i)``."""
     total = np.zeros(n, dtype=np.uint64)
     for i in range(size):
         total *= np.uint64(_FACTORS[0])
-        total += words[i:i + n]
+        total += word(i)
         total ^= total >> np.uint64(29)
     return pretokens.mix(total * np.uint64(_FACTORS[1]))
 
