@@ -6,16 +6,19 @@ inside a sentence) and units become typed placeholders, other words their lower
 case.  A capitalised word that opens a sentence is read both ways, as a name and
 as a literal, in documents and items alike.
 The result is a template that a re-parameterised question shares with the
-original.  Windows of ``WINDOW`` template words are hashed and joined between
-documents and benchmark items.  Matches of one (document, item) pair on one
-alignment are gathered, and the values in the placeholder slots are compared:
+original.  Windows of ``WINDOW`` template words (for items under 23 words also
+shorter ones) are hashed and joined between documents and benchmark items.
+Matches of one (document, item) pair are gathered per alignment; alignments that
+follow one another in item and document (inserted or dropped words) are chained.
+The values in the placeholder slots are compared:
 equal values are a literal copy; a one-to-one replacement (the same item value
 always replaced by the same document value, different ones by different ones)
 is a re-parameterised copy; anything else is a chance likeness of templates and
 not reported.
 
 A pair is reported when at least ``MIN_SHARE`` of the item's windows match on
-consistent slots.
+consistent slots, or a run of more than ``RUN_WORDS`` words on one alignment.
+Where the slots contradict, the windows with equal values count alone.
 
 The distinct window hashes of the benchmark are broadcast when they are fewer
 than ``BROADCAST_WINDOWS``, so that documents send only windows that can match;
@@ -44,6 +47,7 @@ from .common import sized_broadcast, written
 WINDOW = 8
 MIN_LITERALS = 4
 MIN_SHARE = 0.5
+RUN_WORDS = 13      # a longer consistent run is reported whatever its share of the item
 BROADCAST_WINDOWS = 2_000_000
 
 #: Unit words and symbols.
@@ -211,6 +215,18 @@ def _sized(window: np.ndarray, size: int) -> np.ndarray:
     return pretokens.mix(window ^ np.uint64(size & 0xFFFF))
 
 
+def item_sizes(one: Template) -> list[tuple[int, int]]:
+    """(size, number) of the windows of an item.  Where one changed word could
+    touch more than half of them, shorter windows are taken besides, and these
+    are counted with those of too few literals."""
+    size = min(WINDOW, len(one.kind))
+    places, literals = one.windows(size)
+    n = int((literals >= MIN_LITERALS).sum())
+    out = [(size, n) if n else (-size, len(places))]
+    short = max(MIN_LITERALS, (len(one.kind) + 1) // 3)
+    return out + [(short, len(one.windows(short)[0]))] if n and short < size else out
+
+
 def benchmark_windows(items: DataFrame, key: str, text: str) -> DataFrame:
     """(item, window, pos, slots, renamed, size, n_windows): all windows of every
     item (the whole of a short one) in all their readings.  An item without a
@@ -225,18 +241,15 @@ def benchmark_windows(items: DataFrame, key: str, text: str) -> DataFrame:
                     one = Template(data[bounds[k]:bounds[k + 1]], bounds[k:k + 2] - bounds[k])
                     if one.first.sum() < MIN_LITERALS:
                         continue
-                    size = min(WINDOW, len(one.kind))
-                    places, literals = one.windows(size)
-                    n = int((literals >= MIN_LITERALS).sum())
-                    size, n = (size, n) if n else (-size, len(places))
-                    for at, hashes, names in one.readings(size):
-                        # the first word as a name is no change: the document may begin before it
-                        renamed = (at > 0) | (names > 1) if names else np.zeros(len(at), bool)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([ids[first + k]] * len(at), pa.int64()),
-                             *_window_rows(one, at, hashes, size, names), pa.array(renamed),
-                             pa.array([size] * len(at), pa.int32()), pa.array([n] * len(at), pa.int64())],
-                            names=["item", "window", "pos", "slots", "renamed", "size", "n_windows"])
+                    for size, n in item_sizes(one):
+                        for at, hashes, names in one.readings(size):
+                            # the first word as a name is no change: the document may begin before it
+                            renamed = (at > 0) | (names > 1) if names else np.zeros(len(at), bool)
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array([ids[first + k]] * len(at), pa.int64()),
+                                 *_window_rows(one, at, hashes, size, names), pa.array(renamed),
+                                 pa.array([size] * len(at), pa.int32()), pa.array([n] * len(at), pa.int64())],
+                                names=["item", "window", "pos", "slots", "renamed", "size", "n_windows"])
 
     return src.mapInArrow(run, "item bigint, window bigint, pos bigint, slots array<bigint>, renamed boolean, "
                                "size int, n_windows bigint")
@@ -271,6 +284,100 @@ def document_windows(docs: DataFrame, sizes: list[int], wanted: np.ndarray | Non
     return docs.mapInArrow(run, WINDOW_SCHEMA)
 
 
+def _run_words(places: list[tuple[int, int]], size: int) -> int:
+    """Longest run of words covered without a hole by windows (shift, place) of
+    one alignment."""
+    longest, begin, before = 0, None, None
+    for at in sorted(places):
+        if before is None or at[0] != before[0] or at[1] > before[1] + size:
+            begin = at
+        longest, before = max(longest, at[1] - begin[1] + size), at
+    return longest
+
+
+def _report(windows: dict, size: int, need: int) -> tuple[int, bool] | None:
+    """(matched places of the item, whether a copy) of the windows
+    {(shift, place): (pairs, renamed)}, if these are enough: together, without
+    openers read as names, or only those with equal values."""
+    for part in (windows, {k: w for k, w in windows.items() if not w[1]},
+                 {k: w for k, w in windows.items() if all(a == b for a, b in w[0])}):
+        pairs = {p for w in part.values() for p in w[0]}
+        if len({a for a, _ in pairs}) < len(pairs) or len({b for _, b in pairs}) < len(pairs):
+            continue
+        n = len({place for _, place in part})
+        if part and (n >= need or _run_words(list(part), size) > RUN_WORDS):
+            changed = part is not windows and any(w[1] for w in windows.values())
+            return n, not changed and all(a == b for a, b in pairs)
+    return None
+
+
+def _chain(windows: dict, size: int, reach: int) -> dict:
+    """The windows of the best chain of alignments: runs that follow one another
+    in the item and, within ``reach`` words, in the document."""
+    runs: list[list] = []
+    for at in sorted(windows):
+        if runs and runs[-1][-1][0] == at[0] and at[1] <= runs[-1][-1][1] + size:
+            runs[-1].append(at)
+        else:
+            runs.append([at])
+    runs.sort(key=lambda r: (r[0][0] + r[0][1], r[0][1]))
+    low, high = (np.array([r[k][1] for r in runs]) for k in (0, -1))
+    shift, length = np.array([r[0][0] for r in runs]), np.array([len(r) for r in runs])
+    score, prior = length.copy(), np.full(len(runs), -1)
+    for j in range(1, len(runs)):
+        # places of run j that its predecessor has passed in the item or the document
+        lost = np.maximum(0, high[:j] + 1 + np.maximum(0, shift[:j] - shift[j]) - low[j])
+        gain = score[:j] + length[j] - lost
+        gain[(lost >= length[j]) | (low[j] + shift[j] - high[:j] - shift[:j] > reach)] = 0
+        i = int(gain.argmax())
+        if gain[i] > score[j]:
+            score[j], prior[j] = gain[i], i
+    out, j = {}, int(score.argmax())
+    while j >= 0:
+        out.update({at: windows[at] for at in runs[j]})
+        j = int(prior[j])
+    return out
+
+
+def _judge(matches: list[dict], size: int, n_windows: int) -> tuple[int, bool] | None:
+    """What one document reports of one item: every alignment alone, else the
+    chains of alignments."""
+    size, need = abs(size), int(np.ceil(n_windows * MIN_SHARE))
+    windows: dict[tuple[int, int], tuple] = {}
+    for m in matches:       # of the readings of one window the most literal one that matches
+        key, found = (m["shift"], m["item_pos"]), ([(p["item_slots"], p["slots"]) for p in m["pairs"]], m["renamed"])
+        if key not in windows or (len(found[0]), found[1]) < (len(windows[key][0]), windows[key][1]):
+            windows[key] = found
+    alone: dict[int, dict] = {}
+    for key, found in windows.items():
+        alone.setdefault(key[0], {})[key] = found
+    reports = [r for r in (_report(w, size, need) for w in alone.values()) if r]
+    if reports:
+        return max(n for n, _ in reports), any(copy for _, copy in reports)
+    while len({place for _, place in windows}) >= need and len(windows) > 1:
+        chain = _chain(windows, size, n_windows + size)
+        if len({place for _, place in chain}) < need:
+            return None
+        if report := _report(chain, size, need):
+            return report
+        windows = {k: w for k, w in windows.items() if k not in chain}
+    return None
+
+
+def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out = []
+        for k in range(batch.num_rows):
+            row, _, item, size, n_windows = (batch.column(c)[k].as_py() for c in range(5))
+            report = _judge(batch.column(5)[k].as_py(), size, n_windows)
+            if report:
+                out.append((row, item, size, report[0], n_windows, report[1]))
+        cols = list(zip(*out)) if out else [()] * 6
+        types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.bool_()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
+                                         names=["row", "item", "size", "n_matched", "n_windows", "copy"])
+
+
 def contaminated_pairs(docs: DataFrame, items: DataFrame, doc_key: str = "doc_id", item_key: str = "item_id",
                        text: str = "text") -> DataFrame:
     """(doc_key, item_key, n_matched, n_windows, kind) for every document that
@@ -286,28 +393,19 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, doc_key: str = "doc_id
         .withColumn("text_id", F.xxhash64("text"))
     found = written(document_windows(src, sizes, wanted), "doc-windows")
     b = bench.select("item", "window", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"),
-                     F.col("renamed").alias("item_renamed"), "n_windows")
+                     F.col("renamed").alias("item_renamed"), "size", "n_windows")
     both = found.join(sized_broadcast(b, n, 200_000), "window")
-    d = both.select("row", "text_id", "item", "item_pos", "n_windows", (F.col("pos") - F.col("item_pos")).alias("shift"),
+    d = both.select("row", "text_id", "item", "size", "item_pos", "n_windows", (F.col("pos") - F.col("item_pos")).alias("shift"),
                     F.arrays_zip("item_slots", "slots").alias("pairs"),
                     (F.col("renamed") | F.col("item_renamed")).alias("renamed"))
-    # of the readings of one window the most literal one that matches
-    d = d.groupBy("row", "text_id", "item", "shift", "item_pos").agg(
-        F.max("n_windows").alias("n_windows"), F.min_by(F.struct("pairs", "renamed"), F.struct(F.size("pairs"), "renamed")).alias("m"))
-    # one group per alignment: how much matched, and which values face each
-    # other; with openers read as names, and without where those contradict
-    groups = d.select("*", F.explode(F.array(F.lit(True), F.lit(False))).alias("names")) \
-        .where(F.col("names") | ~F.col("m.renamed")).groupBy("row", "text_id", "item", "shift", "names").agg(
-            F.count(F.lit(1)).alias("n_matched"), F.max("n_windows").alias("n_windows"),
-            F.array_distinct(F.flatten(F.collect_set("m.pairs"))).alias("pairs"))
-    left = F.array_distinct(F.transform("pairs", lambda p: p["item_slots"]))
-    right = F.array_distinct(F.transform("pairs", lambda p: p["slots"]))
-    consistent = (F.size(left) == F.size("pairs")) & (F.size(right) == F.size("pairs"))
-    equal = F.forall("pairs", lambda p: p["item_slots"].eqNullSafe(p["slots"]))
-    kept = groups.where(consistent & (F.col("n_matched") >= F.ceil(F.col("n_windows") * MIN_SHARE)))
+    groups = d.groupBy("row", "text_id", "item", "size").agg(
+        F.max("n_windows").alias("n_windows"),
+        F.collect_list(F.struct("shift", "item_pos", "pairs", "renamed")).alias("matches"))
+    kept = groups.mapInArrow(_judged, "row bigint, item bigint, size int, n_matched bigint, n_windows bigint, copy boolean")
     return kept.groupBy("row", "item").agg(
-        F.max("n_matched").alias("n_matched"), F.max("n_windows").alias("n_windows"),
-        F.when(F.bool_or(equal & F.col("names")), "copy").otherwise("reparameterised").alias("kind")) \
+        F.max_by(F.struct("n_matched", "n_windows"), F.struct("size", "n_matched")).alias("m"),
+        F.when(F.bool_or("copy"), "copy").otherwise("reparameterised").alias("kind")) \
+        .select("row", "item", "m.n_matched", "m.n_windows", "kind") \
         .withColumnsRenamed({"row": doc_key, "item": item_key})
 
 

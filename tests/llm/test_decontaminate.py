@@ -41,3 +41,28 @@ def test_openers_that_contradict_keep_the_other_windows(spark):
 def test_items_of_amounts_only_are_found_verbatim(spark):
     prices = "$5 50% 7km $9 20% 3km $8 40%"
     assert found(spark, ["now " + prices, prices.replace("7", "6")], [prices]) == {(0, 0, "copy")}
+
+
+WORDS = ("every morning our old teacher walks along the quiet river and counts seven white birds before she "
+         "opens her small school where many children wait for their very first lesson about stars and far planets").split()
+
+
+def test_inserted_dropped_and_run_matches(spark):
+    item = " ".join(WORDS)
+    half = len(WORDS) // 2
+    docs = [" ".join(WORDS[:half] + ["really"] + WORDS[half:]), " ".join(WORDS[:half] + WORDS[half + 1:]),
+            "so " + " ".join(WORDS[:14]) + " but not the rest", "so " + " ".join(WORDS[:13]) + " but not the rest"]
+    assert found(spark, docs, [item]) == {(0, 0, "copy"), (1, 0, "copy"), (2, 0, "copy")}
+
+
+def test_two_insertions_leave_short_runs(spark):
+    parts = [WORDS[:12], WORDS[12:24], WORDS[24:]]
+    chained = " also ".join(" ".join(p) for p in parts)
+    apart = (" also " + "filler " * 60).join(" ".join(p) for p in parts)
+    assert found(spark, [chained, apart], [" ".join(WORDS)]) == {(0, 0, "copy")}
+
+
+def test_short_item_with_a_changed_middle_word(spark):
+    item = WORDS[:15]
+    assert found(spark, [" ".join(item[:7] + ["slowly"] + item[8:]), " ".join(item[:5]) + " and more"],
+                 [" ".join(item)]) == {(0, 0, "copy")}
