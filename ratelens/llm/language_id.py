@@ -47,14 +47,16 @@ def fit_dictionaries(labelled: DataFrame, text: str = "text", lang: str = "lang"
                      sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> dict[str, bytes]:
     """Dictionary content per language from (text, lang): the ``sample_docs``
     distinct texts with the smallest hashes.  The hash range that can matter is
-    cut by a count first, so only a few times the sample is shuffled."""
+    cut by a count of distinct texts first, so copies do not thin the sample and
+    only a few times the sample is shuffled."""
     d = labelled.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang")) \
                 .where("text is not null and lang is not null")
-    counts = {r["lang"]: r["n"] for r in d.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    h = F.xxhash64("text")
+    found = d.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(h).alias("texts")).collect()
+    counts = {r["lang"]: r["n"] for r in found}
     if not counts:
         return {}
-    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 4.0 * sample_docs / n))])
-    h = F.xxhash64("text")
+    share = F.create_map(*[F.lit(x) for r in found for x in (r["lang"], min(1.0, 4.0 * sample_docs / max(1, r["texts"])))])
     place = F.pmod(h, F.lit(1 << 30)).cast("double") / float(1 << 30)
     sample = (d.withColumn("h", h).where(place < share[F.col("lang")])
               .groupBy("lang", "h").agg(F.min(F.substring("text", 1, sample_chars)).alias("text")).collect())
