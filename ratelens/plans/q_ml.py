@@ -269,14 +269,17 @@ LASSO_FEATURES = ["x"] + [f"z{i + 1}" for i in range(len(CANDIDATE_CONTROLS))]
 
 
 def _lasso(spark: SparkSession, sf: str) -> DataFrame:
-    """Lasso per pair (nominal rate vs equity valuation) over the rate and all
-    candidate controls, at the lag chosen by the batch result (J12)."""
+    """Lasso per pair, rate basis and target over the rate and all candidate
+    controls, at the lag chosen by the batch result (J12)."""
     star = Star(spark, sf)
     leads = pn.with_leads(star.panel)
     obs = rg.model_observations(leads, CANDIDATE_CONTROLS, lags=(0, 1, 2, 3),
-                                bases=["nominal"], targets=["equity_valuation"])
-    models = star.pairs.select("country_code", "sector_id", F.lit("nominal").alias("rate_basis"),
-                               F.lit("equity_valuation").alias("target_variable"))
+                                bases=RATE_BASES, targets=TARGET_NAMES)
+    models = star.pairs.select(
+        "country_code", "sector_id",
+        F.explode(F.array(*[F.struct(F.lit(b).alias("rate_basis"), F.lit(t).alias("target_variable"))
+                            for b in RATE_BASES for t in TARGET_NAMES])).alias("m")) \
+        .select("country_code", "sector_id", "m.rate_basis", "m.target_variable")
     lags = rg.lag_lookup(models, correlation_batch(star))
     obs = obs.join(lags, MK, "left_semi")
     fit = md.lasso_cv(obs, MK, LASSO_FEATURES, "y")
