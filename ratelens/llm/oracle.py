@@ -78,3 +78,78 @@ SELECT *, (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
                                          ELSE {q.MAX_WORD_DISTANCE} END AS kept
 FROM f
 """
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def _terms(column: str) -> str:
+    return f"unnest(regexp_extract_all(translate(coalesce({column}, ''), '{_UPPER}', '{_UPPER.lower()}'), '{_TERM}'))"
+
+
+SEARCH = f"""
+WITH t AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, {_terms("text")} AS term FROM documents)
+           GROUP BY doc_id, term),
+n AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM t GROUP BY doc_id),
+c AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM n),
+d AS (SELECT term, count(*) AS df FROM t GROUP BY term),
+q AS (SELECT DISTINCT item_id, {_terms("text")} AS term FROM benchmark),
+s AS (
+  SELECT q.item_id, t.doc_id, CAST(sum(
+    CAST(floor(1000 * ln((2 * c.docs + 2)::DOUBLE / (2 * d.df + 1)::DOUBLE)) AS BIGINT)
+    * ((1000000000 * t.tf) // (1000 * t.tf + 8 * (100 - 90 + (90 * n.n * c.docs) // c.terms)))) AS BIGINT) AS score
+  FROM q JOIN t ON t.term = q.term JOIN d ON d.term = q.term JOIN n ON n.doc_id = t.doc_id, c
+  GROUP BY q.item_id, t.doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+WHERE rank <= 10
+"""
+
+_CRC = """xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split({0}, ''), lambda c: ascii(c)::BIGINT)),
+  lambda c, b: xor(c >> 8, {1}[(xor(c, b) & 255) + 1])), 4294967295::BIGINT)"""
+
+REPAIR = f"""
+WITH RECURSIVE z AS (SELECT list(v ORDER BY n) AS z FROM (
+  SELECT n, list_reduce(list_concat([n::BIGINT], range(8)),
+    lambda c, b: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END) AS v FROM range(256) t(n))),
+k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  {_CRC.format("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')", "z.z")} % 20 AS k FROM conversations, z),
+e AS (SELECT coalesce(conv_id::VARCHAR, '') AS conv, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+  CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+  unnest(range(CASE WHEN k = 3 THEN 2 ELSE 1 END)) AS copy FROM k WHERE k <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i FROM e),
+f AS (SELECT *, left(role, 1) AS init, lag(left(role, 1)) OVER (PARTITION BY conv ORDER BY i) AS before,
+  CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 1
+       WHEN row_number() OVER (PARTITION BY conv, role, text ORDER BY i) > 1 THEN 2
+       WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$') THEN 3 ELSE 0 END AS fault FROM o),
+ins(q, label, cost, lines, q1) AS (VALUES
+  (0, '', 0, '', 0), (0, 'I', 5, 'user:' || chr(10), 2), (0, 'II', 10, 'user:' || chr(10) || 'assistant:' || chr(10), 3),
+  (1, '', 0, '', 1), (1, 'I', 5, 'user:' || chr(10), 2), (1, 'II', 10, 'user:' || chr(10) || 'assistant:' || chr(10), 3),
+  (2, '', 0, '', 2), (2, 'I', 5, 'assistant:' || chr(10), 3), (3, '', 0, '', 3), (3, 'I', 5, 'user:' || chr(10), 2)),
+act(q1, letter, init, cost, name, q2) AS (
+  SELECT q, 'D', NULL::VARCHAR, 2, NULL::VARCHAR, q FROM range(4) t(q) UNION ALL
+  VALUES (0, 'R', NULL, 1, 'user', 2), (1, 'R', NULL, 1, 'user', 2), (2, 'R', NULL, 1, 'assistant', 3),
+    (3, 'R', NULL, 1, 'user', 2), (0, 'K', 's', 0, NULL, 1), (0, 'K', 'u', 0, NULL, 2), (1, 'K', 'u', 0, NULL, 2),
+    (3, 'K', 'u', 0, NULL, 2), (2, 'K', 'a', 0, NULL, 3)),
+st AS (
+  SELECT DISTINCT conv, CAST(0 AS BIGINT) AS i, CAST(0 AS BIGINT) AS q, {{'c': CAST(0 AS BIGINT), 'a': '', 'o': ''}} AS s FROM f
+  UNION ALL
+  SELECT st.conv, f.i, CAST(act.q2 AS BIGINT), min({{
+    'c': st.s.c + ins.cost + act.cost + CASE WHEN f.fault = 3 AND letter <> 'D' THEN 5 ELSE 0 END,
+    'a': st.s.a || ins.label || act.letter,
+    'o': st.s.o || ins.lines || CASE letter WHEN 'D' THEN '' WHEN 'K' THEN f.role || ':' || f.text || chr(10)
+                                            ELSE act.name || ':' || f.text || chr(10) END}})
+  FROM st JOIN f ON f.conv = st.conv AND f.i = st.i + 1 JOIN ins ON ins.q = st.q
+  JOIN act ON act.q1 = ins.q1 AND (letter = 'D' OR f.fault NOT IN (1, 2)) AND (act.init IS NULL OR act.init = f.init)
+  GROUP BY st.conv, f.i, act.q2),
+n AS (SELECT conv, max(i) AS n, count_if(fault = 1) AS blank, count_if(fault = 2) AS duplicate,
+  count_if(fault = 3) AS truncated, count_if(before IS NOT NULL AND before || init NOT IN ('su', 'ua', 'au')) AS illegal,
+  coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps FROM f GROUP BY conv),
+best AS (SELECT st.conv, min({{'c': st.s.c + ins.cost, 'a': st.s.a || ins.label, 'o': st.s.o || ins.lines}}) AS s
+  FROM st JOIN n ON n.conv = st.conv AND n.n = st.i JOIN ins ON ins.q = st.q AND ins.q1 IN (0, 3) GROUP BY st.conv)
+SELECT c.conv_id, CAST(coalesce(n.gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(n.blank, 0) AS BIGINT) AS blank,
+  CAST(coalesce(n.duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(n.truncated, 0) AS BIGINT) AS truncated,
+  CAST(coalesce(n.illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(best.s.c, 0) AS BIGINT) AS cost,
+  coalesce(best.s.a, '') AS audit, sha256(CASE WHEN coalesce(best.s.o, '') = '' THEN '' ELSE left(best.s.o, -1) END) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN n ON n.conv = coalesce(c.conv_id::VARCHAR, '') LEFT JOIN best ON best.conv = n.conv
+"""

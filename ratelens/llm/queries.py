@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat_format, decontaminate, language_id, ngram_jaccard, oracle, quality_rules, sharding, substring_dedup, token_files, warc
+from . import bpe, chat_format, decontaminate, language_id, lexical_search, ngram_jaccard, oracle, quality_rules, sharding, substring_dedup, token_files, turn_repair, warc
 from .common import table
 from .registry import ORACLE, QUERIES, register  # noqa: F401
 
@@ -102,3 +102,16 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold an item of the benchmark."""
     return decontaminate.contaminated_pairs(table(spark, sf_dir, "documents", "doc_id", "text"),
                                             table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+@register("op11_reversed_search", oracle.SEARCH)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return lexical_search.search(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                 table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+@register("op12_auction_repair", oracle.REPAIR)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation damaged by its key's checksum and repaired at least cost."""
+    return turn_repair.damage_and_repair(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
