@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat_format, decontaminate, language_id, lexical_search, ngram_jaccard, oracle, quality_rules, sharding, substring_dedup, token_files, turn_repair, warc
+from . import bpe, chat_format, decontaminate, language_id, lexical_search, ngram_jaccard, oracle, quality_rules, repeated_strings, sharding, substring_dedup, token_files, turn_repair, warc
 from .common import table
 from .registry import ORACLE, QUERIES, register  # noqa: F401
 
@@ -115,3 +115,9 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation damaged by its key's checksum and repaired at least cost."""
     return turn_repair.damage_and_repair(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
+@register("op13_suffix_dedup")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the bytes that a repeated 400-byte string covers."""
+    return repeated_strings.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"))
