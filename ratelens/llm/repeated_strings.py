@@ -15,8 +15,8 @@ into one shard:
    sorting, with permuted common prefixes.  Strings of neighbouring suffixes that
    share 400 bytes are equal; a string met twice repeats.
 4. The contexts of a very frequent anchor are dealt to several shards; those give
-   one digest for each distinct string, and strings that two shards have in common
-   repeat.
+   one digest for each distinct string (packed by bucket), and strings that two shards
+   have in common repeat.
 5. Per text, the repeated strings' bytes are joined into spans and taken out.
 
 Texts are known by 128 bits of their SHA-256, contexts by anchor and 64-bit digest,
@@ -47,7 +47,7 @@ WINDOW = LENGTH - GRAM + 1          # grams of a string
 PREFERRED = np.uint64(1 << 61)      # one gram in eight has a hash below this
 SHARD_BYTES = 2_000_000
 PIECE_BYTES = 4_000_000             # a longer text is scanned in overlapping pieces
-BROADCAST_BYTES = 16_000_000        # larger lists are joined by a shuffle
+BUCKET_BYTES = 8_000_000            # digests of the strings of split anchors in one task
 PLACE = 512                         # place = start * PLACE + number of strings
 
 
@@ -164,12 +164,15 @@ def _context_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 names=["shard", "uid", "place", "single", "split", "bytes"])
 
 
-_FOUND = "uid binary, low bigint, high bigint, string1 bigint, string2 bigint"
+_FOUND = "uid binary, low bigint, high bigint, bucket int, packed binary"
+#: A string of a split anchor: 128-bit digest, start (-1 where it is known to repeat), text id.
+_STRING = np.dtype([("a", "<u8"), ("b", "<u8"), ("low", "<i8"), ("uid", "<u8", 2)])
 
 
-def _shard(table: pa.Table) -> pa.Table:
+def _shard(table: pa.Table, buckets: int) -> pa.Table:
     """Repeated strings of the contexts of one shard: (uid, first start, last start) of the
-    contexts that occur once, and for split anchors one digest of every distinct string."""
+    contexts that occur once, and the distinct strings of split anchors, packed by
+    bucket of their digest."""
     table = table.combine_chunks()
     column = table.column("bytes").combine_chunks() if table.num_rows else pa.array([], pa.binary())
     parts = column.to_pylist()
@@ -205,28 +208,48 @@ def _shard(table: pa.Table) -> pa.Table:
                     yield c, int(start[c]) + lo - int(first[c]), int(start[c]) + hi - int(first[c])
 
     rows = list(stretches(again & single[context]))
-    uid = table.column("uid").combine_chunks().take(pa.array([r[0] for r in rows], pa.int64()))
+    uids = table.column("uid").combine_chunks()
+    uid = uids.take(pa.array([r[0] for r in rows], pa.int64()))
     low, high = ([r[i] for r in rows] for i in (1, 2))
-    digests = [pa.nulls(len(rows), pa.int64())] * 2
+    bucket, packed = [None] * len(rows), [None] * len(rows)
     if split.any():
         head = np.flatnonzero(split[context] & (new | ~again))
         at = first[context[head]] + inside[head]
-        s1, s2 = (pretokens.coded_span_hashes(codes[data], at, at + LENGTH).view(np.int64)
-                  for codes in (_CONTEXT_CODES, _STRING_CODES))
-        open_ = single[context[head]] & ~again[head]
-        where = start[context[head]] + inside[head]
-        uid = pa.concat_arrays([uid, table.column("uid").combine_chunks().take(pa.array(context[head]))])
-        low += np.where(open_, where, -1).tolist()
-        high += np.where(open_, where, -1).tolist()
-        digests = [pa.concat_arrays([d, pa.array(s)]) for d, s in zip(digests, (s1, s2))]
-    return pa.Table.from_arrays([uid, pa.array(low, pa.int64()), pa.array(high, pa.int64()), *digests],
-                                names=["uid", "low", "high", "string1", "string2"])
-
-
-def _maybe_broadcast(df: DataFrame, size) -> DataFrame:
-    """Broadcast hint where the summed ``size`` stays below ``BROADCAST_BYTES``."""
-    total = df.agg(F.sum(size)).first()[0] or 0
-    return F.broadcast(df) if total <= BROADCAST_BYTES else df
+        out = np.zeros(len(head), dtype=_STRING)
+        out["a"], out["b"] = (pretokens.coded_span_hashes(codes[data], at, at + LENGTH)
+                              for codes in (_CONTEXT_CODES, _STRING_CODES))
+        out["low"] = np.where(single[context[head]] & ~again[head], start[context[head]] + inside[head], -1)
+        out["uid"] = np.frombuffer(b"".join(uids.to_pylist()), dtype="<u8").reshape(-1, 2)[context[head]]
+        of = out["a"] % np.uint64(buckets)
+        for k in np.unique(of).tolist():
+            bucket.append(k)
+            packed.append(out[of == k].tobytes())
+        more = len(bucket) - len(rows)
+        uid = pa.concat_arrays([uid, pa.nulls(more, pa.binary())])
+        low, high = low + [None] * more, high + [None] * more
+    return pa.Table.from_arrays([uid, pa.array(low, pa.int64()), pa.array(high, pa.int64()),
+                                 pa.array(bucket, pa.int32()), pa.array(packed, pa.binary())],
+                                names=["uid", "low", "high", "bucket", "packed"])
+
+
+def _met(table: pa.Table) -> pa.Table:
+    """Starts of the strings that two shards have in common, of one bucket."""
+    every = np.concatenate([np.frombuffer(p, dtype=_STRING) for p in table.column("packed").to_pylist()])
+    order = np.lexsort((every["b"], every["a"]))
+    every = every[order]
+    new = np.concatenate([[True], (every["a"][1:] != every["a"][:-1]) | (every["b"][1:] != every["b"][:-1])])
+    run = np.cumsum(new) - 1
+    hit = every[(np.bincount(run)[run] > 1) & (every["low"] >= 0)]
+    hit = hit[np.lexsort((hit["low"], hit["uid"][:, 1], hit["uid"][:, 0]))]
+    if len(hit):
+        cut = np.flatnonzero(np.concatenate([[True], (hit["low"][1:] != hit["low"][:-1] + 1)
+                                             | (hit["uid"][1:] != hit["uid"][:-1]).any(axis=1)]))
+        high = hit["low"][np.append(cut[1:], len(hit)) - 1]
+        uid, low = [u.tobytes() for u in hit["uid"][cut]], hit["low"][cut]
+    else:
+        uid, low, high = [], [], []
+    return pa.Table.from_arrays([pa.array(uid, pa.binary()), pa.array(low, pa.int64()), pa.array(high, pa.int64())],
+                                names=["uid", "low", "high"])
 
 
 def _identified(docs: DataFrame, text: str, *columns) -> DataFrame:
@@ -252,8 +275,10 @@ def repeated_starts(docs: DataFrame, text: str = "text") -> DataFrame:
     open_keys = written(classes.groupBy("key").agg(
         F.min("m").alias("least"), F.sum(F.pmod("one.place", F.lit(PLACE)) + LENGTH - 1).alias("bytes"))
         .where("least = 1").select("key", "bytes"), "strings-open")
-    total = open_keys.agg(F.sum("bytes")).first()[0] or 0
+    total, crowded = open_keys.agg(F.coalesce(F.sum("bytes"), F.lit(0)),
+                                   F.coalesce(F.sum(F.when(F.col("bytes") > SHARD_BYTES, F.col("bytes"))), F.lit(0))).first()
     shards = max(1, -(-total // SHARD_BYTES))
+    buckets = max(1, -(-crowded * _STRING.itemsize // (4 * BUCKET_BYTES)))
     blocks = F.ceil(F.col("bytes") / SHARD_BYTES)
     wanted = classes.join(open_keys, "key").select(
         F.col("one.uid").alias("uid"), F.col("one.place").alias("place"), (F.col("m") == 1).alias("single"),
@@ -261,22 +286,21 @@ def repeated_starts(docs: DataFrame, text: str = "text") -> DataFrame:
         F.pmod(F.xxhash64("key", F.pmod(F.xxhash64("digest"), blocks)), F.lit(shards)).alias("shard"))
     lists = written(wanted.groupBy("uid").agg(F.collect_list(
         F.struct("place", "single", "split", "shard")).alias("wants")), "strings-wanted")
-    texts = source.join(_maybe_broadcast(lists, 32 + 32 * F.size("wants")), "uid").select(
+    texts = source.join(lists, "uid").select(
         "uid", F.col("text").cast("binary").alias("text"), "wants")
     fetched = texts.mapInArrow(
         _context_rows, "shard bigint, uid binary, place bigint, single boolean, split boolean, bytes binary")
-    found = written(fetched.groupBy("shard").applyInArrow(_shard, _FOUND), "strings-found")
+    found = written(fetched.groupBy("shard").applyInArrow(lambda table: _shard(table, buckets), _FOUND), "strings-found")
     # strings that several shards of one anchor have
-    met = found.where("string1 is not null").groupBy("string1", "string2").agg(
-        F.count(F.lit(1)).alias("m")).where("m > 1").select("string1", "string2")
-    crossing = found.where("low >= 0 and string1 is not null").join(met, ["string1", "string2"])
+    crossing = found.where("bucket is not null").select("bucket", "packed").groupBy("bucket").applyInArrow(
+        _met, "uid binary, low bigint, high bigint")
     copied = classes.where("m > 1").select("key", "digest")
-    whole = shared.where("NOT mixed").select("uid", "place").unionByName(
-        mixed.join(copied, ["key", "digest"]).select("uid", "place"))
+    repeated = written(mixed.select("uid", "place", "key", "digest").join(copied, ["key", "digest"])
+                       .select("uid", "place"), "strings-copied")
+    whole = shared.where("NOT mixed").select("uid", "place").unionByName(repeated)
     start = F.floor(F.col("place") / PLACE)
     spans = whole.select("uid", start.alias("low"), (start + F.pmod("place", F.lit(PLACE)) - 1).alias("high")) \
-        .unionByName(found.where("string1 is null").select("uid", "low", "high")) \
-        .unionByName(crossing.select("uid", "low", "high")).distinct()
+        .unionByName(found.where("bucket is null").select("uid", "low", "high")).unionByName(crossing).distinct()
     return written(spans.groupBy("uid").agg(F.collect_list(F.struct("low", "high")).alias("spans")), "strings-spans")
 
 
@@ -295,7 +319,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wit
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row (and the kept bytes)."""
     spans = repeated_starts(docs, text)
     rows = _identified(docs, text, F.col(key).alias("doc"))
-    both = rows.join(_maybe_broadcast(spans, 32 + 16 * F.size("spans")), "uid", "left") \
+    both = rows.join(spans, "uid", "left") \
         .select("doc", F.col("text").cast("binary").alias("text"), "spans")
     kind = rows.schema["doc"].dataType.simpleString()
 
