@@ -4,6 +4,8 @@ folder."""
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,16 +56,18 @@ def l02(spark: SparkSession, sf: str) -> DataFrame:
 @register("l03_budget_stream", lambda: O.with_ctes("""
 SELECT article_id, run_day, slot_all <= remaining AS processed FROM s_slice""", "s_slice"))
 def l03(spark: SparkSession, sf: str) -> DataFrame:
-    """Work queue with a daily budget, applied per micro-batch."""
+    """Work queue with a daily budget that holds over micro-batches: calls made before
+    the run are in the budget table, each batch takes what is left of a day."""
     out, ckpt = sp.scratch(spark, "l03")
 
-    def slicer(batch: DataFrame) -> DataFrame:
-        c = ts.articles_from_events(batch).select(
+    def candidates(batch: DataFrame) -> DataFrame:
+        return ts.articles_from_events(batch).select(
             "article_id", "source_url", F.to_date("published").alias("run_day"),
             F.col("published").alias("queued_at"), F.lit(0).alias("prio"))
-        return qu.budget_slice(c, _used(c)).select("article_id", "run_day", "processed")
-    sp.run_foreach_batch(_events_stream(spark, sf), sp.budget_writer(out, slicer), ckpt)
-    return finish(spark.read.parquet(out).select("article_id", "run_day", "processed"))
+    before = _used(candidates(driver.read(spark, sf, "events", *sp.EVENTS_SCHEMA.names)))
+    sp.record_calls(before.select("date_key", F.col("calls_used").cast("int").alias("calls_used")), out, -1)
+    sp.run_foreach_batch(_events_stream(spark, sf), sp.budget_writer(out, candidates), ckpt)
+    return finish(spark.read.parquet(f"{out}/rows").select("article_id", "run_day", "processed"))
 
 
 @register("l04_idempotent_batches", """
@@ -157,7 +161,8 @@ def k06(spark: SparkSession, sf: str) -> DataFrame:
 def k07(spark: SparkSession, sf: str) -> DataFrame:
     f = Star(spark, sf).fact_article
     path = sp.scratch(spark, "k07")[0]
-    sink.write_month_partitioned(f.select("article_id", "article_category", "published"), path)
+    for _ in range(2):      # a retried run leaves one copy
+        sink.write_month_partitioned(f.select("article_id", "article_category", "published"), path, "20240303")
     back = spark.read.parquet(path)
     return finish(back.groupBy("published_month", "article_category")
                   .agg(F.count(F.lit(1)).alias("n")))
@@ -168,10 +173,14 @@ SELECT day, count(*) AS n FROM s_articles
 WHERE published >= (SELECT max(published) FROM s_articles) - INTERVAL {RETENTION_DAYS} DAY
 GROUP BY 1""", "s_articles"))
 def k08(spark: SparkSession, sf: str) -> DataFrame:
-    """Rolling retention of the raw cache: rows within N days of the newest."""
-    f = Star(spark, sf).fact_article.select("article_id", "published")
-    kept = sink.retention_keep(f, "published", RETENTION_DAYS)
-    return finish(kept.groupBy(F.to_date("published").alias("day")).agg(F.count(F.lit(1)).alias("n")))
+    """Rolling retention of the raw cache, landed by day: expired days are never listed,
+    the day of the bound is cut by time."""
+    f = Star(spark, sf).fact_article.select("article_id", "published", F.to_date("published").alias("day"))
+    path = sp.scratch(spark, "k08")[0]
+    f.write.partitionBy("day").parquet(path)
+    near = sink.kept_partitions(spark.read.parquet(path), "day", RETENTION_DAYS)
+    kept = sink.retention_keep(near, "published", RETENTION_DAYS)
+    return finish(kept.groupBy("day").agg(F.count(F.lit(1)).alias("n")))
 
 
 @register("s09_param_sql", """
@@ -206,37 +215,40 @@ def s11(spark: SparkSession, sf: str) -> DataFrame:
 ndays AS (SELECT count(DISTINCT day) AS d FROM s_articles)
 SELECT article_id FROM ranked, ndays WHERE rn <= 15 * d""", "s_articles"))
 def l03b(spark: SparkSession, sf: str) -> DataFrame:
-    """Work queue with a daily budget carried across runs: events landed as
-    one file per day, streamed one file per micro-batch; each run processes
-    the oldest queued articles first within its budget and queues the rest."""
+    """Work queue with a daily budget carried across runs: a day's events are landed,
+    then a run streams what is new, processes the oldest queued articles first
+    within its budget and queues the rest."""
     from ..streaming import queue_job as qj
-    ev = driver.read(spark, sf, "events", "event_id", "ts", "user_id", "event_type", "value", "props")
-    landed_dir = sp.scratch(spark, "l03-landed")[0]
-    days = [r[0] for r in ev.select(F.to_date("ts").alias("d")).distinct().orderBy("d").collect()]
-    for d in days:  # one landed file per run day, in arrival order
-        ev.where(F.to_date("ts") == F.lit(d)).coalesce(1).write.parquet(f"{landed_dir}/day={d}")
-    stream = sp.landed_stream(spark, f"{landed_dir}/day=*", sp.EVENTS_SCHEMA, max_files=1)
-    arts = ts.articles_from_events(stream).select("article_id", "source_url", "published")
-    root, ckpt = sp.scratch(spark, "l03-state")
-    sp.run_foreach_batch(arts, qj.queue_writer(root), ckpt)
+    ev = driver.read(spark, sf, "events", *sp.EVENTS_SCHEMA.names)
+    by_day = sp.scratch(spark, "l03-days")[0]
+    ev.withColumn("day", F.to_date("ts")).write.partitionBy("day").parquet(by_day)
+    archive = spark.read.parquet(by_day)
+    landed_dir, root, ckpt = sp.scratch(spark, "l03-landed")[0], *sp.scratch(spark, "l03-state")
+    first, last = archive.agg(F.min("day"), F.max("day")).first()
+    for k in range((last - first).days + 1 if first else 0):
+        day = first + timedelta(days=k)
+        archive.where(F.col("day") == F.lit(day)).select(*sp.EVENTS_SCHEMA.names).write.parquet(f"{landed_dir}/day={day}")
+        stream = sp.landed_stream(spark, f"{landed_dir}/day=*", sp.EVENTS_SCHEMA)
+        arts = ts.articles_from_events(stream).select("article_id", "source_url", "published")
+        sp.run_foreach_batch(arts, qj.queue_writer(root), ckpt)
     return finish(spark.read.parquet(f"{root}/processed").select("article_id"))
 
 
 @register("l01_exact_dedup_state", lambda: O.with_ctes(
     "SELECT sha256(source_url) AS url_hash, article_id FROM s_articles", "s_articles"))
 def l01b(spark: SparkSession, sf: str) -> DataFrame:
-    """Exact cross-run URL dedup: the events are landed twice (a second
-    delivery of every article), streamed one landed copy per micro-batch;
-    the seen-state table makes the second delivery add nothing."""
+    """Exact cross-run URL dedup: two deliveries are landed, each with some articles
+    twice, and streamed one per micro-batch; a batch looks its keys up in its own
+    part of the seen table, so the second delivery adds nothing."""
     from ..streaming import dedup_job as dj
     ev = driver.read(spark, sf, "events", "event_id", "ts", "user_id", "event_type", "value", "props")
     landed_dir = sp.scratch(spark, "l01-landed")[0]
-    for copy in ("a", "b"):  # two deliveries of the same data
-        ev.write.parquet(f"{landed_dir}/copy={copy}")
-    stream = sp.landed_stream(spark, f"{landed_dir}/copy=*", sp.EVENTS_SCHEMA, max_files=1)
-    arts = ts.articles_from_events(stream).select(
-        qu.url_hash(F.col("source_url")).alias("url_hash"), "article_id", "published")
     root, ckpt = sp.scratch(spark, "l01-state")
-    sp.run_foreach_batch(arts, dj.exact_dedup_writer(root, "url_hash", ["published", "article_id"],
-                                                     ["url_hash", "article_id"]), ckpt)
+    for copy in ("a", "b"):  # a delivery, then a run over what is new
+        ev.unionByName(ev.where(F.col("event_id") % 3 == 0)).write.parquet(f"{landed_dir}/copy={copy}")
+        stream = sp.landed_stream(spark, f"{landed_dir}/copy=*", sp.EVENTS_SCHEMA)
+        arts = ts.articles_from_events(stream).select(
+            qu.url_hash(F.col("source_url")).alias("url_hash"), "article_id", "published")
+        sp.run_foreach_batch(arts, dj.exact_dedup_writer(root, "url_hash", ["published", "article_id"],
+                                                         ["url_hash", "article_id"]), ckpt)
     return finish(spark.read.parquet(f"{root}/out").select("url_hash", "article_id"))

@@ -12,6 +12,7 @@ from ..functions import scalar as sc
 from ..operators import articles as ar
 from ..operators import queue as qu
 from ..operators import series as se
+from ..operators import tagging as tg
 from ..schema import conform, empty
 from ..sinks import tables as sink
 from ..sources import driver, landed
@@ -98,26 +99,36 @@ def s07(spark: SparkSession, sf: str) -> DataFrame:
     return finish(se.last_per_month(h, ["sector_id"], "ts", "close", tiebreak="instrument_id"))
 
 
-@register("s08_raw_batches", lambda: O.with_ctes(
-    "SELECT strftime(day, '%Y%m%d') AS run_ts, count(*) AS n FROM s_articles GROUP BY 1",
-    "s_articles"))
+@register("s08_raw_batches", lambda: O.with_ctes("""
+SELECT strftime(day, '%Y%m%d') AS run_ts, count(*) AS n, 'article' AS target FROM s_articles
+WHERE CAST(substr(article_id, 2) AS BIGINT) % 50 <> 7 GROUP BY 1
+UNION ALL SELECT strftime(day, '%Y%m%d'), count(*), 'article without url' FROM s_articles
+WHERE CAST(substr(article_id, 2) AS BIGINT) % 50 = 7 GROUP BY 1
+UNION ALL SELECT 'corrupt', 1, 'not a JSON article'""", "s_articles"))
 def s08(spark: SparkSession, sf: str) -> DataFrame:
-    """Raw article batches landed as JSON (one folder per run day, plus a
-    corrupt file), scanned with the corrupt-record column."""
+    """Raw article batches landed as JSON (one folder per run day, some records without
+    URL, plus a corrupt file) and streamed into the article sink and the dead-letter
+    sink; a replay of a batch changes neither."""
     f = _star(spark, sf).fact_article
-    path = _scratch(spark, "raw")
-    raw = f.select(F.col("source_url").alias("url"), "title",
+    path, out = _scratch(spark, "raw"), _scratch(spark, "raw-out")
+    no_url = F.substr("article_id", F.lit(2)).cast("bigint") % 50 == 7
+    raw = f.select(F.when(~no_url, F.col("source_url")).alias("url"), "title",
                    F.date_format("published", "yyyy-MM-dd'T'HH:mm:ss").alias("published"),
                    F.col("source_id").alias("source"), F.col("article_category").alias("category"),
                    F.col("mech").alias("raw_text"), F.date_format("published", "yyyyMMdd").alias("run_ts"))
     raw.write.partitionBy("run_ts").json(path)
     spark.createDataFrame([("{not json",)], "value string").write.text(f"{path}/run_ts=corrupt")
-    back = spark.read.schema(landed.RAW_BATCH).option("mode", "PERMISSIVE") \
-        .option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
-    # filter on a data column as well: a scan that reads only the corrupt
-    # record column is rejected by the JSON source
-    good = back.where(F.col("_corrupt_record").isNull() & F.col("url").isNotNull())
-    return finish(good.groupBy("run_ts").agg(F.count(F.lit(1)).alias("n")))
+    write = sp.raw_writer(out)
+
+    def twice(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id)
+        write(batch, batch_id)
+    sp.run_foreach_batch(landed.stream_raw_batches(spark, f"{path}/run_ts=*"), twice, f"{out}/_checkpoint")
+    good = spark.read.parquet(f"{out}/articles").select("landed_file", F.lit("article").alias("target"))
+    dead = spark.read.schema("error string, landed_file string").json(f"{out}/dead_letters")
+    rows = good.unionByName(dead.select("landed_file", F.col("error").alias("target")))
+    run = F.regexp_extract("landed_file", "run_ts=([^/]+)/", 1)
+    return finish(rows.groupBy(run.alias("run_ts"), "target").agg(F.count(F.lit(1)).alias("n")))
 
 
 @register("s10_table_or_empty", lambda: O.with_ctes(
@@ -268,6 +279,63 @@ def q09(spark: SparkSession, sf: str) -> DataFrame:
         F.count(F.when(F.col("error").isNotNull(), 1)).alias("n_dead_letter")))
 
 
+_ARTICLE_URL = "'https://docs.example.com/' || doc_id"
+
+
+@register("q09_article_run", lambda: O.with_ctes(f"""
+, a AS (SELECT doc_id, sha256({_ARTICLE_URL}) AS article_id, source, doc_id % 30 AS d FROM documents),
+k AS (SELECT *, row_number() OVER (PARTITION BY d ORDER BY article_id) <= 15 AS processed FROM a),
+v AS (SELECT k.*, t.* EXCLUDE (doc_id) FROM k JOIN s_validated t ON t.doc_id = k.doc_id WHERE processed)
+SELECT 'fact_article' AS target, article_id AS key,
+       concat_ws('|', article_category, policy_subtype, mechanisms, policy_stance, source) AS value FROM v WHERE error IS NULL
+UNION ALL SELECT 'bridge_article_country', article_id, unnest(string_split(country_codes, ','))
+FROM v WHERE error IS NULL AND country_codes <> ''
+UNION ALL SELECT 'bridge_article_sector', article_id, unnest(string_split(sector_tags, ','))
+FROM v WHERE error IS NULL AND sector_tags <> ''
+UNION ALL SELECT DISTINCT 'dim_source', source, '' FROM v WHERE error IS NULL AND source <> ''
+UNION ALL SELECT 'dead_letter', article_id, error FROM v WHERE error IS NOT NULL
+UNION ALL SELECT 'queue', article_id, '' FROM k WHERE NOT processed""", "s_validated"))
+def q09_run(spark: SparkSession, sf: str) -> DataFrame:
+    """The article run over every document: two deliveries of raw articles (the first
+    with repeats, the second all seen before), each one committed batch; a row per
+    target and key of what readers see."""
+    from ..streaming import article_job as aj
+    from .q_tagging import COUNTRY_CODES, SECTOR_WORDS, SECTORS
+    docs = driver.read(spark, sf, "documents", "doc_id", "text", "source")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.pmod("doc_id", F.lit(30)).cast("int"))
+    raw = docs.select(F.concat(F.lit("https://docs.example.com/"), F.col("doc_id").cast("string")).alias("url"),
+                      F.concat(F.lit("Document "), F.col("doc_id").cast("string")).alias("title"),
+                      F.date_format(day, "EEE, dd MMM yyyy 08:00:00 'GMT'").alias("published"), "source",
+                      F.lit("news").alias("category"), F.col("text").alias("raw_text"))
+    landed_dir, root = _scratch(spark, "articles"), _scratch(spark, "article-run")
+
+    def tagger(rows: DataFrame) -> DataFrame:
+        return tg.lexicon_tagger(rows, "raw_text", SECTOR_WORDS, "article_id", COUNTRY_CODES)
+    write = aj.article_writer(root, tagger, _star(spark, sf).dim_country, SECTORS)
+    for delivery in (raw.unionByName(raw.where(F.length("url") % 3 == 0)), raw):
+        path = f"{landed_dir}/run={sink.unique_suffix()}"
+        delivery.write.parquet(path)
+        stream = sp.landed_stream(spark, f"{landed_dir}/run=*", raw.schema)
+        sp.run_foreach_batch(stream, write, f"{root}/_checkpoint")
+
+    def target(name: str, key: str, value) -> DataFrame:
+        return aj.committed(spark, root, name).select(F.lit(name).alias("target"), F.col(key).alias("key"), value.alias("value"))
+    queue = aj.committed(spark, root, "queue", aj.QUEUED)
+    newest = aj.committed(spark, root, "commits").agg(F.max("batch")).first()[0]
+    out = [target("fact_article", "article_id", F.concat_ws("|", "article_category", "policy_subtype", "mech",
+                                                            "policy_stance", "source_id")),
+           target("bridge_article_country", "article_id", F.col("country_code")),
+           target("bridge_article_sector", "article_id", F.col("sector_id")),
+           target("dim_source", "source_id", F.lit("")).distinct(),
+           target("dead_letter", "article_id", F.col("error")),
+           queue.where(F.col("batch") == newest).select(F.lit("queue").alias("target"), F.col("article_id").alias("key"),
+                                                        F.lit("").alias("value"))]
+    every = out[0]
+    for part in out[1:]:
+        every = every.unionByName(part)
+    return finish(every)
+
+
 @register("q10_latest_results", lambda: _runs_sql("""
 SELECT country_code, sector_id, rate_basis, target_variable, """ + O.r6("pearson_r", "pearson_r")
     + """, CAST(lag AS BIGINT) AS lag FROM (SELECT *, row_number() OVER (PARTITION BY country_code,

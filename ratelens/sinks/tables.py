@@ -78,9 +78,10 @@ def write_raw_batch(articles: DataFrame, path: str, run_ts_col: str = "run_ts")
      .partitionBy(run_ts_col).json(path))
 
 
-def write_dead_letter(rows: DataFrame, path: str) -> None:
-    """Append failed records (article + error) as JSON lines."""
-    rows.write.mode("append").json(path)
+def write_dead_letter(rows: DataFrame, path: str, run_key: str) -> None:
+    """Failed records (article + error) as JSON lines in the folder of the run;
+    a retried run replaces its own folder, other runs stay."""
+    rows.write.mode("overwrite").json(f"{path.rstrip('/')}/run_key={run_key}")
 
 
 def export_csv(df: DataFrame, path: str) -> bool:
@@ -92,11 +93,23 @@ def export_csv(df: DataFrame, path: str) -> bool:
     return True
 
 
-def write_month_partitioned(articles: DataFrame, path: str, ts: str = "published") -> None:
-    """Article fact partitioned by publication month; reads that filter
-    on ``published_month`` prune partitions."""
-    (articles.withColumn("published_month", F.date_format(ts, "yyyy-MM"))
-     .write.mode("append").partitionBy("published_month").parquet(path))
+def write_month_partitioned(articles: DataFrame, path: str, run_key: str, ts: str = "published") -> None:
+    """Article fact partitioned by publication month, and within a month by the
+    run that wrote it; reads that filter on ``published_month`` prune partitions.  A
+    retried run replaces its own partitions, other runs of the month stay."""
+    (articles.withColumn("published_month", F.date_format(ts, "yyyy-MM")).withColumn("run_key", F.lit(f"r{run_key}"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("published_month", "run_key").parquet(path))
+
+
+def kept_partitions(table: DataFrame, column: str, days: int) -> DataFrame:
+    """K08 on a table partitioned by a date: the partitions within ``days`` of the
+    newest one.  The bound is one scalar of the partition values, so the scan lists
+    the kept partitions only; expired folders can be dropped whole."""
+    newest = table.agg(F.max(column)).first()[0]
+    if newest is None:
+        return table
+    return table.where(F.col(column) >= F.date_sub(F.lit(newest), days))
 
 
 def retention_keep(df: DataFrame, ts: str, days: int, now: str | None = None) -> DataFrame:

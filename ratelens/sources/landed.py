@@ -119,27 +119,54 @@ def read_price_sheet(spark: SparkSession, path: str, columns: list[str]) -> Data
 
 
 # S02 -------------------------------------------------------------------------
-def read_rss_items(spark: SparkSession, path: str, source: str, category: str) -> DataFrame:
-    """RSS / Atom items -> raw article rows: items without a link are
-    dropped, ``published`` falls back to ``updated``, ``summary`` to
-    ``description`` (empty strings count as missing), titles trimmed."""
-    items = spark.read.format("xml").option("rowTag", "item").option("inferSchema", False).load(path)
-    have = set(items.columns)
-
-    def col(name: str) -> Column:
-        return F.col(name).cast("string") if name in have else F.lit(None).cast("string")
+_LINK = T.StructType([T.StructField("_VALUE", T.StringType()), T.StructField("_href", T.StringType()),
+                      T.StructField("_rel", T.StringType())])
+FEED_ITEM = T.StructType([T.StructField(n, T.ArrayType(_LINK) if n == "link" else T.StringType()) for n in (
+    "title", "link", "guid", "id", "pubDate", "published", "updated", "date", "description", "summary", "content",
+    "encoded", "_corrupt_record")])
+FEED_ARTICLE = T.StructType(RAW_ARTICLE.fields + [T.StructField("_corrupt_record", T.StringType())])
+
+
+def read_feed_items(spark: SparkSession, path: str, source: str | Column, category: str | Column) -> DataFrame:
+    """RSS items and Atom entries of the feed files under ``path`` as raw article rows
+    with ``_corrupt_record`` (the element's text where it is not well-formed, else
+    null).  The link is the element's text or its ``href`` (of several the one without
+    ``rel`` or with ``alternate``, else the first); ``published`` is the first of pubDate, published, updated and
+    date, the text the first of summary, description, content and encoded; empty
+    strings count as missing, name spaces are ignored, CDATA is text.  Well-formed items
+    without a link are dropped."""
+    def literal(value: str | Column) -> Column:
+        return F.lit(value) if isinstance(value, str) else value
+
+    def first(*names: str) -> Column:
+        return F.coalesce(*[F.nullif(F.trim(F.col(n)), F.lit("")) for n in names], F.lit(""))
+
+    def elements(tag: str) -> DataFrame:
+        # the closing tag ends a record, so files split and a broken element spoils no other one
+        chunk = spark.read.option("lineSep", f"</{tag}>").text(path)
+        whole = chunk.select(F.regexp_extract("value", rf"(?s)<{tag}[\s>/].*", 0).alias("value")).where("value <> ''")
+        parsed = F.from_xml(F.concat("value", F.lit(f"</{tag}>")), FEED_ITEM.simpleString(), {
+            "mode": "PERMISSIVE", "ignoreNamespace": "true", "columnNameOfCorruptRecord": "_corrupt_record"})
+        return whole.select(parsed.alias("x"), "value").select(
+            *[F.col("x")[n].alias(n) for n in FEED_ITEM.names[:-1]],
+            F.when(F.col("x").isNull() | F.col("x._corrupt_record").isNotNull(), F.col("value")).alias("_corrupt_record"))
+
+    items = elements("item").unionByName(elements("entry"))
+    address = lambda link: F.coalesce(F.nullif(F.trim(link["_href"]), F.lit("")),
+                                      F.nullif(F.trim(link["_VALUE"]), F.lit("")))
+    plain = F.filter("link", lambda x: F.coalesce(x["_rel"], F.lit("alternate")) == "alternate")
+    url = F.coalesce(address(F.get(plain, F.lit(0))), address(F.get("link", F.lit(0))))
+    broken = F.col("_corrupt_record").isNotNull()
+    return (items.select(F.when(~broken, url).alias("url"), first("title").alias("title"),
+                         first("pubDate", "published", "updated", "date").alias("published"),
+                         literal(source).alias("source"), literal(category).alias("category"),
+                         first("summary", "description", "content", "encoded").alias("raw_text"), "_corrupt_record")
+            .where(broken | F.col("url").isNotNull()))
 
-    def first_non_empty(*cols: Column) -> Column:
-        return F.coalesce(*[F.nullif(c, F.lit("")) for c in cols])
 
-    return (items.select(col("link").alias("url"),
-                         F.trim(F.coalesce(col("title"), F.lit(""))).alias("title"),
-                         F.coalesce(first_non_empty(col("pubDate"), col("published"), col("updated")),
-                                    F.lit("")).alias("published"),
-                         F.lit(source).alias("source"), F.lit(category).alias("category"),
-                         F.coalesce(first_non_empty(col("summary"), col("description")),
-                                    F.lit("")).alias("raw_text"))
-            .where(F.col("url").isNotNull() & (F.col("url") != "")))
+def read_rss_items(spark: SparkSession, path: str, source: str, category: str) -> DataFrame:
+    """The well-formed items of ``read_feed_items``."""
+    return read_feed_items(spark, path, source, category).where("_corrupt_record IS NULL").drop("_corrupt_record")
 
 
 def page_items(pages: DataFrame) -> DataFrame:
@@ -163,3 +190,23 @@ def read_raw_batches(spark: SparkSession, path: str) -> DataFrame:
     return (spark.read.schema(RAW_BATCH).option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", "_corrupt_record")
             .option("multiLine", True).json(path))
+
+
+def stream_raw_batches(spark: SparkSession, path: str) -> DataFrame:
+    """``read_raw_batches`` as a stream over landed files (JSON lines), with the file that each
+    record came from."""
+    return (spark.readStream.schema(RAW_BATCH).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
+            .withColumn("landed_file", F.col("_metadata.file_path")))
+
+
+def split_raw(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(articles, dead letters) of raw records: dead are those that do not parse and
+    those that are objects without a URL."""
+    dead = F.col("_corrupt_record").isNotNull() | F.col("url").isNull()
+    names = [f.name for f in RAW_ARTICLE.fields]
+    error = F.when(F.col("_corrupt_record").isNotNull(), "not a JSON article").otherwise("article without url")
+    article = F.when(F.col("_corrupt_record").isNull(), F.to_json(F.struct(*names)))
+    return (batch.where(~dead).select(*names, "landed_file"),
+            batch.where(dead).select(F.coalesce("_corrupt_record", article).alias("article"), error.alias("error"),
+                                     "landed_file"))

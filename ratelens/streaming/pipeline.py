@@ -8,8 +8,8 @@ runs.  Here each is a streaming query over a landed-file folder:
        join against the keyed seen-state table.
 * L02  new-file discovery: the file source plus its checkpoint -- a rerun picks
        up only files not seen before.
-* L03  work queue with a daily budget: ``foreachBatch`` running the batch
-       budget slice on each micro-batch.
+* L03  work queue with a daily budget: ``foreachBatch`` running the budget
+       slice on each micro-batch, the calls of a day kept in a table by day.
 * L04  at-least-once delivery made idempotent: each micro-batch writes to a
        folder named by its batch id with overwrite, so a retried batch
        replaces its own output.
@@ -26,12 +26,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..constants import DAILY_EXTRACTION_BUDGET
+from ..operators import queue as qu
 from ..session import scratch_path
 from ..sinks import tables as sink
+from ..sources.landed import split_raw
 
 EVENTS_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampType()),
@@ -93,10 +97,56 @@ def idempotent_writer(out_root: str, transform: Callable[[DataFrame], DataFrame]
     return write
 
 
-def budget_writer(out_root: str, slicer: Callable[[DataFrame], DataFrame]):
-    """Apply the budgeted FIFO slice to each micro-batch; processed and
-    queued rows land in the batch's own folder (idempotent like L04)."""
-    return idempotent_writer(out_root, slicer)
+CALLS = T.StructType([T.StructField("date_key", T.StringType()), T.StructField("calls_used", T.IntegerType()),
+                      T.StructField("batch", T.LongType())])
+
+
+def calls_before(days: DataFrame, root: str, batch_id: int) -> DataFrame:
+    """(date_key, calls_used) that batches before ``batch_id`` spent on the given days
+    (a ``date_key`` column); only the partitions of those days are read."""
+    spark = days.sparkSession
+    try:
+        spent = spark.read.schema(CALLS).parquet(f"{root}/calls").where(F.col("batch") < batch_id)
+    except AnalysisException as e:                  # no call was made yet
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        spent = spark.createDataFrame([], CALLS)
+    return spent.join(F.broadcast(days.select("date_key").distinct()), "date_key", "left_semi") \
+        .groupBy("date_key").agg(F.sum("calls_used").cast("int").alias("calls_used"))
+
+
+def record_calls(calls: DataFrame, root: str, batch_id: int) -> None:
+    """Write a batch's calls per day to its own partitions of the table
+    ``calls/date_key=<day>/batch=<id>``, which all budgeted jobs share."""
+    (calls.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("date_key", "batch").parquet(f"{root}/calls"))
+
+
+def budget_writer(out_root: str, candidates: Callable[[DataFrame], DataFrame], budget: int = DAILY_EXTRACTION_BUDGET):
+    """The budgeted FIFO slice over micro-batches.  A batch sums what earlier batches
+    spent on the days that it holds, takes the rest of each day's budget, and writes
+    its rows and its own calls.  Both are functions of the batch id and of earlier
+    batches, so a replay rewrites them alike, and an empty batch adds no calls."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = candidates(batch)
+        used = calls_before(rows.select(F.date_format("run_day", "yyyy-MM-dd").alias("date_key")), out_root, batch_id)
+        out = f"{out_root}/rows/batch={batch_id}"
+        qu.budget_slice(rows, used, budget).select("article_id", "run_day", "processed").write.mode("overwrite").parquet(out)
+        record_calls(qu.daily_calls(batch.sparkSession.read.parquet(out)), out_root, batch_id)
+    return write
+
+
+def raw_writer(out_root: str):
+    """A ``foreachBatch`` function over ``landed.stream_raw_batches`` that
+    feeds the article sink and the dead-letter sink from one pass over the batch; both
+    folders are named by the batch id, so a replay leaves one copy in each."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        staged = f"{out_root}/records/batch={batch_id}"
+        batch.write.mode("overwrite").parquet(staged)
+        good, dead = split_raw(batch.sparkSession.read.schema(batch.schema).parquet(staged))
+        good.write.mode("overwrite").parquet(f"{out_root}/articles/batch={batch_id}")
+        sink.write_dead_letter(dead, f"{out_root}/dead_letters", f"batch-{batch_id}")
+    return write
 
 
 def run_update_batches(df: DataFrame, out_root: str, checkpoint: str) -> None:

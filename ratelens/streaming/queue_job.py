@@ -4,10 +4,12 @@ tables across micro-batches.
 Each micro-batch is one run: candidates are the queued backlog (oldest
 first) followed by the batch's new articles not already queued (U02 + J06);
 the first ``budget - used`` are processed (T04), the rest stay queued (J07 +
-enqueue), and the day's calls are recorded (G21).  State lives in per-batch
-snapshot folders under the shared checkpoint folder: batch k reads the state
-written by batch k-1 and writes its own, so a replayed batch recomputes
-exactly the same folders (idempotent, survives executor or driver loss).
+enqueue), and the day's calls are recorded (G21) in the table by day that all
+budgeted jobs share (``pipeline.record_calls``).  The queue lives in per-batch
+snapshot folders under the shared checkpoint folder: batch k reads the queue
+written by batch k-1 and the calls of batches before k and writes its own, so a
+replayed batch recomputes exactly the same folders (idempotent, survives executor
+or driver loss).
 """
 
 from __future__ import annotations
@@ -18,12 +20,11 @@ from pyspark.sql import types as T
 
 from ..constants import DAILY_EXTRACTION_BUDGET
 from ..operators import queue as qu
+from .pipeline import calls_before, record_calls
 
 QUEUE = T.StructType([T.StructField("article_id", T.StringType()),
                       T.StructField("source_url", T.StringType()),
                       T.StructField("queued_at", T.TimestampType())])
-BUDGET = T.StructType([T.StructField("date_key", T.StringType()),
-                       T.StructField("calls_used", T.LongType())])
 
 
 def _state(spark: SparkSession, root: str, name: str, batch_id: int, schema: T.StructType) -> DataFrame:
@@ -50,13 +51,12 @@ def queue_writer(root: str, budget: int = DAILY_EXTRACTION_BUDGET, run_day_of=ne
         spark = batch.sparkSession
         run_day = run_day_of(batch, batch_id)
         if run_day is None:
-            for name, schema in (("queue", QUEUE), ("budget", BUDGET)):
-                _state(spark, root, name, batch_id - 1, schema).write.mode("overwrite").parquet(
-                    f"{root}/{name}/batch={batch_id}")
+            _state(spark, root, "queue", batch_id - 1, QUEUE).write.mode("overwrite").parquet(
+                f"{root}/queue/batch={batch_id}")
             return
         backlog = _state(spark, root, "queue", batch_id - 1, QUEUE)
-        spent = _state(spark, root, "budget", batch_id - 1, BUDGET)
-        used = spent.where(F.col("date_key") == run_day).agg(F.sum("calls_used")).first()[0] or 0
+        today = spark.range(1).select(F.lit(run_day).alias("date_key"))
+        used = calls_before(today, root, batch_id).agg(F.sum("calls_used")).first()[0] or 0
         remaining = max(budget - int(used), 0)
         new = batch.select("article_id", "source_url", F.col("published").alias("queued_at"))
         cands = qu.candidates(backlog, new)                    # backlog first, then new
@@ -68,9 +68,6 @@ def queue_writer(root: str, budget: int = DAILY_EXTRACTION_BUDGET, run_day_of=ne
         queue_next = qu.delete_keys(cands.select("article_id", "source_url", "queued_at"),
                                     done_ids, "article_id")
         queue_next.write.mode("overwrite").parquet(f"{root}/queue/batch={batch_id}")
-        calls = done_ids.agg(F.count(F.lit(1)).alias("n")).select(
-            F.lit(run_day).alias("date_key"), (F.col("n") + F.lit(int(used))).cast("long")
-            .alias("calls_used"))
-        budget_next = spent.where(F.col("date_key") != run_day).unionByName(calls)
-        budget_next.write.mode("overwrite").parquet(f"{root}/budget/batch={batch_id}")
+        record_calls(done_ids.agg(F.count(F.lit(1)).cast("int").alias("calls_used"))
+                     .select(F.lit(run_day).alias("date_key"), "calls_used"), root, batch_id)
     return run
