@@ -194,7 +194,8 @@ def conversation_records(conversations: DataFrame) -> DataFrame:
     row = F.struct(F.col("turn").isNull().alias("late"), F.col("turn"), F.coalesce("role", F.lit("")).alias("role"),
                    F.coalesce("text", F.lit("")).alias("text"))
     g = conversations.groupBy("conv_id").agg(F.sort_array(F.collect_list(row)).alias("rows"))
-    roles = F.array_join(F.transform("rows", lambda r: r["role"]), ",")
+    roles = F.transform("rows", lambda r: r["role"])
+    named = lambda *names: roles == F.array(*[F.lit(n) for n in names])
     text = lambda i: F.get("rows", F.lit(i))["text"]
     even = F.pmod(F.coalesce("conv_id", F.lit(0)), F.lit(2)) == 0
     plain = F.size("rows") <= 3
@@ -207,19 +208,23 @@ def conversation_records(conversations: DataFrame) -> DataFrame:
         F.coalesce(foreign[r["role"]], r["role"]).alias("from"),
         r["text"].alias("value"))).alias("conversations")).alias("data")))
     record = (
-        F.when(plain & (roles == "user,assistant") & even,
+        F.when(plain & (named("user", "assistant")) & even,
                F.to_json(F.struct(text(0).alias("prompt"), text(1).alias("response"))))
-        .when(plain & (roles == "user,assistant"),
+        .when(plain & (named("user", "assistant")),
               F.to_json(F.struct(text(0).alias("instruction"), F.lit("").alias("input"), text(1).alias("output"))))
-        .when(plain & (roles == "system,user,assistant"),
+        .when(plain & (named("system", "user", "assistant")),
               F.to_json(F.struct(text(0).alias("system"), text(1).alias("prompt"), text(2).alias("response"))))
         .when(even & untranslated, nested).otherwise(listed))
     return g.select("conv_id", record.alias("record"))
 
 
 def chat_report(conversations: DataFrame) -> DataFrame:
-    """Digests of every conversation, read back from the formatted output."""
+    """Digests of every conversation, read back from the formatted output.  A record
+    whose layout no mapping knows is an error: none may come out empty."""
     turned = canonical_turns(conversation_records(conversations), "conv_id")
+    turned = turned.withColumn("turns", F.when(F.col("turns").isNull(), F.raise_error(F.concat(
+        F.lit("no mapping for the layout of conversation "), F.coalesce(F.col("conv_id").cast("string"), F.lit("null")))))
+        .otherwise(F.col("turns")))
     out = format_chat(turned, "conv_id")
     back = out.withColumn("_back", parse_chat(F.col("formatted"))) \
               .withColumn("_loss", masked_text(F.col("formatted"), F.col("loss_spans")))
