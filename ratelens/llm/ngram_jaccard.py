@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import pretokens, wordscan
-from .common import sized_broadcast, written
+from .common import fresh, sized_broadcast, written
 from .components import connected_components
 
 PERCENT = 75
@@ -440,13 +440,21 @@ def keep_one_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
         ).where("m > 1").select("root", F.col("head.row").alias("head")), "jaccard-heads")
     n_heads = heads.count()
     grouped = linked.join(sized_broadcast(heads, n_heads), "root")
-    dropped = written(grouped.where("row <> head").select(F.col("row").alias("_row")).distinct(), "jaccard-dropped")
-    again = written(grouped.where("row = head").groupBy(F.col("row").alias("_row")).agg(F.count(F.lit(1)).alias("m"))
-                    .where("m > 1").select("_row"), "jaccard-again")
-    marked = docs.withColumn("_row", F.xxhash64(F.col(key), F.col(text)))
-    rest = marked.join(sized_broadcast(dropped, dropped.count()), "_row", "left_anti")
+    dropped = written(grouped.where("row <> head").select("row", "doc_id").distinct(), "jaccard-dropped")
+    again = written(grouped.where("row = head").groupBy("row", "doc_id").agg(F.count(F.lit(1)).alias("m"))
+                    .where("m > 1").select("row", "doc_id"), "jaccard-again")
+    mark = fresh(docs.columns, "_row")
+    marked = docs.withColumn(mark, F.xxhash64(F.col(key), F.col(text)))
+
+    def among(rows: DataFrame, known: DataFrame, size: int, how: str) -> DataFrame:
+        """Rows are the same when hash and key are."""
+        r, k = fresh(rows.columns, "_r"), fresh(rows.columns, "_k")
+        known = sized_broadcast(known.select(F.col("row").alias(r), F.col("doc_id").alias(k)), size)
+        return rows.join(known, (F.col(mark) == F.col(r)) & F.col(key).eqNullSafe(F.col(k)), how)
+
+    rest = among(marked, dropped, dropped.count(), "left_anti")
     n_again = again.count()
     if n_again:
-        repeated = rest.join(sized_broadcast(again, n_again), "_row", "left_semi").dropDuplicates(["_row"])
-        rest = rest.join(sized_broadcast(again, n_again), "_row", "left_anti").unionByName(repeated)
+        repeated = among(rest, again, n_again, "left_semi").dropDuplicates([mark, key])
+        rest = among(rest, again, n_again, "left_anti").unionByName(repeated)
     return rest.select(*docs.columns)
