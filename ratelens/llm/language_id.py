@@ -30,10 +30,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import fresh
+
 SAMPLE_DOCS = 64
 SAMPLE_CHARS = 2048
 PIECE_CHARS = 4096
-LEVEL, MIN_MATCH = 13, 4    # a binary-tree search that finds matches of four bytes
+LEVEL, MIN_MATCH = 9, 4     # finds matches of four bytes; dearer searches predict no better (README)
 NARROW_MARGIN = 0.02        # runner-up within this share of the best size: rejected
 UNDETERMINED = "und"
 _LETTERS = r"[^\W\d_]+"
@@ -75,7 +77,7 @@ def plain_letters(text: str) -> str:
 def classify(docs: DataFrame, dictionaries: dict[str, bytes], text: str = "text") -> DataFrame:
     """``docs`` with lang_pred, score and rejected in place of ``text``."""
     others = [c for c in docs.columns if c != text and c not in ("lang_pred", "score", "rejected")]
-    src = docs.select(*others, F.col(text).cast("string").alias("_text"))
+    src = docs.select(*others, F.col(text).cast("string").alias(fresh(others, "_text")))
     shared = docs.sparkSession.sparkContext.broadcast(dictionaries)
     names = [*others, "lang_pred", "score", "rejected"]
 
