@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import pretokens, wordscan
-from .common import sized_broadcast, written
+from .common import fresh, sized_broadcast, written
 
 WINDOW = 8
 MIN_LITERALS = 4
@@ -84,11 +84,18 @@ def _word_hash(word: str) -> int:
 
 
 _UNIT_HASHES, _AMBIGUOUS_HASHES, _ORDINAL_HASHES, _AFFIX_HASHES = (
-    np.array([_word_hash(w) for w in words], dtype=np.uint64)
+    np.unique(np.array([_word_hash(w) for w in words], dtype=np.uint64))
     for words in (UNITS, _AMBIGUOUS, ORDINALS, UNITS + ORDINALS + AFFIXES))
 _NAME_FORM = pretokens.mix(np.array([NAME + 7], dtype=np.uint64))[0]
 
 
+def _among(known: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes are in the sorted ``known``."""
+    if not len(known):
+        return np.zeros(len(hashes), dtype=bool)
+    return known[np.minimum(np.searchsorted(known, hashes), len(known) - 1)] == hashes
+
+
 class Template:
     """Template words of many texts: kind, hash of the shared form, hash of the
     value, first word of each text.  A word of digits and letters is split where
@@ -99,7 +106,9 @@ class Template:
         starts, ends, rows = wordscan.word_spans(data, bounds)
         cls = _CLASS[data]
         solid = np.flatnonzero(cls != 0)           # words that are only punctuation have none
-        word, digit = np.searchsorted(starts, solid, side="right") - 1, cls[solid] == 1
+        begun = np.zeros(len(data), dtype=np.int32)
+        begun[starts] = 1
+        word, digit = np.cumsum(begun, dtype=np.int32)[solid].astype(np.int64) - 1, cls[solid] == 1
         edge = np.ones(len(solid), dtype=bool)
         edge[1:] = (word[1:] != word[:-1]) | (digit[1:] != digit[:-1])
         at = np.flatnonzero(edge)
@@ -107,7 +116,7 @@ class Template:
         high = solid[np.append(at[1:], len(solid)) - 1] + 1 if len(at) else low
         first = np.ones(len(at), dtype=bool)       # begins a word
         first[1:] = owner[1:] != owner[:-1]
-        affix = np.isin(wordscan.word_hashes(data, low, high), _AFFIX_HASHES)
+        affix = _among(_AFFIX_HASHES, wordscan.word_hashes(data, low, high))
         tight = np.zeros(len(at), dtype=bool)      # touches a neighbour of the same word
         touch = ~first[1:] & (low[1:] == high[:-1])
         tight[1:] |= touch
@@ -137,14 +146,14 @@ class Template:
         beside = np.zeros(len(low), dtype=bool)
         beside[1:] |= number[:-1] & ~begins[1:-1]
         beside[:-1] |= number[1:] & ~begins[1:-1]
-        kind[np.isin(plain, _UNIT_HASHES) & (beside | ~np.isin(plain, _AMBIGUOUS_HASHES))] = UNIT
+        kind[_among(_UNIT_HASHES, plain) & (beside | ~_among(_AMBIGUOUS_HASHES, plain))] = UNIT
         kind[number] = NUMBER
-        ordinal = ~first & np.isin(plain, _ORDINAL_HASHES)     # 1st and 5th differ in the number only
+        ordinal = ~first & _among(_ORDINAL_HASHES, plain)     # 1st and 5th differ in the number only
         kind[ordinal] = LITERAL
         self.kind, self.value, self.first = kind, plain, first
         self.openers = opens & (head == 2) & (kind == LITERAL)
         self.form = np.where(kind == LITERAL, plain, pretokens.mix(kind.astype(np.uint64) + np.uint64(7)))
-        self.form[ordinal] = _ORDINAL_HASHES[0]
+        self.form[ordinal] = _word_hash(ORDINALS[0])
 
     def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """First words of the windows of ``size`` inside one text, and their
@@ -153,17 +162,41 @@ class Template:
         if n <= 0:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         at = np.arange(n)
-        end = self.rows[np.minimum(np.searchsorted(self.rows, at, side="right"), len(self.rows) - 1)]
+        end = np.repeat(self.rows[1:], np.diff(self.rows))[:n]
         literals = np.concatenate([[0], np.cumsum(self.kind == LITERAL)])
         at = at[at + size <= end]
         return at, literals[at + size] - literals[at]
 
-    def readings(self, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    def pairs(self) -> np.ndarray:
+        """Hashes of all neighbouring words, in all readings."""
+        if len(self.form) < 2:
+            return np.zeros(0, dtype=np.uint64)
+        both = self.form, np.where(self.openers, _NAME_FORM, self.form)
+        return np.unique(np.concatenate([wordscan.combined((a[:-1], b[1:]).__getitem__, 2, len(self.form) - 1)
+                                         for a in both for b in both]))
+
+    def foreign(self, pairs: np.ndarray) -> np.ndarray:
+        """Running count of neighbouring words that are in no reading a pair of the sorted
+        ``pairs``."""
+        if len(self.form) < 2:
+            return np.zeros(max(1, len(self.form)), dtype=np.int64)
+        known = _among(pairs, wordscan.window_hashes(self.form, 2))
+        more = np.flatnonzero((self.openers[1:] | self.openers[:-1]) & ~known)
+        named = np.where(self.openers, _NAME_FORM, self.form)
+        for a, b in ((named, self.form), (self.form, named), (named, named)):
+            known[more] |= _among(pairs, wordscan.combined((a[more], b[more + 1]).__getitem__, 2, len(more)))
+        return np.concatenate([[0], np.cumsum(~known)])
+
+    def readings(self, size: int, foreign: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
         """(first words, hashes, names) of all windows with enough literals, once
         per reading of the capitalised sentence openers in a window: bit k of
         ``names`` reads its k-th opener as a name.  A negative size gives the
-        windows with too few literals, by their values."""
+        windows with too few literals, by their values.  With ``foreign`` windows
+        that hold a foreign pair are left out."""
         at, literals = self.windows(abs(size))
+        if foreign is not None and size > 0 and len(at):
+            possible = foreign[at + size - 1] == foreign[at]
+            at, literals = at[possible], literals[possible]
         if size < 0:
             at = at[literals < MIN_LITERALS]
             yield at, _sized(wordscan.window_hashes(self.value, -size)[at], size), 0
@@ -171,7 +204,7 @@ class Template:
         at, literals = at[literals >= MIN_LITERALS], literals[literals >= MIN_LITERALS]
         if not len(at):
             return
-        yield at, _sized(wordscan.window_hashes(self.form, size)[at], size), 0
+        yield at, _sized(wordscan.combined(lambda i: self.form[at + i], size, len(at)), size), 0
         seen = np.concatenate([[0], np.cumsum(self.openers)])
         spare = np.minimum(seen[at + size] - seen[at], size)
         for names in range(1, 1 << int(spare.max())):
@@ -255,23 +288,36 @@ def benchmark_windows(items: DataFrame, key: str, text: str) -> DataFrame:
                                "size int, n_windows bigint")
 
 
-def document_windows(docs: DataFrame, sizes: list[int], wanted: np.ndarray | None) -> DataFrame:
+def benchmark_pairs(items: DataFrame, text: str) -> np.ndarray:
+    """Sorted hashes of the neighbouring words of all items: at most four a word."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, data, bounds in wordscan.text_steps(batch.column(0)):
+                yield pa.RecordBatch.from_arrays([pa.array(Template(data, bounds).pairs().view(np.int64))], names=["pair"])
+
+    found = items.select(F.col(text).cast("string")).mapInArrow(run, "pair bigint").distinct().toArrow()
+    return np.sort(found.column("pair").to_numpy().astype(np.int64).view(np.uint64))
+
+
+def document_windows(docs: DataFrame, sizes: list[int], wanted: np.ndarray | None,
+                     pairs: np.ndarray | None = None) -> DataFrame:
     """``WINDOW_SCHEMA`` of ``docs`` (row, text, text_id): all windows of the
     given sizes in all their readings, or only those with a hash in ``wanted``
-    (sorted)."""
-    shared = docs.sparkSession.sparkContext.broadcast(wanted)
+    (sorted).  Windows with a pair of neighbouring words that no item has (not in
+    ``pairs``) cannot be among them and are not hashed."""
+    shared = docs.sparkSession.sparkContext.broadcast((wanted, pairs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
+        known, items_pairs = shared.value
         for batch in batches:
             ids, texts = batch.column(0), batch.column(2)
             for first, _, data, bounds in wordscan.text_steps(batch.column(1)):
                 template = Template(data, bounds)
+                foreign = None if items_pairs is None else template.foreign(items_pairs)
                 for size in sizes:
-                    for at, hashes, names in template.readings(size):
+                    for at, hashes, names in template.readings(size, foreign):
                         if known is not None:
-                            found = np.minimum(np.searchsorted(known, hashes), max(0, len(known) - 1))
-                            hit = known[found] == hashes if len(known) else np.zeros(len(hashes), bool)
+                            hit = _among(known, hashes)
                             at, hashes = at[hit], hashes[hit]
                         for i in range(0, len(at), 20_000):
                             part = at[i:i + 20_000]
@@ -386,12 +432,13 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, doc_key: str = "doc_id
     sizes = sorted(r["size"] for r in bench.select("size").distinct().collect())
     distinct = bench.select("window").distinct()
     n = distinct.count()
-    wanted = None
-    if n <= BROADCAST_WINDOWS:
+    wanted = pairs = None
+    if n <= BROADCAST_WINDOWS:              # then the pairs, at most four a word, are bounded too
+        pairs = benchmark_pairs(items, text)
         wanted = np.sort(distinct.toArrow().column("window").to_numpy().astype(np.int64).view(np.uint64))
     src = docs.select(F.col(doc_key).cast("bigint").alias("row"), F.col(text).cast("string").alias("text")) \
         .withColumn("text_id", F.xxhash64("text"))
-    found = written(document_windows(src, sizes, wanted), "doc-windows")
+    found = written(document_windows(src, sizes, wanted, pairs), "doc-windows")
     b = bench.select("item", "window", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"),
                      F.col("renamed").alias("item_renamed"), "size", "n_windows")
     both = found.join(sized_broadcast(b, n, 200_000), "window")
@@ -413,7 +460,8 @@ def remove_contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id",
                         item_key: str = "item_id") -> DataFrame:
     """``docs`` without the rows whose text holds a benchmark item.  Rows are
     told apart by a hash of key and text, not by the key alone."""
-    marked = docs.withColumn("_mark", F.xxhash64(F.col(key), F.col(text)))
-    found = contaminated_pairs(marked.select("_mark", text), items, "_mark", item_key, text)
-    bad = written(found.select("_mark").distinct(), "contaminated")
-    return marked.join(sized_broadcast(bad, bad.count()), "_mark", "left_anti").select(*docs.columns)
+    mark = fresh([*docs.columns, *items.columns], "_mark")
+    marked = docs.withColumn(mark, F.xxhash64(F.col(key), F.col(text)))
+    found = contaminated_pairs(marked.select(mark, text), items, mark, item_key, text)
+    bad = written(found.select(mark).distinct(), "contaminated")
+    return marked.join(sized_broadcast(bad, bad.count()), mark, "left_anti").select(*docs.columns)
