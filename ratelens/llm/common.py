@@ -3,8 +3,11 @@ size-checked joins and the word definition."""
 
 from __future__ import annotations
 
+import ctypes
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,3 +64,38 @@ def words_of(text: Column) -> Column:
     one literal character."""
     spaced = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x09-\x0D]", " ")
     return F.array_remove(F.split(spaced, " "), "")
+
+
+def release_memory() -> None:
+    """Give freed memory back to the system: Python workers are used again by later
+    stages and would keep the largest amount that any earlier one needed."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def releasing(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` for ``mapInArrow``, with its memory released when the task ends."""
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+    return wrapped
+
+
+def releasing_group(run: Callable[..., pa.Table]):
+    """``run`` for ``applyInArrow`` of one group or two cogrouped ones, likewise."""
+    def one(table: pa.Table) -> pa.Table:
+        try:
+            return run(table)
+        finally:
+            release_memory()
+
+    def two(left: pa.Table, right: pa.Table) -> pa.Table:
+        try:
+            return run(left, right)
+        finally:
+            release_memory()
+    return two if run.__code__.co_argcount == 2 else one

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import pretokens, wordscan
+from .common import releasing_group
 
 CUT_WINDOW = 10
 MIN_WORDS = 16
@@ -216,13 +217,13 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     dealt = docs.select(place.alias("block"), F.col(key).cast("bigint").alias("key"), F.xxhash64(text).alias("row"),
                         F.col(text).cast("string").alias("text"), *rest).repartition(int(blocks), "block")
     sent = dealt.groupBy("block").applyInArrow(
-        _digests(int(buckets)), "block bigint, bucket bigint, digest binary, checks binary, keys binary")
-    answered = sent.groupBy("bucket").applyInArrow(_answers, "block bigint, digest binary, source binary")
+        releasing_group(_digests(int(buckets))), "block bigint, bucket bigint, digest binary, checks binary, keys binary")
+    answered = sent.groupBy("bucket").applyInArrow(releasing_group(_answers), "block bigint, digest binary, source binary")
     fields = [T.StructField("key", T.LongType())]
     if others:
         fields.append(T.StructField("rest", dealt.schema["rest"].dataType))
     schema = T.StructType([*fields, T.StructField("text", T.StringType()), T.StructField("spans", SPANS)])
-    return dealt.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(_drop_spans, schema)
+    return dealt.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(releasing_group(_drop_spans), schema)
 
 
 def repeat_report(docs: DataFrame) -> DataFrame:

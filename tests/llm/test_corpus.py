@@ -307,7 +307,7 @@ def brute_components(sets):
 @pytest.mark.parametrize("small", [False, True])
 def test_jaccard_components_against_brute_force(spark, corpus, monkeypatch, small):
     if small:                # many tiles and blocks, hot shingles, no star rounds but one
-        monkeypatch.setattr(ngram_jaccard, "TILE_ROWS", 3)
+        monkeypatch.setattr(ngram_jaccard, "BLOCK_BYTES", 20_000)
         monkeypatch.setattr(ngram_jaccard, "STAR_ROUNDS", 1)
     sets = brute_sets(corpus["texts"])
     root = brute_components(sets)
