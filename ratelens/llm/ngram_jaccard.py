@@ -5,7 +5,7 @@ Documents are sets of five-word shingles; two link when
 the smallest doc_id it reaches by links.
 
 1. Equal sets form one class (64-bit digest of the sorted set), so exact copies
-   are compared once.  Each class also gets a hashed bitmap of one to two bits
+   are compared once.  Each class also gets a hashed bitmap of two to four bits
    per shingle.
 2. Prefix tiles.  Under any fixed order of shingles, two sets that link share
    one of their first n - ceil(0.75 n) + 1.  The order is by hash, with the
@@ -18,16 +18,15 @@ the smallest doc_id it reaches by links.
    that heads one of its tiles (first the class in most tiles).  Linked classes
    are joined into components, and tiles of one component are done.
 4. Then all pairs that share a tile but not a component are compared: of tiles
-   with the same classes one is kept, classes are gathered by their largest tile and cut into
-   blocks of bounded bytes, and each pair of blocks that some tile spans is one task.  It
-   goes through the sets by size band (linked sets differ by less than 4/3 in size) with
-   bit counts, |A and B| <= (|A| + |B| - popcount(A xor B)) / 2; pairs that this bound
-   lets through are decided there by the exact intersection of the sorted arrays, and
-   links alone leave the task, no more than join its sets.  Pairs inside one component need no
-   comparison, so no group of copies is expanded into all its pairs; no pair of
-   different components is skipped.
+   with the same classes one is kept, tiles of more than ``TILE_ROWS`` are cut into size bands
+   (linked sets differ by less than 4/3 in size) and blocks, and each pair of blocks is worked off by bit counts:
+   |A and B| <= (|A| + |B| - popcount(A xor B)) / 2.  Only pairs that this bound
+   and the size ratio let through reach the exact intersection of the sorted
+   arrays.  Pairs inside one component need no comparison, so no group of copies
+   is expanded into all its pairs; no pair of different components is skipped.
 
-Hash identity stands for equality (64 bits).
+Only documents in surviving pairs have their shingles fetched for the exact
+step.  Hash identity stands for equality (64 bits).
 
 Defined results: null, empty and blank texts have n_shingles 0 and their own
 doc_id as component; repeated rows are one class and all reported; a null
@@ -45,15 +44,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import pretokens, wordscan
-from .common import fresh, releasing, releasing_group, sized_broadcast, written
+from .common import fresh, releasing, sized_broadcast, written
 from .components import connected_components
 
 PERCENT = 75
 HOT_IN_BATCH = 3            # classes of one scan window that make a shingle a hot candidate
 HOT_WINDOW = 5_000_000      # shingles in a scan window
 HOT_TOKENS = 1 << 22        # bound on the broadcast list of hot shingles
-BLOCK_BYTES = 4_000_000     # shingles of one block of classes, each class counted with
-CLASS_BYTES = 4_000         # so many bytes besides, which bounds their number
+TILE_ROWS = 2048
 STAR_ROUNDS = 4             # most rounds of star comparisons before all remaining pairs
 BUCKET_BYTES = 8_000_000
 MIN_BUCKETS = 96
@@ -70,9 +68,9 @@ def _class_ref(tokens: np.ndarray) -> int:
 
 
 def _bits_for(n: int) -> int:
-    """One to two bits per shingle: unrelated sets of like size then differ in
+    """Two to four bits per shingle: unrelated sets of like size then differ in
     enough bits for the bound to rule them out."""
-    return max(256, 1 << (n - 1).bit_length())
+    return max(256, 1 << (2 * n - 1).bit_length())
 
 
 def _bitmap(tokens: np.ndarray) -> bytes:
@@ -246,9 +244,10 @@ def _possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return full.mapInArrow(releasing(run), "a bigint, b bigint")
 
 
-def _sets_of(needed: DataFrame, src: DataFrame, base: DataFrame) -> DataFrame:
-    """(ref, tokens): the sorted shingles of the needed classes, from one row of each,
-    whose text is read again."""
+def _linked(pairs: DataFrame, src: DataFrame, base: DataFrame) -> DataFrame:
+    """The pairs whose sorted shingle arrays really link."""
+    needed = pairs.select(F.col("a").alias("ref")).union(pairs.select("b")).distinct()
+    # one row of each needed class; its text is read again
     rows = written(base.select("ref", "row").join(needed, "ref").groupBy("ref").agg(F.min("row").alias("row")), "jaccard-rows")
     texts = src.join(sized_broadcast(rows, rows.count()), "row")
 
@@ -258,15 +257,9 @@ def _sets_of(needed: DataFrame, src: DataFrame, base: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], names=["ref", "tokens"])
 
-    return written(texts.select("ref", "text").mapInArrow(releasing(arrays), "ref bigint, tokens binary")
+    sets = written(texts.select("ref", "text").mapInArrow(releasing(arrays), "ref bigint, tokens binary")
                    .dropDuplicates(["ref"]), "jaccard-sets")
 
-
-def _linked(pairs: DataFrame, src: DataFrame, base: DataFrame) -> DataFrame:
-    """The pairs whose sorted shingle arrays really link."""
-    needed = pairs.select(F.col("a").alias("ref")).union(pairs.select("b")).distinct()
-    sets = _sets_of(needed, src, base)
-
     def intersect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
@@ -316,88 +309,69 @@ def _star_pairs(live: DataFrame, score: Column) -> DataFrame:
     return pick.select(F.col("p.ref").alias("a"), "b")
 
 
-def _wide_bits(tokens: np.ndarray, bits: int) -> np.ndarray:
-    out = np.zeros(bits, dtype=np.uint8)
-    out[(tokens >> np.uint64(20)) & np.uint64(bits - 1)] = 1
-    return np.packbits(out).view(np.uint64)
-
-
-def block_links(sets: list[np.ndarray], roots: np.ndarray, cross: np.ndarray | None) -> list[tuple[int, int]]:
-    """Links between the sorted sets of different roots, enough of them to join all
-    that link (no pair is tested whose sets are joined already).  ``cross`` names the
-    side of each set when only pairs of different sides count.
-
-    Sets are taken by size; those of like size get hashed bitmaps of four to eight bits
-    per shingle, whose bit counts rule pairs out before the exact intersection."""
-    n = np.array([len(t) for t in sets], dtype=np.int64)
-    order = np.argsort(n, kind="stable")
-    n, sets, joined = n[order], [sets[i] for i in order], roots[order].copy()
-    side = None if cross is None else cross[order]
-    width = np.array([max(256, 1 << (4 * int(k) - 1).bit_length()) for k in n])
-    links = []
-    for bits in np.unique(width).tolist():
-        low, high = np.searchsorted(width, bits), np.searchsorted(width, bits, side="right")
-        # the larger sets that these can link with; their bitmaps are as narrow here
-        to = int(np.searchsorted(PERCENT * n, 100 * n[high - 1], side="right"))
-        maps = np.stack([_wide_bits(t, bits) for t in sets[low:to]])
-        for x in range(low, high):
-            end = int(np.searchsorted(PERCENT * n, 100 * n[x], side="right"))
-            ok = joined[x + 1:end] != joined[x]
-            if side is not None:
-                ok &= side[x + 1:end] != side[x]
-            at = np.flatnonzero(ok) + x + 1
-            if not len(at):
-                continue
-            apart = np.bitwise_count(maps[at - low] ^ maps[x - low]).sum(axis=1, dtype=np.int64)
-            total = n[at] + n[x]
-            most = (total - apart) // 2
-            for y in at[100 * most >= PERCENT * (total - most)].tolist():
-                if joined[y] == joined[x]:
-                    continue
-                shared = int(_in_sorted(sets[y], sets[x]).sum())
-                if 100 * shared >= PERCENT * (n[x] + n[y] - shared):
-                    joined[joined == joined[y]] = joined[x]
-                    links.append((int(order[x]), int(order[y])))
-    return links
-
-
-def _block_links(live: DataFrame, src: DataFrame, base: DataFrame) -> DataFrame:
-    """Links (a, b) among classes that share a tile but not a component, enough to join
-    all that link.  ``live``: (token, ref, root, m).
-
-    A class's home is its largest tile, so classes of one shared passage have one home;
-    homes are cut into blocks of bounded size by hash.  Two blocks are compared in one
-    task when some tile has members in both: every class is sent once for each such
-    pair of blocks, not once for each tile."""
-    homes = written(live.groupBy("ref").agg(F.first("root").alias("root"), F.max(F.struct("m", "token")).alias("home"))
-                    .select("ref", "root", F.col("home.token").alias("home")), "jaccard-homes")
-    sets = _sets_of(homes.select("ref"), src, base)
-    weight = F.length("tokens") + CLASS_BYTES
-    sized = homes.join(sets, "ref")
-    cuts = written(sized.groupBy("home").agg(F.ceil(F.sum(weight) / F.lit(BLOCK_BYTES)).alias("parts")), "jaccard-cuts")
-    block = F.xxhash64("home", F.pmod(F.xxhash64("ref"), F.col("parts")))
-    classes = written(homes.join(cuts, "home").select("ref", "root", block.alias("block")), "jaccard-blocks")
-    met = live.select("token", "ref").join(classes.select("ref", "block"), "ref").select("token", "block").distinct() \
-        .groupBy("token").agg(F.sort_array(F.collect_list("block")).alias("blocks"))
-    i = F.explode(F.sequence(F.lit(1), F.size("blocks")))
-    pairs = met.select("blocks", i.alias("i")).select(
-        F.element_at("blocks", F.col("i")).alias("one"),
-        F.explode(F.expr("slice(blocks, i, size(blocks))")).alias("two")).distinct()
-    pairs = written(pairs.withColumn("pair", F.xxhash64("one", "two")), "jaccard-block-pairs")
-    sent = pairs.select("pair", F.col("one").alias("block"), F.lit(0).alias("side"), (F.col("one") == F.col("two")).alias("own")) \
-        .unionByName(pairs.where("one <> two").select("pair", F.col("two").alias("block"), F.lit(1).alias("side"),
-                                                      F.lit(False).alias("own")))
-    tasks = sent.join(classes, "block").join(sets, "ref").select("pair", "side", "own", "ref", "root", "tokens")
-
-    def run(table: pa.Table) -> pa.Table:
-        refs = table.column("ref").to_numpy()
-        tokens = [np.frombuffer(t, dtype=np.uint64) for t in table.column("tokens").to_pylist()]
-        own = table.column("own")[0].as_py()
-        found = block_links(tokens, table.column("root").to_numpy(), None if own else table.column("side").to_numpy())
-        x, y = (refs[[f[k] for f in found]] if found else np.zeros(0, np.int64) for k in (0, 1))
-        return pa.Table.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
-
-    return tasks.groupBy("pair").applyInArrow(releasing_group(run), "a bigint, b bigint")
+def _tile_pairs(live: DataFrame, classes: DataFrame) -> DataFrame:
+    """All pairs of a tile with different roots that may link, by size band and
+    block.  ``live``: (token, ref, root, m)."""
+    d = live
+    d = d.join(classes.select("ref", "n", "bitmap"), "ref")
+    # a set of band k can link with bands k and k + 1 only; where a tile is cut into bands it
+    # is sent to both k and k + 1
+    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / PERCENT)) + 1e-9).cast("int")
+    blocks = F.ceil(F.col("m") / F.lit(TILE_ROWS)).cast("int")
+    d = d.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("ref"), F.col("blocks")).cast("int"))
+    bands = F.when(F.col("m") > TILE_ROWS, F.array(band, band + 1)).otherwise(F.array(F.lit(-1)))
+    d = d.withColumn("own", band).withColumn("band", F.explode(bands))
+    d = d.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    d = d.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+    d = d.withColumn("tile", F.xxhash64("token", "band", "i", "j"))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by tile; one tile is held at a time."""
+        names = ["a", "b"]
+        held: list[tuple] = []
+
+        def pairs_of(rows: list[tuple]):
+            if len({r[3] for r in rows}) < 2:
+                return
+            rows = sorted(rows, key=lambda r: r[2])
+            ref, n, roots = (np.array([r[k] for r in rows], dtype=np.int64) for k in (1, 2, 3))
+            own, block = (np.array([r[k] for r in rows], dtype=np.int32) for k in (5, 6))
+            maps = [np.frombuffer(r[4], np.uint8) for r in rows]
+            width = np.array([len(m) for m in maps])
+            band, i, j = rows[0][7], rows[0][8], rows[0][9]
+            for size in np.unique(width).tolist():
+                low, high = np.searchsorted(width, size), np.searchsorted(width, size, side="right")
+                # the larger sets that these can link with, their bitmaps folded to the same width
+                to = int(np.searchsorted(PERCENT * n, 100 * n[high - 1], side="right"))
+                bits = np.stack([_fold(m, size) for m in maps[low:to]]).view(np.uint64)
+                for x in range(low, high):
+                    rest = slice(x + 1, int(np.searchsorted(PERCENT * n, 100 * n[x], side="right")))
+                    # each pair belongs to one tile: the band of the larger set, the blocks of the two
+                    ok = (roots[rest] != roots[x]) & ((band < 0) | (np.maximum(own[x], own[rest]) == band)) \
+                        & (np.minimum(block[x], block[rest]) == i) & (np.maximum(block[x], block[rest]) == j)
+                    at = np.flatnonzero(ok) + x + 1
+                    if not len(at):
+                        continue
+                    apart = np.bitwise_count(bits[at - low] ^ bits[x - low]).sum(axis=1, dtype=np.int64)
+                    total = n[at] + n[x]
+                    most = (total - apart) // 2
+                    at = at[100 * most >= PERCENT * (total - most)]
+                    if len(at):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.minimum(ref[at], ref[x])), pa.array(np.maximum(ref[at], ref[x]))], names=names)
+
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if held and held[0][0] != row[0]:
+                    yield from pairs_of(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield from pairs_of(held)
+
+    cols = ["tile", "ref", "n", "root", "bitmap", "own", "block", "band", "i", "j"]
+    return (d.select(*cols).repartition("tile").sortWithinPartitions("tile")
+            .mapInArrow(releasing(compare), "a bigint, b bigint").distinct())
 
 
 def link_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -437,7 +411,8 @@ def link_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
             break
     # whatever is still apart: every pair of every tile
     if live.limit(1).count():
-        links = links.unionByName(written(_block_links(live, texts, base), "jaccard-links"))
+        pairs = written(_tile_pairs(live, classes), "jaccard-pairs")
+        links = links.unionByName(_linked(pairs, texts, base))
         roots = written(connected_components(links), "jaccard-roots")
     if roots is None:
         roots = members.select(F.col("ref").alias("node"), F.col("ref").alias("root")).limit(0)
