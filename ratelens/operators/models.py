@@ -174,17 +174,23 @@ def direction_classifier(train: DataFrame, test: DataFrame, features: Sequence[s
                          label: str, min_rows: int = MIN_TRAIN_ROWS) -> DataFrame | None:
     """Logistic regression 'next move is a rise' on the given features
     (L2, C = 1 in the usual formulation: regParam = 1 / n_train, no feature
-    standardisation).  Returns test rows with ``prediction`` or None when both
-    sets together have fewer than ``min_rows`` rows."""
+    standardisation).  Returns every test row with ``prediction``, null where a
+    feature is missing, or None when both sets together have fewer than ``min_rows``
+    rows.  Training rows with a missing feature or label are not learned from."""
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
+    whole = F.lit(True)
+    for name in features:
+        whole = whole & F.col(name).isNotNull() & ~F.isnan(F.col(name).cast("double"))
+    train = train.where(whole & F.col(label).isNotNull())
     n_train = train.count()
     if n_train == 0 or n_train + test.count() < min_rows:
         return None
-    va = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip")
+    va = VectorAssembler(inputCols=list(features), outputCol="features")
     lr = LogisticRegression(featuresCol="features", labelCol=label, regParam=1.0 / n_train,
                             elasticNetParam=0.0, standardization=False, maxIter=200, tol=1e-8)
     model = lr.fit(va.transform(train.withColumn(label, F.col(label).cast("double"))))
-    pred = model.transform(va.transform(test.withColumn(label, F.col(label).cast("double"))))
-    return pred.withColumn("prediction", F.col("prediction").cast("int")) \
-        .withColumn(label, F.col(label).cast("int")).drop("features", "rawPrediction", "probability")
+    known = test.withColumn(label, F.col(label).cast("int"))
+    pred = model.transform(va.transform(known.where(whole))).withColumn("prediction", F.col("prediction").cast("int"))
+    return pred.drop("features", "rawPrediction", "probability").unionByName(
+        known.where(~whole).withColumn("prediction", F.lit(None).cast("int")))

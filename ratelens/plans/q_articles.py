@@ -18,7 +18,7 @@ from .star import Star
 
 START, END = "2024-01-05", "2024-01-25"
 SEEN_BEFORE = "2024-01-11"
-BACKLOG_FROM, BACKLOG_TO, NEW_FROM = "2024-01-08", "2024-01-12", "2024-01-10"
+OVERLAP_DAYS = 2        # days before the middle of the data that both backlog and new articles hold
 SPLIT_SEED = "split-1"
 
 _k = "CAST(json_extract(props, '$.k') AS INTEGER)"
@@ -428,15 +428,18 @@ def k04(spark: SparkSession, sf: str) -> DataFrame:
 
 
 O.cte("s_backlog", ["s_articles"], f"""
-SELECT * FROM s_articles WHERE day BETWEEN DATE '{BACKLOG_FROM}' AND DATE '{BACKLOG_TO}'""")
-O.cte("s_new", ["s_articles"], f"SELECT * FROM s_articles WHERE day >= DATE '{NEW_FROM}'")
+SELECT * FROM s_articles WHERE day <= (SELECT min(day) + CAST((max(day) - min(day)) // 2 AS INTEGER) FROM s_articles)""")
+O.cte("s_new", ["s_articles"], f"""
+SELECT * FROM s_articles
+WHERE day >= (SELECT min(day) + CAST((max(day) - min(day)) // 2 AS INTEGER) - {OVERLAP_DAYS} FROM s_articles)""")
 
 
 def _backlog_new(spark: SparkSession, sf: str):
+    """All articles, cut at the middle day of the data: queued up to it, new from
+    shortly before it on."""
     f = _star(spark, sf).fact_article.withColumn("day", F.to_date("published"))
-    backlog = f.where(F.col("day").between(F.to_date(F.lit(BACKLOG_FROM)), F.to_date(F.lit(BACKLOG_TO))))
-    new = f.where(F.col("day") >= F.to_date(F.lit(NEW_FROM)))
-    return backlog, new
+    middle = f.agg(F.expr("date_add(min(day), CAST(datediff(max(day), min(day)) div 2 AS INT))")).scalar()
+    return f.where(F.col("day") <= middle), f.where(F.col("day") >= F.date_sub(middle, OVERLAP_DAYS))
 
 
 @register("j06_backlog_anti", lambda: O.with_ctes("""

@@ -339,13 +339,13 @@ def q09_run(spark: SparkSession, sf: str) -> DataFrame:
 @register("q10_latest_results", lambda: _runs_sql("""
 SELECT country_code, sector_id, rate_basis, target_variable, """ + O.r6("pearson_r", "pearson_r")
     + """, CAST(lag AS BIGINT) AS lag FROM (SELECT *, row_number() OVER (PARTITION BY country_code,
-  sector_id, rate_basis, target_variable ORDER BY computed_at DESC) AS rn FROM hist) t
+  sector_id, rate_basis, target_variable ORDER BY computed_at DESC, result_id DESC) AS rn FROM hist) t
 WHERE rn = 1 ORDER BY pearson_r"""))
 def q10(spark: SparkSession, sf: str) -> DataFrame:
     """Latest result per key across runs, ordered by r (comparison table)."""
     from pyspark.sql import Window
     h = _history(spark, sf)
-    w = Window.partitionBy(*KEYS4).orderBy(F.col("computed_at").desc())
+    w = Window.partitionBy(*KEYS4).orderBy(F.col("computed_at").desc(), F.col("result_id").desc())
     latest = h.withColumn("_rn", F.row_number().over(w)).where("_rn = 1")
     return finish(latest.select(*KEYS4, "pearson_r", "lag")).orderBy("pearson_r")
 

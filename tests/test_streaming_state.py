@@ -153,3 +153,11 @@ def test_article_run_stops_between_tables_and_replays(spark, tmp_path):
     job()(frame, 1)                                                 # all seen, the day's budget spent: the backlog stays
     assert counts()["fact_article"] == 12 and counts()["seen"] == 21
     assert aj.committed(spark, root, "queue", aj.QUEUED).where("batch = 1").count() == 8
+
+
+def test_classifier_reports_every_test_row(spark):
+    from ratelens.operators import models as md
+    rows = [(i, float(i % 7), float(i % 3) if i % 5 else None, int(i % 7 > 3)) for i in range(60)]
+    frame = spark.createDataFrame(rows, "id int, a double, b double, rise int")
+    out = md.direction_classifier(frame.where("id < 40"), frame.where("id >= 40"), ["a", "b"], "rise").collect()
+    assert len(out) == 20 and {r.id for r in out if r.prediction is None} == {40, 45, 50, 55}
