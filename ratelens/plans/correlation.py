@@ -29,6 +29,22 @@ def correlation_batch(star: Star, controls: Sequence[str] | None = None,
     return co.correlate(pn.with_leads(panel), controls=controls)
 
 
+def check_pair(star: Star, country: str | None, sector: str | None) -> None:
+    """A country or sector that no dimension has, or a pair that is not
+    configured, is an error (each a lookup of at most one row)."""
+    def known(df: DataFrame, **values: str | None) -> bool:
+        for column, value in values.items():
+            df = df.where(F.col(column) == F.lit(value))
+        return df.limit(1).count() > 0
+
+    if country is not None and not known(star.dim_country, country_code=country):
+        raise ValueError(f"Invalid country: {country!r}")
+    if sector is not None and not known(star.dim_sector, sector_id=sector):
+        raise ValueError(f"Invalid sector: {sector!r}")
+    if country is not None and sector is not None and not known(star.pairs, country_code=country, sector_id=sector):
+        raise ValueError(f"Invalid pair: {country!r}, {sector!r}")
+
+
 def correlation(star: Star, country: str | None = None, sector: str | None = None,
                 rate_basis: str | None = None, target: str | None = None,
                 control: str | None = None, start: str | None = None,
@@ -42,10 +58,11 @@ def correlation(star: Star, country: str | None = None, sector: str | None = Non
         raise ValueError(f"Invalid rate_basis: {rate_basis!r}")
     if target is not None and target not in TARGETS:
         raise ValueError(f"Invalid target: {target!r}")
+    check_pair(star, country, sector)
     panel = star.panel
-    if country:
+    if country is not None:
         panel = panel.where(F.col("country_code") == country)
-    if sector:
+    if sector is not None:
         panel = panel.where(F.col("sector_id") == sector)
     panel = pn.month_window(panel, start, end)
     bases = [rate_basis] if rate_basis else list(RATE_INDICATORS)
