@@ -13,7 +13,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..constants import MIN_OBS, RATE_BASES, RATE_INDICATORS, TARGET_NAMES, TARGETS
 from ..functions import stats as st
@@ -189,53 +188,136 @@ def covariance_moments(obs: DataFrame, keys: Sequence[str], cols: Sequence[str])
     return obs.groupBy(*keys).agg(*aggs)
 
 
+PIVOT = 1e-10               # a correlation matrix with a smaller pivot counts as singular
+
+
+def _correlations(cols: Sequence[str]) -> Column:
+    """The correlation matrix of ``cols`` as a row-major array, from the columns of
+    ``covariance_moments`` (null entries where a series is constant)."""
+    def cell(i: int, j: int) -> Column:
+        a, b = cols[min(i, j)], cols[max(i, j)]
+        if i == j:
+            return F.when(F.col(f"c__{a}__{a}") > 0, F.lit(1.0))
+        return st.corr(F.col(f"c__{a}__{b}"), F.col(f"c__{a}__{a}"), F.col(f"c__{b}__{b}"))
+    d = range(len(cols))
+    return F.array(*[cell(i, j) for i in d for j in d])
+
+
+def _at(matrix: Column, d: int, i: Column | int, j: Column | int) -> Column:
+    return F.get(matrix, (F.lit(d) * i + j).cast("int"))
+
+
+def swept(matrix: Column, d: int, pivots: int) -> Column:
+    """The sweep operator on the first ``pivots`` positions of a row-major d x d matrix:
+    their block becomes its inverse, the columns right of it the coefficients, and the
+    block below right what is left unexplained.  Null when a pivot vanishes."""
+    if not pivots:
+        return matrix
+
+    def step(m: Column, k: Column) -> Column:
+        p = _at(m, d, k, k)
+
+        def cell(v: Column, at: Column) -> Column:
+            j = at % d
+            i = ((at - j) / d).cast("int")
+            return (F.when((i == k) & (j == k), 1 / p).when(i == k, v / p).when(j == k, -v / p)
+                    .otherwise(v - _at(m, d, i, k) * _at(m, d, k, j) / p))
+        return F.when(p > PIVOT, F.transform(m, cell))
+    return F.aggregate(F.array(*[F.lit(k) for k in range(pivots)]), matrix, step)
+
+
 def multi_control(obs: DataFrame, k: int, keys: Sequence[str] = GROUP) -> DataFrame:
     """Partial correlation of x and y given any number of controls
     z1..zk, its p-value (df n-2-k), and R^2 of y ~ x + z1..zk, for every
-    group.  The covariance matrix is aggregated in Spark (one row per group);
-    the (k+2)-square inversions run batched in ``mapInPandas`` over those
-    moment rows -- no extra shuffle, no raw observation in Python."""
+    group, from one moment row a group: sweeping the controls leaves the
+    2 x 2 block of x and y.  Null for a constant series or dependent controls."""
     keys = list(keys)
-    cols = ["x", "y"] + [f"z{i + 1}" for i in range(k)]
-    mom = covariance_moments(obs, keys, cols)
-    out_schema = T.StructType([f for f in mom.schema.fields if f.name in keys] + [
-        T.StructField("n", T.LongType()), T.StructField("partial_r", T.DoubleType()),
-        T.StructField("r_squared", T.DoubleType())])
-
-    def solve(pdf):
-        """Batched over all groups of an Arrow batch: stack the correlation
-        matrices and invert them at once."""
-        import numpy as np
-        import pandas as pd
-        d = len(cols)
-        m = len(pdf)
-        cov = np.full((m, d, d), np.nan)
-        for i, a in enumerate(cols):
-            for j, b in enumerate(cols):
-                key = f"c__{a}__{b}" if i <= j else f"c__{b}__{a}"
-                cov[:, i, j] = pd.to_numeric(pdf[key], errors="coerce").to_numpy(dtype=float)
-        sd = np.sqrt(np.einsum("kii->ki", cov))
-        ok = np.all(np.isfinite(cov), axis=(1, 2)) & np.all(sd > 0, axis=1)
-        pr = np.full(m, np.nan)
-        r2 = np.full(m, np.nan)
-        if ok.any():
-            c = cov[ok] / (sd[ok][:, :, None] * sd[ok][:, None, :])
-            det = np.linalg.det(c)
-            good = np.abs(det) > 1e-12
-            p = np.full_like(c, np.nan)
-            if good.any():
-                p[good] = np.linalg.inv(c[good])
-            pr[ok] = -p[:, 0, 1] / np.sqrt(p[:, 0, 0] * p[:, 1, 1])
-            r2[ok] = 1 - 1 / p[:, 1, 1]
-        out = pdf[keys + ["n"]].copy()
-        out["partial_r"] = np.where(np.isfinite(pr), pr, np.nan)
-        out["r_squared"] = np.where(np.isfinite(r2), r2, np.nan)
-        return out.astype({"partial_r": "float64", "r_squared": "float64"})
-
-    res = mom.mapInPandas(lambda it: (solve(pdf) for pdf in it), out_schema)
-    res = res.select(*keys, "n", st.finite(F.col("partial_r")).alias("partial_r"),
-                     st.finite(F.col("r_squared")).alias("r_squared"))
-    return res.select("*", st.r_pvalue(F.col("partial_r"), F.col("n") - 2 - k).alias("partial_p"))
+    cols = [f"z{i + 1}" for i in range(k)] + ["x", "y"]
+    d = k + 2
+    m = covariance_moments(obs, keys, cols).select(*keys, "n", swept(_correlations(cols), d, k).alias("m"))
+    xx, xy, yy = (_at(F.col("m"), d, i, j) for i, j in ((k, k), (k, k + 1), (k + 1, k + 1)))
+    free = xx > PIVOT
+    out = m.select(*keys, "n", F.when(free, st.safe_div(xy, st.safe_sqrt(xx * yy))).alias("partial_r"),
+                   F.when(free, 1 - yy + st.safe_div(xy * xy, xx)).alias("r_squared"))
+    return out.select("*", st.r_pvalue(F.col("partial_r"), F.col("n") - 2 - k).alias("partial_p"))
+
+
+def with_time(obs: DataFrame, name: str = "t") -> DataFrame:
+    """A linear time term: months since year 0."""
+    return obs.withColumn(name, (F.year("month") * 12 + F.month("month")).cast("double"))
+
+
+def ols_many(obs: DataFrame, regressors: Sequence[str], keys: Sequence[str], target: str = "y",
+             names: dict[str, Column | str] | None = None) -> DataFrame:
+    """G13 / G25 for any list of regressors (a time term is one of them, ``with_time``):
+    OLS target ~ 1 + regressors per group over complete rows.  One row per term: coef,
+    se, T, pval (df n - 1 - number of regressors), 95% interval, partial r of the term
+    given the others, R^2 and adjusted R^2.  One aggregate per group, then the sweep
+    operator within the moment row.  Groups without a degree of freedom are left out;
+    a constant regressor or dependent regressors give null statistics."""
+    keys, xs = list(keys), list(regressors)
+    m, d = len(xs), len(xs) + 1
+    whole = F.lit(True)
+    for c in (*xs, target):
+        whole = whole & F.col(c).isNotNull()
+    cols = [*xs, target]
+    aggs = [F.count(F.lit(1)).alias("n")] + [F.avg(c).alias(f"m__{c}") for c in cols]
+    for i, a in enumerate(cols):
+        for b in cols[i:]:
+            aggs.append((F.var_samp(a) if a == b else F.covar_samp(a, b)).alias(f"c__{a}__{b}"))
+    mom = obs.where(whole).groupBy(*keys).agg(*aggs).withColumn("dof", F.col("n") - 1 - m).where("dof > 0")
+    mom = mom.withColumn("m", swept(_correlations(cols), d, m))
+    sd = {c: F.sqrt(F.col(f"c__{c}__{c}")) for c in cols}
+    left = _at(F.col("m"), d, m, m)
+    mom = mom.withColumn("r2", 1 - left).withColumn("adj_r2", 1 - left * (F.col("n") - 1) / F.col("dof"))
+    mom = mom.withColumn("s2", left * F.col(f"c__{target}__{target}") * (F.col("n") - 1) / F.col("dof"))
+    coef = [_at(F.col("m"), d, i, m) * st.safe_div(sd[target], sd[x]) for i, x in enumerate(xs)]
+
+    def root(v: Column) -> Column:
+        return F.when(v.isNotNull(), st.safe_sqrt(v))
+    se = [root(st.safe_div(F.col("s2") * _at(F.col("m"), d, i, i), (F.col("n") - 1) * F.col(f"c__{x}__{x}")))
+          for i, x in enumerate(xs)]
+    b0, spread = F.col(f"m__{target}"), F.lit(0.0)
+    for i, x in enumerate(xs):
+        b0 = b0 - coef[i] * F.col(f"m__{x}")
+        for j, z in enumerate(xs):
+            spread = spread + _at(F.col("m"), d, i, j) * st.safe_div(F.col(f"m__{x}"), sd[x]) * st.safe_div(
+                F.col(f"m__{z}"), sd[z])
+    se0 = root(F.col("s2") * (1 / F.col("n") + spread / (F.col("n") - 1)))
+    label = {x: (names or {}).get(x, x) for x in xs}
+    label = {x: F.lit(v) if isinstance(v, str) else v for x, v in label.items()}
+
+    def term(kind: str, name: Column, c: Column, s: Column) -> Column:
+        return F.struct(F.lit(kind).alias("term"), name.alias("names"), c.alias("coef"), s.alias("se"))
+    terms = F.array(term("intercept", F.lit("Intercept"), b0, se0),
+                    *[term(x, label[x], coef[i], se[i]) for i, x in enumerate(xs)])
+    long = mom.select(*keys, "n", "dof", "r2", "adj_r2", F.explode(terms).alias("tm")).select(
+        *keys, "n", "dof", "r2", "adj_r2", "tm.*")
+    t = st.safe_div(F.col("coef"), F.col("se"))
+    crit = t_quantile_975(F.col("dof"))
+    partial = F.when(F.col("term") != "intercept", t / F.sqrt(t * t + F.col("dof")))
+    return long.select(*keys, "n", "term", "names", "coef", "se", t.alias("T"), t_pvalue(t, F.col("dof")).alias("pval"),
+                       partial.alias("partial_r"), "r2", "adj_r2", (F.col("coef") - crit * F.col("se")).alias("ci_low"),
+                       (F.col("coef") + crit * F.col("se")).alias("ci_high"))
+
+
+def diagnostics(obs: DataFrame, coefs: DataFrame) -> DataFrame:
+    """Q11: G13 to G16 of every model as (model keys, section, item, other, value)."""
+    keys = MODEL + ["lag"]
+
+    def long(df: DataFrame, section: str, item: Column, values: Sequence[tuple[Column, Column]]) -> DataFrame:
+        each = F.array(*[F.struct(o.alias("other"), v.cast("double").alias("value")) for o, v in values])
+        return df.select(*keys, F.lit(section).alias("section"), item.alias("item"), F.explode(each).alias("e")) \
+            .select(*keys, "section", "item", "e.other", "e.value")
+
+    def named(*columns: str) -> list[tuple[Column, Column]]:
+        return [(F.lit(c), F.col(c)) for c in columns]
+    return (long(coefs, "coefficient", F.col("names"),
+                 named("coef", "se", "T", "pval", "r2", "adj_r2", "ci_low", "ci_high"))
+            .unionByName(long(coefficient_ranking(coefs), "ranking", F.col("names"), named("rank", "sign")))
+            .unionByName(long(correlation_matrix(obs), "matrix", F.col("var_i"), [(F.col("var_j"), F.col("r"))]))
+            .unionByName(long(residuals(obs, coefs), "observation", F.date_format("month", "yyyy-MM"),
+                              named("fitted", "residual"))))
 
 
 def classification_report(pred: DataFrame, actual: str, predicted: str,

@@ -84,12 +84,17 @@ def write_dead_letter(rows: DataFrame, path: str, run_key: str) -> None:
     rows.write.mode("overwrite").json(f"{path.rstrip('/')}/run_key={run_key}")
 
 
+#: Formats of times in exports, for the writer and for readers of them.
+CSV_TIMES = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+             "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
 def export_csv(df: DataFrame, path: str) -> bool:
     """CSV export of exactly the given frame.  Returns False ('no data')
-    when the frame is empty, without writing."""
+    when the frame is empty, without writing.  Times keep their microseconds."""
     if df.isEmpty():
         return False
-    df.write.mode("errorifexists").option("header", True).csv(path)
+    df.write.mode("errorifexists").option("header", True).options(**CSV_TIMES).csv(path)
     return True
 
 
