@@ -5,7 +5,7 @@ Documents are sets of five-word shingles; two link when
 the smallest doc_id it reaches by links.
 
 1. Equal sets form one class (64-bit digest of the sorted set), so exact copies
-   are compared once.  Each class also gets a hashed bitmap of two to four bits
+   are compared once.  Each class also gets a hashed bitmap of four to eight bits
    per shingle.
 2. Prefix tiles.  Under any fixed order of shingles, two sets that link share
    one of their first n - ceil(0.75 n) + 1.  The order is by hash, with the
@@ -18,15 +18,19 @@ the smallest doc_id it reaches by links.
    that heads one of its tiles (first the class in most tiles).  Linked classes
    are joined into components, and tiles of one component are done.
 4. Then all pairs that share a tile but not a component are compared: of tiles
-   with the same classes one is kept, tiles of more than ``TILE_ROWS`` are cut into size bands
-   (linked sets differ by less than 4/3 in size) and blocks, and each pair of blocks is worked off by bit counts:
-   |A and B| <= (|A| + |B| - popcount(A xor B)) / 2.  Only pairs that this bound
-   and the size ratio let through reach the exact intersection of the sorted
-   arrays.  Pairs inside one component need no comparison, so no group of copies
-   is expanded into all its pairs; no pair of different components is skipped.
-
-Only documents in surviving pairs have their shingles fetched for the exact
-step.  Hash identity stands for equality (64 bits).
+   with the same classes one is kept, tiles of more than ``TILE_ROWS`` are cut
+   into size bands (linked sets differ by less than 4/3 in size) and blocks, and
+   each pair of blocks is worked off by bit counts:
+   |A and B| <= (|A| + |B| - popcount(A xor B)) / 2.  A class that this bound and
+   the size ratio let through with another one stays in its tile; again one of the
+   tiles with the same classes is kept.
+5. The sorted shingle arrays of the classes that stay are sent to their tiles and
+   intersected exactly there.  Only links that join two components go out, fewer
+   than a tile has components.  Pairs inside one component need no comparison; no
+   pair of different components is skipped, and no step puts out pairs that only
+   may link.
+
+Hash identity stands for equality (64 bits).
 
 Defined results: null, empty and blank texts have n_shingles 0 and their own
 doc_id as component; repeated rows are one class and all reported; a null
@@ -52,6 +56,7 @@ HOT_IN_BATCH = 3            # classes of one scan window that make a shingle a h
 HOT_WINDOW = 5_000_000      # shingles in a scan window
 HOT_TOKENS = 1 << 22        # bound on the broadcast list of hot shingles
 TILE_ROWS = 2048
+LONG_SET = 2048             # shingles from which a set counts towards cutting its tiles
 STAR_ROUNDS = 4             # most rounds of star comparisons before all remaining pairs
 BUCKET_BYTES = 8_000_000
 MIN_BUCKETS = 96
@@ -68,9 +73,9 @@ def _class_ref(tokens: np.ndarray) -> int:
 
 
 def _bits_for(n: int) -> int:
-    """Two to four bits per shingle: unrelated sets of like size then differ in
-    enough bits for the bound to rule them out."""
-    return max(256, 1 << (2 * n - 1).bit_length())
+    """Four to eight bits per shingle: sets that share 60 % of their shingles then
+    differ in enough bits for the bound to rule them out."""
+    return max(256, 1 << (4 * n - 1).bit_length())
 
 
 def _bitmap(tokens: np.ndarray) -> bytes:
@@ -244,22 +249,28 @@ def _possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return full.mapInArrow(releasing(run), "a bigint, b bigint")
 
 
-def _linked(pairs: DataFrame, src: DataFrame, base: DataFrame) -> DataFrame:
-    """The pairs whose sorted shingle arrays really link."""
-    needed = pairs.select(F.col("a").alias("ref")).union(pairs.select("b")).distinct()
-    # one row of each needed class; its text is read again
-    rows = written(base.select("ref", "row").join(needed, "ref").groupBy("ref").agg(F.min("row").alias("row")), "jaccard-rows")
+def _sets(needed: DataFrame, src: DataFrame, classes: DataFrame) -> DataFrame:
+    """(ref, tokens): the sorted shingles of the needed classes, from the text of one row
+    of each."""
+    rows = written(classes.select("ref", "row").join(needed, "ref"), "jaccard-rows")
     texts = src.join(sized_broadcast(rows, rows.count()), "row")
 
     def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = list(_rows(batch, 1))
+            # rows are found by hash: another row of the same hash has another set
+            found = [(r, s) for r, s in zip(batch.column(0).to_pylist(), _rows(batch, 1)) if len(s) and _class_ref(s) == r]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], names=["ref", "tokens"])
+                [pa.array([r for r, _ in found], pa.int64()), pa.array([s.tobytes() for _, s in found], pa.binary())],
+                names=["ref", "tokens"])
 
-    sets = written(texts.select("ref", "text").mapInArrow(releasing(arrays), "ref bigint, tokens binary")
+    return written(texts.select("ref", "text").mapInArrow(releasing(arrays), "ref bigint, tokens binary")
                    .dropDuplicates(["ref"]), "jaccard-sets")
 
+
+def _linked(pairs: DataFrame, src: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs whose sorted shingle arrays really link."""
+    sets = _sets(pairs.select(F.col("a").alias("ref")).union(pairs.select("b")).distinct(), src, classes)
+
     def intersect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
@@ -309,69 +320,142 @@ def _star_pairs(live: DataFrame, score: Column) -> DataFrame:
     return pick.select(F.col("p.ref").alias("a"), "b")
 
 
-def _tile_pairs(live: DataFrame, classes: DataFrame) -> DataFrame:
-    """All pairs of a tile with different roots that may link, by size band and
-    block.  ``live``: (token, ref, root, m)."""
-    d = live
-    d = d.join(classes.select("ref", "n", "bitmap"), "ref")
+def _candidates(n: np.ndarray, roots: np.ndarray, own: np.ndarray, block: np.ndarray, maps: list[np.ndarray],
+                band: int, i: int, j: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(x, later rows that may link with it) for the rows of one tile, sorted by size."""
+    width = np.array([len(m) for m in maps])
+    for size in np.unique(width).tolist():
+        low, high = np.searchsorted(width, size), np.searchsorted(width, size, side="right")
+        # the larger sets that these can link with, their bitmaps folded to the same width
+        to = int(np.searchsorted(PERCENT * n, 100 * n[high - 1], side="right"))
+        bits = np.stack([_fold(m, size) for m in maps[low:to]]).view(np.uint64)
+        for x in range(low, high):
+            rest = slice(x + 1, int(np.searchsorted(PERCENT * n, 100 * n[x], side="right")))
+            # each pair belongs to one tile: the band of the larger set, the blocks of the two
+            ok = (roots[rest] != roots[x]) & ((band < 0) | (np.maximum(own[x], own[rest]) == band)) \
+                & (np.minimum(block[x], block[rest]) == i) & (np.maximum(block[x], block[rest]) == j)
+            at = np.flatnonzero(ok) + x + 1
+            if not len(at):
+                continue
+            apart = np.bitwise_count(bits[at - low] ^ bits[x - low]).sum(axis=1, dtype=np.int64)
+            total = n[at] + n[x]
+            most = (total - apart) // 2
+            at = at[100 * most >= PERCENT * (total - most)]
+            if len(at):
+                yield x, at
+
+
+def _by_tile(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """The rows of one tile at a time, smallest set first; rows come sorted by tile,
+    their first column."""
+    held: list[tuple] = []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if held and held[0][0] != row[0]:
+                yield sorted(held, key=lambda r: r[2])
+                held = []
+            held.append(row)
+    if held:
+        yield sorted(held, key=lambda r: r[2])
+
+
+def _columns(rows: list[tuple]) -> tuple[np.ndarray, ...]:
+    """ref, n, root, own and block of the rows of a tile."""
+    return tuple(np.array([r[k] for r in rows], dtype=np.int64) for k in range(1, 6))
+
+
+def _spanning_links(rows: list[tuple]) -> list[tuple[int, int]]:
+    """Links between components that meet in one tile: every pair that may link is
+    intersected exactly unless links found before already join its two components,
+    so a tile gives fewer links than it has components."""
+    ref, n, roots, own, block = _columns(rows)
+    sets = [np.frombuffer(r[9], np.uint64) for r in rows]
+    at = np.concatenate([[0], np.cumsum([len(t) for t in sets])])
+    words, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    member = np.zeros(len(words), dtype=bool)
+    parent = {int(r): int(r) for r in roots}
+
+    def top(r: int) -> int:
+        while parent[r] != r:
+            parent[r] = parent[parent[r]]
+            r = parent[r]
+        return r
+
+    out = []
+    for x, others in _candidates(n, roots, own, block, [np.frombuffer(_bitmap(t), np.uint8) for t in sets], *rows[0][6:9]):
+        mine = ids[at[x]:at[x + 1]]
+        member[mine] = True
+        for y in others.tolist():
+            p, q = top(int(roots[x])), top(int(roots[y]))
+            if p == q:
+                continue
+            shared = int(np.count_nonzero(member[ids[at[y]:at[y + 1]]]))
+            if 100 * shared >= PERCENT * (int(n[x]) + int(n[y]) - shared):
+                parent[p] = q
+                out.append((int(ref[x]), int(ref[y])))
+        member[mine] = False
+    return out
+
+
+def _tile_links(live: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b): links that join all components whose classes link in a tile.  ``live``:
+    (token, ref, root, m).
+
+    First the bitmaps: of every tile only classes that may link with another one there
+    go on, and of tiles left with the same classes one.  Then their shingle sets are
+    sent to the tiles.  Both steps put out at most one row per class and tile, however
+    many pairs they compare."""
+    long = live.join(classes.where(F.col("n") > LONG_SET).select("ref", "n"), "ref")
+    heavy = written(long.groupBy("token").agg(F.sum("n").alias("heavy")), "jaccard-heavy")
+    d = live.join(sized_broadcast(heavy, heavy.count()), "token", "left")
+    blocks = F.ceil(F.col("m") / F.lit(TILE_ROWS)) + F.floor(F.coalesce("heavy", F.lit(0)) / F.lit(TILE_ROWS * LONG_SET))
+    d = d.withColumn("blocks", blocks.cast("int")).join(classes.select("ref", "n", "bitmap"), "ref")
     # a set of band k can link with bands k and k + 1 only; where a tile is cut into bands it
     # is sent to both k and k + 1
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / PERCENT)) + 1e-9).cast("int")
-    blocks = F.ceil(F.col("m") / F.lit(TILE_ROWS)).cast("int")
-    d = d.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("ref"), F.col("blocks")).cast("int"))
-    bands = F.when(F.col("m") > TILE_ROWS, F.array(band, band + 1)).otherwise(F.array(F.lit(-1)))
+    d = d.withColumn("block", F.pmod(F.xxhash64("ref"), F.col("blocks")).cast("int"))
+    bands = F.when(F.col("blocks") > 1, F.array(band, band + 1)).otherwise(F.array(F.lit(-1)))
     d = d.withColumn("own", band).withColumn("band", F.explode(bands))
     d = d.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     d = d.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
     d = d.withColumn("tile", F.xxhash64("token", "band", "i", "j"))
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by tile; one tile is held at a time."""
-        names = ["a", "b"]
-        held: list[tuple] = []
-
-        def pairs_of(rows: list[tuple]):
-            if len({r[3] for r in rows}) < 2:
-                return
-            rows = sorted(rows, key=lambda r: r[2])
-            ref, n, roots = (np.array([r[k] for r in rows], dtype=np.int64) for k in (1, 2, 3))
-            own, block = (np.array([r[k] for r in rows], dtype=np.int32) for k in (5, 6))
-            maps = [np.frombuffer(r[4], np.uint8) for r in rows]
-            width = np.array([len(m) for m in maps])
-            band, i, j = rows[0][7], rows[0][8], rows[0][9]
-            for size in np.unique(width).tolist():
-                low, high = np.searchsorted(width, size), np.searchsorted(width, size, side="right")
-                # the larger sets that these can link with, their bitmaps folded to the same width
-                to = int(np.searchsorted(PERCENT * n, 100 * n[high - 1], side="right"))
-                bits = np.stack([_fold(m, size) for m in maps[low:to]]).view(np.uint64)
-                for x in range(low, high):
-                    rest = slice(x + 1, int(np.searchsorted(PERCENT * n, 100 * n[x], side="right")))
-                    # each pair belongs to one tile: the band of the larger set, the blocks of the two
-                    ok = (roots[rest] != roots[x]) & ((band < 0) | (np.maximum(own[x], own[rest]) == band)) \
-                        & (np.minimum(block[x], block[rest]) == i) & (np.maximum(block[x], block[rest]) == j)
-                    at = np.flatnonzero(ok) + x + 1
-                    if not len(at):
-                        continue
-                    apart = np.bitwise_count(bits[at - low] ^ bits[x - low]).sum(axis=1, dtype=np.int64)
-                    total = n[at] + n[x]
-                    most = (total - apart) // 2
-                    at = at[100 * most >= PERCENT * (total - most)]
-                    if len(at):
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.minimum(ref[at], ref[x])), pa.array(np.maximum(ref[at], ref[x]))], names=names)
-
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if held and held[0][0] != row[0]:
-                    yield from pairs_of(held)
-                    held = []
-                held.append(row)
-        if held:
-            yield from pairs_of(held)
-
-    cols = ["tile", "ref", "n", "root", "bitmap", "own", "block", "band", "i", "j"]
-    return (d.select(*cols).repartition("tile").sortWithinPartitions("tile")
-            .mapInArrow(releasing(compare), "a bigint, b bigint").distinct())
+    cols = ["tile", "ref", "n", "root", "own", "block", "band", "i", "j"]
+    schema = "tile bigint, ref bigint, n bigint, root bigint, own int, block int, band int, i int, j int"
+
+    def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = [pa.int64()] * 4 + [pa.int32()] * 5
+        for rows in _by_tile(batches):
+            ref, n, roots, own, block = _columns(rows)
+            keep = np.zeros(len(rows), dtype=bool)
+            if len(rows) > 1:
+                for x, at in _candidates(n, roots, own, block, [np.frombuffer(r[9], np.uint8) for r in rows], *rows[0][6:9]):
+                    keep[x] = True
+                    keep[at] = True
+            kept = [r for r, k in zip(rows, keep) if k]
+            if kept:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r[c] for r in kept], t) for c, t in enumerate(types)], names=cols)
+
+    left = written(d.select(*cols, "bitmap").repartition("tile").sortWithinPartitions("tile")
+                   .mapInArrow(releasing(possible), schema), "jaccard-possible")
+    # pairs share many shingles: tiles left with the same classes do the same work
+    same = [F.bit_xor(F.xxhash64("ref", "block")).alias("s1"), F.bit_xor(F.xxhash64("block", "ref")).alias("s2"),
+            F.count(F.lit(1)).alias("m")]
+    tiles = left.groupBy("tile", "band", "i", "j").agg(*same)
+    tiles = written(tiles.groupBy("s1", "s2", "m", "band", "i", "j").agg(F.min("tile").alias("tile")).select("tile"),
+                    "jaccard-kept")
+    left = written(left.join(sized_broadcast(tiles, tiles.count()), "tile").select(*cols), "jaccard-left")
+    sets = _sets(left.select("ref").distinct(), texts, classes)
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _by_tile(batches):
+            found = _spanning_links(rows) if len(rows) > 1 else []
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)],
+                                                 names=["a", "b"])
+
+    full = left.join(sets, "ref").select(*cols, "tokens")
+    return full.repartition("tile").sortWithinPartitions("tile").mapInArrow(releasing(links), "a bigint, b bigint")
 
 
 def link_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -386,7 +470,8 @@ def link_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     members = written(_shared_members(src, base).distinct(), "jaccard-distinct")
     weights = members.groupBy("ref").agg(F.count(F.lit(1)).alias("w"))
     classes = written(base.where("ref is not null").groupBy("ref").agg(
-        F.max("n").alias("n"), F.max("bitmap").alias("bitmap")).join(weights, "ref"), "jaccard-classes")
+        F.max("n").alias("n"), F.max("bitmap").alias("bitmap"), F.min("row").alias("row")).join(weights, "ref"),
+        "jaccard-classes")
     texts = src.select("row", "text")
     # stars: an original shares more shingles than its edited copies do, so the
     # class in most tiles is tried first, then others at random
@@ -403,7 +488,7 @@ def link_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
             pairs = _star_pairs(live, F.xxhash64("ref", F.lit(k)))
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         tried = written(_possible(pairs, classes), "jaccard-possible")
-        found = written(_linked(tried, texts, base), "jaccard-links")
+        found = written(_linked(tried, texts, classes), "jaccard-links")
         links = found if links is None else links.unionByName(found)
         roots = written(connected_components(links), "jaccard-roots")
         live = _live_tiles(live, roots)
@@ -411,8 +496,7 @@ def link_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
             break
     # whatever is still apart: every pair of every tile
     if live.limit(1).count():
-        pairs = written(_tile_pairs(live, classes), "jaccard-pairs")
-        links = links.unionByName(_linked(pairs, texts, base))
+        links = links.unionByName(written(_tile_links(live, classes, texts), "jaccard-links"))
         roots = written(connected_components(links), "jaccard-roots")
     if roots is None:
         roots = members.select(F.col("ref").alias("node"), F.col("ref").alias("root")).limit(0)
