@@ -5,8 +5,9 @@ Documents are sets of five-word shingles; two link when
 the smallest doc_id it reaches by links.
 
 1. Equal sets form one class (64-bit digest of the sorted set), so exact copies
-   are compared once.  Each class also gets a hashed bitmap of four to eight bits
-   per shingle.
+   are compared once.  Each class also gets a hashed bitmap of two to four bits
+   per shingle; the tiles of step 4 get it folded to half of that, which still
+   rules out unrelated sets.
 2. Prefix tiles.  Under any fixed order of shingles, two sets that link share
    one of their first n - ceil(0.75 n) + 1.  The order is by hash, with the
    shingles that are frequent in some scan window last (at most ``HOT_TOKENS``
@@ -73,9 +74,9 @@ def _class_ref(tokens: np.ndarray) -> int:
 
 
 def _bits_for(n: int) -> int:
-    """Four to eight bits per shingle: sets that share 60 % of their shingles then
-    differ in enough bits for the bound to rule them out."""
-    return max(256, 1 << (4 * n - 1).bit_length())
+    """Two to four bits per shingle: unrelated sets of like size then differ in enough
+    bits for the bound to rule them out, and so do most that share 60 %."""
+    return max(256, 1 << (2 * n - 1).bit_length())
 
 
 def _bitmap(tokens: np.ndarray) -> bytes:
@@ -90,9 +91,10 @@ def _rows(batch: pa.RecordBatch, text: int) -> Iterator[np.ndarray]:
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, row, n, ref, bitmap and, once per scan window, its hot shingles."""
+    """doc_id, row, n, ref, bitmap, its folded half (small) and, once per scan window, its
+    hot shingles."""
     for batch in batches:
-        sizes, refs, maps, hot, known = [], [], [], [], {}
+        sizes, refs, maps, halves, hot, known = [], [], [], [], [], {}
         seen: dict[int, np.ndarray] = {}
         held = 0
 
@@ -107,14 +109,17 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not len(tokens):
                 refs.append(None)
                 maps.append(None)
+                halves.append(None)
                 continue
             ref = _class_ref(tokens)
             if ref not in known:
-                known[ref] = _bitmap(tokens)
+                wide = _bitmap(tokens)
+                known[ref] = wide, _fold(np.frombuffer(wide, np.uint8), max(32, len(wide) // 2)).tobytes()
                 seen[ref] = tokens
                 held += len(tokens)
             refs.append(ref)
-            maps.append(known[ref])
+            maps.append(known[ref][0])
+            halves.append(known[ref][1])
             if held >= HOT_WINDOW:
                 hot[-1] = frequent(list(seen.values()))
                 seen, held = {}, 0
@@ -123,8 +128,8 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = pa.list_(pa.struct([("token", pa.int64()), ("n", pa.int32())]))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(refs, pa.int64()),
-             pa.array(maps, pa.binary()), pa.array(hot, pair)],
-            names=["doc_id", "row", "n", "ref", "bitmap", "hot"])
+             pa.array(maps, pa.binary()), pa.array(halves, pa.binary()), pa.array(hot, pair)],
+            names=["doc_id", "row", "n", "ref", "bitmap", "small", "hot"])
 
 
 def _hot_tokens(base: DataFrame) -> np.ndarray:
@@ -409,7 +414,7 @@ def _tile_links(live: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFr
     heavy = written(long.groupBy("token").agg(F.sum("n").alias("heavy")), "jaccard-heavy")
     d = live.join(sized_broadcast(heavy, heavy.count()), "token", "left")
     blocks = F.ceil(F.col("m") / F.lit(TILE_ROWS)) + F.floor(F.coalesce("heavy", F.lit(0)) / F.lit(TILE_ROWS * LONG_SET))
-    d = d.withColumn("blocks", blocks.cast("int")).join(classes.select("ref", "n", "bitmap"), "ref")
+    d = d.withColumn("blocks", blocks.cast("int")).join(classes.select("ref", "n", "small"), "ref")
     # a set of band k can link with bands k and k + 1 only; where a tile is cut into bands it
     # is sent to both k and k + 1
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / PERCENT)) + 1e-9).cast("int")
@@ -436,7 +441,7 @@ def _tile_links(live: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFr
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[c] for r in kept], t) for c, t in enumerate(types)], names=cols)
 
-    left = written(d.select(*cols, "bitmap").repartition("tile").sortWithinPartitions("tile")
+    left = written(d.select(*cols, "small").repartition("tile").sortWithinPartitions("tile")
                    .mapInArrow(releasing(possible), schema), "jaccard-possible")
     # pairs share many shingles: tiles left with the same classes do the same work
     same = [F.bit_xor(F.xxhash64("ref", "block")).alias("s1"), F.bit_xor(F.xxhash64("block", "ref")).alias("s2"),
@@ -465,12 +470,12 @@ def link_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
                       F.col(text).cast("string").alias("text"))
     kind = src.schema["doc_id"].dataType.simpleString()
     base = written(src.mapInArrow(
-        releasing(_describe), f"doc_id {kind}, row bigint, n bigint, ref bigint, bitmap binary, "
+        releasing(_describe), f"doc_id {kind}, row bigint, n bigint, ref bigint, bitmap binary, small binary, "
                    "hot array<struct<token:bigint,n:int>>"), "jaccard-base")
     members = written(_shared_members(src, base).distinct(), "jaccard-distinct")
     weights = members.groupBy("ref").agg(F.count(F.lit(1)).alias("w"))
     classes = written(base.where("ref is not null").groupBy("ref").agg(
-        F.max("n").alias("n"), F.max("bitmap").alias("bitmap"), F.min("row").alias("row")).join(weights, "ref"),
+        F.max("n").alias("n"), F.max("bitmap").alias("bitmap"), F.max("small").alias("small"), F.min("row").alias("row")).join(weights, "ref"),
         "jaccard-classes")
     texts = src.select("row", "text")
     # stars: an original shares more shingles than its edited copies do, so the
