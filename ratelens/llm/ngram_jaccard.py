@@ -59,6 +59,7 @@ HOT_TOKENS = 1 << 22        # bound on the broadcast list of hot shingles
 TILE_ROWS = 2048
 LONG_SET = 2048             # shingles from which a set counts towards cutting its tiles
 STAR_ROUNDS = 4             # most rounds of star comparisons before all remaining pairs
+STAR_SHARE = 8              # another round follows while one picked pair in so many links
 BUCKET_BYTES = 8_000_000
 MIN_BUCKETS = 96
 
@@ -491,13 +492,14 @@ def link_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
             pairs = _star_pairs(scored, F.col("w"))
         else:
             pairs = _star_pairs(live, F.xxhash64("ref", F.lit(k)))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
+                        "jaccard-picked")
         tried = written(_possible(pairs, classes), "jaccard-possible")
         found = written(_linked(tried, texts, classes), "jaccard-links")
         links = found if links is None else links.unionByName(found)
         roots = written(connected_components(links), "jaccard-roots")
         live = _live_tiles(live, roots)
-        if found.count() * 3 < tried.count():       # stars hardly link any more
+        if found.count() * STAR_SHARE < pairs.count():  # stars hardly link any more
             break
     # whatever is still apart: every pair of every tile
     if live.limit(1).count():
