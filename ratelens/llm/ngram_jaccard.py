@@ -5,9 +5,9 @@ Documents are sets of five-word shingles; two link when
 the smallest doc_id it reaches by links.
 
 1. Equal sets form one class (64-bit digest of the sorted set), so exact copies
-   are compared once.  Each class also gets a hashed bitmap of two to four bits
-   per shingle; the tiles of step 4 get it folded to half of that, which still
-   rules out unrelated sets.
+   are compared once.  Each class also gets a hashed bitmap of four to eight bits
+   per shingle, and one folded to a quarter of that, which still rules out
+   unrelated sets.
 2. Prefix tiles.  Under any fixed order of shingles, two sets that link share
    one of their first n - ceil(0.75 n) + 1.  The order is by hash, with the
    shingles that are frequent in some scan window last (at most ``HOT_TOKENS``
@@ -75,9 +75,9 @@ def _class_ref(tokens: np.ndarray) -> int:
 
 
 def _bits_for(n: int) -> int:
-    """Two to four bits per shingle: unrelated sets of like size then differ in enough
-    bits for the bound to rule them out, and so do most that share 60 %."""
-    return max(256, 1 << (2 * n - 1).bit_length())
+    """Four to eight bits per shingle: sets that share 60 % of their shingles then
+    differ in enough bits for the bound to rule them out."""
+    return max(256, 1 << (4 * n - 1).bit_length())
 
 
 def _bitmap(tokens: np.ndarray) -> bytes:
@@ -92,7 +92,7 @@ def _rows(batch: pa.RecordBatch, text: int) -> Iterator[np.ndarray]:
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, row, n, ref, bitmap, its folded half (small) and, once per scan window, its
+    """doc_id, row, n, ref, bitmap, its folded quarter (small) and, once per scan window, its
     hot shingles."""
     for batch in batches:
         sizes, refs, maps, halves, hot, known = [], [], [], [], [], {}
@@ -115,7 +115,7 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ref = _class_ref(tokens)
             if ref not in known:
                 wide = _bitmap(tokens)
-                known[ref] = wide, _fold(np.frombuffer(wide, np.uint8), max(32, len(wide) // 2)).tobytes()
+                known[ref] = wide, _fold(np.frombuffer(wide, np.uint8), max(32, len(wide) // 4)).tobytes()
                 seen[ref] = tokens
                 held += len(tokens)
             refs.append(ref)
@@ -407,7 +407,7 @@ def _tile_links(live: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFr
     """(a, b): links that join all components whose classes link in a tile.  ``live``:
     (token, ref, root, m).
 
-    First the bitmaps: of every tile only classes that may link with another one there
+    First the bitmaps, the small ones and for the rest the whole ones: of every tile only classes that may link with another one there
     go on, and of tiles left with the same classes one.  Then their shingle sets are
     sent to the tiles.  Both steps put out at most one row per class and tile, however
     many pairs they compare."""
@@ -442,15 +442,20 @@ def _tile_links(live: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFr
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[c] for r in kept], t) for c, t in enumerate(types)], names=cols)
 
-    left = written(d.select(*cols, "small").repartition("tile").sortWithinPartitions("tile")
-                   .mapInArrow(releasing(possible), schema), "jaccard-possible")
-    # pairs share many shingles: tiles left with the same classes do the same work
-    same = [F.bit_xor(F.xxhash64("ref", "block")).alias("s1"), F.bit_xor(F.xxhash64("block", "ref")).alias("s2"),
-            F.count(F.lit(1)).alias("m")]
-    tiles = left.groupBy("tile", "band", "i", "j").agg(*same)
-    tiles = written(tiles.groupBy("s1", "s2", "m", "band", "i", "j").agg(F.min("tile").alias("tile")).select("tile"),
-                    "jaccard-kept")
-    left = written(left.join(sized_broadcast(tiles, tiles.count()), "tile").select(*cols), "jaccard-left")
+    def staying(rows: DataFrame, bitmap: str) -> DataFrame:
+        """Rows of classes that may link with another one of their tile by this bitmap.
+        Pairs share many shingles: of tiles left with the same classes one stays."""
+        rest = written(rows.select(*cols, bitmap).repartition("tile").sortWithinPartitions("tile")
+                       .mapInArrow(releasing(possible), schema), "jaccard-possible")
+        tiles = rest.groupBy("tile", "band", "i", "j").agg(
+            F.bit_xor(F.xxhash64("ref", "block")).alias("s1"), F.bit_xor(F.xxhash64("block", "ref")).alias("s2"),
+            F.count(F.lit(1)).alias("m"))
+        tiles = written(tiles.groupBy("s1", "s2", "m", "band", "i", "j").agg(F.min("tile").alias("tile")).select("tile"),
+                        "jaccard-kept")
+        return rest.join(sized_broadcast(tiles, tiles.count()), "tile").select(*cols)
+
+    left = staying(d, "small")
+    left = written(staying(left.join(classes.select("ref", "bitmap"), "ref"), "bitmap"), "jaccard-left")
     sets = _sets(left.select("ref").distinct(), texts, classes)
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
