@@ -1,9 +1,8 @@
 """Regression diagnostics and models over the sweep.
 
 Everything that can be is computed from per-group moments (one aggregate,
-combined map-side); per-group Python (``applyInPandas``) only ever sees
-moment rows -- one row per group or per (group, fold) -- never raw
-observations, so a hot group costs the same as any other.
+combined map-side), any list of controls included: the sweep operator works
+inside the moment row, without Python workers.
 """
 
 from __future__ import annotations
