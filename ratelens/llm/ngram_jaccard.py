@@ -24,7 +24,8 @@ the smallest doc_id it reaches by links.
    each pair of blocks is worked off by bit counts:
    |A and B| <= (|A| + |B| - popcount(A xor B)) / 2.  A class that this bound and
    the size ratio let through with another one stays in its tile; again one of the
-   tiles with the same classes is kept.
+   tiles with the same classes is kept.  Rows name the largest uncut tiles of their
+   class, and a pair that meets in one of them keeps neither class in a later tile.
 5. The sorted shingle arrays of the classes that stay are sent to their tiles and
    intersected exactly there.  Only links that join two components go out, fewer
    than a tile has components.  Pairs inside one component need no comparison; no
@@ -41,6 +42,7 @@ if there is none).  Extra columns are ignored.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -60,6 +62,7 @@ TILE_ROWS = 2048
 LONG_SET = 2048             # shingles from which a set counts towards cutting its tiles
 STAR_ROUNDS = 4             # most rounds of star comparisons before all remaining pairs
 STAR_SHARE = 8              # another round follows while one picked pair in so many links
+FIRST_TILES = 4             # largest tiles of a class that its rows name
 BUCKET_BYTES = 8_000_000
 MIN_BUCKETS = 96
 
@@ -370,6 +373,20 @@ def _columns(rows: list[tuple]) -> tuple[np.ndarray, ...]:
     return tuple(np.array([r[k] for r in rows], dtype=np.int64) for k in range(1, 6))
 
 
+def _before(tile: int, firsts: list[list[int] | None]) -> np.ndarray:
+    """Bits per row of a tile: the tiles named by it that come before this one.  ``firsts``
+    are the first uncut tiles of each row's class in one order of all tiles, so all of
+    them come before a tile that is not named."""
+    before = [f[:f.index(tile)] if tile in f else f for f in (f or [] for f in firsts)]
+    often = Counter(t for f in before for t in f)
+    number = {t: k for k, t in enumerate(t for t, c in often.items() if c > 1)}
+    bits = np.zeros((len(before), len(number) // 8 + 1), dtype=np.uint8)
+    for row, named in enumerate(before):
+        for k in (number[t] for t in named if t in number):
+            bits[row, k // 8] |= 1 << k % 8
+    return bits
+
+
 def _spanning_links(rows: list[tuple]) -> list[tuple[int, int]]:
     """Links between components that meet in one tile: every pair that may link is
     intersected exactly unless links found before already join its two components,
@@ -434,8 +451,10 @@ def _tile_links(live: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFr
             ref, n, roots, own, block = _columns(rows)
             keep = np.zeros(len(rows), dtype=bool)
             if len(rows) > 1:
+                before = _before(rows[0][0], [r[10] for r in rows])
                 for x, at in _candidates(n, roots, own, block, [np.frombuffer(r[9], np.uint8) for r in rows], *rows[0][6:9]):
-                    keep[x] = True
+                    at = at[~(before[at] & before[x]).any(axis=1)]      # the others meet in a tile before
+                    keep[x] |= len(at) > 0
                     keep[at] = True
             kept = [r for r, k in zip(rows, keep) if k]
             if kept:
@@ -443,16 +462,20 @@ def _tile_links(live: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFr
                     [pa.array([r[c] for r in kept], t) for c, t in enumerate(types)], names=cols)
 
     def staying(rows: DataFrame, bitmap: str) -> DataFrame:
-        """Rows of classes that may link with another one of their tile by this bitmap.
-        Pairs share many shingles: of tiles left with the same classes one stays."""
-        rest = written(rows.select(*cols, bitmap).repartition("tile").sortWithinPartitions("tile")
+        """Rows of classes that may link by this bitmap with another one of their tile that
+        they do not meet in a tile before, the largest being the first.  Pairs share
+        many shingles: of tiles left with the same classes one stays."""
+        named = F.array_sort(F.collect_list(F.struct((-F.col("m")).alias("less"), "tile")))
+        firsts = rows.where("band < 0").groupBy("ref").agg(F.slice(named, 1, FIRST_TILES)["tile"].alias("firsts"))
+        rows = rows.join(firsts, "ref", "left")
+        rest = written(rows.select(*cols, bitmap, "firsts").repartition("tile").sortWithinPartitions("tile")
                        .mapInArrow(releasing(possible), schema), "jaccard-possible")
         tiles = rest.groupBy("tile", "band", "i", "j").agg(
             F.bit_xor(F.xxhash64("ref", "block")).alias("s1"), F.bit_xor(F.xxhash64("block", "ref")).alias("s2"),
             F.count(F.lit(1)).alias("m"))
-        tiles = written(tiles.groupBy("s1", "s2", "m", "band", "i", "j").agg(F.min("tile").alias("tile")).select("tile"),
-                        "jaccard-kept")
-        return rest.join(sized_broadcast(tiles, tiles.count()), "tile").select(*cols)
+        tiles = written(tiles.groupBy("s1", "s2", "m", "band", "i", "j").agg(F.min("tile").alias("tile"))
+                        .select("tile", "m"), "jaccard-kept")
+        return rest.join(sized_broadcast(tiles, tiles.count()), "tile").select(*cols, "m")
 
     left = staying(d, "small")
     left = written(staying(left.join(classes.select("ref", "bitmap"), "ref"), "bitmap"), "jaccard-left")

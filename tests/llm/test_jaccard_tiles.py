@@ -79,3 +79,28 @@ def test_a_tile_gives_fewer_links_than_components():
     sets = [set(np.frombuffer(r[9], np.uint64).tolist()) for r in rows]
     assert all(4 * len(sets[a] & sets[b]) >= 3 * len(sets[a] | sets[b]) for a, b in links)
     assert 0 < len(links) < len(rows)
+
+
+def test_pairs_are_met_in_one_tile(spark, monkeypatch):
+    """Copies that nearly link share many tiles; their sets go to few of them."""
+    sent = []
+    write = ngram_jaccard.written
+
+    def spy(df, name):
+        out = write(df, name)
+        if name == "jaccard-left":
+            sent.append((out.count(), out.select("ref").distinct().count()))
+        return out
+    monkeypatch.setattr(ngram_jaccard, "written", spy)
+    docs = [d for k in range(6) for d in _family(12, 4, 20 + k, 100 * k)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
+    got = {r["doc_id"]: r["component_id"] for r in ngram_jaccard.jaccard_components(frame).collect()}
+    assert got == _brute(docs)
+    (rows, classes), = sent
+    assert 0 < classes and rows <= 4 * classes
+
+
+def test_tiles_before():
+    bits = ngram_jaccard._before(7, [[5, 7, 9], [5, 6, 8], [6, 7], None, [7, 5]])
+    met = [[bool((a & b).any()) for b in bits] for a in bits]
+    assert met[0][1] and met[1][2] and not met[0][2] and not met[0][4] and not any(met[3])
