@@ -58,7 +58,8 @@ def budget_slice(cands: DataFrame, used: DataFrame | None = None,
     ``slot`` (1-based position when processed).
 
     Per-day top-k with a salted first phase, so a day holding a large share
-    of the backlog is never sorted in one task; the rest is an anti join."""
+    of the backlog is never sorted in one task.  Its rows, at most ``budget`` a day, are
+    broadcast to mark the candidates, which are not shuffled for it."""
     remaining = F.greatest(F.lit(budget) - F.coalesce(F.col("calls_used"), F.lit(0)), F.lit(0))
     c = cands
     if used is not None:
@@ -70,7 +71,7 @@ def budget_slice(cands: DataFrame, used: DataFrame | None = None,
     top = top_k_per_group(c, [day], [F.col(x).asc() for x in order], budget, unique="article_id",
                           rank_col="slot")
     done = top.where(F.col("slot") <= F.col("_remaining")).select("article_id", "slot")
-    return (c.join(done, "article_id", "left")
+    return (c.join(F.broadcast(done), "article_id", "left")
             .withColumn("processed", F.col("slot").isNotNull())
             .drop("_remaining"))
 

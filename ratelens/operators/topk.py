@@ -30,9 +30,11 @@ def top_k_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
 
 def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                     value_cols: Sequence[str], last: bool = False) -> DataFrame:
-    """One row per key: the first (or last) by ``order`` -- as a ``min_by`` /
-    ``max_by`` aggregate, which combines map-side, instead of a window."""
-    pick = F.max_by if last else F.min_by
-    s = pick(F.struct(*[F.col(c) for c in value_cols]), F.struct(*[F.col(c) for c in order]))
+    """One row per key: the first (or last) by ``order``, then by the other values -- as
+    the ``min`` / ``max`` of a struct, which combines map-side, instead of a window.
+    Every column is in the struct once, so a text that is also ordered by is
+    shuffled once."""
+    names = [*dict.fromkeys([*order, *value_cols])]
+    s = (F.max if last else F.min)(F.struct(*[F.col(c) for c in names]))
     return df.groupBy(*keys).agg(s.alias("_v")).select(*keys, *[F.col(f"_v.{c}").alias(c)
                                                                  for c in value_cols])

@@ -81,26 +81,32 @@ def article_writer(root: str, tagger: Callable[[DataFrame], DataFrame], countrie
                 raise RuntimeError(f"stopped after {table}")
             return spark.read.schema(df.schema).parquet(path)
 
-        # unseen articles, first arrival per URL
-        firsts = first_per_group(parse_articles(batch), ["article_id"], ["published_at", "title", "raw_text"],
-                                 [c for c in QUEUED.names if c != "article_id"]).select(*QUEUED.names)
+        # unseen articles, first arrival per URL: both by article_id in one go, so texts are
+        # shuffled once
+        parsed = parse_articles(batch)
         prefix = F.substring("article_id", 1, PREFIX_DIGITS)
-        staged = put(firsts, "arrived")
-        prefixes = [r[0] for r in staged.select(prefix).distinct().collect()]   # at most 16 ** PREFIX_DIGITS
+        prefixes = [r[0] for r in parsed.select(prefix).distinct().collect()]   # at most 16 ** PREFIX_DIGITS
         seen = committed(spark, root, "seen", SEEN, batch_id).where(F.col("prefix").isin(prefixes))
-        new = qu.unseen(staged, seen, "article_id")
-        # the backlog goes first, within each day's budget
+        firsts = first_per_group(parsed, ["article_id"], ["published_at", "title", "raw_text"],
+                                 [c for c in QUEUED.names if c != "article_id"]).select(*QUEUED.names)
+        new = put(qu.unseen(firsts, seen, "article_id"), "arrived")
+        # the backlog goes first, within each day's budget; decided without the texts
         last = committed(spark, root, "commits", _MARK, batch_id).agg(F.max("batch")).first()[0]
         backlog = committed(spark, root, "queue", QUEUED, batch_id).where(F.col("batch") == F.lit(last)).drop("batch")
-        rows = qu.candidates(backlog, new, "article_id").withColumn("queued_at", F.col("published_at"))
+        rows = qu.candidates(backlog.drop("raw_text"), new.drop("raw_text"), "article_id").withColumn(
+            "queued_at", F.col("published_at"))
         used = committed(spark, root, "calls", CALLS, batch_id).groupBy("date_key").agg(
             F.sum("calls_used").cast("int").alias("calls_used"))
-        sliced = put(qu.budget_slice(rows, used, budget).select(*QUEUED.names, "prio", "processed"), "sliced")
-        # texts are tagged once; everything else reads the payloads
+        sliced = put(qu.budget_slice(rows, used, budget).select(
+            *[c for c in QUEUED.names if c != "raw_text"], "prio", "processed"), "sliced")
+        # texts are tagged once; everything else reads the payloads.  Unseen articles are not in
+        # the backlog, whose articles were all seen.
         due = sliced.where("processed").drop("processed", "prio")
-        payloads = put(tagger(due.select("article_id", "raw_text")).select(
+        texts = backlog.select(*QUEUED.names).unionByName(new.select(*QUEUED.names))
+        ids = F.broadcast(due.select("article_id"))             # at most the budget of each day
+        payloads = put(tagger(texts.join(ids, "article_id", "left_semi").select("article_id", "raw_text")).select(
             "article_id", tg.tag_json(F.col("tags")).alias("payload")), "payloads")
-        tagged = due.drop("raw_text").join(payloads, "article_id")
+        tagged = due.join(payloads, "article_id")
         checked = put(tg.validate(tagged, "payload", "article_id", countries, sectors), "checked")
         ok, dead = tg.split_ok_dead(checked)
         star = tg.to_star_rows(ok, "article_id")
@@ -112,7 +118,7 @@ def article_writer(root: str, tagger: Callable[[DataFrame], DataFrame], countrie
         put(star["bridge_article_sector"], "bridge_article_sector")
         put(ok.where("source <> ''").select(F.col("source").alias("source_id")).distinct(), "dim_source")
         put(dead.select("article_id", "url", "payload", "error"), "dead_letter")
-        put(sliced.where("NOT processed").select(*QUEUED.names), "queue")
+        put(texts.join(ids, "article_id", "left_anti"), "queue")
         put(qu.daily_calls(sliced).select(*CALLS.names), "calls")
         put(new.select("article_id", prefix.alias("prefix")), "seen")
         put(sliced.agg(F.count(F.lit(1)).alias("rows")), "commits")

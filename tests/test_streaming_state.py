@@ -155,6 +155,32 @@ def test_article_run_stops_between_tables_and_replays(spark, tmp_path):
     assert aj.committed(spark, root, "queue", aj.QUEUED).where("batch = 1").count() == 8
 
 
+def test_article_run_moves_texts_once(spark, tmp_path):
+    from ratelens.operators import queue as qu
+    from ratelens.operators import tagging as tg
+    from ratelens.operators.topk import first_per_group
+    from ratelens.streaming import article_job as aj
+    root = str(tmp_path / "run")
+    rows = [(f"http://a/{i}", "t", "Tue, 02 Jan 2024 10:00:00 +0000", "s", "news", f"central bank hikes rates {i}") for i in range(9)]
+    frame = spark.createDataFrame(rows, "url string, title string, published string, source string, category string, raw_text string")
+    countries = spark.createDataFrame([("N01",)], "country_code string")
+    run = aj.article_writer(root, lambda d: tg.lexicon_tagger(d, "raw_text", ["copper"], "article_id"), countries, ["copper"], budget=4)
+    run(frame, 0)
+    run(frame, 1)
+    # what was seen is not staged again, the slice is decided without texts, the queue keeps them
+    assert spark.read.parquet(f"{root}/arrived/batch=1").count() == 0
+    assert "raw_text" not in spark.read.parquet(f"{root}/sliced/batch=0").columns
+    left = aj.committed(spark, root, "queue", aj.QUEUED).where("batch = 1").collect()
+    assert len(left) == 5 and {r.raw_text for r in left} <= {r[5] for r in rows}
+    # candidates are marked without a shuffle of theirs
+    cands = spark.range(5000).selectExpr("cast(id as string) article_id", "date '2024-01-02' run_day", "0 prio", "id queued_at")
+    plan = qu.budget_slice(cands, budget=3)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    # rows alike in the order: the first by the other values
+    ties = spark.createDataFrame([(1, 5, "b"), (1, 5, "a"), (1, 6, "0")], "k int, o int, v string").repartition(3)
+    assert first_per_group(ties, ["k"], ["o"], ["v"]).collect() == [(1, "a")]
+
+
 def test_classifier_reports_every_test_row(spark):
     from ratelens.operators import models as md
     rows = [(i, float(i % 7), float(i % 3) if i % 5 else None, int(i % 7 > 3)) for i in range(60)]
