@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import pretokens
+from .common import releasing, releasing_group
 
 BLOCK_CHARS = 8_000_000
 MIN_BUCKETS = 96
@@ -188,7 +189,7 @@ def encode_texts(docs: DataFrame, ranks: dict[bytes, int], key: str = "doc_id",
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # one pattern match per word, so that merges never cross its ends
         bpe = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=shared.value, special_tokens={})
-        known: dict[int, dict[bytes, np.ndarray]] = {}
+        known: dict[int, dict[bytes, bytes]] = {}      # ids as bytes: an array of a few numbers takes three times as much
         for batch in batches:
             out = []
             for bucket, blob in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
@@ -200,17 +201,17 @@ def encode_texts(docs: DataFrame, ranks: dict[bytes, int], key: str = "doc_id",
                     at += size
                     found = memo.get(word)
                     if found is None:
-                        found = memo[word] = np.array(bpe.encode_ordinary(word.decode()), dtype="<u4")
+                        found = memo[word] = np.array(bpe.encode_ordinary(word.decode()), dtype="<u4").tobytes()
                     ids.append(found)
-                counts = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-                out.append(_squeeze(steps, _planes(counts), _planes(np.concatenate(ids))))
+                counts = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+                out.append(_squeeze(steps, _planes(counts), _planes(np.frombuffer(b"".join(ids), "<u4"))))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["block", "ids"])
 
     volume = src.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
     buckets = max(MIN_BUCKETS, int(volume) // BUCKET_BYTES)
-    words = src.mapInArrow(_words(buckets), "block bigint, bucket bigint, words binary")
-    coded = words.repartition(buckets, "bucket").mapInArrow(encode, "block bigint, ids binary")
-    sequences = src.mapInArrow(_sequences, "block bigint, keys array<bigint>, lengths array<int>, codes binary")
+    words = src.mapInArrow(releasing(_words(buckets)), "block bigint, bucket bigint, words binary")
+    coded = words.repartition(buckets, "bucket").mapInArrow(releasing(encode), "block bigint, ids binary")
+    sequences = src.mapInArrow(releasing(_sequences), "block bigint, keys array<bigint>, lengths array<int>, codes binary")
 
     def reassemble(left: pa.Table, right: pa.Table) -> pa.Table:
         codes_at, sizes, flats = [], [], []
@@ -238,12 +239,11 @@ def encode_texts(docs: DataFrame, ranks: dict[bytes, int], key: str = "doc_id",
             ends.append(total + np.concatenate([[0], at])[np.cumsum(row_lengths.values.to_numpy())])
             total += len(span)
             keys.append(row_keys.values)
-        pa.default_memory_pool().release_unused()
         ids = pa.ListArray.from_arrays(pa.array(np.concatenate(ends).astype(np.int32)), pa.array(np.concatenate(values)))
         return pa.table({"doc_id": pa.concat_arrays(keys), "ids": ids})
 
     return (sequences.groupBy("block").cogroup(coded.groupBy("block"))
-            .applyInArrow(reassemble, "doc_id bigint, ids array<int>"))
+            .applyInArrow(releasing_group(reassemble), "doc_id bigint, ids array<int>"))
 
 
 def decode_ids(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids") -> DataFrame:
@@ -275,7 +275,7 @@ def decode_ids(encoded: DataFrame, ranks: dict[bytes, int], ids: str = "ids") ->
                                                  names=[*batch.schema.names, "decoded"])
             pa.default_memory_pool().release_unused()
 
-    return encoded.mapInArrow(decode, schema)
+    return encoded.mapInArrow(releasing(decode), schema)
 
 
 def round_trip_report(docs: DataFrame, ranks: dict[bytes, int], with_ids: bool = False) -> DataFrame:

@@ -42,13 +42,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import pretokens, wordscan
-from .common import fresh, sized_broadcast, written
+from .common import fresh, releasing, sized_broadcast, written
 
 WINDOW = 8
 MIN_LITERALS = 4
 MIN_SHARE = 0.5
 RUN_WORDS = 13      # a longer consistent run is reported whatever its share of the item
 BROADCAST_WINDOWS = 2_000_000
+STEP_BYTES = 2_000_000      # many window sizes are worked off once a step
 
 #: Unit words and symbols.
 UNITS = ["mm", "cm", "m", "km", "in", "ft", "yd", "mi", "mg", "g", "kg", "lb", "oz", "t", "ml", "cl", "l", "gal",
@@ -284,7 +285,7 @@ def benchmark_windows(items: DataFrame, key: str, text: str) -> DataFrame:
                                  pa.array([size] * len(at), pa.int32()), pa.array([n] * len(at), pa.int64())],
                                 names=["item", "window", "pos", "slots", "renamed", "size", "n_windows"])
 
-    return src.mapInArrow(run, "item bigint, window bigint, pos bigint, slots array<bigint>, renamed boolean, "
+    return src.mapInArrow(releasing(run), "item bigint, window bigint, pos bigint, slots array<bigint>, renamed boolean, "
                                "size int, n_windows bigint")
 
 
@@ -295,7 +296,7 @@ def benchmark_pairs(items: DataFrame, text: str) -> np.ndarray:
             for _, _, data, bounds in wordscan.text_steps(batch.column(0)):
                 yield pa.RecordBatch.from_arrays([pa.array(Template(data, bounds).pairs().view(np.int64))], names=["pair"])
 
-    found = items.select(F.col(text).cast("string")).mapInArrow(run, "pair bigint").distinct().toArrow()
+    found = items.select(F.col(text).cast("string")).mapInArrow(releasing(run), "pair bigint").distinct().toArrow()
     return np.sort(found.column("pair").to_numpy().astype(np.int64).view(np.uint64))
 
 
@@ -311,7 +312,7 @@ def document_windows(docs: DataFrame, sizes: list[int], wanted: np.ndarray | Non
         known, items_pairs = shared.value
         for batch in batches:
             ids, texts = batch.column(0), batch.column(2)
-            for first, _, data, bounds in wordscan.text_steps(batch.column(1)):
+            for first, _, data, bounds in wordscan.text_steps(batch.column(1), STEP_BYTES):
                 template = Template(data, bounds)
                 foreign = None if items_pairs is None else template.foreign(items_pairs)
                 for size in sizes:
@@ -327,7 +328,7 @@ def document_windows(docs: DataFrame, sizes: list[int], wanted: np.ndarray | Non
                                  pa.array([names > 0] * len(part), pa.bool_())],
                                 names=["row", "text_id", "window", "pos", "slots", "renamed"])
 
-    return docs.mapInArrow(run, WINDOW_SCHEMA)
+    return docs.mapInArrow(releasing(run), WINDOW_SCHEMA)
 
 
 def _run_words(places: list[tuple[int, int]], size: int) -> int:
@@ -448,7 +449,7 @@ def contaminated_pairs(docs: DataFrame, items: DataFrame, doc_key: str = "doc_id
     groups = d.groupBy("row", "text_id", "item", "size").agg(
         F.max("n_windows").alias("n_windows"),
         F.collect_list(F.struct("shift", "item_pos", "pairs", "renamed")).alias("matches"))
-    kept = groups.mapInArrow(_judged, "row bigint, item bigint, size int, n_matched bigint, n_windows bigint, copy boolean")
+    kept = groups.mapInArrow(releasing(_judged), "row bigint, item bigint, size int, n_matched bigint, n_windows bigint, copy boolean")
     return kept.groupBy("row", "item").agg(
         F.max_by(F.struct("n_matched", "n_windows"), F.struct("size", "n_matched")).alias("m"),
         F.when(F.bool_or("copy"), "copy").otherwise("reparameterised").alias("kind")) \
