@@ -50,6 +50,7 @@ MIN_SHARE = 0.5
 RUN_WORDS = 13      # a longer consistent run is reported whatever its share of the item
 BROADCAST_WINDOWS = 2_000_000
 STEP_BYTES = 2_000_000      # many window sizes are worked off once a step
+STEP_READINGS = 500_000     # of the windows worked off at once
 
 #: Unit words and symbols.
 UNITS = ["mm", "cm", "m", "km", "in", "ft", "yd", "mi", "mg", "g", "kg", "lb", "oz", "t", "ml", "cl", "l", "gal",
@@ -84,17 +85,31 @@ def _word_hash(word: str) -> int:
     return int(wordscan.word_hashes(data, np.array([0]), np.array([len(data)]))[0])
 
 
-_UNIT_HASHES, _AMBIGUOUS_HASHES, _ORDINAL_HASHES, _AFFIX_HASHES = (
-    np.unique(np.array([_word_hash(w) for w in words], dtype=np.uint64))
-    for words in (UNITS, _AMBIGUOUS, ORDINALS, UNITS + ORDINALS + AFFIXES))
-_NAME_FORM = pretokens.mix(np.array([NAME + 7], dtype=np.uint64))[0]
+class Known:
+    """A set of hashes: most others are told by a table of the low bits, the rest by search."""
+
+    def __init__(self, hashes: np.ndarray) -> None:
+        self.hashes = np.unique(hashes)
+        bits = min(24, max(16, len(self.hashes).bit_length() + 4))
+        self.low = np.uint64((1 << bits) - 1)
+        self.table = np.zeros(1 << bits, dtype=bool)
+        self.table[(self.hashes & self.low).view(np.int64)] = True
 
+    def among(self, hashes: np.ndarray) -> np.ndarray:
+        """Which ``hashes`` are in the set."""
+        out = self.table[(hashes & self.low).view(np.int64)]
+        some = np.flatnonzero(out)
+        if len(some):
+            at = np.minimum(np.searchsorted(self.hashes, hashes[some]), len(self.hashes) - 1)
+            out[some] = self.hashes[at] == hashes[some]
+        return out
 
-def _among(known: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Which hashes are in the sorted ``known``."""
-    if not len(known):
-        return np.zeros(len(hashes), dtype=bool)
-    return known[np.minimum(np.searchsorted(known, hashes), len(known) - 1)] == hashes
+
+_UNITS_KNOWN, _AMBIGUOUS_KNOWN, _ORDINALS_KNOWN, _AFFIXES_KNOWN = (
+    Known(np.array([_word_hash(w) for w in words], dtype=np.uint64))
+    for words in (UNITS, _AMBIGUOUS, ORDINALS, UNITS + ORDINALS + AFFIXES))
+_NAME_FORM = pretokens.mix(np.array([NAME + 7], dtype=np.uint64))[0]
+_FORMS = pretokens.mix(np.arange(4, dtype=np.uint64) + np.uint64(7))       # of the placeholders, by kind
 
 
 class Template:
@@ -117,56 +132,68 @@ class Template:
         high = solid[np.append(at[1:], len(solid)) - 1] + 1 if len(at) else low
         first = np.ones(len(at), dtype=bool)       # begins a word
         first[1:] = owner[1:] != owner[:-1]
-        affix = _among(_AFFIX_HASHES, wordscan.word_hashes(data, low, high))
+        hashes = wordscan.word_hasher(data)
         tight = np.zeros(len(at), dtype=bool)      # touches a neighbour of the same word
         touch = ~first[1:] & (low[1:] == high[:-1])
         tight[1:] |= touch
         tight[:-1] |= touch
+        parts = np.flatnonzero(~number & tight)
         whole = np.zeros(len(starts), dtype=bool)
-        whole[owner[~number & tight & ~affix]] = True
-        whole = whole[owner]
-        last = np.searchsorted(owner, owner, side="right") - 1
-        high = np.where(whole, high[last], high) if len(at) else high
-        number &= ~(whole & ~(first & (last == np.arange(len(at)))))
-        keep = ~whole | first
-        low, high, owner, number, first = low[keep], high[keep], owner[keep], number[keep], first[keep]
+        whole[owner[parts[~_AFFIXES_KNOWN.among(hashes(low[parts], high[parts]))]]] = True
+        whole = np.flatnonzero(whole[owner])       # these words have several parts and become one
+        if len(whole):
+            high[whole] = high[np.searchsorted(owner, owner[whole], side="right") - 1]
+            number[whole] = False
+            keep = np.ones(len(at), dtype=bool)
+            keep[whole] = first[whole]
+            low, high, owner, number, first = low[keep], high[keep], owner[keep], number[keep], first[keep]
         # a sentence begins after a word that ends with . ! ? or :
         stop = np.isin(data[ends - 1], [46, 33, 63, 58]) if len(ends) else np.zeros(0, bool)
         opens = np.concatenate([[True], stop[:-1]]) if len(stop) else stop
         opens[rows[:-1][rows[:-1] < len(opens)]] = True
         opens = opens[owner] & first
         self.rows = np.searchsorted(owner, rows)
-        plain = wordscan.word_hashes(data, low, high)
+        plain = hashes(low, high)
         kind = np.zeros(len(low), dtype=np.int8)
         head = cls[low] if len(low) else np.zeros(0, np.uint8)
         # one upper-case letter, then lower case: a name unless it opens a sentence
-        capitals = np.concatenate([[0], np.cumsum(cls == 2)])
-        kind[(head == 2) & (capitals[high] - capitals[low] == 1 if len(low) else number) & ~opens] = NAME
+        title = np.flatnonzero((head == 2) & ~opens)
+        capitals = np.zeros(len(cls) + 1, dtype=np.int32)
+        np.cumsum(cls == 2, out=capitals[1:])
+        kind[title[capitals[high[title]] - capitals[low[title]] == 1]] = NAME
         begins = np.zeros(len(low) + 1, dtype=bool)
         begins[self.rows] = True
         beside = np.zeros(len(low), dtype=bool)
         beside[1:] |= number[:-1] & ~begins[1:-1]
         beside[:-1] |= number[1:] & ~begins[1:-1]
-        kind[_among(_UNIT_HASHES, plain) & (beside | ~_among(_AMBIGUOUS_HASHES, plain))] = UNIT
+        unit = np.flatnonzero(_UNITS_KNOWN.among(plain))
+        kind[unit[beside[unit] | ~_AMBIGUOUS_KNOWN.among(plain[unit])]] = UNIT
         kind[number] = NUMBER
-        ordinal = ~first & _among(_ORDINAL_HASHES, plain)     # 1st and 5th differ in the number only
+        ordinal = np.flatnonzero(~first)           # 1st and 5th differ in the number only
+        ordinal = ordinal[_ORDINALS_KNOWN.among(plain[ordinal])]
         kind[ordinal] = LITERAL
         self.kind, self.value, self.first = kind, plain, first
         self.openers = opens & (head == 2) & (kind == LITERAL)
-        self.form = np.where(kind == LITERAL, plain, pretokens.mix(kind.astype(np.uint64) + np.uint64(7)))
+        self.form = plain.copy()
+        slot = np.flatnonzero(kind != LITERAL)
+        self.form[slot] = _FORMS[kind[slot]]
         self.form[ordinal] = _word_hash(ORDINALS[0])
-
-    def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        self.literals = np.concatenate([[0], np.cumsum(kind == LITERAL)])
+        self.seen = np.concatenate([[0], np.cumsum(self.openers)])
+        self.cuts = np.zeros(max(0, len(low) - 1), dtype=bool)      # a text ends between two words
+        self.cuts[self.rows[(self.rows > 0) & (self.rows < len(low))] - 1] = True
+        self.known: np.ndarray | None = None
+        self.unbroken = self.linked = np.concatenate([[0], np.cumsum(self.cuts)])
+
+    def windows(self, size: int, linked: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """First words of the windows of ``size`` inside one text, and their
-        literal words."""
+        literal words; ``linked``: only those that ``only`` left."""
         n = len(self.kind) - size + 1
         if n <= 0:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        at = np.arange(n)
-        end = np.repeat(self.rows[1:], np.diff(self.rows))[:n]
-        literals = np.concatenate([[0], np.cumsum(self.kind == LITERAL)])
-        at = at[at + size <= end]
-        return at, literals[at + size] - literals[at]
+        passed = self.linked if linked else self.unbroken
+        at = np.flatnonzero(passed[size - 1:] == passed[:n])
+        return at, self.literals[at + size] - self.literals[at]
 
     def pairs(self) -> np.ndarray:
         """Hashes of all neighbouring words, in all readings."""
@@ -176,50 +203,61 @@ class Template:
         return np.unique(np.concatenate([wordscan.combined((a[:-1], b[1:]).__getitem__, 2, len(self.form) - 1)
                                          for a in both for b in both]))
 
-    def foreign(self, pairs: np.ndarray) -> np.ndarray:
-        """Running count of neighbouring words that are in no reading a pair of the sorted
-        ``pairs``."""
-        if len(self.form) < 2:
-            return np.zeros(max(1, len(self.form)), dtype=np.int64)
-        known = _among(pairs, wordscan.window_hashes(self.form, 2))
-        more = np.flatnonzero((self.openers[1:] | self.openers[:-1]) & ~known)
-        named = np.where(self.openers, _NAME_FORM, self.form)
-        for a, b in ((named, self.form), (self.form, named), (named, named)):
-            known[more] |= _among(pairs, wordscan.combined((a[more], b[more + 1]).__getitem__, 2, len(more)))
-        return np.concatenate([[0], np.cumsum(~known)])
-
-    def readings(self, size: int, foreign: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    def only(self, pairs: Known) -> None:
+        """Leave readings with neighbouring words that are none of ``pairs`` out.
+        ``known`` tells the four readings of a word and the next one: row 2 with the word,
+        1 with the next one, 3 with both as names, else row 0."""
+        self.known = np.zeros((4, len(self.cuts)), dtype=bool)
+        if not len(self.cuts):
+            return
+        self.known[0] = pairs.among(wordscan.window_hashes(self.form, 2))
+        for names in (1, 2, 3):
+            at = np.flatnonzero((self.openers[1:] | (names & 1 == 0)) & (self.openers[:-1] | (names & 2 == 0)))
+            words = (np.full(len(at), _NAME_FORM) if names & 2 else self.form[at],
+                     np.full(len(at), _NAME_FORM) if names & 1 else self.form[at + 1])
+            self.known[names, at] = pairs.among(wordscan.combined(words.__getitem__, 2, len(at)))
+        self.linked = np.concatenate([[0], np.cumsum(self.cuts | ~self.known.any(axis=0))])
+
+    def readings(self, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(first words, hashes, names) of all windows with enough literals, once
         per reading of the capitalised sentence openers in a window: bit k of
         ``names`` reads its k-th opener as a name.  A negative size gives the
-        windows with too few literals, by their values.  With ``foreign`` windows
-        that hold a foreign pair are left out."""
-        at, literals = self.windows(abs(size))
-        if foreign is not None and size > 0 and len(at):
-            possible = foreign[at + size - 1] == foreign[at]
-            at, literals = at[possible], literals[possible]
+        windows with too few literals, by their values."""
         if size < 0:
+            at, literals = self.windows(-size)
             at = at[literals < MIN_LITERALS]
-            yield at, _sized(wordscan.window_hashes(self.value, -size)[at], size), 0
+            yield at, _sized(wordscan.combined(lambda i: self.value[at + i], -size, len(at)), size), np.zeros(len(at), np.int64)
             return
+        at, literals = self.windows(size, linked=True)
         at, literals = at[literals >= MIN_LITERALS], literals[literals >= MIN_LITERALS]
-        if not len(at):
-            return
-        yield at, _sized(wordscan.combined(lambda i: self.form[at + i], size, len(at)), size), 0
-        seen = np.concatenate([[0], np.cumsum(self.openers)])
-        spare = np.minimum(seen[at + size] - seen[at], size)
-        for names in range(1, 1 << int(spare.max())):
-            some = (spare >= names.bit_length()) & (literals - names.bit_count() >= MIN_LITERALS)
-            if not some.any():
-                continue
-            part = at[some]
-
-            def word(i: int) -> np.ndarray:
-                here = part + i
-                named = self.openers[here] & ((names >> np.minimum(seen[here] - seen[part], 62)) & 1 == 1)
-                return np.where(named, _NAME_FORM, self.form[here])
-
-            yield part, _sized(wordscan.combined(word, size, len(part)), size), names
+        most = np.cumsum(np.int64(1) << (self.seen[at + size] - self.seen[at]))     # readings
+        low = 0
+        while low < len(at):
+            high = max(low + 1, int(np.searchsorted(most, (most[low - 1] if low else 0) + STEP_READINGS, side="right")))
+            yield self._read(at[low:high], literals[low:high] - MIN_LITERALS, size)
+            low = high
+
+    def _read(self, at: np.ndarray, spare: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``readings`` of the windows ``at``, which may lose ``spare`` literals to names:
+        all are extended word by word, at an opener in both ways."""
+        names, total, before = (np.zeros(len(at), dtype=t) for t in (np.int64, np.uint64, np.int8))
+        for i in range(size):
+            named = np.zeros(len(at), dtype=np.int8)
+            both = np.flatnonzero(self.openers[at + i] & (spare > 0))
+            if len(both):
+                first = at[both]
+                bit = np.int64(1) << (self.seen[first + i] - self.seen[first])
+                at, total, before = (np.concatenate([x, x[both]]) for x in (at, total, before))
+                names = np.concatenate([names, names[both] | bit])
+                spare = np.concatenate([spare, spare[both] - 1])
+                named = np.concatenate([named, np.ones(len(both), np.int8)])
+            if i and self.known is not None:
+                live = self.known[2 * before + named, at + i - 1]
+                if not live.all():
+                    at, spare, names, total, named = (x[live] for x in (at, spare, names, total, named))
+            total = wordscan.extended(total, np.where(named, _NAME_FORM, self.form[at + i]))
+            before = named
+        return at, _sized(wordscan.finished(total), size), names
 
     def slots(self, at: int, size: int, names: int) -> np.ndarray:
         """Places in one window that are placeholders in a reading."""
@@ -234,9 +272,10 @@ class Template:
 WINDOW_SCHEMA = "row bigint, text_id bigint, window bigint, pos bigint, slots array<bigint>, renamed boolean"
 
 
-def _window_rows(template: Template, at: np.ndarray, hashes: np.ndarray, size: int, names: int) -> list[pa.Array]:
+def _window_rows(template: Template, at: np.ndarray, hashes: np.ndarray, size: int, names: np.ndarray) -> list[pa.Array]:
     """window, pos, slots; the text's number comes from ``_text_of``."""
-    values = [template.value[i:i + abs(size)][template.slots(i, size, names)].view(np.int64).tolist() for i in at.tolist()]
+    values = [template.value[i:i + abs(size)][template.slots(i, size, k)].view(np.int64).tolist()
+              for i, k in zip(at.tolist(), names.tolist())]
     return [pa.array(hashes.view(np.int64)), pa.array(at - template.rows[_text_of(template, at)]),
             pa.array(values, pa.list_(pa.int64()))]
 
@@ -278,7 +317,7 @@ def benchmark_windows(items: DataFrame, key: str, text: str) -> DataFrame:
                     for size, n in item_sizes(one):
                         for at, hashes, names in one.readings(size):
                             # the first word as a name is no change: the document may begin before it
-                            renamed = (at > 0) | (names > 1) if names else np.zeros(len(at), bool)
+                            renamed = (names > 0) & ((at > 0) | (names > 1))
                             yield pa.RecordBatch.from_arrays(
                                 [pa.array([ids[first + k]] * len(at), pa.int64()),
                                  *_window_rows(one, at, hashes, size, names), pa.array(renamed),
@@ -303,29 +342,31 @@ def benchmark_pairs(items: DataFrame, text: str) -> np.ndarray:
 def document_windows(docs: DataFrame, sizes: list[int], wanted: np.ndarray | None,
                      pairs: np.ndarray | None = None) -> DataFrame:
     """``WINDOW_SCHEMA`` of ``docs`` (row, text, text_id): all windows of the
-    given sizes in all their readings, or only those with a hash in ``wanted``
-    (sorted).  Windows with a pair of neighbouring words that no item has (not in
-    ``pairs``) cannot be among them and are not hashed."""
+    given sizes in all their readings, or only those with a hash in ``wanted``.
+    Windows, and readings of them, with a pair of neighbouring words that no item has
+    (not in ``pairs``) cannot be among them and are not hashed."""
     shared = docs.sparkSession.sparkContext.broadcast((wanted, pairs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, items_pairs = shared.value
+        known, items_pairs = (None if x is None else Known(x) for x in shared.value)
         for batch in batches:
             ids, texts = batch.column(0), batch.column(2)
             for first, _, data, bounds in wordscan.text_steps(batch.column(1), STEP_BYTES):
                 template = Template(data, bounds)
-                foreign = None if items_pairs is None else template.foreign(items_pairs)
+                if items_pairs is not None:
+                    template.only(items_pairs)
                 for size in sizes:
-                    for at, hashes, names in template.readings(size, foreign):
+                    for at, hashes, names in template.readings(size):
                         if known is not None:
-                            hit = _among(known, hashes)
-                            at, hashes = at[hit], hashes[hit]
+                            hit = known.among(hashes)
+                            at, hashes, names = at[hit], hashes[hit], names[hit]
                         for i in range(0, len(at), 20_000):
                             part = at[i:i + 20_000]
                             text = pa.array(first + _text_of(template, part))
+                            named = names[i:i + 20_000]
                             yield pa.RecordBatch.from_arrays(
-                                [ids.take(text), texts.take(text), *_window_rows(template, part, hashes[i:i + 20_000], size, names),
-                                 pa.array([names > 0] * len(part), pa.bool_())],
+                                [ids.take(text), texts.take(text), *_window_rows(template, part, hashes[i:i + 20_000], size, named),
+                                 pa.array(named > 0)],
                                 names=["row", "text_id", "window", "pos", "slots", "renamed"])
 
     return docs.mapInArrow(releasing(run), WINDOW_SCHEMA)

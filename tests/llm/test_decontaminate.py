@@ -1,10 +1,11 @@
-"""Decontamination: affixes of numbers, sentence openers, broken alignments."""
+"""Decontamination: affixes of numbers, sentence openers, broken alignments, readings."""
 
 from __future__ import annotations
 
+import numpy as np
 import pytest
 
-from ratelens.llm import decontaminate
+from ratelens.llm import decontaminate, wordscan
 
 
 def found(spark, docs, items):
@@ -66,3 +67,65 @@ def test_short_item_with_a_changed_middle_word(spark):
     item = WORDS[:15]
     assert found(spark, [" ".join(item[:7] + ["slowly"] + item[8:]), " ".join(item[:5]) + " and more"],
                  [" ".join(item)]) == {(0, 0, "copy")}
+
+
+def template(*texts):
+    raw = [t.encode() for t in texts]
+    bounds = np.cumsum([0] + [len(r) for r in raw])
+    return decontaminate.Template(np.frombuffer(b"".join(raw), np.uint8), bounds)
+
+
+OPENING = ("The cat. Sees one dog. Now it runs. Away from here. Then the dog. Sleeps.", "Old men say so: The cat. Sees",
+           "", "now It runs. Away In 5 km from here. Then The dog. Sleeps. A. B. C. D. E. F. G. H. I")
+
+
+def plain_readings(one, size, pairs=None):
+    """All readings of all windows one by one, without those that have a foreign pair."""
+    out = set()
+    for begin, end in zip(one.rows[:-1].tolist(), one.rows[1:].tolist()):
+        for at in range(begin, end - size + 1):
+            spots = np.flatnonzero(one.openers[at:at + size]).tolist()
+            for names in range(1 << len(spots)):
+                if (one.kind[at:at + size] == 0).sum() - names.bit_count() < decontaminate.MIN_LITERALS:
+                    continue
+                words = one.form[at:at + size].copy()
+                words[[p for k, p in enumerate(spots) if names >> k & 1]] = decontaminate._NAME_FORM
+                if pairs is None or np.isin(wordscan.window_hashes(words, 2), pairs).all():
+                    window = decontaminate._sized(wordscan.window_hashes(words, size), size)
+                    out.add((at, int(window[0]), names))
+    return out
+
+
+def assert_readings(docs, pairs=None):
+    """Number of readings, after a comparison with the plain ones."""
+    n = 0
+    for size in (5, 8):
+        got = [(a, h, k) for part in docs.readings(size) for a, h, k in zip(*(x.tolist() for x in part))]
+        assert len(got) == len(set(got)) and set(got) == plain_readings(docs, size, pairs)
+        n += len(got)
+    return n
+
+
+@pytest.mark.parametrize("step", [1, 40, 500_000])
+def test_readings_with_a_foreign_pair_are_not_hashed(monkeypatch, step):
+    monkeypatch.setattr(decontaminate, "STEP_READINGS", step)
+    docs = template(*OPENING)
+    items = template("Ann said so. The cat. Sees one Dog. Ann it runs. Away from here. Then the dog.", "now it runs. The end")
+    assert_readings(docs)
+    docs.only(decontaminate.Known(items.pairs()))
+    assert 0 < assert_readings(docs, items.pairs())
+
+
+def test_openers_with_one_known_reading_are_read_once():
+    docs = template("so they see. Dogs run. Cats run. Birds run. Fish swim.")
+    item = template("so they see Ann run Tom run Ann run Tom swim")      # names inside a sentence
+    assert assert_readings(docs) == 70
+    docs.only(decontaminate.Known(item.pairs()))
+    assert assert_readings(docs, item.pairs()) == 5         # before, all 70 were hashed
+
+
+def test_known_hashes_with_equal_low_bits():
+    hashes = np.array([1, 1 << 40 | 1, 7, 0, 2 ** 64 - 1], dtype=np.uint64)
+    for some in (hashes[:0], hashes[:1], hashes[1:4], hashes):
+        assert decontaminate.Known(some).among(hashes).tolist() == np.isin(hashes, some).tolist()
+    assert decontaminate.Known(hashes).among(hashes[:0]).tolist() == []
