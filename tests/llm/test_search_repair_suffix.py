@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import functools
+import glob
 import hashlib
 import math
 import random
@@ -15,7 +16,7 @@ import numpy as np
 import pytest
 
 from ratelens.llm import lexical_search, repeated_strings, turn_repair
-from ratelens.llm.suffix_array import common_prefixes, suffix_array
+from ratelens.llm.suffix_array import _dealt, common_prefixes, suffix_array
 
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -184,6 +185,13 @@ def test_induced_sorting_equals_plain_sorting():
                 assert shared[a] == k
 
 
+def test_keys_too_wide_for_one_integer_are_dealt_alike():
+    rnd = np.random.default_rng(5)
+    key, at = rnd.integers(0, 50, 3000) << 20, np.arange(3000)
+    for a, b in zip(_dealt(key, at, 12, 26), _dealt(key, at, 12, 60)):
+        assert a.tolist() == b.tolist()
+
+
 def without_repeats(texts):
     size = repeated_strings.LENGTH
     data = [(t or "").encode() for t in texts]
@@ -250,3 +258,28 @@ def test_contexts_cover_every_string_once_and_pieces_agree():
         _, s2, c2, k2, _ = repeated_strings.contexts_of(part, np.array([0, len(part)]))
         for s, c, k in zip(s2, c2, k2):
             assert all(whole[low + i] == k for i in range(s, s + c))
+
+
+def test_suffix_dedup_fetches_copies_once(spark):
+    rnd = random.Random(12)
+    texts = ["".join(rnd.choice("abcdefgh") for _ in range(n)) for n in (1500, 700)]
+    source = repeated_strings._identified(spark.createDataFrame([(t,) for t in texts * 40], "text string").repartition(4), "text")
+    kind = "array<struct<key bigint, place bigint, single boolean, split boolean, shard bigint>>"
+    wants = {t: [(i, 300 * i * repeated_strings.PLACE + 20 + i, False, i == 0, 9) for i in range(k)] for t, k in zip(texts, (3, 1))}
+    uid = {t: hashlib.sha256(t.encode()).digest()[:16] for t in texts}
+    lists = spark.createDataFrame([(bytearray(uid[t]), w) for t, w in wants.items()], f"uid binary, wants {kind}")
+    got = sorted((bytes(r.uid), r.shard, r.key, r.place, r.single, r.split, bytes(r.bytes).decode())
+                 for r in repeated_strings._fetched(source, lists).collect())
+    assert got == sorted((uid[t], 9, i, p, False, i == 0, t[300 * i:300 * i + 419 + i])
+                         for t, w in wants.items() for i, p, *_ in w)
+
+
+def test_suffix_dedup_sorts_shards_in_tasks_of_their_own(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(repeated_strings, "SHARD_BYTES", 20_000)
+    monkeypatch.setattr(repeated_strings, "written", lambda df, name: spark.read.schema(df.schema).parquet(
+        (df.write.parquet(f"{tmp_path}/{name}"), f"{tmp_path}/{name}")[1]))
+    texts = repeated_texts()
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: tuple(r)[1:5] for r in repeated_strings.remove_repeats(frame).collect()}
+    assert got == {i: r[:4] for i, r in enumerate(without_repeats(texts))}
+    assert len(glob.glob(f"{tmp_path}/strings-found/part-*")) > 3
